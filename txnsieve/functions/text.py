@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 TRIMMED = "".join(chr(c) for c in range(0x21))
 # The white space of a blank test; no-break spaces do not count.
 BLANK = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f         "
-    "      　"
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2008\u2009\u200a\u2028\u2029\u205f\u3000"
 )
 
 
