@@ -75,7 +75,7 @@ def current_transactions(transactions: DataFrame, decisions: DataFrame, ties: Se
 
 def _previous(rows: DataFrame, value: str, order: Sequence[str], name: str, slice_ms: int) -> DataFrame:
     """Add the value of the previous row of the transaction, time slice by time slice."""
-    sliced = rows.withColumn("_slice", slice_start(F.unix_millis(order[0]), slice_ms))
+    sliced = rows.withColumn("_slice", slice_start(F.unix_millis(F.col(order[0]).cast("timestamp")), slice_ms))
     in_slice = Window.partitionBy("transaction_id", "_slice").orderBy(*order)
     over_slices = Window.partitionBy("transaction_id").orderBy("_slice")
     ends = (

@@ -26,12 +26,14 @@ def parse_payloads(df: DataFrame, raw: str = "value") -> DataFrame:
     Optional fields default to empty text. The first missing required field names the error; a
     present but empty field passes.
     """
-    arrays = (
-        df.withColumn("_pairs", payload_pairs(F.col(raw)))
-        .withColumn("_keys", pair_keys(F.col("_pairs")))
-        .withColumn("_values", pair_values(F.col("_pairs")))
-    )
+    pairs = df.withColumn("_pairs", payload_pairs(F.col(raw)))
     keys, values = F.col("_keys"), F.col("_values")
+    # A generator splits each text once: filters on the fields stop here instead of repeating the
+    # split for every field they name.
+    split = F.struct(
+        pair_keys(F.col("_pairs")).alias("_keys"), pair_values(F.col("_pairs")).alias("_values")
+    )
+    arrays = pairs.select(*df.columns, F.inline(F.array(split)))
     fields = {FIELD_COLUMNS[n]: field_value(keys, values, n) for n in REQUIRED_FIELDS}
     fields |= {
         FIELD_COLUMNS[n]: F.coalesce(field_value(keys, values, n), F.lit("")) for n in OPTIONAL_FIELDS

@@ -12,6 +12,7 @@ from txnsieve.config import DEFAULT_SIGNALS, HOUR_MS, MINUTE_MS, SLICE_MS, Veloc
 from txnsieve.functions.scores import tier_score
 from txnsieve.functions.text import is_blank, starts_with_any
 from txnsieve.operators.levels import ASKED, AT, running_levels, slice_start
+from txnsieve.operators.lookups import lookup_join
 
 MS = "event_ms"
 
@@ -101,22 +102,27 @@ def _families(signals: tuple[VelocitySignal, ...]) -> list[list[VelocitySignal]]
 def with_velocity(
     rows: DataFrame,
     signals: tuple[VelocitySignal, ...] = DEFAULT_SIGNALS,
+    uses: DataFrame | None = None,
     history: DataFrame | None = None,
     slice_ms: int = SLICE_MS,
 ) -> DataFrame:
     """Add one count column per signal; rows a guard skips count 0.
 
-    ``rows`` needs ``event_ms`` and the key and member columns. ``history`` holds earlier rows that
-    fill the windows but are not returned. Rows of equal time on one key count each other.
+    ``rows`` needs ``event_ms`` and the key and member columns. ``uses`` are the same events before
+    costly steps that the windows do not need. ``history`` holds earlier events that fill the
+    windows but are not returned. Rows of equal time on one key count each other.
     """
+    uses = rows if uses is None else uses
     result = rows
     for family in _families(signals):
         key = family[0].key
         used = list(dict.fromkeys([key, *[s.member for s in family if s.member], MS]))
-        uses = rows.select(*used, F.lit(1).alias("_new"))
+        events = uses.select(*used, F.lit(1).alias("_new"))
         if history is not None:
-            uses = uses.unionByName(history.select(*used, F.lit(0).alias("_new")))
-        levels = velocity_levels(uses, family, F.col("_new"), slice_ms).withColumnRenamed(AT, MS)
+            present = uses.select(key).distinct()
+            earlier = lookup_join(history.select(*used), present, [key], "left_semi", spread_by=[MS])
+            events = events.unionByName(earlier.withColumn("_new", F.lit(0)))
+        levels = velocity_levels(events, family, F.col("_new"), slice_ms).withColumnRenamed(AT, MS)
         result = result.join(levels, [key, MS], "left")
     names = [s.name for s in signals]
     kept = [F.col(c) for c in rows.columns]
