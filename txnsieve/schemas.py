@@ -39,7 +39,7 @@ REQUEST = T.StructType(
     [
         *_strings("userId", "cardFingerprint"),
         # Clients send whole and fractional numbers; the stored amount is a whole number.
-        T.StructField("amount", T.DecimalType(38, 6)),
+        T.StructField("amount", T.DecimalType(38, 18)),
         *_strings(
             "currency", "merchantId", "merchantCategoryCode", "merchantRiskTier", "deviceFingerprint",
             "ipAddress", "ipCountry", "billingCountry", "userAgent",
