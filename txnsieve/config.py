@@ -130,5 +130,5 @@ class Scoring:
 MAX_BROADCAST_ROWS = 100_000
 # Hot keys are spread over this many salts when a lookup side is too big to broadcast.
 LOOKUP_SALTS = 16
-# Length of the time slices that split one key's rows over tasks.
+# Length of the time slices that split the rows of one override target over tasks.
 SLICE_MS = HOUR_MS

@@ -4,9 +4,10 @@ A sliding window count is a level: each event raises it when it enters the windo
 when it leaves. Summing the changes in time order gives the count at every instant with one pass,
 where a RANGE frame would visit every row of the frame again for each row.
 
-A single key may hold a large share of all rows, so its changes are summed in two steps: within
-fixed time slices (one task per key and slice, at most one row per millisecond after merging), and
-over the totals of the slices, whose number depends on the time span and not on the rows.
+A single key may hold a large share of all rows, so time is cut into slices as long as the longest
+window, and each slice is summed on its own: an event that is still inside its window at the end of
+a slice enters the next slice at its start, and never reaches a third one. Changes of one instant
+are merged first, so one task holds at most one row per millisecond of a slice.
 """
 
 from __future__ import annotations
@@ -14,8 +15,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnsieve.config import SLICE_MS
-
 # Column of 1 where the level is asked for, 0 for rows that only change it.
 ASKED = "_asked"
 AT = "_at"
@@ -26,37 +25,17 @@ def slice_start(ms: Column, length: int) -> Column:
     return ms - F.pmod(ms, F.lit(length))
 
 
-def running_levels(
-    changes: DataFrame, key: str, measures: list[str], slice_ms: int = SLICE_MS
-) -> DataFrame:
-    """Sum ``measures`` up to and including each instant, per key.
+def running_levels(changes: DataFrame, key: str, measures: list[str], slice_ms: int) -> DataFrame:
+    """Sum ``measures`` from the start of the slice up to and including each instant, per key.
 
     ``changes`` has columns ``key``, ``_at``, ``_asked`` and the measures. Returns one row
     ``key, _at, measures`` for every instant asked for.
     """
-    merged = (
-        changes.withColumn(SLICE, slice_start(F.col(AT), slice_ms))
-        .groupBy(key, SLICE, AT)
-        .agg(*[F.sum(m).alias(m) for m in measures], F.sum(ASKED).alias(ASKED))
-    )
+    merged = changes.groupBy(key, AT).agg(*[F.sum(m).alias(m) for m in measures], F.sum(ASKED).alias(ASKED))
     up_to_here = (
-        Window.partitionBy(key, SLICE).orderBy(AT).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    within = merged.select(
-        key, SLICE, AT, ASKED, *[F.sum(m).over(up_to_here).alias(m) for m in measures]
-    ).where(F.col(ASKED) > 0)
-
-    earlier_slices = Window.partitionBy(key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        merged.groupBy(key, SLICE)
-        .agg(*[F.sum(m).alias(m) for m in measures], F.sum(ASKED).alias(ASKED))
-        .select(
-            key, SLICE, ASKED,
-            *[F.coalesce(F.sum(m).over(earlier_slices), F.lit(0)).alias(f"_carried_{m}") for m in measures],
-        )
-        .where(F.col(ASKED) > 0)
-        .drop(ASKED)
-    )
-    return within.join(carried, [key, SLICE]).select(
-        key, AT, *[(F.col(m) + F.col(f"_carried_{m}")).alias(m) for m in measures]
+        Window.partitionBy(key, slice_start(F.col(AT), slice_ms))
+        .orderBy(AT)
+        .rowsBetween(Window.unboundedPreceding, 0)
     )
+    levels = merged.select(key, AT, ASKED, *[F.sum(m).over(up_to_here).alias(m) for m in measures])
+    return levels.where(F.col(ASKED) > 0).drop(ASKED)

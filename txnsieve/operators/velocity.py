@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections import defaultdict
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnsieve.config import DEFAULT_SIGNALS, HOUR_MS, MINUTE_MS, SLICE_MS, VelocitySignal
+from txnsieve.config import DEFAULT_SIGNALS, HOUR_MS, MINUTE_MS, VelocitySignal
 from txnsieve.functions.scores import tier_score
 from txnsieve.functions.text import is_blank, starts_with_any
-from txnsieve.operators.levels import ASKED, AT, running_levels, slice_start
+from txnsieve.operators.levels import ASKED, AT, SLICE, running_levels, slice_start
 from txnsieve.operators.lookups import lookup_join
 
 MS = "event_ms"
@@ -28,64 +28,72 @@ def signal_guard(signal: VelocitySignal) -> Column:
     return guard
 
 
-def event_changes(rows: DataFrame, signals: list[VelocitySignal], asked: Column) -> DataFrame:
-    """Each event enters every window at its time and leaves window ``w`` at its time + ``w``."""
+def event_changes(rows: DataFrame, signals: list[VelocitySignal], asked: Column, slice_ms: int) -> DataFrame:
+    """Each event enters every window at its time and leaves window ``w`` at its time + ``w``.
+
+    Windows that reach into the next slice carry the event over at the start of that slice.
+    """
     names = [s.name for s in signals]
+    next_slice = slice_start(F.col(MS), slice_ms) + slice_ms
 
-    def change(at: Column, values: dict[str, int], ask: Column) -> Column:
+    def change(at: Column, values: dict[str, Column], ask: Column) -> Column:
         return F.struct(
             at.alias(AT),
-            *[F.lit(values.get(n, 0)).cast("long").alias(n) for n in names],
+            *[values.get(n, F.lit(0)).cast("long").alias(n) for n in names],
             ask.cast("long").alias(ASKED),
         )
 
-    entering = change(F.col(MS), dict.fromkeys(names, 1), asked)
-    leaving = [change(F.col(MS) + s.window_ms, {s.name: -1}, F.lit(0)) for s in signals]
-    return rows.select(signals[0].key, F.inline(F.array(entering, *leaving)))
+    zero, one = F.lit(0), F.lit(1)
+    entering = change(F.col(MS), dict.fromkeys(names, one), asked)
+    leaving = [change(F.col(MS) + s.window_ms, {s.name: F.lit(-1)}, zero) for s in signals]
+    reaching = {s.name: (F.col(MS) + s.window_ms >= next_slice) for s in signals}
+    carried = change(next_slice, reaching, zero)
+    return rows.select(signals[0].key, F.inline(F.array(entering, *leaving, carried)))
 
 
 def member_changes(rows: DataFrame, signal: VelocitySignal, asked: Column) -> DataFrame:
-    """A member raises the level of its key while its last use is younger than the window.
+    """A member counts while its last use is younger than the window.
 
-    Uses of one member within a span no longer than the window never expire in between, so only
-    the first and last use per span matter: one map-side-combined aggregate, however hot the key.
+    With slices as long as the window, the members at an instant are those used in the slice so far,
+    and those of the previous slice whose last use is still young and that were not used again. Per
+    key, member and slice that needs the first use there and the last use in the slice before: one
+    map-side-combined aggregate, however hot the key.
     """
     key, member, window = signal.key, signal.member, signal.window_ms
-    spans = rows.groupBy(key, member, slice_start(F.col(MS), window).alias("_span")).agg(
-        F.min(MS).alias("_first"), F.max(MS).alias("_last")
-    )
-    in_pair = Window.partitionBy(key, member).orderBy("_span")
-    idle_before = F.col("_first") - F.lag("_last").over(in_pair)
-    idle_after = F.lead("_first").over(in_pair) - F.col("_last")
-    edges = spans.select(
-        key,
-        F.when(F.coalesce(idle_before >= window, F.lit(True)), F.col("_first")).alias("_in"),
-        F.when(F.coalesce(idle_after >= window, F.lit(True)), F.col("_last") + window).alias("_out"),
+    here = slice_start(F.col(MS), window)
+    no_use = F.lit(None).cast("long")
+
+    def use(slice_: Column, first: Column, before: Column) -> Column:
+        return F.struct(slice_.alias(SLICE), first.alias("_first"), before.alias("_before"))
+
+    uses = rows.select(
+        key, member, F.inline(F.array(use(here, F.col(MS), no_use), use(here + window, no_use, F.col(MS))))
     )
+    members = uses.groupBy(key, member, SLICE).agg(F.min("_first").alias("_first"), F.max("_before").alias("_before"))
 
-    def change(at: str, value: int) -> Column:
-        return F.struct(F.col(at).alias(AT), F.lit(value).cast("long").alias(signal.name))
+    def change(at: Column, value: int) -> Column:
+        return F.struct(
+            at.alias(AT), F.lit(value).cast("long").alias(signal.name), F.lit(0).cast("long").alias(ASKED)
+        )
 
-    changes = edges.select(
-        key, F.inline(F.filter(F.array(change("_in", 1), change("_out", -1)), lambda c: c[AT].isNotNull()))
-    ).withColumn(ASKED, F.lit(0).cast("long"))
+    carried = F.when(F.col("_before").isNotNull(), F.col(SLICE))
+    ended = F.when(F.col("_before").isNotNull(), F.least(F.col("_before") + window, F.col("_first")))
+    changes = members.select(
+        key, F.inline(F.array(change(F.col("_first"), 1), change(carried, 1), change(ended, -1)))
+    ).where(F.col(AT).isNotNull())
     questions = rows.where(asked > 0).select(
         key, F.col(MS).alias(AT), F.lit(0).cast("long").alias(signal.name), F.lit(1).cast("long").alias(ASKED)
     )
     return changes.unionByName(questions)
 
 
-def velocity_levels(
-    rows: DataFrame,
-    signals: list[VelocitySignal],
-    asked: Column | None = None,
-    slice_ms: int = SLICE_MS,
-) -> DataFrame:
+def velocity_levels(rows: DataFrame, signals: list[VelocitySignal], asked: Column | None = None) -> DataFrame:
     """Counts of signals that share a key and a guard, per key and instant."""
     asked = F.lit(1) if asked is None else asked
     guarded = rows.where(signal_guard(signals[0]))
+    slice_ms = max(s.window_ms for s in signals)
     if signals[0].member is None:
-        changes = event_changes(guarded, signals, asked)
+        changes = event_changes(guarded, signals, asked, slice_ms)
     else:
         changes = member_changes(guarded, signals[0], asked)
     return running_levels(changes, signals[0].key, [s.name for s in signals], slice_ms)
@@ -104,7 +112,6 @@ def with_velocity(
     signals: tuple[VelocitySignal, ...] = DEFAULT_SIGNALS,
     uses: DataFrame | None = None,
     history: DataFrame | None = None,
-    slice_ms: int = SLICE_MS,
 ) -> DataFrame:
     """Add one count column per signal; rows a guard skips count 0.
 
@@ -122,7 +129,7 @@ def with_velocity(
             present = uses.select(key).distinct()
             earlier = lookup_join(history.select(*used), present, [key], "left_semi", spread_by=[MS])
             events = events.unionByName(earlier.withColumn("_new", F.lit(0)))
-        levels = velocity_levels(events, family, F.col("_new"), slice_ms).withColumnRenamed(AT, MS)
+        levels = velocity_levels(events, family, F.col("_new")).withColumnRenamed(AT, MS)
         result = result.join(levels, [key, MS], "left")
     names = [s.name for s in signals]
     kept = [F.col(c) for c in rows.columns]
