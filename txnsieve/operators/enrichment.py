@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txnsieve.config import MAX_BROADCAST_ROWS
 from txnsieve.operators.lookups import lookup_join
 
 # Result of an address without an entry, and of a failed lookup.
@@ -23,16 +24,16 @@ def with_reputation(rows: DataFrame, table: DataFrame) -> DataFrame:
         F.min(F.struct("unavailable", "reputation", "score", "source")).alias("_entry")
     )
     # An address has at most a few dozen characters, so there are at most that many lengths.
-    lengths = [r[0] for r in table.select(F.length("prefix").alias("n")).distinct().collect()]
+    counts = table.groupBy(F.length("prefix").alias("n")).count().collect()
     found, result = [], rows
-    for n in sorted(lengths, reverse=True):
+    for n, size in sorted(((r["n"], r["count"]) for r in counts), reverse=True):
         part, entry = f"_prefix_{n}", f"_entry_{n}"
         side = entries.where(F.length("prefix") == n).select(
             F.col("prefix").alias(part), F.col("_entry").alias(entry)
         )
         result = lookup_join(
             result.withColumn(part, F.substring("ip_address", 1, n)), side, [part],
-            spread_by=["transaction_id"],
+            spread_by=["transaction_id"], fits=size <= MAX_BROADCAST_ROWS,
         ).drop(part)
         found.append(entry)
     if not found:

@@ -22,14 +22,16 @@ def lookup_join(
     spread_by: Sequence[str] = (),
     max_rows: int = MAX_BROADCAST_ROWS,
     salts: int = LOOKUP_SALTS,
+    fits: bool | None = None,
 ) -> DataFrame:
     """Join rows to a table with one row per key.
 
     A table of at most ``max_rows`` rows is broadcast. A bigger one is shuffled, and each key is
-    spread over ``salts`` tasks by the hash of ``spread_by``, so a hot key is split.
+    spread over ``salts`` tasks by the hash of ``spread_by``, so a hot key is split. ``fits`` is the
+    outcome of the check where the caller has counted the rows already.
     """
     on = list(on)
-    if fits_broadcast(table, max_rows):
+    if fits_broadcast(table, max_rows) if fits is None else fits:
         return rows.join(F.broadcast(table), on, how)
     if not spread_by:
         return rows.join(table, on, how)

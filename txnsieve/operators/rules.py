@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -155,40 +155,48 @@ class RuleSet:
         return groups
 
 
-def _checked(spark: SparkSession, row: Row, empty: DataFrame) -> tuple[str | None, str | None]:
+def _error(sql: str, empty: DataFrame) -> str | None:
     try:
-        sql = rule_sql(row["expression"])
         result = empty.select(F.expr(sql)).schema[0].dataType
-    except RuleError as error:
-        return None, str(error)
     except PySparkException as error:
-        return None, error.getCondition() or type(error).__name__
-    if not isinstance(result, T.BooleanType):
-        return None, f"result is {result.simpleString()}, not boolean"
-    return sql, None
+        return error.getCondition() or type(error).__name__
+    return None if isinstance(result, T.BooleanType) else f"result is {result.simpleString()}, not boolean"
+
+
+def _check_all(texts: dict[int, str], empty: DataFrame) -> dict[int, str]:
+    """Errors by rule id. All rules are analysed at once, and one by one only if that fails."""
+    try:
+        types = empty.select(*[F.expr(sql) for sql in texts.values()]).schema
+        if all(isinstance(f.dataType, T.BooleanType) for f in types):
+            return {}
+    except PySparkException:
+        pass
+    return {i: error for i, sql in texts.items() if (error := _error(sql, empty))}
 
 
 def load_rules(rules: DataFrame) -> RuleSet:
     """Snapshot of the enabled rules in id order; broken rules are kept with their error."""
     spark = rules.sparkSession
     rows = rules.where("enabled").orderBy("id").collect()
-    fields = [
-        T.StructField(c, T.DoubleType() if c == "amount" else T.StringType())
-        for c in FIELD_COLUMNS.values()
-    ]
-    empty = spark.createDataFrame([], T.StructType(fields))
-    loaded, errors = [], []
+    texts, errors = {}, {}
+    for row in rows:
+        try:
+            texts[row["id"]] = rule_sql(row["expression"])
+        except RuleError as error:
+            errors[row["id"]] = str(error)
+    columns = ", ".join(
+        f"cast(null as {'double' if c == 'amount' else 'string'}) as {c}" for c in FIELD_COLUMNS.values()
+    )
     with lenient_arithmetic(spark):
-        for row in rows:
-            sql, error = _checked(spark, row, empty)
-            if error is not None:
-                errors.append((row["id"], row["name"], row["expression"], error))
-            loaded.append(
-                Rule(row["id"], row["name"], row["expression"], row["score"], row["group_name"],
-                     row["match_mode"], sql)
-            )
+        errors |= _check_all(texts, spark.sql(f"select {columns}"))
+    loaded = [
+        Rule(r["id"], r["name"], r["expression"], r["score"], r["group_name"], r["match_mode"],
+             None if r["id"] in errors else texts[r["id"]])
+        for r in rows
+    ]
+    broken = [(r["id"], r["name"], r["expression"], errors[r["id"]]) for r in rows if r["id"] in errors]
     text = "\n".join(repr(tuple(r)) for r in rows)
-    return RuleSet(tuple(loaded), tuple(errors), hashlib.sha256(text.encode()).hexdigest()[:16])
+    return RuleSet(tuple(loaded), tuple(broken), hashlib.sha256(text.encode()).hexdigest()[:16])
 
 
 def rule_errors(spark: SparkSession, rule_set: RuleSet) -> DataFrame:

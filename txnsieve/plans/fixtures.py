@@ -6,14 +6,18 @@ them. Every event becomes one transaction; nothing is left out.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from txnsieve.config import HardRules, Quota, Scoring, scaled_signals
 from txnsieve.schemas import REPUTATION, RULES
 
 BASE = {
-    "k": "cast(regexp_extract(props, '([0-9]+)', 1) as int)",
+    # The properties are always {"k": n}.
+    "k": "cast(replace(substring(props, 7), '}', '') as int)",
 }
 
 TRANSACTION = {
@@ -146,12 +150,17 @@ REPUTATION_ROWS = [
 ]
 
 
+def _small_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    named = [dict(zip(schema.names, row)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(named, to_arrow_schema(schema)), schema)
+
+
 def rules_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(RULE_ROWS, RULES)
+    return _small_table(spark, RULE_ROWS, RULES)
 
 
 def reputation_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(REPUTATION_ROWS, REPUTATION)
+    return _small_table(spark, REPUTATION_ROWS, REPUTATION)
 
 
 def _exprs(columns: dict[str, str], prefix: str = "") -> list:
@@ -168,9 +177,13 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_events(spark, sf_dir).select(
-        *_exprs(TRANSACTION), "event_ms", F.col("event_id").alias("seq")
-    )
+    """One transaction per event.
+
+    The generator keeps the derived texts from being inlined into every filter that names them;
+    stored transactions would be plain columns.
+    """
+    row = F.struct(*_exprs(TRANSACTION), "event_ms", F.col("event_id").alias("seq"))
+    return read_events(spark, sf_dir).select(F.inline(F.array(row)))
 
 
 def stored_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
