@@ -18,16 +18,12 @@ def payload_pairs(raw: Column) -> Column:
     return F.reverse(parts)
 
 
-def pair_keys(pairs: Column) -> Column:
-    return F.transform(pairs, lambda p: trim_control(F.substring_index(p, ":", 1)))
+def pair_keys(pairs: Column, odd_space: Column) -> Column:
+    return F.transform(pairs, lambda p: trim_control(F.substring_index(p, ":", 1), odd_space))
 
 
-def pair_values(pairs: Column) -> Column:
-    return F.transform(pairs, lambda p: trim_control(F.substr(p, F.instr(p, ":") + F.lit(1))))
-
-
-def has_field(keys: Column, name: str) -> Column:
-    return F.array_contains(keys, name)
+def pair_values(pairs: Column, odd_space: Column) -> Column:
+    return F.transform(pairs, lambda p: trim_control(F.substr(p, F.instr(p, ":") + F.lit(1)), odd_space))
 
 
 def field_value(keys: Column, values: Column, name: str) -> Column:
@@ -35,9 +31,13 @@ def field_value(keys: Column, values: Column, name: str) -> Column:
     return F.get(values, (F.array_position(keys, F.lit(name)) - 1).cast("int"))
 
 
-def first_missing(keys: Column) -> Column:
-    """The first required field, in wire order, that the payload lacks; null when complete."""
-    return F.coalesce(*[F.when(~has_field(keys, name), F.lit(name)) for name in REQUIRED_FIELDS])
+def first_missing(names: dict[str, str]) -> Column:
+    """The first required field, in wire order, that is null; null when none is.
+
+    ``names`` maps columns to the name they have here.
+    """
+    columns = [(n, names.get(FIELD_COLUMNS[n], FIELD_COLUMNS[n])) for n in REQUIRED_FIELDS]
+    return F.coalesce(*[F.when(F.col(c).isNull(), F.lit(n)) for n, c in columns])
 
 
 def parse_amount(text: Column) -> Column:

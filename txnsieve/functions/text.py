@@ -14,8 +14,14 @@ BLANK = (
 )
 
 
-def trim_control(text: Column) -> Column:
-    return F.btrim(text, F.lit(TRIMMED))
+def has_odd_space(text: Column) -> Column:
+    """Whether a text holds any character below the space."""
+    return text.rlike(r"[\x00-\x1f]")
+
+
+def trim_control(text: Column, odd_space: Column) -> Column:
+    """Trim all characters up to the space; the cheap trim does where there is nothing else."""
+    return F.when(odd_space, F.btrim(text, F.lit(TRIMMED))).otherwise(F.trim(text))
 
 
 def is_blank(text: Column) -> Column:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnsieve.config import DAY_MS
+from txnsieve.config import DAY_MS, MAX_BROADCAST_ROWS
 from txnsieve.operators.lookups import lookup_join
 from txnsieve.operators.parsing import UNKNOWN_ID
 from txnsieve.operators.ranking import first_per_key
@@ -41,10 +41,11 @@ def _later_claims(uses: DataFrame, ttl_ms: int) -> list[DataFrame]:
 
     open_ids = staged(spans(uses).where(F.col("_last") >= expires).select(ID, "_claimed"), "claims")
     candidates, rounds = uses, []
-    while not open_ids.isEmpty():
-        after = lookup_join(candidates, open_ids, [ID], "inner", spread_by=[MS])
+    while waiting := open_ids.count():
+        fits = waiting <= MAX_BROADCAST_ROWS
+        after = lookup_join(candidates, open_ids, [ID], "inner", spread_by=[MS], fits=fits)
         candidates = staged(after.where(F.col(MS) >= expires).select(ID, MS).distinct(), "claims")
-        found = staged(spans(candidates), "claims")
+        found = spans(candidates)
         rounds.append(found.select(ID, F.col("_claimed").alias(MS)))
         open_ids = found.where(F.col("_last") >= expires).select(ID, "_claimed")
     return rounds

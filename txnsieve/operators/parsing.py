@@ -14,7 +14,8 @@ from txnsieve.functions.payload import (
     parse_amount,
     payload_pairs,
 )
-from txnsieve.schemas import FIELD_COLUMNS, OPTIONAL_FIELDS, REQUIRED_FIELDS
+from txnsieve.functions.text import has_odd_space
+from txnsieve.schemas import FIELD_COLUMNS, OPTIONAL_FIELDS
 
 ERROR = "error_message"
 UNKNOWN_ID = "UNKNOWN"
@@ -26,30 +27,37 @@ def parse_payloads(df: DataFrame, raw: str = "value") -> DataFrame:
     Optional fields default to empty text. The first missing required field names the error; a
     present but empty field passes.
     """
-    pairs = df.withColumn("_pairs", payload_pairs(F.col(raw)))
-    keys, values = F.col("_keys"), F.col("_values")
-    # A generator splits each text once: filters on the fields stop here instead of repeating the
-    # split for every field they name.
+    # The generators split each text and look up each field once: filters on the fields stop there
+    # instead of repeating that work for every field they name.
     split = F.struct(
-        pair_keys(F.col("_pairs")).alias("_keys"), pair_values(F.col("_pairs")).alias("_values")
+        pair_keys(F.col("_pairs"), F.col("_odd")).alias("_keys"),
+        pair_values(F.col("_pairs"), F.col("_odd")).alias("_values"),
     )
-    arrays = pairs.select(*df.columns, F.inline(F.array(split)))
-    fields = {FIELD_COLUMNS[n]: field_value(keys, values, n) for n in REQUIRED_FIELDS}
-    fields |= {
-        FIELD_COLUMNS[n]: F.coalesce(field_value(keys, values, n), F.lit("")) for n in OPTIONAL_FIELDS
-    }
-    amount_text = fields.pop("amount")
-    read = arrays.withColumns({**fields, "_amount_text": amount_text, "_missing": first_missing(keys)})
-    read = read.withColumn("amount", parse_amount(F.col("_amount_text")))
+    fields = F.struct(
+        *[field_value(F.col("_keys"), F.col("_values"), n).alias(c) for n, c in FIELD_COLUMNS.items()]
+    )
+    kept = [c for c in df.columns if c not in FIELD_COLUMNS.values()]
+    read = (
+        df.select(*kept, payload_pairs(F.col(raw)).alias("_pairs"), has_odd_space(F.col(raw)).alias("_odd"))
+        .select(*kept, F.inline(F.array(split)))
+        .select(*kept, F.inline(F.array(fields)))
+        .withColumnsRenamed({"amount": "_amount_text"})
+    )
+    missing = first_missing({"amount": "_amount_text"})
+    amount = parse_amount(F.col("_amount_text"))
     error = F.when(
-        F.col("_missing").isNotNull(),
-        F.concat(
-            F.lit("Missing required field '"), F.col("_missing"), F.lit("' in payload: "),
-            F.coalesce(F.col(raw), F.lit("")),
-        ),
-    ).when(F.col("amount").isNull(), amount_error(F.col("_amount_text")))
-    carried = [c for c in df.columns if c not in FIELD_COLUMNS.values()]
-    return read.withColumn(ERROR, error).select(*carried, *FIELD_COLUMNS.values(), ERROR)
+        missing.isNotNull(),
+        F.concat(F.lit("Missing required field '"), missing, F.lit("' in payload: "), F.coalesce(F.col(raw), F.lit(""))),
+    ).when(amount.isNull(), amount_error(F.col("_amount_text")))
+    optional = [FIELD_COLUMNS[n] for n in OPTIONAL_FIELDS]
+    return read.select(
+        *kept,
+        *[
+            amount.alias(c) if c == "amount" else F.coalesce(c, F.lit("")).alias(c) if c in optional else c
+            for c in FIELD_COLUMNS.values()
+        ],
+        error.alias(ERROR),
+    )
 
 
 def valid_events(parsed: DataFrame, raw: str = "value") -> DataFrame:

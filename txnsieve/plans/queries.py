@@ -25,7 +25,7 @@ from txnsieve.operators import (
 from txnsieve.plans import fixtures
 from txnsieve.plans.scoring import score_events, score_payloads, score_survivors
 from txnsieve.schemas import FIELD_COLUMNS, REQUEST
-from txnsieve.session import SESSION_CONF, run_folder
+from txnsieve.session import SESSION_CONF, run_folder, staged
 from txnsieve.sinks.topics import dead_letter_records
 from txnsieve.sources.requests import parse_requests
 from txnsieve.sources.tables import read_table
@@ -320,8 +320,8 @@ def duplicate_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def idempotent_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    valid = parsing.valid_events(parsing.parse_payloads(fixtures.payloads(spark, sf_dir)))
-    return dedupe.claim_first(valid).select("transaction_id", "event_ms", "seq")
+    parsed = staged(parsing.parse_payloads(fixtures.payloads(spark, sf_dir)), "parsed")
+    return dedupe.claim_first(parsing.valid_events(parsed)).select("transaction_id", "event_ms", "seq")
 
 
 @query

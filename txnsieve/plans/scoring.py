@@ -77,9 +77,10 @@ def score_payloads(
 ) -> Scored:
     """Parse, claim and score payload rows (``raw``, ``event_ms``, ``seq``).
 
-    The claimed events are written once, because every signal reads them again.
+    The parsed rows and the claimed events are written once each: claims and rejects share the
+    parse, and every signal reads the events again.
     """
-    parsed = parse_payloads(payloads, raw)
+    parsed = staged(parse_payloads(payloads, raw), "parsed")
     events = staged(claim_first(valid_events(parsed, raw), scoring.claim_ttl_ms), "events")
     decisions = score_events(events, rules, reputation, scoring, decided_at=decided_at)
     return Scored(events, decisions, rejected_records(parsed, raw))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -58,20 +58,18 @@ def _day(ms: int) -> datetime:
     return datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(milliseconds=ms)
 
 
-def _earlier(job: ScoringJob, events: DataFrame, batch_id: int) -> DataFrame | None:
-    """Events of earlier batches that a window or a claim of this batch can reach.
+def _earlier(job: ScoringJob, events: DataFrame, bounds: Row, batch_id: int) -> DataFrame | None:
+    """Events of earlier batches that a window or a claim of this batch can reach; None without any.
 
     Only the daily partitions between the oldest reach and the newest event are listed and read.
     """
-    bounds = events.agg(F.min(MS).alias("first"), F.max(MS).alias("last")).first()
-    if bounds["first"] is None:
-        return None
     reach = max([job.scoring.claim_ttl_ms, *[s.window_ms for s in job.scoring.signals]])
     days = date_partitions(
         job.history, DATE, _day(bounds["first"] - reach).date(), _day(bounds["last"]).date()
     )
     history = read_or_empty(events.sparkSession, job.history, job.history_schema(), days)
-    return history.where((F.col("batch_id") < batch_id) & (F.col(MS) > bounds["first"] - reach))
+    reached = history.where((F.col("batch_id") < batch_id) & (F.col(MS) > bounds["first"] - reach))
+    return None if reached.isEmpty() else reached
 
 
 def score_batch(payloads: DataFrame, batch_id: int, job: ScoringJob) -> None:
@@ -82,17 +80,19 @@ def score_batch(payloads: DataFrame, batch_id: int, job: ScoringJob) -> None:
     """
     parsed = staged(parse_payloads(payloads), "parsed")
     valid = valid_events(parsed)
-    earlier = _earlier(job, valid, batch_id)
     write_topic(dead_letter_records(rejected_records(parsed)), job.dead_letters, batch_id)
-    if earlier is None:
+    bounds = valid.agg(F.min(MS).alias("first"), F.max(MS).alias("last")).first()
+    if bounds["first"] is None:
         return
-    events = staged(claim_first(valid, job.scoring.claim_ttl_ms, claims=earlier.select(ID, MS)), "events")
+    earlier = _earlier(job, valid, bounds, batch_id)
+    claims = None if earlier is None else earlier.select(ID, MS)
+    events = staged(claim_first(valid, job.scoring.claim_ttl_ms, claims=claims), "events")
     decisions = score_events(
         events,
         load_rules(job.rules()),
         job.reputation(),
         job.scoring,
-        history=earlier.where("survived"),
+        history=None if earlier is None else earlier.where("survived"),
         decided_at=job.decided_at,
     )
     append_batch(decisions, job.decisions, batch_id)
