@@ -111,3 +111,10 @@ def test_blank(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     rows = df.select("i", is_blank(F.col("t")).alias("b")).orderBy("i").collect()
     assert [r.b for r in rows] == [True, True, True, False, False]
+
+
+def test_null_text_can_be_read_as_null(spark):
+    df = spark.createDataFrame([(payload(deviceFingerprint="null"),)], "value string")
+    assert parse_payloads(df).first().device_fingerprint == "null"
+    row = parse_payloads(df, null_text_as_null=True).first()
+    assert row.device_fingerprint is None and row.error_message is None

@@ -90,6 +90,18 @@ def test_rules_are_read_again_for_each_batch(spark, payloads, tmp_path):
     assert len({r.rules_version for r in versions}) == len(versions) == 2
 
 
+def test_replays_are_duplicates_unless_they_may_pass(spark, payloads, tmp_path):
+    texts = payloads.where(F.col("value").startswith("transactionId")).where("seq % 3 = 0").limit(2)
+    first = texts.withColumn("attempt", F.lit(0).cast("long"))
+    again = first.withColumn("attempt", F.lit(1).cast("long")).withColumn("event_ms", F.col("event_ms") + 5)
+    both = [first.unionByName(again), first.unionByName(again).unionByName(again)]
+    for name, passes, factor in (("parity", False, 1), ("passing", True, 2)):
+        scoring = job(spark, tmp_path / name, replays_pass=passes)
+        score_batch(both[passes], 0, scoring)
+        valid = spark.read.parquet(scoring.decisions)
+        assert valid.count() == factor * valid.select("transaction_id").distinct().count()
+
+
 def test_topic_stream_end_to_end(spark, payloads, tmp_path):
     """Topic files in, decisions and dead letters out."""
     records = payloads.select(

@@ -20,11 +20,11 @@ MS = "event_ms"
 
 def _unclaimed(rows: DataFrame, claims: DataFrame, ttl_ms: int) -> DataFrame:
     last = claims.groupBy(ID).agg(F.max(MS).alias("_claimed"))
-    joined = lookup_join(rows, last, [ID], "left", spread_by=[MS])
+    joined = lookup_join(rows, last, [ID], "left")
     return joined.where(F.col("_claimed").isNull() | (F.col(MS) >= F.col("_claimed") + ttl_ms)).drop("_claimed")
 
 
-def _later_claims(uses: DataFrame, ttl_ms: int) -> list[DataFrame]:
+def _later_claims(uses: DataFrame, ttl_ms: int, folder: str | None) -> list[DataFrame]:
     """Claims after the first one of an id, one DataFrame per round.
 
     Only ids whose uses span the lifetime take part. Each round finds the next claim of every such
@@ -39,12 +39,12 @@ def _later_claims(uses: DataFrame, ttl_ms: int) -> list[DataFrame]:
     def spans(candidates: DataFrame) -> DataFrame:
         return candidates.groupBy(ID).agg(F.min(MS).alias("_claimed"), F.max(MS).alias("_last"))
 
-    open_ids = staged(spans(uses).where(F.col("_last") >= expires).select(ID, "_claimed"), "claims")
+    open_ids = staged(spans(uses).where(F.col("_last") >= expires).select(ID, "_claimed"), "claims", folder)
     candidates, rounds = uses, []
     while waiting := open_ids.count():
         fits = waiting <= MAX_BROADCAST_ROWS
-        after = lookup_join(candidates, open_ids, [ID], "inner", spread_by=[MS], fits=fits)
-        candidates = staged(after.where(F.col(MS) >= expires).select(ID, MS).distinct(), "claims")
+        after = lookup_join(candidates, open_ids, [ID], "inner", fits=fits)
+        candidates = staged(after.where(F.col(MS) >= expires).select(ID, MS).distinct(), "claims", folder)
         found = spans(candidates)
         rounds.append(found.select(ID, F.col("_claimed").alias(MS)))
         open_ids = found.where(F.col("_last") >= expires).select(ID, "_claimed")
@@ -56,23 +56,29 @@ def claim_first(
     ttl_ms: int = DAY_MS,
     order: Sequence[str] = ("seq",),
     claims: DataFrame | None = None,
+    folder: str | None = None,
 ) -> DataFrame:
     """Keep the rows that win the claim of their transaction id.
 
     A claim lasts ``ttl_ms`` from the winning row; rows within it are duplicates, and the first row
     after it wins again. ``order`` breaks ties of equal time. ``claims`` (``transaction_id``,
-    ``event_ms``) are claims won earlier, which still hold.
+    ``event_ms``) are claims won earlier, which still hold. ``folder`` takes intermediate tables.
     """
     if claims is not None:
         rows = _unclaimed(rows, claims, ttl_ms)
     winners = first_per_key(rows, [ID], [MS, *order])
-    later = _later_claims(rows.select(ID, MS), ttl_ms)
+    later = _later_claims(rows.select(ID, MS), ttl_ms, folder)
     if not later:
         return winners
     again = rows.join(reduce(DataFrame.unionByName, later), [ID, MS], "left_semi")
     return winners.unionByName(first_per_key(again, [ID, MS], list(order)))
 
 
+def claim_replays(rows: DataFrame, order: Sequence[str] = (MS, "seq")) -> DataFrame:
+    """Retried rows (``attempt`` above 0) pass the claim of their id, each attempt once."""
+    return first_per_key(rows.where(F.col("attempt") > 0), [ID, "attempt"], list(order))
+
+
 def failure_key(payload: str = "original_payload") -> Column:
     """Key that tells unparsed messages apart; the plain id keeps only the first of them."""
     return F.when(F.col(ID) == UNKNOWN_ID, F.sha2(F.col(payload), 256)).otherwise(F.col(ID))

@@ -26,8 +26,9 @@ def lookup_join(
 ) -> DataFrame:
     """Join rows to a table with one row per key.
 
-    A table of at most ``max_rows`` rows is broadcast. A bigger one is shuffled, and each key is
-    spread over ``salts`` tasks by the hash of ``spread_by``, so a hot key is split. ``fits`` is the
+    A table of at most ``max_rows`` rows is broadcast. A bigger one is shuffled: with ``spread_by``,
+    each key is spread over ``salts`` tasks by the hash of these columns, which repeats the table as
+    often; without it, adaptive execution splits the partitions that turn out too big. ``fits`` is the
     outcome of the check where the caller has counted the rows already.
     """
     on = list(on)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnsieve.functions.payload import (
@@ -21,11 +21,12 @@ ERROR = "error_message"
 UNKNOWN_ID = "UNKNOWN"
 
 
-def parse_payloads(df: DataFrame, raw: str = "value") -> DataFrame:
+def parse_payloads(df: DataFrame, raw: str = "value", null_text_as_null: bool = False) -> DataFrame:
     """Add the event fields and ``error_message``, null for a valid payload.
 
     Optional fields default to empty text. The first missing required field names the error; a
-    present but empty field passes.
+    present but empty field passes. A null field travels as the text ``null`` and stays that text,
+    unless ``null_text_as_null`` is set.
     """
     # The generators split each text and look up each field once: filters on the fields stop there
     # instead of repeating that work for every field they name.
@@ -50,14 +51,14 @@ def parse_payloads(df: DataFrame, raw: str = "value") -> DataFrame:
         F.concat(F.lit("Missing required field '"), missing, F.lit("' in payload: "), F.coalesce(F.col(raw), F.lit(""))),
     ).when(amount.isNull(), amount_error(F.col("_amount_text")))
     optional = [FIELD_COLUMNS[n] for n in OPTIONAL_FIELDS]
-    return read.select(
-        *kept,
-        *[
-            amount.alias(c) if c == "amount" else F.coalesce(c, F.lit("")).alias(c) if c in optional else c
-            for c in FIELD_COLUMNS.values()
-        ],
-        error.alias(ERROR),
-    )
+
+    def result(column: str) -> Column:
+        if column == "amount":
+            return amount
+        value = F.coalesce(column, F.lit("")) if column in optional else F.col(column)
+        return F.nullif(value, F.lit("null")) if null_text_as_null else value
+
+    return read.select(*kept, *[result(c).alias(c) for c in FIELD_COLUMNS.values()], error.alias(ERROR))
 
 
 def valid_events(parsed: DataFrame, raw: str = "value") -> DataFrame:

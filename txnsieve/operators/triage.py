@@ -15,12 +15,23 @@ from txnsieve.operators.ranking import rank_up_to
 # Fixed value: error text of a record without the header.
 UNKNOWN_ERROR = "Unknown error"
 ERROR_HEADER = "error-message"
+# Header of our own: the attempt number of a replayed record.
+ATTEMPT_HEADER = "retry-attempt"
+
+
+def header_text(headers: Column, name: str) -> Column:
+    """Text of the first header of a name, null when it is missing."""
+    return F.get(F.filter(headers, lambda h: h["key"] == name), F.lit(0))["value"].cast("string")
 
 
 def header_error(headers: Column) -> Column:
     """Text of the error header, or the default when it is missing."""
-    named = F.filter(headers, lambda h: h["key"] == ERROR_HEADER)
-    return F.coalesce(F.get(named, F.lit(0))["value"].cast("string"), F.lit(UNKNOWN_ERROR))
+    return F.coalesce(header_text(headers, ERROR_HEADER), F.lit(UNKNOWN_ERROR))
+
+
+def header_attempt(headers: Column) -> Column:
+    """Attempt number of a replayed record, 0 for a first delivery."""
+    return F.coalesce(header_text(headers, ATTEMPT_HEADER).try_cast("long"), F.lit(0).cast("long"))
 
 
 def dead_letters(records: DataFrame) -> DataFrame:

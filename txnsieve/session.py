@@ -49,13 +49,19 @@ def run_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder made by ``run_folder`` once nothing reads it any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def staged(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder, or to a new table below ``folder``, and read it back.
 
     Cuts the lineage where several branches would recompute the same shuffle or parse. The table
     is columnar, so each branch still reads only its own columns, and it outlives lost executors.
     """
     spark = df.sparkSession
-    path = run_folder(spark, label)
+    path = f"{folder}/{label}-{uuid.uuid4().hex}" if folder else run_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

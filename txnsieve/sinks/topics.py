@@ -6,15 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from txnsieve.operators.triage import ERROR_HEADER, UNKNOWN_ERROR
+from txnsieve.operators.triage import ATTEMPT_HEADER, ERROR_HEADER, UNKNOWN_ERROR
 from txnsieve.sinks.tables import append_batch
 from txnsieve.sources.topics import Topic
 
 
-def error_headers(error: Column) -> Column:
-    """The error header of a dead letter."""
-    text = F.coalesce(error, F.lit(UNKNOWN_ERROR))
-    return F.array(F.struct(F.lit(ERROR_HEADER).alias("key"), F.encode(text, "UTF-8").alias("value")))
+def header(name: str, text: Column) -> Column:
+    """A record's headers with one entry."""
+    return F.array(F.struct(F.lit(name).alias("key"), F.encode(text, "UTF-8").alias("value")))
 
 
 def dead_letter_records(rejects: DataFrame, *carried: str) -> DataFrame:
@@ -22,11 +21,17 @@ def dead_letter_records(rejects: DataFrame, *carried: str) -> DataFrame:
     return rejects.select(
         F.col("transaction_id").alias("key"),
         F.col("original_payload").alias("value"),
-        error_headers(F.col("error_message")).alias("headers"),
+        header(ERROR_HEADER, F.coalesce("error_message", F.lit(UNKNOWN_ERROR))).alias("headers"),
         *carried,
     )
 
 
+def replay_records(replays: DataFrame) -> DataFrame:
+    """Replayed payloads as records that carry their attempt number."""
+    attempt = header(ATTEMPT_HEADER, F.col("attempt").cast("string"))
+    return replays.select("key", "value", attempt.alias("headers"))
+
+
 def write_topic(records: DataFrame, topic: Topic, batch_id: int) -> None:
     """Send the records of one batch. A folder topic replaces a repeated batch; Kafka may repeat."""
     if topic.format == "kafka":

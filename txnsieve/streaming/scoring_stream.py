@@ -12,13 +12,14 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from txnsieve.config import Scoring
-from txnsieve.operators.dedupe import ID, claim_first
+from txnsieve.operators.dedupe import ID, claim_first, claim_replays
 from txnsieve.operators.hard_rules import REASON, with_hard_reason
 from txnsieve.operators.parsing import parse_payloads, rejected_records, valid_events
 from txnsieve.operators.rules import load_rules
+from txnsieve.operators.triage import header_attempt
 from txnsieve.operators.velocity import MS
 from txnsieve.plans.scoring import score_events
-from txnsieve.session import staged
+from txnsieve.session import remove_folder, run_folder, staged
 from txnsieve.sinks.tables import append_batch
 from txnsieve.sinks.topics import dead_letter_records, write_topic
 from txnsieve.sources.tables import date_partitions, read_or_empty
@@ -32,7 +33,8 @@ class ScoringJob:
     """Where a scoring stream reads its rules and keeps its results.
 
     ``rules`` and ``reputation`` are read again for every micro-batch, so a changed rule table takes
-    effect with the next batch.
+    effect with the next batch. ``replays_pass`` lets replayed records be scored although the claim
+    of their id still holds; without it they are skipped as duplicates.
     """
 
     rules: Callable[[], DataFrame]
@@ -42,6 +44,7 @@ class ScoringJob:
     dead_letters: Topic
     scoring: Scoring = field(default_factory=Scoring)
     decided_at: Column | None = None
+    replays_pass: bool = False
 
     def history_columns(self) -> list[str]:
         return list(dict.fromkeys(c for s in self.scoring.signals for c in (s.key, s.member) if c))
@@ -73,12 +76,28 @@ def _earlier(job: ScoringJob, events: DataFrame, bounds: Row, batch_id: int) ->
 
 
 def score_batch(payloads: DataFrame, batch_id: int, job: ScoringJob) -> None:
-    """Score one micro-batch (``value``, ``event_ms``, ``seq``) and write its results.
+    """Score one micro-batch (``value``, ``event_ms``, ``seq``, optional ``attempt``) and write its results.
 
     Every write replaces the partitions of ``batch_id``, and history is read from earlier batches
     only, so a repeated batch gives the same tables.
     """
-    parsed = staged(parse_payloads(payloads), "parsed")
+    spark = payloads.sparkSession
+    folder = run_folder(spark, "scoring-batch")
+    try:
+        _score_batch(payloads, batch_id, job, folder)
+    finally:
+        remove_folder(spark, folder)
+
+
+def _claimed(valid: DataFrame, claims: DataFrame | None, job: ScoringJob, folder: str) -> DataFrame:
+    if not job.replays_pass or "attempt" not in valid.columns:
+        return claim_first(valid.drop("attempt"), job.scoring.claim_ttl_ms, claims=claims, folder=folder)
+    first = claim_first(valid.where("attempt = 0"), job.scoring.claim_ttl_ms, claims=claims, folder=folder)
+    return first.unionByName(claim_replays(valid)).drop("attempt")
+
+
+def _score_batch(payloads: DataFrame, batch_id: int, job: ScoringJob, folder: str) -> None:
+    parsed = staged(parse_payloads(payloads), "parsed", folder)
     valid = valid_events(parsed)
     write_topic(dead_letter_records(rejected_records(parsed)), job.dead_letters, batch_id)
     bounds = valid.agg(F.min(MS).alias("first"), F.max(MS).alias("last")).first()
@@ -86,7 +105,7 @@ def score_batch(payloads: DataFrame, batch_id: int, job: ScoringJob) -> None:
         return
     earlier = _earlier(job, valid, bounds, batch_id)
     claims = None if earlier is None else earlier.select(ID, MS)
-    events = staged(claim_first(valid, job.scoring.claim_ttl_ms, claims=claims), "events")
+    events = staged(_claimed(valid, claims, job, folder), "events", folder)
     decisions = score_events(
         events,
         load_rules(job.rules()),
@@ -119,7 +138,10 @@ def topic_payloads(records: DataFrame) -> DataFrame:
     The hash of the record breaks ties of equal time the same way in every run.
     """
     return records.select(
-        "value", F.unix_millis("timestamp").alias(MS), F.xxhash64("key", "value").alias("seq")
+        "value",
+        F.unix_millis("timestamp").alias(MS),
+        F.xxhash64("key", "value").alias("seq"),
+        header_attempt(F.col("headers")).alias("attempt"),
     )
 
 

@@ -12,9 +12,9 @@ from pyspark.sql.streaming import StreamingQuery
 from txnsieve.config import Triage
 from txnsieve.operators.triage import dead_letters, replays, triage_first
 from txnsieve.schemas import FAILED_EVENTS
-from txnsieve.session import staged
+from txnsieve.session import remove_folder, run_folder, staged
 from txnsieve.sinks.tables import append_batch
-from txnsieve.sinks.topics import write_topic
+from txnsieve.sinks.topics import replay_records, write_topic
 from txnsieve.sources.tables import read_or_empty
 from txnsieve.sources.topics import Topic
 
@@ -31,16 +31,19 @@ class TriageJob:
 
 def triage_batch(records: DataFrame, batch_id: int, job: TriageJob) -> None:
     """Record the new failures of a micro-batch, then replay the transient ones."""
+    spark = records.sparkSession
     schema = T.StructType([*FAILED_EVENTS.fields, T.StructField("batch_id", T.LongType())])
-    recorded = read_or_empty(records.sparkSession, job.failed_events, schema).where(F.col("batch_id") < batch_id)
+    recorded = read_or_empty(spark, job.failed_events, schema).where(F.col("batch_id") < batch_id)
     failures = dead_letters(records).withColumn("created_at", F.col("timestamp"))
     order = ("created_at", "original_payload", "error_message")
-    triaged = staged(
-        triage_first(failures, recorded, job.triage, job.key, order).select(*FAILED_EVENTS.names), "triaged"
-    )
-    append_batch(triaged, job.failed_events, batch_id)
-    sent = replays(triaged).select("key", "value", F.lit(None).cast("array<struct<key:string,value:binary>>").alias("headers"))
-    write_topic(sent, job.scoring_topic, batch_id)
+    routed = triage_first(failures, recorded, job.triage, job.key, order).select(*FAILED_EVENTS.names)
+    folder = run_folder(spark, "triage")
+    try:
+        triaged = staged(routed, "triaged", folder)
+        append_batch(triaged, job.failed_events, batch_id)
+        write_topic(replay_records(replays(triaged)), job.scoring_topic, batch_id)
+    finally:
+        remove_folder(spark, folder)
 
 
 def triage_stream(records: DataFrame, job: TriageJob, checkpoint: str, **trigger: object) -> StreamingQuery:
