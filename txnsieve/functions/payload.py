@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,13 +11,30 @@ from txnsieve.functions.text import trim_control
 from txnsieve.schemas import FIELD_COLUMNS, REQUIRED_FIELDS
 
 
-def payload_pairs(raw: Column) -> Column:
+def payload_parts(raw: Column) -> Column:
+    return F.split(F.coalesce(raw, F.lit("")), r"\|", -1)
+
+
+def in_wire_order(parts: Column) -> Column:
+    """Whether the parts are exactly the required fields in wire order, as producers write them."""
+    named = [F.startswith(F.get(parts, F.lit(i)), F.lit(f"{n}:")) for i, n in enumerate(REQUIRED_FIELDS)]
+    return reduce(lambda a, b: a & b, named, F.size(parts) == len(REQUIRED_FIELDS))
+
+
+def ordered_value(parts: Column, name: str) -> Column:
+    """The value of a field of a payload in wire order; null for an optional field."""
+    if name not in REQUIRED_FIELDS:
+        return F.lit(None).cast("string")
+    part = F.get(parts, F.lit(REQUIRED_FIELDS.index(name)))
+    return F.trim(F.substr(part, F.lit(len(name) + 2)))
+
+
+def payload_pairs(parts: Column) -> Column:
     """Pairs of a payload, last first, so that the first match of a key is its last value.
 
     The key ends at the first colon; parts without a key are left out.
     """
-    parts = F.filter(F.split(F.coalesce(raw, F.lit("")), r"\|", -1), lambda p: F.instr(p, ":") > 1)
-    return F.reverse(parts)
+    return F.reverse(F.filter(parts, lambda p: F.instr(p, ":") > 1))
 
 
 def pair_keys(pairs: Column, odd_space: Column) -> Column:
@@ -40,13 +59,14 @@ def first_missing(names: dict[str, str]) -> Column:
     return F.coalesce(*[F.when(F.col(c).isNull(), F.lit(n)) for n, c in columns])
 
 
-def parse_amount(text: Column) -> Column:
-    """Amount text to double, null when it is no number.
+# The spellings of numbers that are no digits; any other text with an n is no number.
+_WORD_NUMBERS = ("NaN", "+NaN", "-NaN", "Infinity", "+Infinity", "-Infinity")
 
-    ``NaN`` and ``Infinity`` are numbers only in exactly that spelling.
-    """
-    spelled = text.rlike(r"(?i)^[+-]?(inf|infinity|nan)$") & ~text.rlike(r"^[+-]?(Infinity|NaN)$")
-    return F.when(~spelled, text.try_cast("double"))
+
+def parse_amount(text: Column) -> Column:
+    """Amount text to double, null when it is no number."""
+    wordless = ~F.contains(F.lower(text), F.lit("n"))
+    return F.when(wordless | text.isin(*_WORD_NUMBERS), text.try_cast("double"))
 
 
 def amount_error(text: Column) -> Column:

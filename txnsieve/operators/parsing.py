@@ -9,10 +9,13 @@ from txnsieve.functions.payload import (
     amount_error,
     field_value,
     first_missing,
+    in_wire_order,
+    ordered_value,
     pair_keys,
     pair_values,
     parse_amount,
     payload_pairs,
+    payload_parts,
 )
 from txnsieve.functions.text import has_odd_space
 from txnsieve.schemas import FIELD_COLUMNS, OPTIONAL_FIELDS
@@ -28,24 +31,35 @@ def parse_payloads(df: DataFrame, raw: str = "value", null_text_as_null: bool =
     present but empty field passes. A null field travels as the text ``null`` and stays that text,
     unless ``null_text_as_null`` is set.
     """
-    # The generators split each text and look up each field once: filters on the fields stop there
-    # instead of repeating that work for every field they name.
-    split = F.struct(
-        pair_keys(F.col("_pairs"), F.col("_odd")).alias("_keys"),
-        pair_values(F.col("_pairs"), F.col("_odd")).alias("_values"),
-    )
+    # Producers write all fields in one order, which needs no search; any other payload is searched
+    # by key. The generators do each step once per row: filters on the fields stop there instead of
+    # repeating that work for every field they name.
+    kept = [c for c in df.columns if c not in FIELD_COLUMNS.values()]
+    parts, odd, ordered = F.col("_parts"), F.col("_odd"), F.col("_ordered")
+    pairs = F.when(~ordered, payload_pairs(parts))
+    split = F.struct(payload_parts(F.col(raw)).alias("_parts"), F.coalesce(has_odd_space(F.col(raw)), F.lit(False)).alias("_odd"))
+    search = F.struct(pair_keys(pairs, odd).alias("_keys"), pair_values(pairs, odd).alias("_values"))
     fields = F.struct(
-        *[field_value(F.col("_keys"), F.col("_values"), n).alias(c) for n, c in FIELD_COLUMNS.items()]
+        *[
+            F.when(ordered, ordered_value(parts, n))
+            .otherwise(field_value(F.col("_keys"), F.col("_values"), n))
+            .alias(c)
+            for n, c in FIELD_COLUMNS.items()
+        ]
     )
-    kept = [c for c in df.columns if c not in FIELD_COLUMNS.values()]
     read = (
-        df.select(*kept, payload_pairs(F.col(raw)).alias("_pairs"), has_odd_space(F.col(raw)).alias("_odd"))
-        .select(*kept, F.inline(F.array(split)))
+        df.select(*kept, F.inline(F.array(split)))
+        .withColumn("_ordered", ~odd & in_wire_order(parts))
+        .select(*kept, "_parts", "_odd", "_ordered", F.inline(F.array(search)))
         .select(*kept, F.inline(F.array(fields)))
         .withColumnsRenamed({"amount": "_amount_text"})
     )
-    missing = first_missing({"amount": "_amount_text"})
-    amount = parse_amount(F.col("_amount_text"))
+    checks = F.struct(
+        parse_amount(F.col("_amount_text")).alias("amount"),
+        first_missing({"amount": "_amount_text"}).alias("_missing"),
+    )
+    read = read.select("*", F.inline(F.array(checks)))
+    missing, amount = F.col("_missing"), F.col("amount")
     error = F.when(
         missing.isNotNull(),
         F.concat(F.lit("Missing required field '"), missing, F.lit("' in payload: "), F.coalesce(F.col(raw), F.lit(""))),
