@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnsieve.llm import exact_dedup, kd_shards, packing, pii
-from txnsieve.llm.common import documents
+from txnsieve.llm import exact_dedup, kd_shards, packing, pii, quality, token_counts, toxicity, unigram, vptree
+from txnsieve.llm.common import documents, held_out, table
 
 SHARDS = 16
 
@@ -36,11 +36,42 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by a model of the labelled rows outside the held-out fold."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return _scored(quality.score(docs, model), quality.THRESHOLD)
+
+
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every 20th vector."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return vptree.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document by a model of the labelled rows outside the held-out fold."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return _scored(toxicity.score(docs, model), toxicity.THRESHOLD)
+
+
+def _scored(rows: DataFrame, threshold: float) -> DataFrame:
+    predicted = F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted")
+    return rows.select("doc_id", held_out("doc_id").alias("held_out"), "score", predicted)
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group, kept row and digest of every document."""
     return exact_dedup.exact_dedup(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and greedy word pieces of every document."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return token_counts.count_tokens(docs, tokenizer_path("byte_bpe_50k.json")).drop("text")
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document; shards have near-equal bytes."""
     dealt = kd_shards.kd_shards(documents(spark, sf_dir), shards=SHARDS)
@@ -55,11 +86,30 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_unigram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document as count and checksum, and whether decoding gives the text back."""
+    model = tokenizer_path("piece_bpe_32k.model")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    back = unigram.decode(unigram.encode(docs, model), model)
+    return back.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).alias("n_ids"),
+        F.crc32("ids").alias("ids_crc32"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_packing": op2_packing,
+    "op3_quality": op3_quality,
+    "op4_nearest": op4_nearest,
+    "op6_toxicity": op6_toxicity,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_token_counts": op8_token_counts,
     "op9_sharding": op9_sharding,
+    "op10_unigram": op10_unigram,
 }
 
 ORACLES = {

@@ -19,7 +19,7 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _WORD_END = b"\xff"
 
 
-def _unprintable() -> dict[str, int]:
+def printable_bytes() -> dict[str, int]:
     """The printable stand-in of each byte in byte-level vocabularies."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     stand_in = {chr(b): b for b in plain}
@@ -40,7 +40,7 @@ class WordBpe(dict):
         self.whole.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             model = json.load(f)["model"]
-        byte_of, end = _unprintable(), model["end_of_word_suffix"]
+        byte_of, end = printable_bytes(), model["end_of_word_suffix"]
 
         def raw(token: str) -> bytes:
             ended = token.endswith(end)
