@@ -35,7 +35,7 @@ MAX_BINS = 48
 PAIR_BINS = 12
 PAIRS = 8
 ROUNDS = 250
-PAIR_ROUNDS = 60
+PAIR_ROUNDS = 100
 RATE = 0.08
 RIDGE = 2.0
 MIN_LEAF = 5.0
@@ -165,20 +165,32 @@ def _tree(g: np.ndarray, h: np.ndarray, leaves: int = 3) -> np.ndarray:
 
 def _pair_tree(g: np.ndarray, h: np.ndarray) -> tuple[float, np.ndarray]:
     """A tree of two levels over joint bins: one axis first, then the other on each side."""
-    best, values = 0.0, np.zeros(g.shape)
+    best, cut = 0.0, None
+    whole = float(_gain(g.sum(), h.sum()))
     for axis in (0, 1):
-        gg, hh = (g, h) if axis == 0 else (g.T, h.T)
-        _, first = _cut(gg.sum(axis=1), hh.sum(axis=1))
-        first = first or max(1, len(gg) // 2)
-        total, table = -float(_gain(g.sum(), h.sum())), np.zeros(gg.shape)
-        for rows in (slice(0, first), slice(first, None)):
-            sg, sh = gg[rows].sum(axis=0), hh[rows].sum(axis=0)
-            leaf = _tree(sg, sh, 2)
-            table[rows] = leaf
-            for v in np.unique(leaf):
-                total += float(_gain(sg[leaf == v].sum(), sh[leaf == v].sum()))
-        if total > best:
-            best, values = total, table if axis == 0 else table.T
+        up_g, up_h = (np.cumsum(np.cumsum(v, axis=axis), axis=1 - axis) for v in (g, h))
+        if axis:
+            up_g, up_h = up_g.T, up_h.T  # sums of all bins up to (first axis, other axis)
+        sides = []
+        for part_g, part_h in ((up_g, up_h), (up_g[-1] - up_g, up_h[-1] - up_h)):
+            rest_g, rest_h = part_g[:, -1:] - part_g, part_h[:, -1:] - part_h
+            two = np.where(
+                (part_h >= MIN_LEAF) & (rest_h >= MIN_LEAF), _gain(part_g, part_h) + _gain(rest_g, rest_h), -np.inf
+            )
+            sides.append((np.maximum(two.max(axis=1), _gain(part_g[:, -1], part_h[:, -1])), two.argmax(axis=1)))
+        total = np.where((up_h[:, -1] >= MIN_LEAF) & (up_h[-1, -1] - up_h[:, -1] >= MIN_LEAF), sides[0][0] + sides[1][0] - whole, 0.0)
+        at = int(total.argmax())
+        if total[at] > best:
+            best, cut = float(total[at]), (axis, at, int(sides[0][1][at]), int(sides[1][1][at]))
+    values = np.zeros(g.shape)
+    if cut:
+        axis, at, low, high = cut
+        gg, hh, table = (g, h, values) if axis == 0 else (g.T, h.T, values.T)
+        for rows, other in ((slice(0, at + 1), low), (slice(at + 1, None), high)):
+            for columns in (slice(0, other + 1), slice(other + 1, None)):
+                weight = hh[rows, columns].sum()
+                if weight >= MIN_LEAF:
+                    table[rows, columns] = gg[rows, columns].sum() / (weight + RIDGE)
     return best, values
 
 

@@ -14,7 +14,7 @@ Equal vectors are indexed once with their ``k`` + 1 smallest ids, however many r
 Vectors that are null, empty, zero, of another length than most, or that hold null or non-finite
 components take no part, neither do rows without an id. Ties go to the smaller id. Scores are inner
 products of the original vectors in double precision. A repeated id is found once per distinct
-vector. An empty table gives no rows; extra columns are not looked at.
+vector and asks with the smallest of its vectors. An empty table gives no rows; extra columns are not looked at.
 """
 
 from __future__ import annotations
@@ -241,7 +241,7 @@ def nearest(
     part = F.pmod(F.xxhash64(F.col("ids")[0]), F.col("parts"))
     index = index.join(F.broadcast(held), "cell").select("vec", "ids", (F.col("cell") * width + part).alias("shard"))
     asked = queries.select(F.col(id_col).cast("long").alias("id")).distinct()
-    asked = staged(rows.join(asked, "id", "left_semi"), "queries")
+    asked = staged(rows.join(asked, "id", "left_semi").groupBy("id").agg(F.min("vec").alias("vec")), "queries")
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
     block = F.pmod(F.xxhash64("id"), F.lit(blocks))
 
