@@ -170,28 +170,30 @@ def count_kind(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
-def mask_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def mask_pii(docs: DataFrame, text_col: str = "text", length_col: str | None = None) -> DataFrame:
     """``docs`` with every span of the text replaced by its kind in brackets; other columns unchanged.
 
     Overlapping spans become one, named after the span that begins first (the longer one, if two
-    begin together). A text without spans stays as it is, null included.
+    begin together). A text without spans stays as it is, null included. ``length_col`` names a column
+    that gets the new number of characters of changed texts.
     """
-    work = docs.withColumnsRenamed({"_pii_spans": "_pii_spans_kept"}) if "_pii_spans" in docs.columns else docs
-    work = find_pii(work, text_col, "_pii_spans")
-    text = F.col(text_col)
+    spans_col = "_pii_spans"
+    while spans_col in docs.columns:
+        spans_col += "_"
+    work = find_pii(docs, text_col, spans_col)
+    text, spans = F.col(text_col), F.col(spans_col)
     ordered = F.array_sort(
-        F.transform("_pii_spans", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["kind"].alias("kind")))
+        F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["kind"].alias("kind")))
     )
 
     def step(state: Column, span: Column) -> Column:
-        end = -span["back"]
         new = span["start"] >= state["at"]
         gap = F.substr(text, state["at"] + 1, F.greatest(span["start"] - state["at"], F.lit(0)))
         return F.struct(
             F.when(new, F.concat(state["out"], gap, F.lit("["), F.upper(span["kind"]), F.lit("]")))
             .otherwise(state["out"])
             .alias("out"),
-            F.greatest(state["at"], end).alias("at"),
+            F.greatest(state["at"], -span["back"]).alias("at"),
         )
 
     masked = F.aggregate(
@@ -200,5 +202,8 @@ def mask_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
         step,
         lambda s: F.concat(s["out"], F.substr(text, s["at"] + 1)),
     )
-    out = work.withColumn(text_col, F.when(F.size("_pii_spans") > 0, masked).otherwise(text)).drop("_pii_spans")
-    return out.withColumnsRenamed({"_pii_spans_kept": "_pii_spans"})
+    changed = F.size(spans) > 0
+    work = work.withColumn(text_col, F.when(changed, masked).otherwise(text))
+    if length_col in docs.columns:
+        work = work.withColumn(length_col, F.when(changed, F.length(text).cast("long")).otherwise(F.col(length_col)))
+    return work.drop(spans_col)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnsieve.llm import exact_dedup, kd_shards, packing, pii, quality, token_counts, toxicity, unigram, vptree
+from txnsieve.llm import exact_dedup, kd_shards, ngram_join, packing, pii, quality, token_counts, toxicity, unigram, vptree
 from txnsieve.llm.common import documents, held_out, table
 
 SHARDS = 16
@@ -49,6 +49,11 @@ def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near duplicates of every document."""
+    return ngram_join.near_duplicates(documents(spark, sf_dir))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document by a model of the labelled rows outside the held-out fold."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -105,6 +110,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_quality": op3_quality,
     "op4_nearest": op4_nearest,
+    "op5_ngram_join": op5_ngram_join,
     "op6_toxicity": op6_toxicity,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_token_counts": op8_token_counts,
