@@ -2,7 +2,8 @@ from __future__ import annotations
 
 import pytest
 
-from txnsieve.operators.rules import RuleError, list_rules, load_rules, render_rules, rule_errors, rule_hits, rule_sql, with_rules
+from txnsieve.operators.predicates import RuleError, predicate
+from txnsieve.operators.rules import list_rules, load_rules, render_rules, rule_errors, rule_hits, with_rules
 from txnsieve.schemas import FIELD_COLUMNS, RULES
 
 AMOUNT = ("amount > 500", 20, None, None)
@@ -43,7 +44,7 @@ def score(spark, rules, row):
         ([AMOUNT], event(100), 0),
         ([AMOUNT, COUNTRY], event(600, ip="RU"), 35),
         ([AMOUNT, COUNTRY], event(100), 0),
-        ([("this is not valid spel !!!!", 50, None, None)], event(600), 0),
+        ([("amount is ?? large", 50, None, None)], event(600), 0),
         ([], event(600), 0),
         (ALL_GROUP, event(800, ip="RU"), 60),
         (ALL_GROUP, event(100, ip="RU"), 0),
@@ -89,10 +90,55 @@ def test_predicates(spark, text, row, matches):
     assert score(spark, [(text, 1, None, None)], row) == int(matches)
 
 
-@pytest.mark.parametrize("text", ["merchantCategoryCode > 5", "nosuchfield == 1", "(select 1)", "amount ; 1", "T(x)"])
-def test_texts_that_are_no_rules(text):
+@pytest.mark.parametrize(
+    ("text", "row", "matches"),
+    [
+        # Text against number, and NaN, in whatever form
+        ("(merchantCategoryCode) == 5412", event(1), False),
+        ("lower(merchantCategoryCode) == 5412", event(1), False),
+        ("!(merchantCategoryCode == 5412)", event(1), True),
+        ("(amount) > 500", event("nan"), False),
+        ("amount * 2 > 500", event("nan"), False),
+        ("amount == amount", event("nan"), False),
+        ("amount != amount", event("nan"), True),
+        ("-amount < 0", event("nan"), False),
+        ("!(amount > 500)", event("nan"), True),
+        # Binding
+        ("!true == false", event(1), True),
+        ("!(ipCountry == 'US') || amount - 1 - 1 == 8", event(10), True),
+        ("amount + 2 * 3 == 16", event(10), True),
+        ("amount % 4 == 2 and not false", event(10), True),
+        ("- 3 + amount == 7", event(10), True),
+        # Built-ins
+        ("merchantCategoryCode matches '5[0-9]{3}'", event(1), True),
+        ("merchantCategoryCode matches '541'", event(1), False),
+        ("amount between {10, 20}", event(20), True),
+        ("amount between {10, 20}", event("nan"), False),
+        ("ipCountry between {'UA', 'UZ'}", event(1), True),
+        ("ipCountry.startsWith('U') and ipCountry.toLowerCase().contains('s')", event(1), True),
+        ("ipCountry.length() == 2 && !ipCountry.isEmpty()", event(1), True),
+        ("ipCountry.equalsIgnoreCase('us') && 'x' + ipCountry == 'xUS'", event(1), True),
+        ("amount > 5 ? ipCountry == 'US' : false", event(1), False),
+        ("(merchantRiskTier ?: 'none') == 'none'", event(1), True),
+        ("merchantRiskTier.length() > 0", {**event(1), "merchant_risk_tier": None}, False),
+        ("amount / 0 > 1", event(1), False),
+    ],
+)
+def test_typed_predicates(spark, text, row, matches):
+    assert score(spark, [(text, 1, None, None)], row) == int(matches)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "merchantCategoryCode > 5", "(merchantCategoryCode) > 100", "lower(merchantCategoryCode) < 7", "nosuchfield == 1", "(select 1)",
+        "amount ; 1", "T(x)", "!merchantRiskTier == 'high'", "amount", "amount + ipCountry > 1", "ipCountry.getBytes()", "amount > 1 > 2",
+        "length(amount) > 1", "ipCountry.contains()", "ipCountry matches '('", "amount between {1}", "true ? 1 : 'a'", "", "amount >", "(amount > 1",
+    ],
+)
+def test_texts_that_are_no_rules(spark, text):
     with pytest.raises(RuleError):
-        rule_sql(text)
+        predicate(text)
 
 
 def test_broken_rules_are_listed(spark):
@@ -132,9 +178,3 @@ def test_list_order_and_text(spark):
     assert [r.name for r in listed] == ["r2", "r1"]
     assert listed[0].text == "Rule: r2 | Score: 20 | Enabled: true\nExpression: amount > 500\nGroup: none"
     assert listed[1].text.endswith("Group: fraud (ALL)")
-
-
-def test_ansi_setting_is_restored(spark):
-    before = spark.conf.get("spark.sql.ansi.enabled")
-    score(spark, [("1 / 0 > 1", 1, None, None)], event(1))
-    assert spark.conf.get("spark.sql.ansi.enabled") == before

@@ -7,124 +7,17 @@ become literals of the plan, so every event row is scored in place without a joi
 from __future__ import annotations
 
 import hashlib
-import re
-from collections.abc import Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from txnsieve.schemas import FIELD_COLUMNS
+from txnsieve.operators.predicates import RuleError, predicate
 
 HITS = "rule_hits"
 SCORE = "rule_score"
 
-_TOKEN = re.compile(
-    r"""(?P<text>'(?:[^']|'')*'|"(?:[^"]|"")*")
-      | (?P<number>\d+(?:\.\d+)?(?:[eE][+-]?\d+)?)
-      | (?P<name>[A-Za-z_]\w*)
-      | (?P<sign>==|!=|<=|>=|&&|\|\||[<>!()+\-*/%,])
-      | (?P<space>\s+)""",
-    re.VERBOSE,
-)
-# Operator spellings of the rule language and their SQL form.
-_OPERATORS = {
-    "==": "<=>", "eq": "<=>",
-    "!=": "IS DISTINCT FROM", "ne": "IS DISTINCT FROM",
-    "<": "<", "lt": "<", ">": ">", "gt": ">",
-    "<=": "<=", "le": "<=", ">=": ">=", "ge": ">=",
-    "&&": "AND", "and": "AND", "||": "OR", "or": "OR",
-    "!": "NOT", "not": "NOT", "div": "/", "mod": "%",
-}
-_ORDERINGS = {"<", ">", "<=", ">="}
-_ARITHMETIC = {"+", "-", "*", "/", "%"}
-_CONSTANTS = {"true", "false", "null"}
-_FUNCTIONS = {"startswith", "endswith", "contains", "length", "lower", "upper"}
-
-
-class RuleError(ValueError):
-    """Rule text that cannot become a predicate."""
-
-
-def _sql_text(literal: str) -> str:
-    quote = literal[0]
-    body = literal[1:-1].replace(quote * 2, quote)
-    return "'" + body.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def _words(expression: str) -> list[tuple[str, str]]:
-    """``(kind, SQL)`` per word; kind is text, number, operator or other."""
-    words, position = [], 0
-    while position < len(expression):
-        match = _TOKEN.match(expression, position)
-        if match is None:
-            raise RuleError(f"unexpected character {expression[position]!r}")
-        position = match.end()
-        word = match.group()
-        if match.lastgroup == "space":
-            continue
-        if match.lastgroup == "text":
-            words.append(("text", _sql_text(word)))
-        elif match.lastgroup == "number":
-            words.append(("number", word))
-        elif word.lower() in _OPERATORS:
-            words.append(("operator", _OPERATORS[word.lower()]))
-        elif match.lastgroup == "sign":
-            words.append(("other", word))
-        elif word in FIELD_COLUMNS:
-            words.append(("number" if word == "amount" else "text", FIELD_COLUMNS[word]))
-        elif word.lower() in _CONSTANTS or word.lower() in _FUNCTIONS:
-            words.append(("other", word.lower()))
-        else:
-            raise RuleError(f"unknown name {word!r}")
-    return words
-
-
-def rule_sql(expression: str) -> str:
-    """SQL predicate of a rule text. Text inside quotes stays as it is.
-
-    A text compared with a number is never equal and cannot be ordered; a NaN amount is neither
-    above nor below anything.
-    """
-    words = _words(expression)
-    sql, i = [], 0
-    while i < len(words):
-        three = words[i : i + 3]
-        around = {words[i - 1][1] if i else "", words[i + 3][1] if i + 3 < len(words) else ""}
-        kinds = [kind for kind, _ in three]
-        comparable = len(three) == 3 and kinds[1] == "operator" and not around & _ARITHMETIC
-        if comparable and {kinds[0], kinds[2]} <= {"text", "number"} and three[1][1] not in ("AND", "OR"):
-            (left_kind, left), (_, operator), (right_kind, right) = three
-            if left_kind != right_kind:
-                if operator in _ORDERINGS:
-                    raise RuleError(f"cannot order {left} and {right}")
-                sql.append("false" if operator == "<=>" else "true")
-            elif operator in _ORDERINGS and "amount" in (left, right):
-                sql.append(f"({left} {operator} {right} AND NOT isnan(amount))")
-            else:
-                sql.append(f"({left} {operator} {right})")
-            i += 3
-        else:
-            sql.append(words[i][1])
-            i += 1
-    return " ".join(sql)
-
-
-@contextmanager
-def lenient_arithmetic(spark: SparkSession) -> Iterator[None]:
-    """Columns resolved inside give null for a failing division instead of ending the job."""
-    before = spark.conf.get("spark.sql.ansi.enabled")
-    spark.conf.set("spark.sql.ansi.enabled", "false")
-    try:
-        yield
-    finally:
-        spark.conf.set("spark.sql.ansi.enabled", before)
-
-
 @dataclass(frozen=True)
 class Rule:
     id: int
@@ -133,7 +26,7 @@ class Rule:
     score: int
     group_name: str | None
     match_mode: str | None
-    sql: str | None
+    valid: bool
 
 
 @dataclass(frozen=True)
@@ -155,43 +48,17 @@ class RuleSet:
         return groups
 
 
-def _error(sql: str, empty: DataFrame) -> str | None:
-    try:
-        result = empty.select(F.expr(sql)).schema[0].dataType
-    except PySparkException as error:
-        return error.getCondition() or type(error).__name__
-    return None if isinstance(result, T.BooleanType) else f"result is {result.simpleString()}, not boolean"
-
-
-def _check_all(texts: dict[int, str], empty: DataFrame) -> dict[int, str]:
-    """Errors by rule id. All rules are analysed at once, and one by one only if that fails."""
-    try:
-        types = empty.select(*[F.expr(sql) for sql in texts.values()]).schema
-        if all(isinstance(f.dataType, T.BooleanType) for f in types):
-            return {}
-    except PySparkException:
-        pass
-    return {i: error for i, sql in texts.items() if (error := _error(sql, empty))}
-
-
 def load_rules(rules: DataFrame) -> RuleSet:
     """Snapshot of the enabled rules in id order; broken rules are kept with their error."""
-    spark = rules.sparkSession
     rows = rules.where("enabled").orderBy("id").collect()
-    texts, errors = {}, {}
+    errors = {}
     for row in rows:
         try:
-            texts[row["id"]] = rule_sql(row["expression"])
+            predicate(row["expression"] or "")
         except RuleError as error:
             errors[row["id"]] = str(error)
-    columns = ", ".join(
-        f"cast(null as {'double' if c == 'amount' else 'string'}) as {c}" for c in FIELD_COLUMNS.values()
-    )
-    with lenient_arithmetic(spark):
-        errors |= _check_all(texts, spark.sql(f"select {columns}"))
     loaded = [
-        Rule(r["id"], r["name"], r["expression"], r["score"], r["group_name"], r["match_mode"],
-             None if r["id"] in errors else texts[r["id"]])
+        Rule(r["id"], r["name"], r["expression"], r["score"], r["group_name"], r["match_mode"], r["id"] not in errors)
         for r in rows
     ]
     broken = [(r["id"], r["name"], r["expression"], errors[r["id"]]) for r in rows if r["id"] in errors]
@@ -207,7 +74,7 @@ def rule_errors(spark: SparkSession, rule_set: RuleSet) -> DataFrame:
 
 def _matches(rule: Rule) -> Column:
     """A broken rule and a null result count as no match."""
-    return F.lit(False) if rule.sql is None else F.coalesce(F.expr(rule.sql), F.lit(False))
+    return F.coalesce(predicate(rule.expression), F.lit(False)) if rule.valid else F.lit(False)
 
 
 def group_score(members: list[Rule]) -> int:
@@ -243,8 +110,7 @@ def with_rules(rows: DataFrame, rule_set: RuleSet) -> DataFrame:
     if not hits:
         none = F.array().cast("array<struct<name:string,group_name:string,score:bigint>>")
         return rows.withColumn(HITS, none).withColumn(SCORE, F.lit(0).cast("long"))
-    with lenient_arithmetic(rows.sparkSession):
-        fired = rows.withColumn(HITS, F.filter(F.array(*hits), lambda h: h.isNotNull()))
+    fired = rows.withColumn(HITS, F.filter(F.array(*hits), lambda h: h.isNotNull()))
     total = F.aggregate(HITS, F.lit(0).cast("long"), lambda sum_, hit: sum_ + hit["score"])
     return fired.withColumn(SCORE, total)
 
