@@ -7,6 +7,8 @@ import pytest
 from conftest import SF_DIR, plan_text
 
 import __spark_entry__ as contract
+from txnsieve.plans.oracles import ORACLES
+from txnsieve.plans.queries import QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -23,15 +25,16 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.oracle_sql()) == set(contract.queries())
+    assert set(ORACLES) == set(QUERIES)
+    assert set(ORACLES) <= set(contract.oracle_sql()) and set(QUERIES) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, duck, sf_dir, name):
-    df = contract.queries()[name](spark, sf_dir)
+    df = QUERIES[name](spark, sf_dir)
     plan = plan_text(df)
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
-    expected = duck.sql(contract.oracle_sql()[name])
+    expected = duck.sql(ORACLES[name])
     columns = sorted(df.columns)
     assert columns == sorted(expected.columns)
     found = sorted(repr(tuple(r[c] for c in columns)) for r in df.collect())

@@ -11,9 +11,9 @@ from txnsieve.operators.parsing import parse_payloads, rejected_records, valid_e
 from txnsieve.schemas import FIELD_COLUMNS
 
 FIELDS = {
-    "transactionId": "txn_abc123", "userId": "user_001", "cardFingerprint": "fpr_xyz", "amount": "250",
-    "currency": "USD", "merchantId": "mch_001", "merchantCategoryCode": "5412", "merchantRiskTier": "low",
-    "deviceFingerprint": "dev_001", "ipAddress": "192.168.1.1", "ipCountry": "US", "billingCountry": "US",
+    "transactionId": "order-77/a", "userId": "ann", "cardFingerprint": "c0ffee", "amount": "32",
+    "currency": "CHF", "merchantId": "bakery", "merchantCategoryCode": "5462", "merchantRiskTier": "medium",
+    "deviceFingerprint": "tablet9", "ipAddress": "198.51.100.7", "ipCountry": "CH", "billingCountry": "LI",
 }
 
 
@@ -29,7 +29,7 @@ def parse(spark, *texts):
 def test_all_fields_and_optional_defaults(spark):
     row = parse(spark, payload())[0]
     assert row.error_message is None
-    assert row.amount == 250.0
+    assert row.amount == 32.0
     for name, text in FIELDS.items():
         if name != "amount":
             assert row[FIELD_COLUMNS[name]] == text
@@ -79,8 +79,8 @@ def test_bad_amounts_are_rejected(spark):
 def test_trim_duplicates_colons_and_junk(spark):
     raw = "\t" + payload(userId=" a b ") + "\x00|currency:EUR|junk|:x| userAgent : Mozilla:5.0 : x "
     row = parse(spark, raw)[0]
-    assert (row.transaction_id, row.user_id, row.currency) == ("txn_abc123", "a b", "EUR")
-    assert row.billing_country == "US"
+    assert (row.transaction_id, row.user_id, row.currency) == ("order-77/a", "a b", "EUR")
+    assert row.billing_country == "LI"
     assert row.user_agent == "Mozilla:5.0 : x"
 
 
@@ -99,7 +99,7 @@ def test_split_into_valid_and_rejected(spark):
 
 def test_serialize_round_trip_and_null_text(spark):
     columns = [FIELD_COLUMNS[n] for n in FIELDS]
-    values = tuple(250 if n == "amount" else None if n == "ipCountry" else v for n, v in FIELDS.items())
+    values = tuple(32 if n == "amount" else None if n == "ipCountry" else v for n, v in FIELDS.items())
     types = ", ".join(f"{c} {'long' if c == 'amount' else 'string'}" for c in columns)
     text = spark.createDataFrame([values], types).select(serialize_payload()).first()[0]
     assert text == payload(ipCountry="null")

@@ -13,16 +13,12 @@ from txnsieve.sinks.topics import dead_letter_records
 from txnsieve.sources.requests import read_requests
 
 TRANSIENT = [
-    "Could not open connection to database", "Query execution timeout after 30s", "IP reputation service unavailable",
-    "Connection refused at localhost:5432", "Redis command failed: NOAUTH",
-    "Unable to acquire connection from datasource", "could not execute statement",
-    "TIMEOUT waiting for database response", "NullPointerException on connection setup",
+    "ledger lost its connection", "a Timeout, again", "host UNAVAILABLE", "peer refused", "redis gone", "datasource is full",
+    "it could not execute", "nullpointer after the connection broke",
 ]
 POISON = [
-    "NullPointerException: cardFingerprint is null", "NumberFormatException: For input string: 'abc'",
-    "Illegal argument: missing required field 'amount'", "could not deserialize JSON payload",
-    "constraint violation: transactionId already exists", None, "   ", "", "Something completely unexpected happened",
-    "NullPointer in scoring pipeline",
+    "nullpointer in step 9", "numberformat of field seven", "illegal argument in the batch", "could not deserialize row 12",
+    "constraint violation on insert", None, "   ", "", "nobody knows", "plain words",
 ]
 
 
@@ -101,6 +97,28 @@ def test_hot_client_is_cut_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
+@pytest.mark.parametrize("limit", [3, 5000])
+def test_equal_requests_and_missing_clients_count_once_each(spark, limit):
+    rows = [("u", 1_000)] * 4 + [("u", 2_000)] * 2 + [(None, 1_000)] * 5
+    same = spark.createDataFrame([(i, ms, 0) for i, ms in rows], "identifier string, event_ms long, seq long")
+    found = quota.admit(same, Quota(limit=limit, window_s=60))
+    assert found.count() == len(rows)
+    admitted = {r.identifier: r.n for r in found.groupBy("identifier").agg(F.count_if("admitted").alias("n")).collect()}
+    assert admitted == {"u": min(limit, 6), None: min(limit, 5)}
+
+
+def test_large_limits_are_cut_before_the_shuffle_by_client(spark):
+    plan = plan_text(quota.admit(requests(spark, [("u", 1)]), Quota(limit=5000)))
+    assert "_salt" in plan
+
+
+def test_resolved_rows_carry_the_time_of_the_decision(spark):
+    at = datetime(2024, 5, 1)
+    decided = spark.createDataFrame([("b", at)], "transaction_id string, decided_at timestamp")
+    rows = triage.triage_attempts(failures(spark, [("a", "timeout"), ("b", "refused")]), decided).orderBy("id").collect()
+    assert [(r.status, r.resolved_at) for r in rows] == [("RETRYING", None), ("RESOLVED", at)]
+
+
 def test_requests_to_outbox_to_topic(spark, tmp_path):
     body = {
         "userId": "u", "cardFingerprint": "c", "amount": 149.99, "currency": "USD", "merchantId": "m",

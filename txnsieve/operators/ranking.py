@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,18 +18,35 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 
+GROUP_LIMIT = 1000  # Catalyst cuts groups before the shuffle up to this many rows per key
+SALTS = 32
+
+
 def rank_up_to(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int, name: str = "rank"
 ) -> DataFrame:
     """All rows, with their rank within the key where it is at most ``limit`` and null beyond.
 
-    Only the first ``limit`` rows per key and map task are shuffled by key. The ranks return to the
-    rows over the whole, unique sort key, which spreads a hot key evenly. ``keys`` and ``order``
-    must be free of nulls and together unique.
+    Rows of equal keys and order are counted first and take ranks one after the other, so they need
+    not be unique; nulls are keys and times like any other and come first. At most ``limit`` distinct
+    places per key are shuffled by key from each map task, or, beyond what Catalyst cuts by itself,
+    from each of ``SALTS`` parts of the key. The ranks return over the whole sort key, which spreads a
+    hot key.
     """
     columns = [*keys, *order]
+    places = df.groupBy(*columns).agg(F.count("*").alias("_rows"))
+    if limit > GROUP_LIMIT:
+        salted = places.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(SALTS)))
+        within = Window.partitionBy(*keys, "_salt").orderBy(*order)
+        places = salted.withColumn("_place", F.row_number().over(within)).where(F.col("_place") <= limit).drop("_salt", "_place")
     window = Window.partitionBy(*keys).orderBy(*order)
-    ranked = df.select(*columns).withColumn(name, F.row_number().over(window)).where(F.col(name) <= limit)
-    return df.join(ranked.withColumn(name, F.col(name).cast("long")), columns, "left").select(
-        *df.columns, name
-    )
+    first = places.withColumn("_place", F.row_number().over(window)).where(F.col("_place") <= limit)
+    earlier = window.rowsBetween(Window.unboundedPreceding, -1)
+    starts = first.withColumn("_start", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+    starts = starts.where(F.col("_start") < limit).select(*[F.col(c).alias(f"_at_{c}") for c in columns], "_start", "_rows")
+    same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(starts[f"_at_{c}"]) for c in columns])
+    joined = df.join(starts, same, "left").select(*[df[c] for c in df.columns], "_start", "_rows")
+    # Only equal rows share a place; a place of one row needs no further number.
+    equal = Window.partitionBy(*columns).orderBy(F.lit(0))
+    rank = F.col("_start") + F.when(F.col("_rows") == 1, 1).otherwise(F.row_number().over(equal))
+    return joined.withColumn(name, F.when(rank <= limit, rank).cast("long")).select(*df.columns, name)

@@ -90,7 +90,8 @@ def triage_attempts(
 ) -> DataFrame:
     """Record every failure, count attempts per id, and quarantine after the last retry.
 
-    A retried id that has a decision by now is resolved. Only the first ``max_retries`` failures
+    A retried id that has a decision by now is resolved, at the time of the decision (``decided_at``) if
+    that is given. Only the first ``max_retries`` failures
     per id need a number.
     """
     typed = failures.withColumn("failure_type", classify(F.col("error_message"), triage))
@@ -106,14 +107,15 @@ def triage_attempts(
     routed = _routed(all_failures, attempt.isNotNull(), F.coalesce(attempt, used_up), at).drop("_attempt")
     if decisions is None:
         return routed
-    decided = decisions.select("transaction_id").distinct().withColumn("_decided", F.lit(True))
+    when = F.min("decided_at") if "decided_at" in decisions.columns else F.lit(None).cast("timestamp")
+    decided = decisions.groupBy("transaction_id").agg(F.lit(True).alias("_decided"), when.alias("_decided_at"))
+    resolved = (F.col("status") == RETRYING) & F.coalesce("_decided", F.lit(False))
+    resolved_at = F.when(resolved, F.coalesce("_decided_at", at)).otherwise(F.col("resolved_at"))
     return (
         routed.join(decided, "transaction_id", "left")
-        .withColumn(
-            "status",
-            F.when((F.col("status") == RETRYING) & F.col("_decided"), F.lit(RESOLVED)).otherwise(F.col("status")),
-        )
-        .drop("_decided")
+        .withColumn("resolved_at", resolved_at)
+        .withColumn("status", F.when(resolved, F.lit(RESOLVED)).otherwise(F.col("status")))
+        .drop("_decided", "_decided_at")
     )
 
 

@@ -76,23 +76,23 @@ PAYLOAD = (
 # claim has ended.
 DELAYS = {0: (0, 1_000, 90_000_000), 1: (0, 1_000), 2: (0,)}
 
-# Error texts of the classification cases.
+# One error text per word of the classification, some without, and two that hold words of both kinds.
 ERROR_TEXTS = (
-    "Could not open connection to database",
-    "Query execution timeout after 30s",
-    "IP reputation service unavailable",
-    "Connection refused at localhost:5432",
-    "Redis command failed: NOAUTH",
-    "Unable to acquire connection from datasource",
-    "could not execute statement",
-    "NullPointerException: cardFingerprint is null",
-    "NumberFormatException: For input string: abc",
-    "Illegal argument: missing required field amount",
-    "could not deserialize JSON payload",
-    "constraint violation: transactionId already exists",
+    "ledger lost its connection halfway",
+    "Timeout while the scorer waited its turn",
+    "lookup host is UNAVAILABLE, code 503",
+    "the peer refused the handshake",
+    "cache node (redis) went away",
+    "no free slot in the datasource pool",
+    "step 4 could not execute",
+    "nullpointer in step 9",
+    "numberformat of field seven is off",
+    "an illegal argument came with the batch",
+    "schema check could not deserialize row 12",
+    "unique constraint violation on insert",
     "   ",
-    "Something completely unexpected happened",
-    "TIMEOUT waiting for database response",
+    "nobody knows what this is",
+    "nullpointer after the connection was reset",
 )
 # Five failures in a row share an id, so retries run out; some have no id.
 FAILURE = {
@@ -128,20 +128,35 @@ SCALED = Scoring(hard_rules=HARD_RULES, signals=scaled_signals(240, 1, 24))
 QUOTA = Quota(limit=3, window_s=21_600)
 
 RULE_ROWS = [
-    (1, "high_amount", "amount > 500", 20, True, None, None),
-    (2, "high_risk_merchant", "merchantRiskTier == 'high'", 25, True, None, None),
-    (3, "gambling_mcc", "merchantCategoryCode == '7995'", 30, True, None, None),
-    (4, "country_mismatch", "ipCountry != billingCountry", 15, True, None, None),
-    (5, "prepaid_high_amount", "amount > 300 and merchantRiskTier == 'high'", 35, True, None, None),
-    (6, "fraud_amount", "amount > 500", 0, True, "coordinated_fraud", "ALL"),
-    (7, "fraud_country", "ipCountry != billingCountry", 0, True, "coordinated_fraud", "ALL"),
-    (8, "fraud_score", "true", 60, True, "coordinated_fraud", "ALL"),
-    (9, "category_gambling", "merchantCategoryCode == '7995'", 0, True, "high_risk_category", "ANY"),
-    (10, "category_pharmacy", "merchantCategoryCode == '5912'", 0, True, "high_risk_category", "ANY"),
-    (11, "category_score", "true", 25, True, "high_risk_category", "ANY"),
-    (12, "broken", "this is not valid spel !!!!", 50, True, None, None),
+    (1, "big_ticket", "amount > 420", 20, True, None, None),
+    (2, "risky_shop", "merchantRiskTier == 'high'", 25, True, None, None),
+    (3, "betting_shop", "merchantCategoryCode matches '799[0-9]'", 30, True, None, None),
+    (4, "abroad", "!(ipCountry == billingCountry)", 15, True, None, None),
+    (5, "big_and_risky", "amount between {250, 1e9} and merchantRiskTier.startsWith('hi')", 35, True, None, None),
+    (6, "ring_amount", "(amount) gt 420", 0, True, "ring", "ALL"),
+    (7, "ring_abroad", "ipCountry != billingCountry", 0, True, "ring", "ALL"),
+    (8, "ring_score", "true", 60, True, "ring", "ALL"),
+    (9, "watched_betting", "merchantCategoryCode == '7995'", 0, True, "watched", "ANY"),
+    (10, "watched_drugs", "merchantCategoryCode == '5912'", 0, True, "watched", "ANY"),
+    (11, "watched_score", "true", 25, True, "watched", "ANY"),
+    (12, "broken", "amount is ?? large", 50, True, None, None),
     (13, "switched_off", "true", 99, False, None, None),
 ]
+# Rules that only a reader that knows the kinds gets right; the names ending in _error cannot be rules.
+PREDICATE_ROWS = [
+    (1, "text_number_error", "merchantCategoryCode > 100", 1, True, None, None),
+    (2, "bracket_error", "(merchantCategoryCode) > 100", 1, True, None, None),
+    (3, "not_text_error", "!merchantRiskTier == 'high'", 1, True, None, None),
+    (4, "unknown_error", "merchant.owner == 'x'", 1, True, None, None),
+    (5, "text_number_equal", "lower(merchantCategoryCode) == 7995", 1, True, None, None),
+    (6, "bracket_nan", "(amount) > 420", 1, True, None, None),
+    (7, "product_nan", "amount * 2 > 840", 1, True, None, None),
+    (8, "same_nan", "amount == amount", 1, True, None, None),
+    (9, "not_above", "!(amount > 420)", 1, True, None, None),
+    (10, "binding", "!(merchantRiskTier == 'high') && amount + 10 * 2 < 100 || ipCountry == 'RU'", 1, True, None, None),
+    (11, "choice", "merchantRiskTier == 'high' ? amount > 100 : amount > 500", 1, True, None, None),
+    (12, "pattern", "merchantCategoryCode matches '5[0-9]+' and not ipCountry.contains('U')", 1, True, None, None),
+]
 REPUTATION_ROWS = [
     ("10.", "MALICIOUS", 40, "simulated", False),
     ("172.", "SUSPICIOUS", 20, "simulated", False),
@@ -159,6 +174,10 @@ def rules_table(spark: SparkSession) -> DataFrame:
     return _small_table(spark, RULE_ROWS, RULES)
 
 
+def predicates_table(spark: SparkSession) -> DataFrame:
+    return _small_table(spark, PREDICATE_ROWS, RULES)
+
+
 def reputation_table(spark: SparkSession) -> DataFrame:
     return _small_table(spark, REPUTATION_ROWS, REPUTATION)
 

@@ -52,12 +52,12 @@ def _counts(signals: tuple) -> str:
 
 BEHAVIOUR = " + ".join(_tier(s.name, s.tiers) for s in fixtures.SCALED.signals)
 UNGROUPED = (
-    "(case when amount > 500 then 20 else 0 end + case when merchant_risk_tier = 'high' then 25 else 0 end "
-    "+ case when merchant_category_code = '7995' then 30 else 0 end "
+    "(case when amount > 420 then 20 else 0 end + case when merchant_risk_tier = 'high' then 25 else 0 end "
+    "+ case when regexp_full_match(merchant_category_code, '799[0-9]') then 30 else 0 end "
     "+ case when ip_country <> billing_country then 15 else 0 end "
-    "+ case when amount > 300 and merchant_risk_tier = 'high' then 35 else 0 end)"
+    "+ case when amount >= 250 and merchant_risk_tier like 'hi%' then 35 else 0 end)"
 )
-ALL_GROUP = "(case when amount > 500 and ip_country <> billing_country then 60 else 0 end)"
+ALL_GROUP = "(case when amount > 420 and ip_country <> billing_country then 60 else 0 end)"
 ANY_GROUP = "(case when merchant_category_code in ('7995', '5912') then 25 else 0 end)"
 RULES = f"({UNGROUPED} + {ALL_GROUP} + {ANY_GROUP})"
 ENRICHMENT = "(case when ip_address like '10.%' then 40 when ip_address like '172.%' then 20 else 0 end)"
@@ -255,16 +255,16 @@ def _rules(expression: str) -> str:
 
 
 _HITS = """
-  select transaction_id, 'high_amount' as name, cast(null as varchar) as group_name, cast(20 as bigint) as score
-    from tx where amount > 500
-  union all select transaction_id, 'high_risk_merchant', null, 25 from tx where merchant_risk_tier = 'high'
-  union all select transaction_id, 'gambling_mcc', null, 30 from tx where merchant_category_code = '7995'
-  union all select transaction_id, 'country_mismatch', null, 15 from tx where ip_country <> billing_country
-  union all select transaction_id, 'prepaid_high_amount', null, 35 from tx
-    where amount > 300 and merchant_risk_tier = 'high'
-  union all select transaction_id, 'coordinated_fraud', 'coordinated_fraud', 60 from tx
-    where amount > 500 and ip_country <> billing_country
-  union all select transaction_id, 'high_risk_category', 'high_risk_category', 25 from tx
+  select transaction_id, 'big_ticket' as name, cast(null as varchar) as group_name, cast(20 as bigint) as score
+    from tx where amount > 420
+  union all select transaction_id, 'risky_shop', null, 25 from tx where merchant_risk_tier = 'high'
+  union all select transaction_id, 'betting_shop', null, 30 from tx where regexp_full_match(merchant_category_code, '799[0-9]')
+  union all select transaction_id, 'abroad', null, 15 from tx where ip_country <> billing_country
+  union all select transaction_id, 'big_and_risky', null, 35 from tx
+    where amount >= 250 and merchant_risk_tier like 'hi%'
+  union all select transaction_id, 'ring', 'ring', 60 from tx
+    where amount > 420 and ip_country <> billing_country
+  union all select transaction_id, 'watched', 'watched', 25 from tx
     where merchant_category_code in ('7995', '5912')"""
 
 
@@ -295,7 +295,25 @@ _REPUTATION = (
     "as enrichment_source"
 )
 
+_NUMBER = "seq % 17 <> 0"  # the amount of other rows is no number
+_PREDICATES = {
+    "bracket_nan": f"amount > 420 and {_NUMBER}",
+    "product_nan": f"amount * 2 > 840 and {_NUMBER}",
+    "same_nan": _NUMBER,
+    "not_above": f"not (amount > 420 and {_NUMBER})",
+    "binding": f"merchant_risk_tier <> 'high' and amount + 20 < 100 and {_NUMBER} or ip_country = 'RU'",
+    "choice": f"{_NUMBER} and case when merchant_risk_tier = 'high' then amount > 100 else amount > 500 end",
+    "pattern": "regexp_full_match(merchant_category_code, '5[0-9]+') and ip_country not like '%U%'",
+}
+
 _SELECTS = {
+    "rule_predicates": " union all ".join(
+        f"select transaction_id, '{name}' as name from tx where {text}" for name, text in _PREDICATES.items()
+    ),
+    "rule_errors": f"""
+      select * from (values {", ".join(
+          f"({i}, '{n}', '{x.replace(chr(39), chr(39) * 2)}')" for i, n, x, *_ in fixtures.PREDICATE_ROWS if n.endswith("_error")
+      )}) r(id, name, expression), (select count(*) as unchecked from tx)""",
     "parse_payload": "select * from valid",
     "reject_missing_field": "select * from rejected",
     "dead_letter_header": "select transaction_id, original_payload, error_message from rejected",
@@ -385,6 +403,13 @@ _SELECTS = {
     "audit_tail": f"select {_VIEW} from decisions_true order by decided_at desc, transaction_id desc limit 40",
     "quota_admission": f"""
       select identifier, bucket, seq, number <= {fixtures.QUOTA.limit} as admitted from admission""",
+    "quota_large_limit": """
+      select identifier, bucket, event_ms, count(*) as requests, count(*) filter (rank <= 1500) as admitted
+      from (select *, row_number() over (partition by identifier, bucket order by event_ms) as rank
+            from (select case when user_id % 5 > 0 then 'hot' end as identifier,
+                    epoch_ms(ts) // 3600000 * 3600000 as event_ms,
+                    epoch_ms(ts) // 3600000 * 3600000 // 1000 // 864000 as bucket from events))
+      group by identifier, bucket, event_ms""",
     "quota_headers": f"""
       select seq, cast({fixtures.QUOTA.limit} as bigint) as rate_limit,
         greatest(0, {fixtures.QUOTA.limit} - number) as remaining,
@@ -422,10 +447,11 @@ _SELECTS = {
              when f.transaction_id is not null then 'RESOLVED' else 'RETRYING' end as status,
         case when failure_type = 'POISON_PILL' then 0 else least(attempt, 3) end as retry_count,
         case when failure_type = 'TRANSIENT' and attempt <= 3 then created_at end as last_retried_at,
-        case when failure_type = 'POISON_PILL' or attempt > 3 then created_at end as resolved_at
+        case when failure_type = 'POISON_PILL' or attempt > 3 then created_at
+             when f.transaction_id is not null then make_timestamp(f.event_ms * 1000) end as resolved_at
       from (select *, row_number() over (partition by transaction_id, failure_type order by event_ms, seq) as attempt
             from typed) t
-      left join (select transaction_id from flagged where hard_reason is not null) f
+      left join (select transaction_id, event_ms from flagged where hard_reason is not null) f
         on f.transaction_id = t.transaction_id""",
     "dlq_replay": """
       select transaction_id as key, original_payload as value, retry_count as attempt

@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnsieve.config import DEVICE_1M, USER_5M, HardRules, Scoring
+from txnsieve.config import DEVICE_1M, USER_5M, HardRules, Quota, Scoring
 from txnsieve.operators import (
     analyst,
     decisions,
@@ -226,6 +226,23 @@ def rule_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.rule_hits(rules.with_rules(fixtures.transactions(spark, sf_dir), _rule_set(spark)))
 
 
+@query
+def rule_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hits of rules whose kinds matter, over amounts of which some are no number."""
+    events = fixtures.transactions(spark, sf_dir)
+    odd = events.withColumn("amount", F.when(F.col("seq") % 17 == 0, float("nan")).otherwise(F.col("amount")))
+    return rules.rule_hits(rules.with_rules(odd, rules.load_rules(fixtures.predicates_table(spark)))).select("transaction_id", "name")
+
+
+@query
+def rule_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules that cannot be read, with the number of transactions that went unchecked by them."""
+    errors = rules.load_rules(fixtures.predicates_table(spark)).errors
+    rows = [F.struct(F.lit(i).alias("id"), F.lit(n).alias("name"), F.lit(x).alias("expression")) for i, n, x, _ in errors]
+    counted = fixtures.transactions(spark, sf_dir).agg(F.count("*").alias("unchecked"))
+    return counted.select(F.inline(F.array(*rows)), "unchecked")
+
+
 @query
 def list_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All rules, rendered, with the number of transactions their rule or group fired for."""
@@ -383,6 +400,20 @@ def quota_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def quota_large_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A limit above what Catalyst cuts by itself, over requests that repeat and lack a client."""
+    each = read_table(spark, f"{sf_dir}/events.parquet").select(
+        F.when(F.col("user_id") % 5 > 0, F.lit("hot")).alias("identifier"),
+        (F.floor(F.unix_millis(F.col("ts").cast("timestamp")) / 3_600_000) * 3_600_000).alias("event_ms"),
+        F.lit(0).alias("seq"),
+    )
+    admitted = quota.admit(each, Quota(limit=1500, window_s=864_000))
+    return admitted.groupBy("identifier", "bucket", "event_ms").agg(
+        F.count("*").alias("requests"), F.count_if("admitted").alias("admitted")
+    )
+
+
 @query
 def quota_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quota.admit(_client_requests(spark, sf_dir), fixtures.QUOTA).select(
@@ -456,7 +487,7 @@ def dlq_route_unknown_by_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def dlq_retry_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Attempts counted per id; an id with a decision is resolved."""
-    decided = hard_rules.hits(_flagged(spark, sf_dir)).select("transaction_id")
+    decided = hard_rules.hits(_flagged(spark, sf_dir)).select("transaction_id", _at().alias("decided_at"))
     return triage.triage_attempts(fixtures.failures(spark, sf_dir), decided).select(*_TRIAGED)
 
 
