@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from txnsieve.config import Quota
+from txnsieve.operators.parsing import parse_payloads, valid_events
 from txnsieve.operators.rules import load_rules
 from txnsieve.plans import fixtures
 from txnsieve.plans.scoring import score_payloads
@@ -32,7 +33,7 @@ def job(spark, folder, **changes):
 
 
 def rows(df):
-    return sorted(map(str, df.select(*sorted(c for c in df.columns if c != "batch_id")).collect()))
+    return sorted(map(str, df.select(*sorted(c for c in df.columns if c not in ("batch_id", "run_id"))).collect()))
 
 
 @pytest.fixture(scope="module")
@@ -80,6 +81,31 @@ def test_late_row_is_scored_and_changes_no_earlier_decision(spark, payloads, tmp
     assert after.where("batch_id = 1").count() == 1
 
 
+def test_a_late_repeat_across_midnight_is_a_duplicate(spark, payloads, tmp_path):
+    scoring = job(spark, tmp_path)
+    one = payloads.where(F.col("value").startswith("transactionId") & F.col("value").contains("|amount:1")).limit(1)
+    midnight = 1_704_585_600_000
+    score_batch(one.withColumn("event_ms", F.lit(midnight + 60_000)), 0, scoring)
+    score_batch(one.withColumn("event_ms", F.lit(midnight - 60_000)), 1, scoring)
+    assert spark.read.parquet(scoring.decisions).count() == 1
+
+
+def test_a_new_checkpoint_adds_to_the_tables(spark, payloads, tmp_path):
+    """And still knows the claims of the run before."""
+    scoring = job(spark, tmp_path)
+    some = payloads.where(F.col("value").startswith("transactionId") & F.col("value").contains("|amount:")).where("seq % 3 = 0")
+    low = some.agg(F.min("seq")).first()[0]
+    first, second = some.where(F.col("seq") == low), some.where(F.col("seq") <= low + 300)
+    for n, rows_in in enumerate((first, second)):
+        rows_in.write.parquet(f"{tmp_path}/in{n}")
+        source = spark.readStream.schema(rows_in.schema).parquet(f"{tmp_path}/in{n}")
+        score_stream(source, scoring, f"{tmp_path}/checkpoint{n}", availableNow=True).awaitTermination()
+    stored = spark.read.parquet(scoring.decisions)
+    assert stored.select("run_id").distinct().count() == 2
+    ids = valid_events(parse_payloads(second)).select("transaction_id").distinct().count()
+    assert stored.count() == stored.select("transaction_id").distinct().count() == ids
+
+
 def test_rules_are_read_again_for_each_batch(spark, payloads, tmp_path):
     current = [fixtures.rules_table(spark).where("id = 1")]
     scoring = job(spark, tmp_path, rules=lambda: current[0])

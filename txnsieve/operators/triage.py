@@ -87,17 +87,26 @@ def triage_attempts(
     triage: Triage = Triage(),
     order: Sequence[str] = ("event_ms", "seq"),
     at: str = "created_at",
+    recorded: DataFrame | None = None,
 ) -> DataFrame:
     """Record every failure, count attempts per id, and quarantine after the last retry.
 
     A retried id that has a decision by now is resolved, at the time of the decision (``decided_at``) if
-    that is given. Only the first ``max_retries`` failures
-    per id need a number.
+    that is given. ``recorded`` holds failures of earlier batches, whose attempts count on. Only the
+    first ``max_retries`` failures per id need a number.
     """
     typed = failures.withColumn("failure_type", classify(F.col("error_message"), triage))
     ranked = rank_up_to(
         typed.where(F.col("failure_type") == TRANSIENT), ["transaction_id"], order, triage.max_retries, "_attempt"
     )
+    if recorded is not None:
+        asked = ranked.select("transaction_id").distinct()
+        before = recorded.where(F.col("failure_type") == TRANSIENT).join(asked, "transaction_id", "left_semi")
+        before = before.groupBy("transaction_id").agg(F.count("*").alias("_before"))
+        counted = F.coalesce("_before", F.lit(0)) + F.col("_attempt")
+        ranked = ranked.join(before, "transaction_id", "left").withColumn(
+            "_attempt", F.when(counted <= triage.max_retries, counted)
+        ).drop("_before")
     poison = typed.where(F.col("failure_type") == POISON_PILL).withColumn(
         "_attempt", F.lit(None).cast("long")
     )

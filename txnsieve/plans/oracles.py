@@ -324,6 +324,14 @@ _SELECTS = {
         merchant_category_code, merchant_risk_tier, device_fingerprint, ip_address, ip_country,
         billing_country, cast(null as varchar) as user_agent, 'PENDING' as status, {AT} as created_at
       from tx""",
+    "reject_requests": """
+      select seq, case when seq % 31 = 3 or seq % 37 = 3 then 'malformed body'
+        when seq % 43 = 3 then 'wrong type' else 'missing currency' end as reject_reason
+      from tx where seq % 31 = 3 or seq % 37 = 3 or seq % 43 = 3 or seq % 41 = 3""",
+    "append_requests": f"""
+      select concat('txn_', substr(sha256(cast(seq as varchar)), 1, 32)) as transaction_id, user_id,
+        cast(trunc(amount) as bigint) as amount, currency, 'PENDING' as status, {AT} as created_at
+      from tx where not (seq % 31 = 3 or seq % 37 = 3 or seq % 43 = 3 or seq % 41 = 3)""",
     "hard_rule_reasons": "select transaction_id, hard_reason from flagged",
     "hard_rule_survivors": "select * from live",
     "blocklist_join": "select transaction_id, card_fingerprint, "
@@ -466,6 +474,12 @@ _SELECTS = {
           '   Error: ', coalesce(error_message, 'none'), chr(10),
           '   Created At: ', rtrim(cast(created_at as varchar), '0')) as text
       from routed order by created_at desc, id desc limit 20""",
+    "stream_dlq_attempts": """
+      select transaction_id, original_payload, failure_type,
+        case when failure_type = 'TRANSIENT' and attempt <= 3 then 'RETRYING' else 'QUARANTINED' end as status,
+        case when failure_type = 'POISON_PILL' then 0 else least(attempt, 3) end as retry_count
+      from (select *, row_number() over (
+              partition by transaction_id, failure_type order by event_ms, seq) as attempt from typed)""",
     "stream_dlq": """
       select transaction_id, original_payload, failure_type, status, retry_count from routed""",
     "stream_replays": """

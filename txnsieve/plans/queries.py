@@ -26,8 +26,9 @@ from txnsieve.plans import fixtures
 from txnsieve.plans.scoring import score_events, score_payloads, score_survivors
 from txnsieve.schemas import FIELD_COLUMNS, REQUEST
 from txnsieve.session import SESSION_CONF, run_folder, staged
+from txnsieve.sinks.tables import append_batch
 from txnsieve.sinks.topics import dead_letter_records
-from txnsieve.sources.requests import parse_requests
+from txnsieve.sources.requests import good_requests, parse_requests, rejected_requests
 from txnsieve.sources.tables import read_table
 from txnsieve.sources.topics import Topic
 from txnsieve.streaming.scoring_stream import ScoringJob, score_stream
@@ -103,16 +104,48 @@ def serialize_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outbox.outbox_records(fixtures.stored_transactions(spark, sf_dir))
 
 
+def _request_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = fixtures.transactions(spark, sf_dir)
+    fields = [F.col(c).alias(f) for f, c in FIELD_COLUMNS.items() if f in REQUEST.names and c in stored.columns]
+    return stored.select("seq", _at().alias("received_at"), F.to_json(F.struct(*fields)).alias("body"))
+
+
 @query
 def store_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON request bodies to rows of the transactions table."""
-    stored = fixtures.transactions(spark, sf_dir)
-    fields = [F.col(c).alias(f) for f, c in FIELD_COLUMNS.items() if f in REQUEST.names and c in stored.columns]
-    body = F.to_json(F.struct(*fields))
-    requests = parse_requests(stored.select("seq", _at().alias("received_at"), body.alias("body")))
+    requests = good_requests(parse_requests(_request_bodies(spark, sf_dir)))
     return outbox.store_requests(requests, outbox.transaction_id(["seq"]), F.col("received_at"))
 
 
+def _broken_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seq, body = F.col("seq"), F.col("body")
+    broken = (
+        F.when(seq % 31 == 3, F.lit("userId=7&amount=1"))
+        .when(seq % 37 == 3, F.substring(body, 1, 40))
+        .when(seq % 43 == 3, F.regexp_replace(body, '"amount":[^,]*', '"amount":"plenty"'))
+        .when(seq % 41 == 3, F.regexp_replace(body, '"currency":"[^"]*",', ""))
+        .otherwise(body)
+    )
+    return _request_bodies(spark, sf_dir).withColumn("body", broken)
+
+
+@query
+def reject_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bodies that may not be stored, with the reason."""
+    return rejected_requests(parse_requests(_broken_bodies(spark, sf_dir))).select("seq", "reject_reason")
+
+
+@query
+def append_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good bodies of two batches appended to the transactions table, one batch repeated, and read back."""
+    path = run_folder(spark, "transactions")
+    good = good_requests(parse_requests(_broken_bodies(spark, sf_dir)))
+    for batch_id, half in ((0, 0), (1, 1), (1, 1)):
+        part = good.where(F.col("seq") % 2 == half)
+        append_batch(outbox.store_requests(part, outbox.transaction_id(["seq"]), F.col("received_at")), path, batch_id)
+    return spark.read.parquet(path).select("transaction_id", "user_id", "amount", "currency", "status", "created_at")
+
+
 # Hard rules
 
 
@@ -511,14 +544,21 @@ def dlq_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Streams
 
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+def _in_parts(rows: DataFrame, folder: str, time: str, again: DataFrame | None = None):
+    """Writes rows in three parts by time, then the late rows of ``again``; yields after each part."""
+    rows = staged(rows, "stream-input")
+    cuts = rows.stat.approxQuantile(time, [1 / 3, 2 / 3], 0.01) if rows.limit(1).count() else [0, 0]
+    ms = F.col(time)
+    for part in (rows.where(ms <= cuts[0]), rows.where((ms > cuts[0]) & (ms <= cuts[1])), rows.where(ms > cuts[1])):
+        part.write.mode("append").parquet(folder)
+        yield rows.schema
+    if again is not None:
+        again.write.mode("append").parquet(folder)
+        yield rows.schema
 
 
-@query
-def stream_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The payload stream scored to its end; the same decisions as the batch run."""
+def _scored_stream(spark: SparkSession, sf_dir: str) -> ScoringJob:
+    """Payloads scored in four runs of one stream; the last brings late repeats from before midnight."""
     folder = run_folder(spark, "scoring")
     job = ScoringJob(
         rules=lambda: fixtures.rules_table(spark),
@@ -529,32 +569,49 @@ def stream_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
         scoring=fixtures.SCALED,
         decided_at=_at(),
     )
-    stream = score_stream(
-        fixtures.payloads_from(_event_stream(spark, sf_dir)), job, f"{folder}/checkpoint", availableNow=True
-    )
-    stream.awaitTermination()
-    return spark.read.parquet(job.decisions).drop("batch_id", "rules_version")
+    payloads = fixtures.payloads(spark, sf_dir)
+    late = payloads.where("seq % 30 = 0 AND value LIKE 'transactionId:%' AND value LIKE '%|amount:%'")
+    late = late.where("value NOT LIKE '%amount:abc%' AND value NOT LIKE '%amount:|%'")
+    late = late.withColumn("event_ms", F.col("event_ms") - F.lit(6 * 3_600_000))
+    for schema in _in_parts(payloads, f"{folder}/in", "event_ms", late):
+        source = spark.readStream.schema(schema).parquet(f"{folder}/in")
+        score_stream(source, job, f"{folder}/checkpoint", availableNow=True).awaitTermination()
+    return job
+
+
+@query
+def stream_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The payload stream scored to its end; late repeats change nothing."""
+    job = _scored_stream(spark, sf_dir)
+    return spark.read.parquet(job.decisions).drop("run_id", "batch_id", "rules_version")
 
 
-def _triage_stream(spark: SparkSession, sf_dir: str) -> TriageJob:
+def _triage_stream(spark: SparkSession, sf_dir: str, attempts: bool = False) -> TriageJob:
     folder = run_folder(spark, "triage")
-    job = TriageJob(f"{folder}/failed_events", Topic(f"{folder}/replays", "parquet"))
-    failures = fixtures.failures_from(_event_stream(spark, sf_dir)).withColumn(
-        "timestamp", F.col("created_at").cast("timestamp")
-    )
-    records = dead_letter_records(failures, "timestamp")
-    triage_stream(records, job, f"{folder}/checkpoint", availableNow=True).awaitTermination()
+    job = TriageJob(f"{folder}/failed_events", Topic(f"{folder}/replays", "parquet"), attempts=attempts)
+    failures = fixtures.failures(spark, sf_dir).withColumn("timestamp", F.col("created_at").cast("timestamp"))
+    for schema in _in_parts(dead_letter_records(failures, "timestamp", "event_ms"), f"{folder}/in", "event_ms"):
+        source = spark.readStream.schema(schema).parquet(f"{folder}/in").drop("event_ms")
+        triage_stream(source, job, f"{folder}/checkpoint", availableNow=True).awaitTermination()
     return job
 
 
 @query
 def stream_dlq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Failures as a dead-letter stream, recorded and routed to its end."""
+    """Failures as a dead-letter stream of several batches, recorded and routed to its end."""
     return spark.read.parquet(_triage_stream(spark, sf_dir).failed_events).select(
         "transaction_id", "original_payload", "failure_type", "status", "retry_count"
     )
 
 
+@query
+def stream_dlq_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every failure counted over several batches; the last retry leads to quarantine."""
+    return spark.read.parquet(_triage_stream(spark, sf_dir, attempts=True).failed_events).select(
+        "transaction_id", "original_payload", "failure_type", "status", "retry_count"
+    )
+
+
 @query
 def stream_replays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the dead-letter stream sends back to the scoring topic."""

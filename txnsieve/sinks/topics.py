@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from txnsieve.operators.triage import ATTEMPT_HEADER, ERROR_HEADER, UNKNOWN_ERROR
-from txnsieve.sinks.tables import append_batch
+from txnsieve.sinks.tables import NO_RUN, append_batch, run_id
 from txnsieve.sources.topics import Topic
 
 
@@ -32,18 +32,19 @@ def replay_records(replays: DataFrame) -> DataFrame:
     return replays.select("key", "value", attempt.alias("headers"))
 
 
-def write_topic(records: DataFrame, topic: Topic, batch_id: int) -> None:
+def write_topic(records: DataFrame, topic: Topic, batch_id: int, run: str = NO_RUN) -> None:
     """Send the records of one batch. A folder topic replaces a repeated batch; Kafka may repeat."""
     if topic.format == "kafka":
         records.write.format("kafka").option("topic", topic.location).option(
             "includeHeaders", "true"
         ).options(**topic.options).save()
     else:
-        append_batch(records.withColumn("timestamp", F.current_timestamp()), topic.location, batch_id)
+        append_batch(records.withColumn("timestamp", F.current_timestamp()), topic.location, batch_id, run=run)
 
 
 def stream_to_topic(records: DataFrame, topic: Topic, checkpoint: str, **trigger: object) -> StreamingQuery:
     writer = records.writeStream.option("checkpointLocation", checkpoint).trigger(**trigger)
     if topic.format == "kafka":
         return writer.format("kafka").option("topic", topic.location).options(**topic.options).start()
-    return writer.foreachBatch(lambda batch, batch_id: write_topic(batch, topic, batch_id)).start()
+    run = run_id(records.sparkSession, checkpoint)
+    return writer.foreachBatch(lambda batch, batch_id: write_topic(batch, topic, batch_id, run)).start()

@@ -20,7 +20,7 @@ from txnsieve.operators.triage import header_attempt
 from txnsieve.operators.velocity import MS
 from txnsieve.plans.scoring import score_events
 from txnsieve.session import remove_folder, run_folder, staged
-from txnsieve.sinks.tables import append_batch
+from txnsieve.sinks.tables import NO_RUN, append_batch, of_earlier_batches, run_id
 from txnsieve.sinks.topics import dead_letter_records, write_topic
 from txnsieve.sources.tables import date_partitions, read_or_empty
 from txnsieve.sources.topics import Topic
@@ -53,7 +53,8 @@ class ScoringJob:
         texts = [T.StructField(c, T.StringType()) for c in (ID, *self.history_columns())]
         return T.StructType(
             [*texts, T.StructField(MS, T.LongType()), T.StructField("survived", T.BooleanType()),
-             T.StructField(DATE, T.StringType()), T.StructField("batch_id", T.LongType())]
+             T.StructField(DATE, T.StringType()), T.StructField("run_id", T.StringType()),
+             T.StructField("batch_id", T.LongType())]
         )
 
 
@@ -61,30 +62,31 @@ def _day(ms: int) -> datetime:
     return datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(milliseconds=ms)
 
 
-def _earlier(job: ScoringJob, events: DataFrame, bounds: Row, batch_id: int) -> DataFrame | None:
+def _earlier(job: ScoringJob, events: DataFrame, bounds: Row, batch_id: int, run: str) -> DataFrame | None:
     """Events of earlier batches that a window or a claim of this batch can reach; None without any.
 
-    Only the daily partitions between the oldest reach and the newest event are listed and read.
+    A late repeat may lie before the row that won its claim, so claims reach forward as well: the daily
+    partitions from the oldest reach to one claim after the newest event are listed and read.
     """
     reach = max([job.scoring.claim_ttl_ms, *[s.window_ms for s in job.scoring.signals]])
     days = date_partitions(
-        job.history, DATE, _day(bounds["first"] - reach).date(), _day(bounds["last"]).date()
+        job.history, DATE, _day(bounds["first"] - reach).date(), _day(bounds["last"] + job.scoring.claim_ttl_ms).date()
     )
     history = read_or_empty(events.sparkSession, job.history, job.history_schema(), days)
-    reached = history.where((F.col("batch_id") < batch_id) & (F.col(MS) > bounds["first"] - reach))
+    reached = history.where(of_earlier_batches(batch_id, run) & (F.col(MS) > bounds["first"] - reach))
     return None if reached.isEmpty() else reached
 
 
-def score_batch(payloads: DataFrame, batch_id: int, job: ScoringJob) -> None:
+def score_batch(payloads: DataFrame, batch_id: int, job: ScoringJob, run: str = NO_RUN) -> None:
     """Score one micro-batch (``value``, ``event_ms``, ``seq``, optional ``attempt``) and write its results.
 
-    Every write replaces the partitions of ``batch_id``, and history is read from earlier batches
-    only, so a repeated batch gives the same tables.
+    Every write replaces the partitions of this run and batch, and history is read from other runs and
+    earlier batches only, so a repeated batch gives the same tables and a new checkpoint adds to them.
     """
     spark = payloads.sparkSession
     folder = run_folder(spark, "scoring-batch")
     try:
-        _score_batch(payloads, batch_id, job, folder)
+        _score_batch(payloads, batch_id, job, run, folder)
     finally:
         remove_folder(spark, folder)
 
@@ -96,14 +98,14 @@ def _claimed(valid: DataFrame, claims: DataFrame | None, job: ScoringJob, folder
     return first.unionByName(claim_replays(valid)).drop("attempt")
 
 
-def _score_batch(payloads: DataFrame, batch_id: int, job: ScoringJob, folder: str) -> None:
+def _score_batch(payloads: DataFrame, batch_id: int, job: ScoringJob, run: str, folder: str) -> None:
     parsed = staged(parse_payloads(payloads), "parsed", folder)
     valid = valid_events(parsed)
-    write_topic(dead_letter_records(rejected_records(parsed)), job.dead_letters, batch_id)
+    write_topic(dead_letter_records(rejected_records(parsed)), job.dead_letters, batch_id, run)
     bounds = valid.agg(F.min(MS).alias("first"), F.max(MS).alias("last")).first()
     if bounds["first"] is None:
         return
-    earlier = _earlier(job, valid, bounds, batch_id)
+    earlier = _earlier(job, valid, bounds, batch_id, run)
     claims = None if earlier is None else earlier.select(ID, MS)
     events = staged(_claimed(valid, claims, job, folder), "events", folder)
     decisions = score_events(
@@ -111,22 +113,23 @@ def _score_batch(payloads: DataFrame, batch_id: int, job: ScoringJob, folder: st
         load_rules(job.rules()),
         job.reputation(),
         job.scoring,
-        history=None if earlier is None else earlier.where("survived"),
+        history=None if earlier is None else earlier.where(F.col("survived") & (F.col(MS) <= bounds["last"])),
         decided_at=job.decided_at,
     )
-    append_batch(decisions, job.decisions, batch_id)
+    append_batch(decisions, job.decisions, batch_id, run=run)
     kept = with_hard_reason(events, job.scoring.hard_rules).select(
         ID, *job.history_columns(), MS, F.col(REASON).isNull().alias("survived"),
         F.date_format(F.timestamp_millis(MS), "yyyy-MM-dd").alias(DATE),
     )
-    append_batch(kept, job.history, batch_id, [DATE])
+    append_batch(kept, job.history, batch_id, [DATE], run)
 
 
 def score_stream(payloads: DataFrame, job: ScoringJob, checkpoint: str, **trigger: object) -> StreamingQuery:
     """Start scoring a stream of ``value, event_ms, seq``."""
+    run = run_id(payloads.sparkSession, checkpoint)
     return (
         payloads.writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, batch_id: score_batch(batch, batch_id, job))
+        .foreachBatch(lambda batch, batch_id: score_batch(batch, batch_id, job, run))
         .trigger(**trigger)
         .start()
     )

@@ -10,10 +10,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from txnsieve.config import Triage
-from txnsieve.operators.triage import dead_letters, replays, triage_first
+from txnsieve.operators.triage import dead_letters, replays, triage_attempts, triage_first
 from txnsieve.schemas import FAILED_EVENTS
 from txnsieve.session import remove_folder, run_folder, staged
-from txnsieve.sinks.tables import append_batch
+from txnsieve.sinks.tables import NO_RUN, append_batch, of_earlier_batches, run_id
 from txnsieve.sinks.topics import replay_records, write_topic
 from txnsieve.sources.tables import read_or_empty
 from txnsieve.sources.topics import Topic
@@ -27,29 +27,38 @@ class TriageJob:
     scoring_topic: Topic
     triage: Triage = field(default_factory=Triage)
     key: Column | None = None
+    #: Count every failure of an id and quarantine after the last retry; else only its first failure counts.
+    attempts: bool = False
 
 
-def triage_batch(records: DataFrame, batch_id: int, job: TriageJob) -> None:
+def triage_batch(records: DataFrame, batch_id: int, job: TriageJob, run: str = NO_RUN) -> None:
     """Record the new failures of a micro-batch, then replay the transient ones."""
     spark = records.sparkSession
-    schema = T.StructType([*FAILED_EVENTS.fields, T.StructField("batch_id", T.LongType())])
-    recorded = read_or_empty(spark, job.failed_events, schema).where(F.col("batch_id") < batch_id)
+    schema = T.StructType(
+        [*FAILED_EVENTS.fields, T.StructField("run_id", T.StringType()), T.StructField("batch_id", T.LongType())]
+    )
+    recorded = read_or_empty(spark, job.failed_events, schema).where(of_earlier_batches(batch_id, run))
     failures = dead_letters(records).withColumn("created_at", F.col("timestamp"))
     order = ("created_at", "original_payload", "error_message")
-    routed = triage_first(failures, recorded, job.triage, job.key, order).select(*FAILED_EVENTS.names)
+    if job.attempts:
+        routed = triage_attempts(failures, None, job.triage, order, recorded=recorded)
+    else:
+        routed = triage_first(failures, recorded, job.triage, job.key, order)
+    routed = routed.select(*FAILED_EVENTS.names)
     folder = run_folder(spark, "triage")
     try:
         triaged = staged(routed, "triaged", folder)
-        append_batch(triaged, job.failed_events, batch_id)
-        write_topic(replay_records(replays(triaged)), job.scoring_topic, batch_id)
+        append_batch(triaged, job.failed_events, batch_id, run=run)
+        write_topic(replay_records(replays(triaged)), job.scoring_topic, batch_id, run)
     finally:
         remove_folder(spark, folder)
 
 
 def triage_stream(records: DataFrame, job: TriageJob, checkpoint: str, **trigger: object) -> StreamingQuery:
+    run = run_id(records.sparkSession, checkpoint)
     return (
         records.writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, batch_id: triage_batch(batch, batch_id, job))
+        .foreachBatch(lambda batch, batch_id: triage_batch(batch, batch_id, job, run))
         .trigger(**trigger)
         .start()
     )
