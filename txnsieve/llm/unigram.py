@@ -25,7 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
-CACHED_WORDS = 1_000_000
+from txnsieve.llm.common import slices
+
+CACHED_WORDS = 300_000
 UNKNOWN_PENALTY = 10.0
 SPACE = "▁"
 _CHUNKS = re.compile(" +[^ ]*")
@@ -202,7 +204,7 @@ def encode(docs: DataFrame, model: str, text_col: str = "text", ids_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = unigram(model)
-        for batch in batches:
+        for batch in slices(batches):
             ids = pa.array([coder.encode(t or "") for t in batch.column(at).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*batch.schema.names, ids_col])
 
@@ -217,7 +219,7 @@ def decode(rows: DataFrame, model: str, ids_col: str = "ids", text_col: str = "d
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = unigram(model)
-        for batch in batches:
+        for batch in slices(batches):
             texts = pa.array([coder.decode(i or b"") for i in batch.column(at).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, text_col])
 
