@@ -1,7 +1,9 @@
 """Exact duplicates by a content sort.
 
 Sampled splitters range-partition the texts, an external sort places equal texts side by side, and
-neighbouring texts are compared in full. Of equal texts one row stays.
+neighbouring texts are compared in full. Of equal texts one row stays. A sort key begins with the
+first ``HEAD`` characters and the digest of the text, and the splitters are made of these alone, so
+whole texts are neither sampled to the driver nor compared where a few bytes tell them apart.
 
 A text that makes up more than a 65,536th of all rows (and more than ``HOT_ROWS`` rows) would fill
 one range. Such texts are found by counting hashes, reduced to one row per map task, and spread
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 from txnsieve.llm.common import full_text
 from txnsieve.session import staged
 
+HEAD = 32
 HOT_ROWS = 512
 HOT_TEXTS = 65_536
 
@@ -66,11 +69,12 @@ def exact_dedup(
         rows.withColumn("_sort_sha", F.unhex(F.sha2("_sort_text", 256)))
         .join(hot, "_sort_sha", "left")
         .withColumn("_sort_salt", F.coalesce(F.pmod(F.xxhash64("_sort_id"), "_sort_salts"), F.lit(0)))
-        .repartitionByRange("_sort_text", "_sort_salt")
+        .withColumn("_sort_head", F.substring("_sort_text", 1, HEAD))
+        .repartitionByRange("_sort_head", "_sort_sha", "_sort_salt")
     )
     # The range partitioning already holds what the window needs, so it adds a sort and no shuffle.
     side = F.col("_sort_id").asc_nulls_first() if keep == "largest" else F.col("_sort_id").desc_nulls_first()
-    sorted_run = Window.partitionBy("_sort_text", "_sort_salt").orderBy(side)
+    sorted_run = Window.partitionBy("_sort_head", "_sort_sha", "_sort_text", "_sort_salt").orderBy(side)
     whole_run = sorted_run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     run = dealt.withColumns(
         {
