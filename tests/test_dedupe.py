@@ -7,6 +7,7 @@ from conftest import plan_text
 
 from txnsieve.config import DAY_MS
 from txnsieve.operators import lookups
+from txnsieve.session import staged
 from txnsieve.operators.dedupe import claim_first, duplicate_audit, failure_key, new_failures
 
 COLUMNS = "transaction_id string, event_ms long, seq long"
@@ -49,6 +50,22 @@ def test_matches_a_fold_with_a_hot_id(spark, monkeypatch, max_rows):
     assert claimed(claim_first(frame(spark, rows))) == fold(rows)
 
 
+@pytest.mark.parametrize("fold_times", [100_000, 20])
+def test_many_claims_per_id(spark, monkeypatch, fold_times):
+    """Folded in one row, or round by round for ids of many times; the jobs do not follow the days."""
+    monkeypatch.setattr("txnsieve.operators.dedupe.FOLD_TIMES", fold_times)
+    jobs = []
+    for days in (5, 30):
+        rng = random.Random(days)
+        rows = [(rng.choice(["a", "b", "c", "d"]), rng.randrange(0, days * DAY_MS)) for _ in range(days * 8)]
+        rows += [("e", DAY_MS * i // 3) for i in range(15)]
+        written = []
+        monkeypatch.setattr("txnsieve.operators.dedupe.staged", lambda df, *a, **k: written.append(1) or staged(df, *a, **k))
+        assert claimed(claim_first(frame(spark, rows))) == fold(rows)
+        jobs.append(len(written))
+    assert fold_times < 1000 or jobs[0] == jobs[1]
+
+
 def test_earlier_claims_still_hold(spark):
     held = {"a": 0, "b": -2 * DAY_MS}
     rows = [("a", DAY_MS - 1), ("a", DAY_MS + 5), ("b", 3), ("c", 4)]

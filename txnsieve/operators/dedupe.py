@@ -18,22 +18,40 @@ ID = "transaction_id"
 MS = "event_ms"
 
 
+#: Ids of at most so many distinct times are folded in one row; the others take one round per claim.
+FOLD_TIMES = 100_000
+
+
 def _unclaimed(rows: DataFrame, claims: DataFrame, ttl_ms: int) -> DataFrame:
     last = claims.groupBy(ID).agg(F.max(MS).alias("_claimed"))
-    joined = lookup_join(rows, last, [ID], "left")
+    joined = lookup_join(rows, last, [ID], "left", spread_by=[MS])
     return joined.where(F.col("_claimed").isNull() | (F.col(MS) >= F.col("_claimed") + ttl_ms)).drop("_claimed")
 
 
-def _later_claims(uses: DataFrame, ttl_ms: int, folder: str | None) -> list[DataFrame]:
-    """Claims after the first one of an id, one DataFrame per round.
+def _folded(times: DataFrame, ttl_ms: int) -> DataFrame:
+    """Claims after the first one, by one pass over the sorted times of each id."""
+    none = F.array().cast("array<bigint>")
+    sorted_times = F.array_sort(F.collect_set(MS))
+
+    def step(state: Column, ms: Column) -> Column:
+        wins = ms >= state["last"] + ttl_ms
+        return F.struct(
+            F.when(wins, ms).otherwise(state["last"]).alias("last"),
+            F.when(wins, F.concat(state["claims"], F.array(ms))).otherwise(state["claims"]).alias("claims"),
+        )
+
+    found = times.groupBy(ID).agg(sorted_times.alias("_times")).select(
+        ID, F.aggregate("_times", F.struct(F.col("_times")[0].alias("last"), none.alias("claims")), step, lambda s: s["claims"]).alias("_claims")
+    )
+    return found.select(ID, F.explode("_claims").alias(MS))
 
-    Only ids whose uses span the lifetime take part. Each round finds the next claim of every such
-    id with a minimum per id, so the rounds are bounded by the time span over the lifetime and a
-    hot id is reduced before each shuffle.
+
+def _by_rounds(uses: DataFrame, ttl_ms: int, folder: str | None) -> list[DataFrame]:
+    """Claims after the first one of ids with very many times, one DataFrame per round.
+
+    Each round finds the next claim of every such id with a minimum per id, so a hot id is reduced
+    before each shuffle, and the rounds are bounded by the time span over the lifetime.
     """
-    bounds = uses.agg(F.min(MS).alias("first"), F.max(MS).alias("last")).first()
-    if bounds["first"] is None or bounds["last"] - bounds["first"] < ttl_ms:
-        return []
     expires = F.col("_claimed") + ttl_ms
 
     def spans(candidates: DataFrame) -> DataFrame:
@@ -43,7 +61,7 @@ def _later_claims(uses: DataFrame, ttl_ms: int, folder: str | None) -> list[Data
     candidates, rounds = uses, []
     while waiting := open_ids.count():
         fits = waiting <= MAX_BROADCAST_ROWS
-        after = lookup_join(candidates, open_ids, [ID], "inner", fits=fits)
+        after = lookup_join(candidates, open_ids, [ID], "inner", spread_by=[MS], fits=fits)
         candidates = staged(after.where(F.col(MS) >= expires).select(ID, MS).distinct(), "claims", folder)
         found = spans(candidates)
         rounds.append(found.select(ID, F.col("_claimed").alias(MS)))
@@ -51,6 +69,30 @@ def _later_claims(uses: DataFrame, ttl_ms: int, folder: str | None) -> list[Data
     return rounds
 
 
+def _later_claims(uses: DataFrame, ttl_ms: int, folder: str | None) -> list[DataFrame]:
+    """Claims after the first one. Only ids whose uses span the lifetime take part.
+
+    The number of jobs does not depend on the time span, but for ids of more than ``FOLD_TIMES``
+    distinct times.
+    """
+    bounds = uses.agg(F.min(MS).alias("first"), F.max(MS).alias("last")).first()
+    if bounds["first"] is None or bounds["last"] - bounds["first"] < ttl_ms:
+        return []
+    span = F.max(MS) - F.min(MS) >= ttl_ms
+    spanning = staged(uses.groupBy(ID).agg(span.alias("_spans")).where("_spans").select(ID), "claims", folder)
+    waiting = spanning.count()
+    if not waiting:
+        return []
+    fits = waiting <= MAX_BROADCAST_ROWS
+    times = lookup_join(uses, spanning, [ID], "inner", spread_by=[MS], fits=fits).select(ID, MS).distinct()
+    times = staged(times, "claims", folder)
+    many = staged(times.groupBy(ID).count().where(F.col("count") > FOLD_TIMES).select(ID), "claims", folder)
+    if not many.count():
+        return [_folded(times, ttl_ms)]
+    few = _folded(times.join(many, ID, "left_anti"), ttl_ms)
+    return [few, *_by_rounds(lookup_join(times, many, [ID], "inner", spread_by=[MS]), ttl_ms, folder)]
+
+
 def claim_first(
     rows: DataFrame,
     ttl_ms: int = DAY_MS,

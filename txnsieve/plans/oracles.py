@@ -190,6 +190,13 @@ def _decided(name: str, flagged: str, counted: str) -> None:
 _decided("decisions", "flagged", "counted")
 _decided("decisions_true", "flagged", "counted_true")
 _decided("payload_decisions", "payload_flagged", "payload_counted")
+PARTS["uses"] = "select 'u' || (user_id % 50) as transaction_id, event_ms, event_id as seq from e"
+PARTS["won"] = """
+      select transaction_id, min(event_ms) as event_ms from uses group by transaction_id
+      union all
+      select w.transaction_id, min(u.event_ms) from won w join uses u
+        on u.transaction_id = w.transaction_id and u.event_ms >= w.event_ms + 86400000
+      group by w.transaction_id"""
 PARTS["payload_latest"] = """
       select * from payload_decisions
       qualify row_number() over (partition by transaction_id order by decided_at desc) = 1"""
@@ -389,6 +396,9 @@ _SELECTS = {
       select transaction_id, count(*) as decision_count from payload_decisions
       group by transaction_id having count(*) > 1""",
     "idempotent_dedupe": "select transaction_id, event_ms, seq from claimed",
+    "idempotent_dedupe_days": """
+      select u.* from uses u join won using (transaction_id, event_ms)
+      qualify row_number() over (partition by u.transaction_id, u.event_ms order by u.seq) = 1""",
     "override_guard": """
       select override_id, transaction_id, new_decision, previous_decision, outcome from outcomes""",
     "override_apply": """

@@ -374,6 +374,15 @@ def idempotent_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe.claim_first(parsing.valid_events(parsed)).select("transaction_id", "event_ms", "seq")
 
 
+@query
+def idempotent_dedupe_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids that are claimed again and again over many days."""
+    uses = fixtures.read_events(spark, sf_dir).select(
+        F.format_string("u%d", F.col("user_id") % 50).alias("transaction_id"), "event_ms", F.col("event_id").alias("seq")
+    )
+    return dedupe.claim_first(uses).select("transaction_id", "event_ms", "seq")
+
+
 @query
 def override_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decisions.override_outcomes(fixtures.overrides(spark, sf_dir), _decisions(spark, sf_dir)).select(
