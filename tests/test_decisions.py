@@ -131,15 +131,16 @@ def test_pending_review_is_newest_first(spark):
     assert text.startswith("1. Transaction: t4\n   Score: 10 | Amount: 5 USD\n")
 
 
+# Counts of the queries' SQL over the sample rules of the fixtures.
 EXPECTED = {
     "decisions_true_windows": {
-        ("APPROVED", "RULE_ENGINE"): (40, 60), ("NEEDS_REVIEW", "RULE_ENGINE"): (316, 8955),
-        ("AUTO_REJECTED", "RULE_ENGINE"): (294, 32770), ("AUTO_REJECTED", "BLOCKLIST_HIT"): (206, 20600),
+        ("APPROVED", "RULE_ENGINE"): (36, 60), ("NEEDS_REVIEW", "RULE_ENGINE"): (313, 8755),
+        ("AUTO_REJECTED", "RULE_ENGINE"): (301, 33385), ("AUTO_REJECTED", "BLOCKLIST_HIT"): (206, 20600),
         ("AUTO_REJECTED", "AMOUNT_EXCEEDS_CAP"): (23, 2300), ("AUTO_REJECTED", "SANCTIONED_COUNTRY"): (121, 12100),
     },
     "decisions_scaled_windows": {
-        ("APPROVED", "RULE_ENGINE"): (16, 60), ("NEEDS_REVIEW", "RULE_ENGINE"): (284, 10405),
-        ("AUTO_REJECTED", "RULE_ENGINE"): (350, 40780), ("AUTO_REJECTED", "BLOCKLIST_HIT"): (206, 20600),
+        ("APPROVED", "RULE_ENGINE"): (12, 40), ("NEEDS_REVIEW", "RULE_ENGINE"): (284, 10345),
+        ("AUTO_REJECTED", "RULE_ENGINE"): (354, 41275), ("AUTO_REJECTED", "BLOCKLIST_HIT"): (206, 20600),
         ("AUTO_REJECTED", "AMOUNT_EXCEEDS_CAP"): (23, 2300), ("AUTO_REJECTED", "SANCTIONED_COUNTRY"): (121, 12100),
     },
 }

@@ -45,12 +45,21 @@ def _newest(rows: DataFrame, time: str, limit: int, ties: Sequence[str]) -> Data
 def pending_review(
     decisions: DataFrame, transactions: DataFrame, limit: int = 20, ties: Sequence[str] = ("transaction_id",)
 ) -> DataFrame:
-    """Newest decisions that wait for an analyst, with their transaction."""
+    """Newest decisions that wait for an analyst, with their transaction.
+
+    Only the newest candidates are looked up; more of them, if some turn out to have no transaction.
+    """
     waiting = decisions.where(F.col("decision") == NEEDS_REVIEW).select(
         "transaction_id", "risk_score", "decided_at"
     )
     details = transactions.select("transaction_id", *REVIEW_VIEW[3:])
-    return _newest(waiting.join(details, "transaction_id"), "decided_at", limit, ties).select(*REVIEW_VIEW)
+    take = limit
+    while True:
+        newest = _newest(waiting, "decided_at", take, ties)
+        found = details.join(F.broadcast(newest), "transaction_id")
+        if found.limit(limit).count() == limit or newest.count() < take:
+            return _newest(found, "decided_at", limit, ties).select(*REVIEW_VIEW)
+        take *= 4
 
 
 def list_failures(

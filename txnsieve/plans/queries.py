@@ -79,6 +79,29 @@ def _decisions(spark: SparkSession, sf_dir: str, scoring: Scoring = fixtures.TRU
     ).drop("rules_version")
 
 
+#: Folders of decision tables that this application has written.
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def _stored(spark: SparkSession, sf_dir: str, name: str, scored: Query) -> DataFrame:
+    """The stored decisions table, laid out by day: scored once, then scanned by every query on it."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        path = run_folder(spark, f"decisions-{name}")
+        day = F.to_date("decided_at").alias("decided_on")
+        scored(spark, sf_dir).select("*", day).write.partitionBy("decided_on").parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key]).drop("decided_on")
+
+
+def _stored_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, "events", _decisions)
+
+
+def _stored_payload_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, "payloads", payload_decisions)
+
+
 # Parsing
 
 
@@ -341,18 +364,18 @@ def payload_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def decision_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analyst.decision_breakdown(_decisions(spark, sf_dir))
+    return analyst.decision_breakdown(_stored_decisions(spark, sf_dir))
 
 
 @query
 def stage_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analyst.stage_share(_decisions(spark, sf_dir))
+    return analyst.stage_share(_stored_decisions(spark, sf_dir))
 
 
 @query
 def transactions_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status of every stored transaction, from the decisions on its payloads."""
-    taken = payload_decisions(spark, sf_dir)
+    taken = _stored_payload_decisions(spark, sf_dir)
     return decisions.current_transactions(fixtures.stored_transactions(spark, sf_dir), taken).select(
         "transaction_id", "status", "amount"
     )
@@ -360,12 +383,12 @@ def transactions_current(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def latest_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decisions.latest_decisions(payload_decisions(spark, sf_dir)).select(*analyst.DECISION_VIEW)
+    return decisions.latest_decisions(_stored_payload_decisions(spark, sf_dir)).select(*analyst.DECISION_VIEW)
 
 
 @query
 def duplicate_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedupe.duplicate_audit(payload_decisions(spark, sf_dir))
+    return dedupe.duplicate_audit(_stored_payload_decisions(spark, sf_dir))
 
 
 @query
@@ -385,14 +408,14 @@ def idempotent_dedupe_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def override_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decisions.override_outcomes(fixtures.overrides(spark, sf_dir), _decisions(spark, sf_dir)).select(
+    return decisions.override_outcomes(fixtures.overrides(spark, sf_dir), _stored_decisions(spark, sf_dir)).select(
         "override_id", "transaction_id", "new_decision", "previous_decision", "outcome"
     )
 
 
 @query
 def override_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    taken = _decisions(spark, sf_dir)
+    taken = _stored_decisions(spark, sf_dir)
     outcomes = decisions.override_outcomes(fixtures.overrides(spark, sf_dir), taken)
     return decisions.apply_overrides(taken, outcomes).select(
         "transaction_id", "decision", "risk_score", "override_reason", "override_by", "overridden_at"
@@ -409,12 +432,12 @@ def get_transaction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def get_risk_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analyst.get_decision(_decisions(spark, sf_dir), LOOKUP_ID)
+    return analyst.get_decision(_stored_decisions(spark, sf_dir), LOOKUP_ID)
 
 
 @query
 def pending_review(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analyst.pending_review(_decisions(spark, sf_dir), fixtures.stored_transactions(spark, sf_dir))
+    return analyst.pending_review(_stored_decisions(spark, sf_dir), fixtures.stored_transactions(spark, sf_dir))
 
 
 @query
@@ -424,7 +447,7 @@ def review_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def audit_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analyst.audit_tail(_decisions(spark, sf_dir))
+    return analyst.audit_tail(_stored_decisions(spark, sf_dir))
 
 
 # Quota
