@@ -49,7 +49,7 @@ SLOTS_PER_DOC = 16
 SLOT_BLOCK = 1 << 15
 ENTRY = np.dtype([("gram", "<u4"), ("set", "<u8"), ("size", "u1")])
 BUCKET_BYTES = 16 << 20
-CACHED_WORDS = 1_500_000
+CACHED_WORDS = 500_000
 
 
 class _WordHashes(dict):

@@ -26,7 +26,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from txnsieve.llm.word_bpe import printable_bytes
 
-CACHED_WORDS = 1_500_000
+CACHED_WORDS = 500_000
 ROOT = 0
 
 

@@ -13,7 +13,7 @@ import json
 import os
 from functools import lru_cache
 
-CACHED_CHUNKS = 1_500_000
+CACHED_CHUNKS = 500_000
 #: How the vocabulary file splits a text into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _WORD_END = b"\xff"
