@@ -8,11 +8,12 @@ one of the short lists in front, the inverted lists of the first n - T + 1 n-gra
 
 1. every task sends its list entries to buckets by n-gram; a bucket sorts, and so merges, its lists;
 2. lists of at most ``SHORT_LIST`` sets give all their pairs; a longer list gives the pairs with a few
-   hubs, and is kept;
+   hubs, the sets that have the fewest rare n-grams in front, and is kept;
 3. a bitmap of each set bounds the overlap of each pair from above; the pairs left are counted
    exactly on the whole sets, and those that reach T are links;
 4. in kept lists only pairs of different components can still add a link. Lists that hold several
-   components are cut into blocks and their pairs across components checked in the same way.
+   components are cut into blocks; a block compares the bitmaps of its pairs across components, and the
+   pairs left are counted exactly.
 
 So a group of near copies, however large, is joined through hubs, without all its pairs.
 
@@ -26,7 +27,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -43,11 +44,12 @@ from txnsieve.session import staged
 WORDS = 5
 SIMILARITY = (3, 4)
 SHORT_LIST = 32
+HUBS = 3
 BLOCK = 1024
 MAX_SLOTS = 1 << 25
 SLOTS_PER_DOC = 16
 SLOT_BLOCK = 1 << 15
-ENTRY = np.dtype([("gram", "<u4"), ("set", "<u8"), ("size", "u1")])
+ENTRY = np.dtype([("gram", "<u4"), ("set", "<u8"), ("size", "u1"), ("place", "u1")])
 BUCKET_BYTES = 16 << 20
 CACHED_WORDS = 500_000
 
@@ -94,20 +96,25 @@ def set_key(grams: np.ndarray) -> int:
 
 
 def bitmap(grams: np.ndarray) -> bytes:
-    """A bit per hash slot; about four slots for each n-gram, a power of two, at most 65,536."""
-    slots = 1 << min(16, max(9, int(4 * max(1, len(grams)) - 1).bit_length()))
+    """A bit per hash slot; at least 16 slots for each n-gram, a power of two, at most 262,144."""
+    slots = 1 << min(18, max(9, int(16 * max(1, len(grams)) - 1).bit_length()))
     bits = np.zeros(slots, dtype=bool)
     bits[(grams & np.uint64(slots - 1)).astype(np.int64)] = True
     return np.packbits(bits, bitorder="little").tobytes()
 
 
+def folded(bits: np.ndarray, length: int) -> np.ndarray:
+    """Bitmaps (along the last axis) with fewer slots."""
+    while bits.shape[-1] > length:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] | bits[..., half:]
+    return bits
+
+
 def most_shared(a: bytes, a_size: int, b: bytes, b_size: int) -> int:
     """An upper bound of the overlap: each slot that only one set fills is an n-gram the other lacks."""
-    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-    while len(x) > len(y):
-        x = x[: len(x) // 2] | x[len(x) // 2 :]
-    while len(y) > len(x):
-        y = y[: len(y) // 2] | y[len(y) // 2 :]
+    length = min(len(a), len(b))
+    x, y = folded(np.frombuffer(a, np.uint8), length), folded(np.frombuffer(b, np.uint8), length)
     only_x = int(np.bitwise_count(x & ~y).sum())
     only_y = int(np.bitwise_count(y & ~x).sum())
     return min(a_size - only_x, b_size - only_y)
@@ -174,12 +181,12 @@ def _list_entries(docs: DataFrame, table: np.ndarray, buckets: int, words: int,
     p, q = similarity
 
     def pack(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        grams, sets, sizes = (np.concatenate([x[i] for x in parts]) for i in range(3))
+        grams, sets, sizes, places = (np.concatenate([x[i] for x in parts]) for i in range(4))
         bucket = ((grams >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         entries = np.empty(len(grams), ENTRY)
         entries["gram"] = (grams & np.uint64(0xFFFFFFFF))[order]
-        entries["set"], entries["size"] = sets[order], sizes[order]
+        entries["set"], entries["size"], entries["place"] = sets[order], sizes[order], places[order]
         ends = np.cumsum(np.bincount(bucket, minlength=buckets))
         filled = [b for b in range(buckets) if ends[b] > (ends[b - 1] if b else 0)]
         data = [entries[(ends[b - 1] if b else 0) : ends[b]].tobytes() for b in filled]
@@ -204,7 +211,8 @@ def _list_entries(docs: DataFrame, table: np.ndarray, buckets: int, words: int,
                 order = order[np.argsort(rank[order], kind="stable")]
                 size = np.full(front, _size_class(n, similarity), dtype=np.uint8)
                 size[:probed] |= 128
-                parts.append((grams[order], np.full(front, name, dtype=np.int64).view(np.uint64), size))
+                place = np.minimum(255, np.arange(front) * 1024 // n).astype(np.uint8)
+                parts.append((grams[order], np.full(front, name, dtype=np.int64).view(np.uint64), size, place))
                 held += front
                 if held >= 4_000_000:
                     yield from pack(parts)
@@ -242,12 +250,12 @@ def _merge_lists(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
     for start, length in zip(starts[lengths > SHORT_LIST], lengths[lengths > SHORT_LIST]):
         run = entries[start : start + length]
         long_lists.append(run)
-        run = run[np.argsort(run["size"] & 127, kind="stable")]
-        for hub in _hubs(run["size"] & 127):
-            near = run[hub + 1 :]
-            near = near[(near["size"] & 127) - (run["size"][hub] & 127) <= 4]
+        size = (run["size"] & 127).astype(int)
+        for hub in _hubs(size, run["place"]):
+            near = run[np.abs(size - size[hub]) <= 4]
             pairs.append(np.column_stack([np.full(len(near), run["set"][hub]), near["set"]]).view(np.int64))
     found = np.sort(np.concatenate(pairs), axis=1)
+    found = found[found[:, 0] != found[:, 1]]
     found = np.unique(found, axis=0) if len(found) else found
     kept = np.concatenate(long_lists) if long_lists else np.empty(0, ENTRY)
     name = kept["gram"].astype(np.int64) * (1 << 31) + int(key[0])
@@ -261,26 +269,50 @@ def _merge_lists(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def _hubs(classes: np.ndarray) -> list[int]:
-    """Rising size classes: the first place, and each first place that the hub before cannot reach."""
-    hubs, at = [], 0
-    while at < len(classes):
-        hubs.append(at)
-        at = int(np.searchsorted(classes, int(classes[at]) + 4, side="right"))
+def _hubs(size: np.ndarray, place: np.ndarray) -> list[int]:
+    """For each stretch of size classes that can be partners, the sets nearest to what the list shares.
+
+    Where a list stands far in front, its set has few n-grams of its own, as the text has that others
+    are copies of.
+    """
+    hubs: list[int] = []
+    for low in range(int(size.min()), int(size.max()) + 1, 5):
+        inside = np.flatnonzero((size >= low) & (size < low + 5))
+        hubs += inside[np.argsort(place[inside], kind="stable")[:HUBS]].tolist()
     return hubs
 
 
-def _across(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of one list that lie in different components; both sides are blocks of bounded size."""
-    entries = np.zeros(len(frame), ENTRY)
-    entries["size"] = frame["size"].to_numpy()
-    label, rep, side = (frame[c].to_numpy() for c in ("label", "rep", "side"))
-    first, second = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-    i, j = (g.ravel() for g in np.meshgrid(first, second, indexing="ij"))
-    ok = (label[i] != label[j]) & ((side[i] != 2) | (i < j))
-    i, j = i[ok], j[ok]
-    ok = _may_match(entries[i], entries[j])
-    return pd.DataFrame({"a": np.minimum(rep[i], rep[j])[ok], "b": np.maximum(rep[i], rep[j])[ok]}).drop_duplicates()
+def _across(similarity: tuple[int, int]) -> Callable[[tuple, pd.DataFrame], pd.DataFrame]:
+    """Pairs of one list in different components whose bitmaps allow a link.
+
+    A group holds one block of the list (side 2), or two that are compared with each other (0 and 1).
+    """
+    p, q = similarity
+
+    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        entries = np.zeros(len(frame), ENTRY)
+        entries["size"] = frame["size"].to_numpy()
+        label, rep, side, n = (frame[c].to_numpy() for c in ("label", "rep", "side", "n"))
+        bits = [np.frombuffer(d, np.uint8) for d in frame["data"]]
+        length = np.array([len(b) for b in bits])
+        out = [np.empty((0, 2), np.int64)]
+        rows = {v: np.flatnonzero((length == v) & (side != 0)) for v in np.unique(length)}
+        table = {v: np.array([bits[r] for r in at]).reshape(len(at), v) for v, at in rows.items()}
+        for i in np.flatnonzero(side != 1):
+            for v, at in rows.items():
+                ok = (label[at] != label[i]) & ((side[i] != 2) | (at > i))
+                ok &= _may_match(np.broadcast_to(entries[i], len(at)), entries[at])
+                at, other = at[ok], table[v][ok]
+                if len(at):
+                    x, y = folded(bits[i], min(v, length[i])), folded(other, min(v, length[i]))
+                    only_x = np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64)
+                    only_y = np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64)
+                    most = np.minimum(n[i] - only_x, n[at] - only_y)
+                    j = at[(p + q) * most >= p * (n[i] + n[at])]
+                    out.append(np.column_stack([np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])]))
+        return pd.DataFrame(np.concatenate(out), columns=["a", "b"]).drop_duplicates()
+
+    return run
 
 
 def _could_link(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
@@ -410,15 +442,16 @@ def _list_links(lists: DataFrame, labels: DataFrame, bits: DataFrame, whole: Dat
     mine = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     dealt = (
         marked.join(mixed, "x")
+        .join(bits.withColumnRenamed("id", "rep"), "rep")
         .withColumn("mine", mine)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
-            "x", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "rep", "label", "size",
+            "x", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "rep", "label", "size", "n", "data",
             F.when(F.col("mine") == F.col("other"), 2).when(F.col("mine") < F.col("other"), 0).otherwise(1).alias("side"),
         )
     )
-    pairs = staged(dealt.groupBy("x", "i", "j").applyInPandas(_across, "a long, b long"), "across").distinct()
-    return staged(_links(_could_link(pairs, bits, similarity), whole, similarity), "more-links")
+    pairs = staged(dealt.groupBy("x", "i", "j").applyInPandas(_across(similarity), "a long, b long"), "across").distinct()
+    return staged(_links(pairs, whole, similarity), "more-links")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
