@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from txnsieve.llm import exact_dedup, ngram_join, packing, pii, toxicity
-from txnsieve.llm.common import documents, table
+from txnsieve.llm.common import documents, ship_package, table
 from txnsieve.llm.queries import tokenizer_path
 from txnsieve.session import staged
 
@@ -19,6 +19,7 @@ ORACLE_SQL = None
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents whose toxicity reaches the threshold."""
+    ship_package(spark)
     return toxicity.drop_toxic(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
@@ -29,6 +30,7 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the smallest id of each group of near duplicates."""
+    ship_package(spark)
     return ngram_join.keep_one(docs)
 
 
@@ -39,6 +41,7 @@ def masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences with their places."""
+    ship_package(spark)
     return packing.pack(docs, tokenizer_path("word_bpe_49k.json"))
 
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnsieve.llm import exact_dedup, kd_shards, ngram_join, packing, pii, quality, token_counts, toxicity, unigram, vptree
-from txnsieve.llm.common import documents, held_out, table
+from txnsieve.llm.common import documents, held_out, ship_package, table
 
 SHARDS = 16
 
@@ -105,17 +108,28 @@ def op10_unigram(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _with_package(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query after its executors got this package; for queries that run Python there."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES = {
     "op1_pii": op1_pii,
-    "op2_packing": op2_packing,
-    "op3_quality": op3_quality,
-    "op4_nearest": op4_nearest,
-    "op5_ngram_join": op5_ngram_join,
-    "op6_toxicity": op6_toxicity,
+    "op2_packing": _with_package(op2_packing),
+    "op3_quality": _with_package(op3_quality),
+    "op4_nearest": _with_package(op4_nearest),
+    "op5_ngram_join": _with_package(op5_ngram_join),
+    "op6_toxicity": _with_package(op6_toxicity),
     "op7_exact_dedup": op7_exact_dedup,
-    "op8_token_counts": op8_token_counts,
+    "op8_token_counts": _with_package(op8_token_counts),
     "op9_sharding": op9_sharding,
-    "op10_unigram": op10_unigram,
+    "op10_unigram": _with_package(op10_unigram),
 }
 
 ORACLES = {
