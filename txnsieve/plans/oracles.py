@@ -484,6 +484,14 @@ _SELECTS = {
           '   Error: ', coalesce(error_message, 'none'), chr(10),
           '   Created At: ', rtrim(cast(created_at as varchar), '0')) as text
       from routed order by created_at desc, id desc limit 20""",
+    "stream_dead_letters": "select transaction_id, original_payload, error_message from rejected",
+    "stream_relay": "select transaction_id as key, payload as value from outbox",
+    "stream_quota": f"""
+      select identifier, event_ms // {fixtures.QUOTA.window_s * 1000} * {fixtures.QUOTA.window_s * 1000} as window_ms,
+        count(*) as requests, least(count(*), {fixtures.QUOTA.limit}) as admitted,
+        greatest(0, count(*) - {fixtures.QUOTA.limit}) as rejected
+      from requests group by all""",
+    "stream_claims": "select distinct transaction_id from failures",
     "stream_dlq_attempts": """
       select transaction_id, original_payload, failure_type,
         case when failure_type = 'TRANSIENT' and attempt <= 3 then 'RETRYING' else 'QUARANTINED' end as status,

@@ -24,14 +24,15 @@ from txnsieve.operators import (
 )
 from txnsieve.plans import fixtures
 from txnsieve.plans.scoring import score_events, score_payloads, score_survivors
-from txnsieve.schemas import FIELD_COLUMNS, REQUEST
+from txnsieve.schemas import FIELD_COLUMNS, REQUEST, TRANSACTIONS
 from txnsieve.session import SESSION_CONF, run_folder, staged
 from txnsieve.sinks.tables import append_batch
 from txnsieve.sinks.topics import dead_letter_records
 from txnsieve.sources.requests import good_requests, parse_requests, rejected_requests
-from txnsieve.sources.tables import read_table
+from txnsieve.sources.tables import read_table, stream_table
 from txnsieve.sources.topics import Topic
-from txnsieve.streaming.scoring_stream import ScoringJob, score_stream
+from txnsieve.streaming.relay import relay, stream_quota_totals
+from txnsieve.streaming.scoring_stream import ScoringJob, claim_within_watermark, score_stream
 from txnsieve.streaming.triage_stream import TriageJob, triage_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -648,3 +649,53 @@ def stream_dlq_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_replays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the dead-letter stream sends back to the scoring topic."""
     return spark.read.parquet(_triage_stream(spark, sf_dir).scoring_topic.location).select("key", "value")
+
+
+@query
+def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the scoring stream sends to the dead-letter topic, read back from there."""
+    records = spark.read.parquet(_scored_stream(spark, sf_dir).dead_letters.location)
+    return triage.dead_letters(records.select("key", "value", "headers"))
+
+
+@query
+def stream_relay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored transactions sent to a topic by a relay that is stopped and started between appends."""
+    folder = run_folder(spark, "relay")
+    topic = Topic(f"{folder}/topic", "parquet")
+    stored = fixtures.stored_transactions(spark, sf_dir).withColumn("user_agent", F.lit(None).cast("string"))
+    stored = stored.select(*TRANSACTIONS.names)
+    for rest in range(3):
+        stored.where(F.col("id") % 3 == rest).write.mode("append").parquet(f"{folder}/transactions")
+        source = stream_table(spark, f"{folder}/transactions", TRANSACTIONS)
+        relay(source, topic, f"{folder}/checkpoint", availableNow=True).awaitTermination()
+    return spark.read.parquet(topic.location).select("key", "value")
+
+
+@query
+def stream_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests per client and tumbling window, kept in the state of a stream over several appends."""
+    folder = run_folder(spark, "quota")
+    requests = _client_requests(spark, sf_dir).select("identifier", "event_ms", F.timestamp_millis("event_ms").alias("event_ts"))
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/totals")
+
+    for schema in _in_parts(requests, f"{folder}/in", "event_ms"):
+        totals = stream_quota_totals(spark.readStream.schema(schema).parquet(f"{folder}/in"), fixtures.QUOTA)
+        writer = totals.writeStream.outputMode("complete").option("checkpointLocation", f"{folder}/checkpoint")
+        writer.foreachBatch(keep).trigger(availableNow=True).start().awaitTermination()
+    found = spark.read.parquet(f"{folder}/totals")
+    return found.select("identifier", F.unix_millis("window_start").alias("window_ms"), "requests", "admitted", "rejected")
+
+
+@query
+def stream_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids whose claim was won in the state store, over several appends in time order."""
+    folder = run_folder(spark, "claims")
+    uses = fixtures.failures(spark, sf_dir).select("transaction_id", "event_ms", F.timestamp_millis("event_ms").alias("event_ts"))
+    for schema in _in_parts(uses, f"{folder}/in", "event_ms"):
+        claimed = claim_within_watermark(spark.readStream.schema(schema).parquet(f"{folder}/in"), "400 days")
+        writer = claimed.writeStream.option("checkpointLocation", f"{folder}/checkpoint")
+        writer.option("path", f"{folder}/claimed").format("parquet").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/claimed").select("transaction_id")
