@@ -195,11 +195,17 @@ def _pair_tree(g: np.ndarray, h: np.ndarray) -> tuple[float, np.ndarray]:
 
 
 def fit(x: np.ndarray, y: np.ndarray) -> QualityModel:
-    """Boosts the tables in turn, then those of the pairs that explain most of the rest."""
+    """Boosts the tables in turn, then those of the pairs that explain most of the rest.
+
+    Both classes weigh the same in all, so that few bad rows count as much as many good ones. Scores
+    are thus those of a corpus with as many bad as good rows.
+    """
     share = float(np.clip(y.mean(), 1e-6, 1 - 1e-6)) if len(y) else 1e-6
-    model = QualityModel(float(np.log(share / (1 - share))))
     if len(np.unique(y)) < 2:
-        return model
+        return QualityModel(float(np.log(share / (1 - share))))
+    model = QualityModel(0.0)
+    weight = np.where(y > 0, 1.0, share / (1 - share))
+    weight *= len(y) / weight.sum()
     d = x.shape[1]
     model.edges = [_edges(x[:, j], MAX_BINS) for j in range(d)]
     model.pair_edges = [_edges(x[:, j], PAIR_BINS) for j in range(d)]
@@ -209,7 +215,7 @@ def fit(x: np.ndarray, y: np.ndarray) -> QualityModel:
 
     def slopes() -> tuple[np.ndarray, np.ndarray]:
         p = 1 / (1 + np.exp(-np.clip(margin, -35, 35)))
-        return y - p, p * (1 - p)
+        return weight * (y - p), weight * p * (1 - p)
 
     for _ in range(ROUNDS):
         for j in range(d):
