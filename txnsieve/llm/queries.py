@@ -133,6 +133,27 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op5_ngram_join": r"""
+        WITH RECURSIVE words AS (
+          SELECT doc_id, list_filter(string_split_regex(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+          FROM documents),
+        sets AS (
+          SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+            ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS grams
+          FROM words),
+        each AS (SELECT doc_id, len(grams) AS n, unnest(grams) AS gram FROM sets),
+        shared AS (
+          SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k, any_value(a.n) AS na, any_value(b.n) AS nb
+          FROM each a JOIN each b USING (gram) WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+        links AS (SELECT a, b FROM shared WHERE 100 * k >= 75 * (na + nb - k)),
+        reached AS (
+          SELECT doc_id AS node, doc_id AS root FROM sets
+          UNION SELECT links.b, reached.root FROM reached JOIN links ON links.a = reached.node)
+        SELECT sets.doc_id, len(grams) AS n_shingles, min(root) AS component_id
+        FROM sets JOIN reached ON reached.node = sets.doc_id GROUP BY sets.doc_id, len(grams)
+    """,
     "op7_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(whole) AS text_sha256
