@@ -79,13 +79,12 @@ def combinations(bins: int, depth: int) -> np.ndarray:
 
 
 def non_negative_least_squares(a: np.ndarray, b: np.ndarray, rounds: int = 1000) -> np.ndarray:
-    """Active-set solution of min |ax - b| with x >= 0."""
-    gram, goal = a.T @ a, a.T @ b
+    """Active-set solution of min |ax - b| with x >= 0; products are formed for active columns only."""
     x = np.zeros(a.shape[1])
     active = np.zeros(a.shape[1], dtype=bool)
-    tiny = 1e-9 * max(1.0, float(np.abs(goal).max(initial=0)))
+    tiny = 1e-9 * max(1.0, float(np.abs(a.T @ b).max(initial=0)))
     for _ in range(rounds):
-        slope = goal - gram[:, active] @ x[active]
+        slope = a.T @ (b - a[:, active] @ x[active])
         slope[active] = -np.inf
         best = int(slope.argmax())
         if slope[best] <= tiny:
@@ -93,7 +92,8 @@ def non_negative_least_squares(a: np.ndarray, b: np.ndarray, rounds: int = 1000)
         active[best] = True
         while True:
             at = np.flatnonzero(active)
-            solved = np.linalg.solve(gram[np.ix_(at, at)] + 1e-9 * np.eye(len(at)), goal[at])
+            part = a[:, at]
+            solved = np.linalg.solve(part.T @ part + 1e-9 * np.eye(len(at)), part.T @ b)
             if solved.min(initial=1) > 0:
                 x[at] = solved
                 break
