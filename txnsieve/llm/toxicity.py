@@ -138,8 +138,8 @@ def _document_counts(sample: DataFrame, keys: np.ndarray) -> np.ndarray:
     return held
 
 
-def _rows(sample: DataFrame, keys: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """The feature positions and the label of each sample document; bounded by the sample."""
+def _rows(sample: DataFrame, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features per document, all their positions, and the labels; bounded by the sample."""
     shared = sample.sparkSession.sparkContext.broadcast(keys)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,26 +150,31 @@ def _rows(sample: DataFrame, keys: np.ndarray) -> tuple[list[np.ndarray], np.nda
                 [pa.array([h.tobytes() for h in hits], pa.binary()), batch.column(1)], names=["hits", "label"]
             )
 
-    found = sample.select("text", "label").mapInArrow(find, "hits binary, label int").toPandas()
-    return [np.frombuffer(h, np.int32) for h in found["hits"]], found["label"].to_numpy(float)
+    found = sample.select("text", "label").mapInArrow(find, "hits binary, label int").toArrow()
+    hits = found.column("hits").combine_chunks()
+    each = np.array([len(h) // 4 for h in hits.to_pylist()], dtype=np.int32)
+    return each, np.frombuffer(b"".join(hits.to_pylist()), np.int32), found.column("label").to_numpy().astype(float)
 
 
-def _logistic(hits: list[np.ndarray], y: np.ndarray, scale: np.ndarray, ridge: float = 0.5, rounds: int = 300) -> tuple[np.ndarray, float]:
-    """Logistic regression on scaled presence features by accelerated gradient steps."""
-    row = np.repeat(np.arange(len(hits)), [len(h) for h in hits])
-    col = np.concatenate([np.empty(0, np.int32), *hits])
-    val = scale[col]
+def _logistic(
+    each: np.ndarray, col: np.ndarray, y: np.ndarray, scale: np.ndarray, ridge: float = 0.5, rounds: int = 300
+) -> tuple[np.ndarray, float]:
+    """Logistic regression on scaled presence features by accelerated gradient steps.
+
+    ``col`` holds the features of all documents one after the other, ``each`` how many a document has.
+    """
     n = len(y)
-    squares = np.bincount(row, weights=val * val, minlength=n)
+    row = np.repeat(np.arange(n, dtype=np.int32), each)
+    squares = np.bincount(row, weights=(scale * scale)[col], minlength=n)
     step = 4.0 / max(1e-9, squares.mean() * 4 + ridge / n + 1)
     w, b = np.zeros(len(scale)), float(np.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6)))
     seen_w, seen_b = w, b
     for t in range(1, rounds + 1):
         pull = (t - 1) / (t + 2)
         aw, ab = w + pull * (w - seen_w), b + pull * (b - seen_b)
-        margin = np.bincount(row, weights=val * aw[col], minlength=n) + ab
+        margin = np.bincount(row, weights=(scale * aw)[col], minlength=n) + ab
         error = 1 / (1 + np.exp(-np.clip(margin, -35, 35))) - y
-        gradient = np.bincount(col, weights=val * error[row], minlength=len(scale)) / n + ridge * aw / n
+        gradient = scale * np.bincount(col, weights=error[row], minlength=len(scale)) / n + ridge * aw / n
         seen_w, seen_b = w, b
         w, b = aw - step * gradient, ab - step * error.mean()
     return w, b
@@ -194,8 +199,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
     best = np.sort(best[np.abs(z[best]) >= Z_SCORE])
     if not len(best):
         best = np.sort(np.argsort(-np.abs(z), kind="stable")[:50])
-    hits, y = _rows(sample, keys[best])
-    weights, intercept = _logistic(hits, y, ratio[best])
+    weights, intercept = _logistic(*_rows(sample, keys[best]), ratio[best])
     return ToxicityModel(keys[best], weights * ratio[best], intercept)
 
 
