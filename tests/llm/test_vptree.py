@@ -64,3 +64,35 @@ def test_awkward_rows(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert vptree.nearest(empty, empty).count() == 0
     assert vptree.nearest(df, df.limit(0)).count() == 0
+
+
+def unit_vectors(count=2400, clusters=0):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(count, 32))
+    if clusters:
+        x = rng.normal(size=(clusters, 32))[rng.integers(0, clusters, count)] + 0.6 * x
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
+def one_long(factor, clusters=0):
+    x = unit_vectors(clusters=clusters)
+    x[17] *= factor
+    return x
+
+
+def heavy_tailed():
+    x = unit_vectors()
+    return x * np.random.default_rng(12).lognormal(0, 1, len(x))[:, None]
+
+
+@pytest.mark.parametrize("shard_rows", [300, 4096])
+@pytest.mark.parametrize("base", [one_long(10), one_long(50), one_long(50, 20), heavy_tailed()], ids=["x10", "x50", "x50 clusters", "log-normal"])
+def test_recall_of_uneven_norms(spark, base, shard_rows):
+    vectors = {i: [float(np.float32(v)) for v in x] for i, x in enumerate(base)}
+    df = spark.createDataFrame([(i, v, 0) for i, v in vectors.items()], SCHEMA)
+    got = found(vptree.nearest(df, df.where("vec_id % 40 = 0"), shard_rows=shard_rows))
+    want = brute(vectors, [i for i in vectors if i % 40 == 0], 20)
+    assert set(got) == set(want)
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    print("recall", hits / (20 * len(want)))
+    assert hits >= 0.9 * 20 * len(want)

@@ -1,14 +1,19 @@
 """Nearest neighbours by largest inner product with vantage-point trees per shard.
 
-An extra coordinate gives every vector the largest norm, so the largest inner product is the smallest
-distance and the triangle inequality holds. A small vantage-point tree, fitted on at most
-``SAMPLE`` vectors chosen by a hash of the id, deals all vectors to cells; a cell of more than
+An extra coordinate gives every vector one norm, so the largest inner product is the smallest
+distance and the triangle inequality holds. Vectors are first parted into at most ``BANDS`` bands of
+norms, each half as long as the one before and lifted to its own largest norm, so a few long vectors
+do not blur the distances of the others. A small vantage-point tree per band, all of them fitted on
+at most ``SAMPLE`` vectors chosen by a hash of the id, deals the vectors to cells; a cell of more than
 ``SHARD_ROWS`` vectors is dealt on to several shards by a hash. Each shard builds its own tree. A query
-first searches one shard of its own cell, which bounds the distance of its last neighbour, and then
-every shard whose cell may hold something nearer.
+first searches one shard of the cell in its direction in the largest band, which bounds the score of
+its last neighbour, and then every shard whose cell may hold something better.
 
-A branch or cell is skipped when its lower bound exceeds the last neighbour's distance times
-``relax``. ``relax`` = 1 is exact; less skips more and may miss neighbours.
+A branch or cell has a best score that its longest vector allows and a lower one that the triangle
+inequality allows. It is skipped when the second lies further below the first than ``relax`` squared
+times the gap of the last neighbour's score. The gap does not hold the norm that vectors are lifted
+to, and for equal norms it is the distance times ``relax``. ``relax`` = 1 is exact; less skips more
+and may miss neighbours.
 
 Equal vectors are indexed once with their ``k`` + 1 smallest ids, however many rows share them.
 Vectors that are null, empty, zero, of another length than most, or that hold null or non-finite
@@ -35,12 +40,17 @@ SHARD_ROWS = 4096
 LEAF_ROWS = 128
 QUERY_BLOCK = 16_384
 RELAX = 0.9
+BANDS = 32
+_ROUNDING = 1e-12
 FOUND = "query_id long, vec_id long, score double"
 
 
 @dataclass
 class Node:
-    """An inner node: its vantage point and the radius inside which the first child lies; or a leaf."""
+    """An inner node: its vantage point and the radius inside which the first child lies; or a leaf.
+
+    ``longest`` is the largest norm of the vectors below, before they were lifted.
+    """
 
     point: np.ndarray | None = None
     radius: float = 0.0
@@ -48,6 +58,18 @@ class Node:
     outside: Node | None = None
     rows: np.ndarray | None = None
     cell: int = -1
+    longest: float = 0.0
+
+
+@dataclass
+class Band:
+    """The vectors of similar norm: their largest norm, how many, their tree and its cells from ``first`` on."""
+
+    top: float
+    count: int
+    tree: Node
+    first: int
+    cells: int
 
 
 def lifted(vectors: np.ndarray, top: float) -> np.ndarray:
@@ -60,13 +82,29 @@ def distances(points: np.ndarray, to: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, np.einsum("ij,ij->i", points - to, points - to)))
 
 
+def turned(queries: np.ndarray, top: float) -> np.ndarray:
+    """Queries scaled to norm ``top``, beside lifted vectors."""
+    norm = np.linalg.norm(queries, axis=1)
+    return np.column_stack([queries * (top / norm)[:, None], np.zeros(len(queries))])
+
+
+def may_hold(bound: np.ndarray, longest: np.ndarray | float, product: np.ndarray, top: float, relax: float) -> np.ndarray:
+    """Whether vectors at least ``bound`` away and of norm up to ``longest`` may reach ``product`` with a turned query."""
+    most = top * longest
+    reached = top * top - np.square(np.maximum(bound, 0.0)) / 2
+    slack = _ROUNDING * top * top
+    return (product <= most + slack) & (most - reached <= relax * relax * (most - product) + slack)
+
+
 def build(points: np.ndarray, leaf_rows: int, seed: int = 7) -> Node:
-    """A vantage-point tree: each node splits its rows at the median distance to one of them."""
+    """A vantage-point tree of lifted vectors: each node splits its rows at the median distance to one of them."""
     random = np.random.default_rng(seed)
+    length = np.linalg.norm(points[:, :-1], axis=1)
 
     def grow(rows: np.ndarray) -> Node:
+        longest = float(length[rows].max(initial=0.0))
         if len(rows) <= leaf_rows:
-            return Node(rows=rows)
+            return Node(rows=rows, longest=longest)
         tried = random.choice(rows, min(8, len(rows)), replace=False)
         seen = random.choice(rows, min(64, len(rows)), replace=False)
         vantage = max(tried, key=lambda r: distances(points[seen], points[r]).std())
@@ -76,8 +114,8 @@ def build(points: np.ndarray, leaf_rows: int, seed: int = 7) -> Node:
         radius = float((far[order[half - 1]] + far[order[half]]) / 2)
         inside = far <= radius
         if inside.all():  # half the rows at one distance: no radius separates them
-            return Node(rows=rows)
-        return Node(points[vantage], radius, grow(rows[inside]), grow(rows[~inside]))
+            return Node(rows=rows, longest=longest)
+        return Node(points[vantage], radius, grow(rows[inside]), grow(rows[~inside]), longest=longest)
 
     return grow(np.arange(len(points)))
 
@@ -113,12 +151,11 @@ def search(
     """The best rows for each query; visits the nearer child first, then the other if it may help."""
     best = Best(len(queries), k, floor)
     norm = np.linalg.norm(queries, axis=1)
-    turned = np.column_stack([queries * (top / norm)[:, None], np.zeros(len(queries))])
+    at = turned(queries, top)
 
-    def reach(q: np.ndarray) -> np.ndarray:
-        """Distance of the last neighbour, for queries scaled to the common norm."""
-        product = best.last(q) * top / norm[q]
-        return relax * np.sqrt(np.maximum(0.0, 2 * top * top - 2 * np.maximum(product, -top * top)))
+    def hopeful(q: np.ndarray, node: Node, bound: np.ndarray) -> np.ndarray:
+        """The queries that may find something better than their last neighbour below a node."""
+        return q[may_hold(bound, node.longest, best.last(q) * top / norm[q], top, relax)]
 
     def visit(node: Node, q: np.ndarray) -> None:
         if not len(q):
@@ -126,13 +163,13 @@ def search(
         if node.rows is not None:
             best.add(q, queries[q] @ vectors[node.rows].T, node.rows, first_id)
             return
-        far = distances(turned[q], node.point)
+        far = distances(at[q], node.point)
         near = far <= node.radius
         visit(node.inside, q[near])
         visit(node.outside, q[~near])
         a, b = q[near], q[~near]
-        visit(node.outside, a[node.radius - far[near] <= reach(a)])
-        visit(node.inside, b[far[~near] - node.radius <= reach(b)])
+        visit(node.outside, hopeful(a, node.outside, node.radius - far[near]))
+        visit(node.inside, hopeful(b, node.inside, far[~near] - node.radius))
 
     visit(tree, np.arange(len(queries)))
     return best
@@ -216,26 +253,39 @@ def nearest(
     spark = vectors.sparkSession
     rows = staged(usable(vectors, id_col, vector_col), "vectors")
     norm2 = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)
-    top2 = rows.agg(F.max(norm2)).first()[0]
-    if top2 is None:
+    longest = rows.agg(F.max(norm2)).first()[0]
+    if longest is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    top = float(np.sqrt(top2))
-    index = staged(distinct_vectors(rows, k + 1), "index")
-    total = index.count()
-    sample = index.orderBy(F.xxhash64(F.col("ids")[0]), F.col("ids")[0]).limit(SAMPLE).select("vec").collect()
-    points = lifted(np.array([r["vec"] for r in sample]), top)
-    tree = build(points, max(4, int(len(points) * shard_rows / total)))
-    cells = _cells(tree)
-    shared = spark.sparkContext.broadcast((tree, cells, top))
+    halvings = F.floor(F.log2(F.lit(float(longest)) / F.col("norm2")) / 2).cast("int")
+    band = F.when(F.col("norm2") > 0, F.greatest(F.lit(0), F.least(halvings, F.lit(BANDS - 1)))).otherwise(BANDS - 1)
+    index = distinct_vectors(rows, k + 1).withColumn("norm2", norm2).withColumn("band", band)
+    index = staged(index, "index")
+    sizes = index.groupBy("band").agg(F.count("*").alias("count"), F.max("norm2").alias("norm2")).collect()
+    sample = index.orderBy(F.xxhash64(F.col("ids")[0]), F.col("ids")[0]).limit(SAMPLE).select("band", "vec").collect()
+    bands: dict[int, Band] = {}
+    for r in sorted(sizes, key=lambda r: r["band"]):
+        seen = [s["vec"] for s in sample if s["band"] == r["band"]]
+        top = float(np.sqrt(r["norm2"]))
+        points = lifted(np.array(seen, dtype=float).reshape(len(seen), -1), top) if seen else np.zeros((0, 1))
+        tree = build(points, max(4, int(len(points) * shard_rows / r["count"])))
+        bands[r["band"]] = Band(top, r["count"], tree, sum(b.cells for b in bands.values()), _cells(tree))
+    shared = spark.sparkContext.broadcast(bands)
 
     def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tree, _, top = shared.value
+        bands = shared.value
         for f in frames:
-            f["cell"] = _home(tree, lifted(np.array(f["vec"].tolist()), top)) if len(f) else np.empty(0, np.int64)
-            yield f
-
-    index = staged(index.mapInPandas(deal, "vec array<double>, ids array<long>, cell long"), "cells")
-    parts = {r["cell"]: max(1, -(-r["count"] // shard_rows)) for r in index.groupBy("cell").count().collect()}
+            f["cell"] = np.zeros(len(f), np.int64)
+            for number, band in bands.items():
+                at = np.flatnonzero(f["band"] == number)
+                if len(at):
+                    points = lifted(np.array(f["vec"].iloc[at].tolist()), band.top)
+                    f.iloc[at, f.columns.get_loc("cell")] = band.first + _home(band.tree, points)
+            yield f[["vec", "ids", "norm2", "cell"]]
+
+    index = staged(index.mapInPandas(deal, "vec array<double>, ids array<long>, norm2 double, cell long"), "cells")
+    held = index.groupBy("cell").agg(F.count("*").alias("count"), F.max("norm2").alias("norm2")).collect()
+    parts = {r["cell"]: max(1, -(-r["count"] // shard_rows)) for r in held}
+    longest = {r["cell"]: float(np.sqrt(r["norm2"])) for r in held}
     width = max(parts.values())
     held = spark.createDataFrame(sorted(parts.items()), "cell long, parts long")  # one row per cell
     part = F.pmod(F.xxhash64(F.col("ids")[0]), F.col("parts"))
@@ -249,33 +299,31 @@ def nearest(
         return range(cell * width, cell * width + parts.get(cell, 0))
 
     def go_home(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tree, _, top = shared.value
+        band = max(shared.value.values(), key=lambda b: b.count)
         for f in frames:
             if len(f):
-                q = np.array(f["vec"].tolist())
-                home = _home(tree, lifted(q, top))
+                home = band.first + _home(band.tree, turned(np.array(f["vec"].tolist()), band.top))
                 f["shard"] = [c * width + int(i) % max(1, parts.get(int(c), 1)) for c, i in zip(home, f["id"])]
                 f["floor"] = -np.inf
                 yield f[["id", "vec", "block", "shard", "floor"]]
 
     def go_on(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tree, cells, top = shared.value
         for f in frames:
             q = np.array(f["vec"].tolist())
             if not len(q):
                 continue
-            scale = top / np.linalg.norm(q, axis=1)
-            product = np.maximum(f["floor"].to_numpy() * scale, -top * top)
-            reach = relax * np.sqrt(np.maximum(0.0, 2 * top * top - 2 * product))
-            turned = np.column_stack([q * scale[:, None], np.zeros(len(q))])
-            at, cell = np.nonzero(_bounds(tree, turned, cells) <= reach[:, None])
-            out = [(i, s) for i, c in zip(at, cell) for s in shards_of(int(c))]
+            floor = f["floor"].to_numpy() / np.linalg.norm(q, axis=1)
+            out = []
+            for band in shared.value.values():
+                most = np.array([longest.get(band.first + c, 0.0) for c in range(band.cells)])
+                bound = _bounds(band.tree, turned(q, band.top), band.cells)
+                at, cell = np.nonzero(may_hold(bound, most, (floor * band.top)[:, None], band.top, relax))
+                out += [(i, s) for i, c in zip(at, cell) for s in shards_of(band.first + int(c))]
             g = f.iloc[[i for i, _ in out]].copy()
             g["shard"] = [s for _, s in out]
             yield g[g["shard"] != g["home"]][["id", "vec", "block", "shard", "floor"]]
 
     def look(key: tuple, held: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
-        _, _, top = shared.value
         out = []
         if len(held) and len(wanted):
             x = np.array(held["vec"].tolist())
@@ -283,6 +331,7 @@ def nearest(
             order = np.argsort(first, kind="stable")  # the same tree whatever order the rows arrive in
             x, first, ids = x[order], first[order], [held["ids"].iloc[o] for o in order]
             q, names = np.array(wanted["vec"].tolist()), wanted["id"].to_numpy()
+            top = float(np.linalg.norm(x, axis=1).max())
             best = search(build(lifted(x, top), LEAF_ROWS), x, first, q, k + 1, wanted["floor"].to_numpy(), top, relax)
             for n, name in enumerate(names):
                 found = [(s, i) for s, r in zip(best.score[n], best.row[n]) if r >= 0 for i in ids[r] if i != name]
