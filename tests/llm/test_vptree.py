@@ -96,3 +96,11 @@ def test_recall_of_uneven_norms(spark, base, shard_rows):
     hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
     print("recall", hits / (20 * len(want)))
     assert hits >= 0.9 * 20 * len(want)
+
+
+def test_repeated_id_takes_one_place(spark):
+    rows = [(3, [1.0, 0.0], 0)] * 30 + [(i, [1.0, 0.0], 0) for i in range(10, 35)] + [(50, [0.5, 0.5], 0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = found(vptree.nearest(df, df.where("vec_id IN (3, 50)")))
+    assert [i for i, _ in got[3]] == list(range(10, 30))
+    assert [i for i, _ in got[50]] == [3, *range(10, 29)]

@@ -236,7 +236,8 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 def distinct_vectors(rows: DataFrame, ids: int) -> DataFrame:
     """One row per distinct vector with its smallest ids, in order."""
     w = Window.partitionBy("vec").orderBy("id")
-    few = rows.withColumn("n", F.row_number().over(w)).where(F.col("n") <= ids)
+    pairs = rows.select("vec", "id").distinct()  # a repeated id takes one place only
+    few = pairs.withColumn("n", F.row_number().over(w)).where(F.col("n") <= ids)
     return few.groupBy("vec").agg(F.array_sort(F.collect_set("id")).alias("ids"))
 
 
