@@ -76,3 +76,20 @@ def test_masking_and_awkward_rows(spark):
     assert rows[5]["n_chars"] == docs.where("doc_id = 5").first()["n_chars"]
     assert pii.mask_pii(nothing(spark)).count() == 0
     assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_context_stands_on_either_side(spark):
+    far = " " * pii.CONTEXT_CHARS
+    texts = [
+        "123-45-6789 is my SSN", "555-010-9999 (phone)", "378282246310005 on my Amex", "ssn 123-45-6789", "phone 555-010-9999",
+        f"123-45-6789{far[3:]}ssn", f"123-45-6789{far[2:]}ssn", f"ssn{far[3:]}123-45-6789", f"ssn{far[2:]}123-45-6789",
+        "s123-45-6789sn", "123-45-6789, 555-010-9999 is the fax",
+    ]
+    kinds = {i: re.findall("[a-z_]+", r["all"]) for i, r in spans(spark, texts).items()}
+    assert kinds == {
+        0: ["ssn"], 1: ["local_phone"], 2: ["short_card"], 3: ["ssn"], 4: ["local_phone"], 5: ["ssn"], 6: [], 7: ["ssn"], 8: [],
+        9: [], 10: ["local_phone"],
+    }
+    docs = spark.createDataFrame([(0, texts[0]), (1, texts[1])], "doc_id long, text string")
+    masked = {r["doc_id"]: r["text"] for r in pii.mask_pii(docs).collect()}
+    assert masked == {0: "[SSN] is my SSN", 1: "[LOCAL_PHONE] (phone)"}

@@ -3,7 +3,8 @@
 Base kinds are reported whenever their pattern and check hold: ``email``; ``ip`` (four parts of at
 most 255); ``card`` (16 to 19 digits that pass Luhn); ``phone`` (``+``, 8 to 15 digits). Further
 kinds need a score of ``THRESHOLD``: ``iban`` (mod-97), ``short_card`` (13 to 15 digits that pass
-Luhn), ``ssn`` and ``local_phone`` (no checksum, so a context word must stand close before them).
+Luhn), ``ssn`` and ``local_phone`` (no checksum, so a context word must stand within ``CONTEXT_CHARS``
+characters before or after them).
 
 Patterns are written with possessive repeats and a lookbehind at the start of a run. They find what
 the plain greedy patterns find, in one pass over the text and without recursion on long runs.
@@ -125,7 +126,9 @@ def _spans_of(kind: Kind, text: Column, digits: Column) -> Column:
     def add(state: Column, pair: Column) -> Column:
         start = state["at"] + F.length(pair["gap"])
         end = start + F.length(pair["match"])
-        near = F.lower(F.substr(text, F.greatest(F.lit(1), start + 1 - CONTEXT_CHARS), F.least(start, F.lit(CONTEXT_CHARS))))
+        before = F.substr(text, F.greatest(F.lit(1), start + 1 - CONTEXT_CHARS), F.least(start, F.lit(CONTEXT_CHARS)))
+        after = F.substr(text, end + 1, F.lit(CONTEXT_CHARS))
+        near = F.lower(F.concat(before, F.lit("\n"), after))
         close = F.lit(False)
         for word in kind.context:
             close = close | near.contains(word)
