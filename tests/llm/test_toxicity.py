@@ -49,3 +49,27 @@ def test_planted_words_and_awkward_rows(spark):
     assert toxicity.score(nothing(spark), model).count() == 0
     none = toxicity.train(docs, labels.limit(0))
     assert toxicity.drop_toxic(docs, none).count() == docs.count()
+
+
+def test_held_out_recall(spark):
+    sf = "/root/testdata/sf0.1"
+    rows = {r["doc_id"]: r for r in QUERIES["op6_toxicity"](spark, sf).collect()}
+    held = [(rows[i]["predicted"], t) for i, t in rows_of(sf, "labels", "doc_id, toxic") if rows[i]["held_out"]]
+    found = [p for p, t in held if t == 1]
+    print("held-out recall", sum(found), len(found), "false positives", sum(p for p, t in held if t == 0))
+    assert np.mean(found) >= 0.75
+    assert not any(p for p, t in held if t == 0)
+
+
+def test_rare_toxic_words_among_very_many_common_grams(spark):
+    rng = np.random.default_rng(6)
+    common = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz0123456789"), 70_000))
+    assert len(toxicity.distinct_grams(common)) > 1 << 18
+    toxic = [i % 9 == 0 for i in range(360)]
+    planted = [t and i % 4 != 0 for i, t in enumerate(toxic)]
+    docs = spark.createDataFrame([(i, common + " zorblat" * p) for i, p in enumerate(planted)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(t)) for i, t in enumerate(toxic)], "doc_id long, toxic int")
+    model = toxicity.train(docs.repartition(8), labels)
+    asked = spark.createDataFrame([(0, "a zorblat here"), (1, "a word here")], "doc_id long, text string")
+    scores = {r["doc_id"]: r["score"] for r in toxicity.score(asked, model).collect()}
+    assert scores[0] >= 0.5 > scores[1]

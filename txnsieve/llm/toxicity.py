@@ -1,8 +1,9 @@
 """Toxicity: a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
 Training takes at most ``TRAIN_DOCS`` labelled documents, chosen by a hash of the id, and only rows
-outside the held-out fold. Spark counts in how many toxic and clean documents each n-gram occurs;
-the ``FEATURES`` n-grams whose log-count ratio stands out most from chance are kept. The presence of
+outside the held-out fold. Spark counts in how many toxic and clean documents each n-gram of at least
+``MIN_TOXIC_DOCS`` toxic documents occurs and ranks all of them by how far their log-count ratio
+stands out from chance; the first ``FEATURES`` are kept. The presence of
 an n-gram counts its ratio, and logistic regression weighs these scaled features. The model is a
 table of at most ``FEATURES`` numbers, so every task gets it whole.
 
@@ -27,12 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from txnsieve.llm.common import labelled_sample
+from txnsieve.llm.common import labelled_sample, slices
 from txnsieve.session import staged
 
 TRAIN_DOCS = 16_000
 ORDERS = (3, 4, 5, 6, 7)
-CANDIDATES = 1 << 18
 FEATURES = 8_000
 MIN_TOXIC_DOCS = 3
 Z_SCORE = 4.0
@@ -98,8 +98,8 @@ class GramMatcher:
         return np.unique(np.concatenate(found))
 
 
-def _toxic_grams(sample: DataFrame) -> np.ndarray:
-    """N-grams of several toxic documents, the most frequent first up to ``CANDIDATES``; sorted keys."""
+def _toxic_slots(sample: DataFrame) -> np.ndarray:
+    """A bitmap, packed, with the n-grams of several toxic documents; others may share their bits."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,35 +107,48 @@ def _toxic_grams(sample: DataFrame) -> np.ndarray:
             keys, n = np.unique(np.concatenate(found or [np.empty(0, np.uint64)]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["key", "n"])
 
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slots = np.unique(GramMatcher._slot(batch.column(0).to_numpy().view(np.uint64)))
+            yield pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int32))], names=["slot"])
+
     toxic = sample.where("label = 1").select("text").mapInArrow(count, "key long, n long")
-    top = (
-        toxic.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_TOXIC_DOCS)
-        .orderBy(F.desc("n"), "key").limit(CANDIDATES).toPandas()
-    )
-    return np.sort(top["key"].to_numpy(np.int64).view(np.uint64))
+    several = toxic.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_TOXIC_DOCS).select("key")
+    maybe = np.zeros(1 << _FILTER_BITS, dtype=bool)
+    maybe[several.mapInArrow(mark, "slot int").distinct().toArrow().column("slot").to_numpy()] = True
+    return np.packbits(maybe)
 
 
-def _document_counts(sample: DataFrame, keys: np.ndarray) -> np.ndarray:
-    """Documents of each class that hold each key: two rows, clean and toxic."""
-    shared = sample.sparkSession.sparkContext.broadcast(keys)
+def _log_ratio(held: np.ndarray, clean: int, toxic: int) -> tuple[np.ndarray, np.ndarray]:
+    """The log-count ratio of n-grams by their clean and toxic documents, and its z-score."""
+    ratio = np.log((held[1] + 0.5) / (toxic + 1)) - np.log((held[0] + 0.5) / (clean + 1))
+    return ratio, ratio / np.sqrt(1 / (held[1] + 0.5) + 1 / (held[0] + 0.5))
+
+
+def _telling_grams(sample: DataFrame, clean: int, toxic: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``FEATURES`` n-grams of the largest z-score: sorted keys, and their clean and toxic documents in two rows."""
+    shared = sample.sparkSession.sparkContext.broadcast(_toxic_slots(sample))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = GramMatcher(shared.value)
-        held = np.zeros((2, len(shared.value)), dtype=np.int64)
-        for batch in batches:
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held[label, matcher.hits(text)] += 1
-        at = np.flatnonzero(held.sum(axis=0))
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(held[0, at]), pa.array(held[1, at])], names=["at", "clean", "toxic"])
-
-    counted = (
-        sample.select("text", "label").mapInArrow(count, "at long, clean long, toxic long")
-        .groupBy("at").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toPandas()
+        maybe = np.unpackbits(shared.value).view(bool)
+        for batch in slices(batches, 400):
+            labels = batch.column(1).to_numpy()
+            found = [g[maybe[GramMatcher._slot(g)]] for g in (distinct_grams(t) for t in batch.column(0).to_pylist())]
+            for label in (0, 1):
+                mine = [g for g, is_toxic in zip(found, labels) if is_toxic == label]
+                keys, n = np.unique(np.concatenate(mine or [np.empty(0, np.uint64)]), return_counts=True)
+                n = [n * (label == 0), n * (label == 1)]
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), *map(pa.array, n)], names=["key", "clean", "toxic"])
+
+    held = (
+        sample.select("text", "label").mapInArrow(count, "key long, clean long, toxic long")
+        .groupBy("key").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where(F.col("toxic") >= MIN_TOXIC_DOCS)
     )
-    held = np.zeros((2, len(keys)))
-    held[0, counted["at"]] = counted["clean"]
-    held[1, counted["at"]] = counted["toxic"]
-    return held
+    in_clean, in_toxic = F.col("clean") + 0.5, F.col("toxic") + 0.5
+    ratio = F.log(in_toxic / (toxic + 1)) - F.log(in_clean / (clean + 1))
+    z = F.abs(ratio / F.sqrt(1 / in_toxic + 1 / in_clean))
+    top = held.orderBy(F.desc(z), "key").limit(FEATURES).toPandas().sort_values("key")
+    return top["key"].to_numpy(np.int64).view(np.uint64), top[["clean", "toxic"]].to_numpy(np.int64).T
 
 
 def _rows(sample: DataFrame, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -187,16 +200,13 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
     )
     classes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     clean, toxic = classes.get(0, 0), classes.get(1, 0)
-    keys = _toxic_grams(sample) if clean and toxic else np.empty(0, np.uint64)
+    keys, held = _telling_grams(sample, clean, toxic) if clean and toxic else (np.empty(0, np.uint64), None)
     if not len(keys):
         share = toxic / (clean + toxic) if clean + toxic else 0.0
         bounded = min(max(share, 1e-6), 1 - 1e-6)
         return ToxicityModel(np.empty(0, np.uint64), np.empty(0), float(np.log(bounded / (1 - bounded))))
-    held = _document_counts(sample, keys)
-    ratio = np.log((held[1] + 0.5) / (toxic + 1)) - np.log((held[0] + 0.5) / (clean + 1))
-    z = ratio / np.sqrt(1 / (held[1] + 0.5) + 1 / (held[0] + 0.5))
-    best = np.argsort(-np.abs(z), kind="stable")[:FEATURES]
-    best = np.sort(best[np.abs(z[best]) >= Z_SCORE])
+    ratio, z = _log_ratio(held, clean, toxic)
+    best = np.flatnonzero(np.abs(z) >= Z_SCORE)
     if not len(best):
         best = np.sort(np.argsort(-np.abs(z), kind="stable")[:50])
     weights, intercept = _logistic(*_rows(sample, keys[best]), ratio[best])
