@@ -7,9 +7,9 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from txnsieve.session import get_session  # noqa: E402
+from checks import SF_DIR  # noqa: E402
 
-SF_DIR = "/root/testdata/sf0.001"
+from txnsieve.session import get_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -31,7 +31,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sf_dir() -> str:
     return SF_DIR
-
-
-def plan_text(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import plan_text
+from checks import plan_text
 
 from txnsieve.config import DAY_MS
 from txnsieve.operators import lookups

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import duckdb
 import pytest
-from conftest import SF_DIR, plan_text
+from checks import SF_DIR, plan_text
 
 import __spark_entry__ as contract
 from txnsieve.plans.oracles import ORACLES

@@ -4,7 +4,7 @@ import json
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import plan_text
+from checks import plan_text
 from pyspark.sql import functions as F
 
 from txnsieve.config import Quota

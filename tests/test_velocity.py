@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import plan_text
+from checks import plan_text
 from pyspark.sql import functions as F
 
 from txnsieve.config import (
