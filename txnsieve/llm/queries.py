@@ -8,7 +8,21 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnsieve.llm import exact_dedup, kd_shards, ngram_join, packing, pii, quality, token_counts, toxicity, unigram, vptree
+from txnsieve.llm import (
+    decontamination,
+    exact_dedup,
+    kd_shards,
+    ngram_join,
+    packing,
+    periodic_runs,
+    pii,
+    quality,
+    token_counts,
+    toxicity,
+    unigram,
+    vptree,
+    whitening,
+)
 from txnsieve.llm.common import documents, held_out, ship_package, table
 
 SHARDS = 16
@@ -108,6 +122,72 @@ def op10_unigram(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector on the first four whitened components."""
+    white = whitening.whiten(table(spark, sf_dir, "embeddings"), components=4)
+    each = white.select("vec_id", "n", "deviation", "explained", "identity_error", F.posexplode("whitened").alias("at", "whitened"))
+    return each.select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        "n",
+        "deviation",
+        "whitened",
+        F.col("explained")[F.col("at")].alias("explained"),
+        "identity_error",
+    )
+
+
+def _with_loops(docs: DataFrame) -> DataFrame:
+    """Every tenth text, by a hash of its id, repeats a block of its words from some word to its end."""
+    ids = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", -1), lambda w: w != F.lit(""))
+    chosen = docs.select("doc_id", "text", ids.alias("h"), F.when(ids % 10 == 0, words).alias("words"))
+    n, g, a, p = F.size("words"), F.floor(F.col("h") / 10), F.col("a"), F.col("p")
+    looped = chosen.withColumn("a", F.when(n > 0, F.pmod(g, n)).cast("int"))
+    looped = looped.withColumn("p", (1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))).cast("int"))
+    blocks = F.flatten(F.array_repeat(F.slice("words", a + 1, p), F.ceil((n - a) / p).cast("int")))
+    text = F.array_join(F.slice(F.concat(F.slice("words", F.lit(1), a), blocks), F.lit(1), n), " ")
+    return looped.select("doc_id", F.when(a.isNotNull(), text).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document, the longest of them, and digests of all runs and of the text without repeats."""
+    found = periodic_runs.periodic_runs(_with_loops(documents(spark, sf_dir)))
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    rows = found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        longest.alias("longest"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+    length = -F.col("longest.less")
+    return rows.select(
+        "doc_id",
+        "n_runs",
+        F.col("longest.start").alias("start"),
+        length.alias("length"),
+        F.col("longest.period").alias("period"),
+        F.floor(1000 * length / F.col("longest.period")).alias("exponent_milli"),
+        "runs_sha256",
+        "collapsed_sha256",
+    )
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that repeat ten words of a benchmark item, and the items."""
+    found = decontamination.contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def _with_package(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """The query after its executors got this package; for queries that run Python there."""
 
@@ -130,6 +210,9 @@ QUERIES = {
     "op8_token_counts": _with_package(op8_token_counts),
     "op9_sharding": op9_sharding,
     "op10_unigram": _with_package(op10_unigram),
+    "op11_whitening": _with_package(op11_whitening),
+    "op12_periodic_runs": _with_package(op12_periodic_runs),
+    "op13_decontamination": op13_decontamination,
 }
 
 ORACLES = {
@@ -160,4 +243,34 @@ ORACLES = {
         FROM (SELECT doc_id, coalesce(text, '') AS whole FROM documents)
         WINDOW same AS (PARTITION BY whole)
     """,
+    "op13_decontamination": r"""
+        WITH doc_words AS (
+          SELECT row_number() OVER () AS doc_row, doc_id, list_filter(string_split_regex(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws
+          FROM documents),
+        item_words AS (
+          SELECT cast(item_id AS varchar) AS item, list_filter(string_split_regex(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws
+          FROM benchmark),
+        windows AS (
+          SELECT DISTINCT item, k, array_to_string(ws[i:i + k - 1], ' ') AS gram
+          FROM (SELECT item, ws, least(10, len(ws)) AS k, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) AS i
+                FROM item_words WHERE len(ws) > 0)),
+        grams AS (
+          SELECT doc_row, k, i, array_to_string(ws[i:i + k - 1], ' ') AS gram
+          FROM (SELECT doc_row, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
+                FROM doc_words JOIN (SELECT DISTINCT k FROM windows) ON len(ws) >= k)),
+        found AS (SELECT doc_row, i, grams.k, item FROM grams JOIN windows ON grams.gram = windows.gram AND grams.k = windows.k),
+        hits AS (
+          SELECT doc_row, count(DISTINCT place) AS n_hit
+          FROM (SELECT doc_row, unnest(range(i, i + k)) AS place FROM (SELECT DISTINCT doc_row, i, k FROM found)) GROUP BY doc_row),
+        listed AS (
+          SELECT doc_row, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items
+          FROM found GROUP BY doc_row)
+        SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM doc_words LEFT JOIN hits USING (doc_row) LEFT JOIN listed USING (doc_row)
+    """,
 }
