@@ -104,7 +104,7 @@ def phrase_matches(index: DataFrame, phrases: DataFrame) -> DataFrame:
         ended = alone.where(F.col("words") <= fewer).select("phrase")
         found.append(lookup_join(starts, ended, ["phrase"], "left_semi", spread_by=["row", "start"]))
         starts = staged(_intersect(index, starts, terms.where((F.col("rank") > fewer) & (F.col("rank") <= more))), "phrase-starts")
-    return found[0].unionByName(found[1]).unionByName(starts)
+    return found[0].unionByName(found[1]).unionByName(starts).select("row", "start", "phrase")
 
 
 def near_matches(index: DataFrame, phrases: DataFrame, within: int) -> DataFrame:

@@ -80,15 +80,15 @@ def grid_rows(batch: pa.RecordBatch, width: int) -> np.ndarray:
     return batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, width)
 
 
-def blocks_of(total: list[int], n: int) -> Callable[[pa.Table], pa.Table]:
-    """A task that turns the grid rows of one block row into centred blocks, ``COLS_PER_BLOCK`` columns each."""
+def blocks_of(total: list[int], n: int, wide: int) -> Callable[[pa.Table], pa.Table]:
+    """A task that turns the grid rows of one block row into centred blocks of ``wide`` columns each."""
 
     def run(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("_index").combine_chunks()
         centred = (exact_gaps(grid_rows(rows.to_batches()[0], len(total)), total, n) / n).astype(np.float64)
         block = rows.column("_block")[0].as_py()
-        cuts = range(0, len(total), COLS_PER_BLOCK)
-        parts = [np.ascontiguousarray(centred[:, c : c + COLS_PER_BLOCK].T) for c in cuts]  # column by column
+        cuts = range(0, len(total), wide)
+        parts = [np.ascontiguousarray(centred[:, c : c + wide].T) for c in cuts]  # column by column
         at = [{"_1": block, "_2": i} for i in range(len(parts))]
         matrix = [
             {"type": 1, "numRows": p.shape[1], "numCols": p.shape[0], "colPtrs": None, "rowIndices": None, "values": p.ravel(), "isTransposed": False}
@@ -102,7 +102,7 @@ def blocks_of(total: list[int], n: int) -> Callable[[pa.Table], pa.Table]:
 def block_matrix(rows: DataFrame, total: list[int], n: int, count: int) -> BlockMatrix:
     """The centred rows of ``_index`` and ``x``, indexed from 0 to ``count``, as a distributed block matrix."""
     by_block = rows.select("_index", "x", F.floor(F.col("_index") / ROWS_PER_BLOCK).alias("_block")).groupBy("_block")
-    blocks = by_block.applyInArrow(blocks_of(total, n), BLOCKS)
+    blocks = by_block.applyInArrow(blocks_of(total, n, COLS_PER_BLOCK), BLOCKS)
     made = callMLlibFunc("createBlockMatrix", blocks, ROWS_PER_BLOCK, COLS_PER_BLOCK, count, len(total))
     return BlockMatrix(made, ROWS_PER_BLOCK, COLS_PER_BLOCK)
 
@@ -124,15 +124,19 @@ def times(matrix: BlockMatrix, local: np.ndarray) -> BlockMatrix:
     return matrix.multiply(other)
 
 
-def block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of blocks, each with its index."""
-    for batch in batches:
-        for at, block in zip(batch.column(0), batch.column(1)):
-            first, high, wide = at["_1"].as_py() * ROWS_PER_BLOCK, block["numRows"].as_py(), block["numCols"].as_py()
-            values = block["values"].values.to_numpy().reshape((high, wide), order="C" if block["isTransposed"].as_py() else "F")
-            ends = pa.array(np.arange(high + 1, dtype=np.int32) * wide)
-            index = pa.array(np.arange(first, first + high, dtype=np.int64))
-            yield pa.RecordBatch.from_arrays([index, pa.ListArray.from_arrays(ends, pa.array(values.ravel()))], names=["_index", "whitened"])
+def block_rows(rows_per_block: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task that gives the rows of blocks, each with its index."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, block in zip(batch.column(0), batch.column(1)):
+                first, high, wide = at["_1"].as_py() * rows_per_block, block["numRows"].as_py(), block["numCols"].as_py()
+                values = block["values"].values.to_numpy().reshape((high, wide), order="C" if block["isTransposed"].as_py() else "F")
+                ends = pa.array(np.arange(high + 1, dtype=np.int32) * wide)
+                index = pa.array(np.arange(first, first + high, dtype=np.int64))
+                yield pa.RecordBatch.from_arrays([index, pa.ListArray.from_arrays(ends, pa.array(values.ravel()))], names=["_index", "whitened"])
+
+    return run
 
 
 def deviations(total: list[int], n: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -195,7 +199,7 @@ def project(rows: DataFrame, model: Whitening) -> DataFrame:
     ship_package(rows.sparkSession)
     blocks = times(block_matrix(rows, model.total, model.n, rows.count()), model.matrix)
     placed = callMLlibFunc("getMatrixBlocks", blocks._java_matrix_wrapper._java_model)
-    placed = placed.mapInArrow(block_rows, "_index long, whitened array<double>")
+    placed = placed.mapInArrow(block_rows(ROWS_PER_BLOCK), "_index long, whitened array<double>")
     moved = rows.select("_index", "vec_id", "x").mapInArrow(deviations(model.total, model.n), "_index long, vec_id long, deviation long")
     return moved.join(placed, "_index")
 
