@@ -13,8 +13,7 @@ from txnsieve.llm.word_bpe import word_bpe
 
 @pytest.fixture(scope="module")
 def library():
-    tokenizer = Tokenizer.from_file(WORD_BPE)
-    tokenizer.encode_special_tokens = True
+    tokenizer = Tokenizer.from_file(WORD_BPE)  # as it stands in its file
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -23,8 +22,10 @@ def test_ids_equal_the_library(library, sf_dir):
     alphabet = "abcDEé'ßÇ.,!?-_19 \n\tœ“Σİ\x00\x1ć日😀　"
     texts = [t or "" for (t,) in rows_of(sf_dir, "documents", "text")]
     texts += ["".join(random.choice(alphabet) for _ in range(random.randint(0, 40))) for _ in range(2000)]
-    texts += ["Don't I'LL ''s 12km", "<|endoftext|> x", "x" * 400, "!?" * 200]
+    texts += ["Don't I'LL ''s 12km", "x" * 400, "!?" * 200]
+    texts += ["hello <|endoftext|> world", "a<|startoftext|>b<|endoftext|><|endoftext|>", "<|ENDOFTEXT|> <|endoftext |>", "<|", "é<|endoftext|>日"]
     encoder = word_bpe(WORD_BPE)
+    assert library("hello <|endoftext|> world") == [3306, 49407, 1002]
     for text in texts:
         assert np.frombuffer(encoder.ids(text), np.uint32).tolist() == library(text), text[:80]
 

@@ -3,8 +3,9 @@
 The file's own library defines the ids. No word crosses white space and texts repeat their words, so
 each white-space-free chunk is encoded once per worker and joined by dictionary look-ups. New chunks
 go through a byte-pair engine that merges by the rank of the joined bytes; the end of a word is a
-byte that UTF-8 never holds. Chunks with signs beyond Latin letters and common punctuation, and
-texts with the four separators that only Python counts as white space, go to the library itself.
+byte that UTF-8 never holds. Chunks with signs beyond Latin letters and common punctuation, chunks that may
+name a special token (which the library turns into its id), and texts with the four separators that only
+Python counts as white space go to the library itself, with the settings of its file.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ CACHED_CHUNKS = 500_000
 #: How the vocabulary file splits a text into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _WORD_END = b"\xff"
+#: How the special tokens of the file begin; they match as they are, before any change of the text.
+SPECIAL = "<|"
 
 
 def printable_bytes() -> dict[str, int]:
@@ -37,7 +40,6 @@ class WordBpe(dict):
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             model = json.load(f)["model"]
         byte_of, end = printable_bytes(), model["end_of_word_suffix"]
@@ -61,7 +63,7 @@ class WordBpe(dict):
         self.odd = regex.compile(r"[^\t\n\r\x20-\x7e\xa1-\xffĀ-įı-ňŊ-ž‐-‧€]")
 
     def __missing__(self, chunk: str) -> bytes:
-        if not (chunk.isascii() and chunk.isprintable()) and self.odd.search(chunk):
+        if SPECIAL in chunk or (not (chunk.isascii() and chunk.isprintable()) and self.odd.search(chunk)):
             ids = self.by_library(chunk)
         else:
             low = chunk.lower()
