@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import rows_of
 from txnsieve.llm import vptree
@@ -61,6 +62,8 @@ def test_awkward_rows(spark):
     df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "'r' AS rank", "'s' AS score")
     got = found(vptree.nearest(df, df.where("vec_id % 20 = 0")))
     assert got == {0: [(1, 0.5), (20, 0.5)], 20: [(0, 0.5), (1, 0.5)]}
+    three = found(vptree.nearest(df.unionByName(df.where("vec_id = 8").withColumn("vec_id", F.lit(9))), df.where("vec_id = 8")))
+    assert three == {8: [(9, 14.0)]}  # a query finds vectors of its own length
     empty = spark.createDataFrame([], SCHEMA)
     assert vptree.nearest(empty, empty).count() == 0
     assert vptree.nearest(df, df.limit(0)).count() == 0
@@ -104,3 +107,42 @@ def test_repeated_id_takes_one_place(spark):
     got = found(vptree.nearest(df, df.where("vec_id IN (3, 50)")))
     assert [i for i, _ in got[3]] == list(range(10, 30))
     assert [i for i, _ in got[50]] == [3, *range(10, 29)]
+
+
+@pytest.mark.parametrize("relax", [1.0, 0.9])
+def test_extreme_norms(spark, relax):
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(300, 5))
+    scales = [1.0, 1e-160, 1e150, 1e-60, 1e120, 1e-120]
+    base *= np.array([scales[i % 6] for i in range(300)])[:, None]
+    vectors = {i: [float(v) for v in x] for i, x in enumerate(base)}
+    df = spark.createDataFrame([(i, v, 0) for i, v in vectors.items()], "vec_id long, embedding array<double>, label int")
+    got = found(vptree.nearest(df, df.where("vec_id % 7 = 0"), k=5, relax=relax, shard_rows=64))
+    want = brute(vectors, [i for i in vectors if i % 7 == 0], 5)
+    for q in want:
+        assert [i for i, _ in got[q]] == [i for i, _ in want[q]], q
+        assert np.allclose([s for _, s in got[q]], [s for _, s in want[q]], rtol=1e-12)
+
+
+@pytest.mark.parametrize("rows", [
+    [(0, [1e200, 1e200]), (1, [1e200, 5e199]), (2, [1.0, 0.0]), (3, [-1e200, 0.0])],
+    [(0, [1e100, 0.0]), (1, [1e-60, 0.0]), (2, [0.0, 1e100]), (3, [5e-324, 0.0])],
+    [(0, [1.0, 0.0]), (1, [1e-158, 0.0]), (2, [1e-158, 1e-158]), (3, [-1e-300, 0.0])],
+])
+def test_no_finite_vector_overflows(spark, rows):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = found(vptree.nearest(df, df))
+    with np.errstate(over="ignore"):
+        want = brute(dict(rows), range(4), 20)
+    assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in want.items()}
+    assert all(s == w or abs(s - w) <= 1e-12 * abs(w) for q in want for (_, s), (_, w) in zip(got[q], want[q]))
+
+
+def test_many_visits_to_one_shard(spark, monkeypatch):
+    monkeypatch.setattr(vptree, "QUERY_BLOCK", 50)
+    rng = np.random.default_rng(9)
+    vectors = {i: [float(v) for v in x] for i, x in enumerate(rng.normal(size=(400, 4)))}
+    df = spark.createDataFrame([(i, v, 0) for i, v in vectors.items()], SCHEMA.replace("float", "double"))
+    got = found(vptree.nearest(df, df, k=3, relax=1.0))
+    want = brute(vectors, range(400), 3)
+    assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in want.items()}
