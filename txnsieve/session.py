@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,3 +68,27 @@ def staged(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     path = f"{folder}/{label}-{uuid.uuid4().hex}" if folder else run_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Gives this package to the executors' Python, once per application, by way of the shared folder.
+
+    Needed where executors were started without it; harmless where they have it.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    content = io.BytesIO()
+    with zipfile.ZipFile(content, "w") as z:
+        for source in sorted(package.rglob("*.py")):
+            z.writestr(str(source.relative_to(package.parent)), source.read_bytes())
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{run_folder(spark, 'package')}/{package.name}.zip")
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    out.write(content.getvalue())
+    out.close()
+    context.addPyFile(target.toString())
+    _SHIPPED.add(context.applicationId)
