@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
 from collections.abc import Iterator
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from txnsieve.session import run_folder
+from txnsieve.session import ship_package
+
+__all__ = ["documents", "full_text", "held_out", "labelled_sample", "numbered", "ship_package", "slices", "table"]
 
 HELD_OUT_FOLDS = 5
 NUMBERED_ROWS = 200_000
@@ -24,30 +23,6 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.Re
             yield batch.slice(start, rows)
 
 
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Gives this package to the executors' Python, once per application, by way of the shared folder.
-
-    Needed where executors were started without it; harmless where they have it.
-    """
-    context = spark.sparkContext
-    if context.applicationId in _SHIPPED:
-        return
-    package = Path(__file__).resolve().parents[1]
-    content = io.BytesIO()
-    with zipfile.ZipFile(content, "w") as z:
-        for source in sorted(package.rglob("*.py")):
-            z.writestr(str(source.relative_to(package.parent)), source.read_bytes())
-    target = spark._jvm.org.apache.hadoop.fs.Path(f"{run_folder(spark, 'package')}/{package.name}.zip")
-    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
-    out.write(content.getvalue())
-    out.close()
-    context.addPyFile(target.toString())
-    _SHIPPED.add(context.applicationId)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
