@@ -10,7 +10,8 @@ from txnsieve.config import (
     CARD_1H, CARD_1M, CARD_5M, DAY_MS, DEFAULT_SIGNALS, DEVICE_CARDS_24H, HOUR_MS, IP_CARDS_1H, MINUTE_MS,
 )
 from txnsieve.functions.scores import tier_score
-from txnsieve.operators.velocity import behavioral_score, velocity_snapshot, with_velocity
+from txnsieve.operators.levels import ASKED, AT, running_levels
+from txnsieve.operators.velocity import behavioral_score, velocity_levels, velocity_snapshot, with_velocity
 
 COLUMNS = "transaction_id string, card_fingerprint string, device_fingerprint string, ip_address string, event_ms long"
 T0 = 1_700_000_000_000
@@ -135,3 +136,35 @@ def test_no_frame_visits_rows_again_and_rows_combine_before_the_shuffle(spark):
     assert "RangeFrame" not in plan and "collect_set" not in plan
     assert "partial_sum" in plan and "partial_min" in plan
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("parts", [1, 7, 96])
+def test_parts_of_a_slice_carry_what_came_before(spark, parts):
+    rng = random.Random(parts)
+    rows = [("hot" if rng.random() < 0.7 else "cold", rng.randrange(5000), rng.choice([1, -1]), 1) for _ in range(600)]
+    changes = spark.createDataFrame(rows, f"k string, {AT} long, n long, {ASKED} long")
+    found = {(r["k"], r[AT]): r["n"] for r in running_levels(changes, "k", ["n"], 1000, parts).collect()}
+    for k, at in {(k, at) for k, at, _, _ in rows}:
+        assert found.pop((k, at)) == sum(n for o, t, n, _ in rows if o == k and at - at % 1000 <= t <= at)
+    assert not found
+
+
+def test_a_hot_device_of_one_day_is_spread_over_tasks(spark):
+    """Two hundred thousand events of one device in one slice."""
+    day = T0 - T0 % DAY_MS
+    rows = spark.range(200_000).selectExpr(
+        "concat('t', id) transaction_id", "concat('c', id % 500) card_fingerprint", "'hot' device_fingerprint",
+        "'1.1.1.1' ip_address", f"{day} + id * 400 event_ms",
+    )
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        for signal, least in ((DEVICE_CARDS_24H, 500), (IP_CARDS_1H, 500)):
+            levels = velocity_levels(rows, [signal])
+            tasks = levels.groupBy(F.spark_partition_id().alias("task")).count().collect()
+            assert len(tasks) >= 16 and max(r["count"] for r in tasks) <= 200_000 // 8
+            assert levels.agg(F.max(signal.name)).first()[0] == least
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)

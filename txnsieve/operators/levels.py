@@ -7,7 +7,13 @@ where a RANGE frame would visit every row of the frame again for each row.
 A single key may hold a large share of all rows, so time is cut into slices as long as the longest
 window, and each slice is summed on its own: an event that is still inside its window at the end of
 a slice enters the next slice at its start, and never reaches a third one. Changes of one instant
-are merged first, so one task holds at most one row per millisecond of a slice.
+are merged first.
+
+A hot key may still have most of its rows in one slice, so a slice is cut into ``PARTS`` parts, and the
+sum runs on two levels: each part is added up, the totals of the earlier parts of the slice (at most
+``PARTS`` rows) are added up to what the part starts with, and that enters the part as one more change
+before its first instant. One task then holds one part of a slice of a key: at most one row for each
+millisecond of the part.
 """
 
 from __future__ import annotations
@@ -19,23 +25,32 @@ from pyspark.sql import functions as F
 ASKED = "_asked"
 AT = "_at"
 SLICE = "_slice"
+PART = "_part"
+# Parts of a slice that are summed by tasks of their own.
+PARTS = 96
 
 
 def slice_start(ms: Column, length: int) -> Column:
     return ms - F.pmod(ms, F.lit(length))
 
 
-def running_levels(changes: DataFrame, key: str, measures: list[str], slice_ms: int) -> DataFrame:
+def running_levels(changes: DataFrame, key: str, measures: list[str], slice_ms: int, parts: int = PARTS) -> DataFrame:
     """Sum ``measures`` from the start of the slice up to and including each instant, per key.
 
     ``changes`` has columns ``key``, ``_at``, ``_asked`` and the measures. Returns one row
     ``key, _at, measures`` for every instant asked for.
     """
+    part_ms = -(-slice_ms // parts)
     merged = changes.groupBy(key, AT).agg(*[F.sum(m).alias(m) for m in measures], F.sum(ASKED).alias(ASKED))
-    up_to_here = (
-        Window.partitionBy(key, slice_start(F.col(AT), slice_ms))
-        .orderBy(AT)
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    levels = merged.select(key, AT, ASKED, *[F.sum(m).over(up_to_here).alias(m) for m in measures])
+    start = slice_start(F.col(AT), slice_ms)
+    placed = merged.withColumn(SLICE, start).withColumn(PART, F.floor((F.col(AT) - start) / part_ms))
+    earlier = Window.partitionBy(key, SLICE).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy(key, SLICE, PART).agg(*[F.sum(m).alias(m) for m in measures])
+    carried = totals.select(
+        key, (F.col(SLICE) + F.col(PART) * part_ms - 1).alias(AT), *[F.sum(m).over(earlier).alias(m) for m in measures],
+        F.lit(0).cast("long").alias(ASKED), SLICE, PART,
+    ).where(F.greatest(*[F.abs(F.coalesce(m, F.lit(0))) for m in measures], F.lit(0)) > 0)
+    up_to_here = Window.partitionBy(key, SLICE, PART).orderBy(AT).rowsBetween(Window.unboundedPreceding, 0)
+    rows = placed.unionByName(carried)
+    levels = rows.select(key, AT, ASKED, *[F.sum(m).over(up_to_here).alias(m) for m in measures])
     return levels.where(F.col(ASKED) > 0).drop(ASKED)
