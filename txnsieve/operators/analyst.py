@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from txnsieve.config import NEEDS_REVIEW
 from txnsieve.operators.decisions import latest_decisions
+from txnsieve.operators.lookups import lookup_join
+from txnsieve.session import staged
+from txnsieve.sources.tables import partition_values
+
+# Fixed value: the folder name of rows without a day; the last one in falling order.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 # Columns of the analyst views.
 TRANSACTION_VIEW = (
@@ -42,24 +49,53 @@ def _newest(rows: DataFrame, time: str, limit: int, ties: Sequence[str]) -> Data
     return rows.orderBy(*[F.col(c).desc() for c in (time, *ties)]).limit(limit)
 
 
+def days_of(spark: SparkSession, path: str, day: str = "decided_on") -> list[str]:
+    """The days of a table that is stored by day, newest first, from the names of its folders."""
+    return sorted(partition_values(spark, path, day), key=lambda d: (d != NO_DAY, d), reverse=True)
+
+
+def _newest_by_day(
+    table: DataFrame, days: Sequence[str] | None, day: str, time: str, limit: int, ties: Sequence[str],
+    keep: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """The newest rows that ``keep`` leaves, read from the newest days backwards until there are enough.
+
+    Twice as many days are read in each step, and no day twice, so the steps grow with the logarithm of the
+    days that are needed. Without ``days`` the whole table is one step.
+    """
+    if not days:
+        return _newest(keep(table), time, limit, ties)
+    kind = table.schema[day].dataType
+    found, missing, at, span = [], limit, 0, 1
+    while missing > 0 and at < len(days):
+        listed = F.col(day).isin(*[F.lit(d).cast(kind) for d in days[at : at + span] if d != NO_DAY])
+        if NO_DAY in days[at : at + span]:
+            listed = listed | F.col(day).isNull()
+        found.append(staged(_newest(keep(table.where(listed)), time, missing, ties), "newest"))
+        missing -= found[-1].count()
+        at, span = at + span, span * 2
+    return _newest(reduce(DataFrame.unionByName, found), time, limit, ties)
+
+
 def pending_review(
-    decisions: DataFrame, transactions: DataFrame, limit: int = 20, ties: Sequence[str] = ("transaction_id",)
+    decisions: DataFrame,
+    transactions: DataFrame,
+    limit: int = 20,
+    ties: Sequence[str] = ("transaction_id",),
+    days: Sequence[str] | None = None,
+    day: str = "decided_on",
 ) -> DataFrame:
-    """Newest decisions that wait for an analyst, with their transaction.
+    """Newest decisions that wait for an analyst, with their transaction; those without one are left out.
 
-    Only the newest candidates are looked up; more of them, if some turn out to have no transaction.
+    ``days`` (newest first) lists the days of a table stored by day, of which only those are read that are needed.
     """
-    waiting = decisions.where(F.col("decision") == NEEDS_REVIEW).select(
-        "transaction_id", "risk_score", "decided_at"
-    )
     details = transactions.select("transaction_id", *REVIEW_VIEW[3:])
-    take = limit
-    while True:
-        newest = _newest(waiting, "decided_at", take, ties)
-        found = details.join(F.broadcast(newest), "transaction_id")
-        if found.limit(limit).count() == limit or newest.count() < take:
-            return _newest(found, "decided_at", limit, ties).select(*REVIEW_VIEW)
-        take *= 4
+
+    def waiting(rows: DataFrame) -> DataFrame:
+        asked = rows.where(F.col("decision") == NEEDS_REVIEW).select("transaction_id", "risk_score", "decided_at")
+        return lookup_join(details, asked, ["transaction_id"], "inner").select(*REVIEW_VIEW)
+
+    return _newest_by_day(decisions, days, day, "decided_at", limit, ties, waiting)
 
 
 def list_failures(
@@ -70,8 +106,16 @@ def list_failures(
     return _newest(shown, "created_at", limit, ties).select(*FAILURE_VIEW)
 
 
-def audit_tail(decisions: DataFrame, limit: int = 40, ties: Sequence[str] = ("transaction_id",)) -> DataFrame:
-    return _newest(decisions, "decided_at", limit, ties).select(*DECISION_VIEW)
+def audit_tail(
+    decisions: DataFrame,
+    limit: int = 40,
+    ties: Sequence[str] = ("transaction_id",),
+    days: Sequence[str] | None = None,
+    day: str = "decided_on",
+) -> DataFrame:
+    """The newest decisions; ``days`` as for ``pending_review``."""
+    shown = list(dict.fromkeys([*DECISION_VIEW, *ties]))
+    return _newest_by_day(decisions, days, day, "decided_at", limit, ties, lambda rows: rows.select(*shown)).select(*DECISION_VIEW)
 
 
 def decision_breakdown(decisions: DataFrame) -> DataFrame:

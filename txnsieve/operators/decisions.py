@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txnsieve.config import APPROVED, AUTO_REJECTED, PENDING, SLICE_MS, Cutoffs
 from txnsieve.functions.scores import decide
 from txnsieve.operators.levels import slice_start
+from txnsieve.operators.lookups import lookup_join
 from txnsieve.operators.ranking import first_per_key
+from txnsieve.session import exists, remove_folder, staged
 
 # Reason and stage of a scored row, stage of a hard rejection.
 RULE_ENGINE = "RULE_ENGINE"
@@ -29,6 +32,14 @@ NOOP = "NOOP"
 NOT_FOUND = "NOT_FOUND"
 INVALID = "INVALID"
 
+OVERRIDE_FIELDS = (
+    T.StructField("override_reason", T.StringType()),
+    T.StructField("override_by", T.StringType()),
+    T.StructField("overridden_at", T.TimestampNTZType()),
+)
+# Merged partitions wait here, below the table, until they replace the old ones; readers skip such a name.
+PENDING_MERGE = "_pending_merge"
+
 
 def hard_decisions(hits: DataFrame, score: int, decided_at: Column) -> DataFrame:
     unscored = [F.lit(None).cast("long").alias(c) for c in RECORD[6:]]
@@ -124,20 +135,76 @@ def override_outcomes(
     )
 
 
-def apply_overrides(
-    decisions: DataFrame, outcomes: DataFrame, order: Sequence[str] = ("requested_at", "override_id")
-) -> DataFrame:
-    """Decision rows with the last applied override of their transaction, on all its rows."""
+def _applied(outcomes: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The last applied override per transaction."""
     newest = [F.col(c).desc() for c in order]
-    applied = first_per_key(outcomes.where(F.col("outcome") == APPLIED), ["transaction_id"], newest).select(
+    return first_per_key(outcomes.where(F.col("outcome") == APPLIED), ["transaction_id"], newest).select(
         "transaction_id",
         "new_decision",
         F.col("reason").alias("override_reason"),
         F.col("analyst_id").alias("override_by"),
         F.col(order[0]).alias("overridden_at"),
     )
+
+
+def apply_overrides(
+    decisions: DataFrame, outcomes: DataFrame, order: Sequence[str] = ("requested_at", "override_id")
+) -> DataFrame:
+    """Decision rows with the last applied override of their transaction, on all its rows."""
     return (
-        decisions.join(applied, "transaction_id", "left")
+        decisions.join(_applied(outcomes, order), "transaction_id", "left")
         .withColumn("decision", F.coalesce("new_decision", "decision"))
         .drop("new_decision")
     )
+
+
+def stored_schema(schema: T.StructType, day: str) -> T.StructType:
+    """The schema of a decisions table by day, with the columns of overrides, which files from before them lack."""
+    added = [f for f in OVERRIDE_FIELDS if f.name not in schema.names]
+    own = [f for f in schema.fields if f.name != day]
+    return T.StructType([*own, *added, T.StructField(day, T.DateType())])
+
+
+def _finish_merge(spark: SparkSession, path: str, day: str, schema: T.StructType) -> None:
+    """Puts the merged partitions, once they are complete, in the place of the old ones."""
+    pending = f"{path}/{PENDING_MERGE}"
+    if exists(spark, f"{pending}/_SUCCESS"):
+        merged = spark.read.schema(schema).option("basePath", pending).parquet(pending)
+        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
+    remove_folder(spark, pending)
+
+
+def merge_overrides(
+    spark: SparkSession,
+    path: str,
+    outcomes: DataFrame,
+    day: str = "decided_on",
+    order: Sequence[str] = ("requested_at", "override_id"),
+) -> list[str]:
+    """Writes applied overrides into a decisions table stored by day; returns the days that were rewritten.
+
+    Only days that hold a touched transaction are read whole and written; the files of all others stay as
+    they are. The new partitions are written beside the table first and replace the old ones then; a merge
+    that is cut off in between is finished by the next call, so no partition is lost and none is half new.
+    One merge at a time may run on a table.
+    """
+    schema = stored_schema(spark.read.parquet(path).schema, day)
+    _finish_merge(spark, path, day, schema)
+    stored = spark.read.schema(schema).parquet(path)
+    applied = staged(_applied(outcomes, order), "applied")
+    touched = lookup_join(stored.select("transaction_id", day), applied.select("transaction_id"), ["transaction_id"], "left_semi")
+    days = sorted(r[0] for r in touched.select(day).distinct().collect())
+    if not days:
+        return []
+    new = applied.withColumnsRenamed({f.name: f"_{f.name}" for f in OVERRIDE_FIELDS})
+    taken = F.col("new_decision").isNotNull()
+    merged = lookup_join(stored.where(F.col(day).isin(days)), new, ["transaction_id"], "left", spread_by=["decided_at"])
+    merged = merged.withColumns(
+        {
+            "decision": F.coalesce("new_decision", "decision"),
+            **{f.name: F.when(taken, F.col(f"_{f.name}").cast(f.dataType)).otherwise(F.col(f.name)) for f in OVERRIDE_FIELDS},
+        }
+    )
+    merged.select(*schema.names).write.partitionBy(day).parquet(f"{path}/{PENDING_MERGE}")
+    _finish_merge(spark, path, day, schema)
+    return [d.isoformat() for d in days]

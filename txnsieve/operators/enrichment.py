@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnsieve.config import MAX_BROADCAST_ROWS
-from txnsieve.operators.lookups import lookup_join
+from txnsieve.operators.prefixes import prefix_intervals, with_longest_prefix
 
 # Result of an address without an entry, and of a failed lookup.
 CLEAN = "CLEAN"
@@ -17,31 +16,12 @@ FALLBACK_SOURCE = "fallback"
 def with_reputation(rows: DataFrame, table: DataFrame) -> DataFrame:
     """Add ``reputation``, ``enrichment_score`` and ``enrichment_source``.
 
-    ``table`` holds ``prefix, reputation, score, source, unavailable``. Prefixes of one length are
-    one equi-join on the start of the address; an unavailable entry takes the harmless fallback.
+    ``table`` holds ``prefix, reputation, score, source, unavailable``. The longest prefix of the address
+    counts, by one range join; an unavailable entry takes the harmless fallback.
     """
-    entries = table.groupBy("prefix").agg(
-        F.min(F.struct("unavailable", "reputation", "score", "source")).alias("_entry")
-    )
-    # An address has at most a few dozen characters, so there are at most that many lengths.
-    counts = table.groupBy(F.length("prefix").alias("n")).count().collect()
-    found, result = [], rows
-    for n, size in sorted(((r["n"], r["count"]) for r in counts), reverse=True):
-        part, entry = f"_prefix_{n}", f"_entry_{n}"
-        side = entries.where(F.length("prefix") == n).select(
-            F.col("prefix").alias(part), F.col("_entry").alias(entry)
-        )
-        result = lookup_join(
-            result.withColumn(part, F.substring("ip_address", 1, n)), side, [part],
-            spread_by=["transaction_id"], fits=size <= MAX_BROADCAST_ROWS,
-        ).drop(part)
-        found.append(entry)
-    if not found:
-        return rows.withColumns(
-            {"reputation": F.lit(CLEAN), "enrichment_score": F.lit(0).cast("long"),
-             "enrichment_source": F.lit(DEFAULT_SOURCE)}
-        )
-    entry = F.coalesce(*found)
+    entry_of = F.struct("unavailable", "reputation", "score", "source")
+    result = with_longest_prefix(rows, prefix_intervals(table, entry_of), "ip_address", "_entry", ("transaction_id",))
+    entry = F.col("_entry")
     failed = F.coalesce(entry["unavailable"], F.lit(False))
     return result.withColumns(
         {
@@ -55,4 +35,4 @@ def with_reputation(rows: DataFrame, table: DataFrame) -> DataFrame:
                 F.coalesce(entry["source"], F.lit(DEFAULT_SOURCE))
             ),
         }
-    ).drop(*found)
+    ).drop("_entry")

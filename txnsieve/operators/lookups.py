@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnsieve.config import LOOKUP_SALTS, MAX_BROADCAST_ROWS
@@ -23,19 +25,29 @@ def lookup_join(
     max_rows: int = MAX_BROADCAST_ROWS,
     salts: int = LOOKUP_SALTS,
     fits: bool | None = None,
+    where: Column | None = None,
 ) -> DataFrame:
-    """Join rows to a table with one row per key.
+    """Join rows to a table, which commonly has one row per key.
 
     A table of at most ``max_rows`` rows is broadcast. A bigger one is shuffled: with ``spread_by``,
     each key is spread over ``salts`` tasks by the hash of these columns, which repeats the table as
     often; without it, adaptive execution splits the partitions that turn out too big. ``fits`` is the
-    outcome of the check where the caller has counted the rows already.
+    outcome of the check where the caller has counted the rows already. ``where`` is a further condition of
+    the join, over columns that only one side has.
     """
     on = list(on)
     if fits_broadcast(table, max_rows) if fits is None else fits:
-        return rows.join(F.broadcast(table), on, how)
+        return _joined(rows, F.broadcast(table), on, how, where)
     if not spread_by:
-        return rows.join(table, on, how)
+        return _joined(rows, table, on, how, where)
     salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     salted_table = table.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
-    return salted_rows.join(salted_table, [*on, "_salt"], how).drop("_salt")
+    return _joined(salted_rows, salted_table, [*on, "_salt"], how, where).drop("_salt")
+
+
+def _joined(rows: DataFrame, table: DataFrame, on: list[str], how: str, where: Column | None) -> DataFrame:
+    if where is None:
+        return rows.join(table, on, how)
+    keyed = table.withColumnsRenamed({c: f"_right_{c}" for c in on})
+    same = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_right_{c}") for c in on])
+    return rows.join(keyed, same & where, how).drop(*[f"_right_{c}" for c in on])

@@ -22,6 +22,10 @@ from txnsieve.schemas import FIELD_COLUMNS, OPTIONAL_FIELDS
 
 ERROR = "error_message"
 UNKNOWN_ID = "UNKNOWN"
+#: Where a record stood in its source; part of the order of arrival.
+PLACE = ("source_partition", "source_offset")
+#: Event times that a date can be made of: the years 1970 to 9999.
+LAST_MS = 253_402_300_799_999
 
 
 def parse_payloads(df: DataFrame, raw: str = "value", null_text_as_null: bool = False) -> DataFrame:
@@ -85,5 +89,12 @@ def rejected_records(parsed: DataFrame, raw: str = "value") -> DataFrame:
         F.lit(UNKNOWN_ID).alias("transaction_id"),
         F.col(raw).alias("original_payload"),
         ERROR,
-        *[c for c in ("event_ms", "seq") if c in parsed.columns],
+        *[c for c in ("event_ms", "seq", *PLACE) if c in parsed.columns],
     )
+
+
+def reject_impossible_times(parsed: DataFrame, ms: str = "event_ms") -> DataFrame:
+    """Marks rows without an event time, or with one that no date can be made of, as rejects."""
+    possible = F.coalesce(F.col(ms).between(0, LAST_MS), F.lit(False))
+    error = F.concat(F.lit("Impossible event time: "), F.coalesce(F.col(ms).cast("string"), F.lit("none")))
+    return parsed.withColumn(ERROR, F.coalesce(ERROR, F.when(~possible, error)))

@@ -17,6 +17,8 @@ UNKNOWN_ERROR = "Unknown error"
 ERROR_HEADER = "error-message"
 # Header of our own: the attempt number of a replayed record.
 ATTEMPT_HEADER = "retry-attempt"
+# Header of our own: partition and offset of the record that failed.
+PLACE_HEADER = "source-place"
 
 
 def header_text(headers: Column, name: str) -> Column:

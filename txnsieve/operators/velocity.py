@@ -5,16 +5,18 @@ from __future__ import annotations
 from collections import defaultdict
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnsieve.config import DEFAULT_SIGNALS, HOUR_MS, MINUTE_MS, VelocitySignal
 from txnsieve.functions.scores import tier_score
+from txnsieve.functions.search import count_at_most, listed
 from txnsieve.functions.text import is_blank, starts_with_any
 from txnsieve.operators.levels import ASKED, AT, SLICE, running_levels, slice_start
 from txnsieve.operators.lookups import lookup_join
 
 MS = "event_ms"
+MAX_INSTANTS = 10_000
 
 
 def signal_guard(signal: VelocitySignal) -> Column:
@@ -99,7 +101,7 @@ def velocity_levels(rows: DataFrame, signals: list[VelocitySignal], asked: Colum
     return running_levels(changes, signals[0].key, [s.name for s in signals], slice_ms)
 
 
-def _families(signals: tuple[VelocitySignal, ...]) -> list[list[VelocitySignal]]:
+def signal_families(signals: tuple[VelocitySignal, ...]) -> list[list[VelocitySignal]]:
     """Event counts over one key share a pass; each distinct count has its own."""
     families: dict[tuple, list[VelocitySignal]] = defaultdict(list)
     for s in signals:
@@ -121,7 +123,7 @@ def with_velocity(
     """
     uses = rows if uses is None else uses
     result = rows
-    for family in _families(signals):
+    for family in signal_families(signals):
         key = family[0].key
         used = list(dict.fromkeys([key, *[s.member for s in family if s.member], MS]))
         events = uses.select(*used, F.lit(1).alias("_new"))
@@ -166,3 +168,37 @@ def velocity_snapshot(rows: DataFrame, as_of_ms: int, scale: int = 1) -> DataFra
             F.count("*").alias("total"),
         )
     )
+
+
+def velocity_snapshots(rows: DataFrame, instants: DataFrame, scale: int = 1, ms: str = "as_of_ms") -> DataFrame:
+    """``velocity_snapshot`` at every instant of a table, by one pass over the events.
+
+    An event counts at the instants from its own time on: in a window up to its end, in the total for ever.
+    So it raises each count at the first such instant and lowers it after the last one. These changes are
+    added up per card and instant before the shuffle, which leaves a card with at most one row per instant
+    and task, however many events it has, and a running sum over the instants gives every count. Instants
+    (at most ``MAX_INSTANTS``) are part of the plan; repeated and null ones are left out. Events without a time
+    are not known at any instant.
+    """
+    at = [r[0] for r in instants.select(ms).where(F.col(ms).isNotNull()).distinct().orderBy(ms).limit(MAX_INSTANTS + 1).collect()]
+    if len(at) > MAX_INSTANTS:
+        raise ValueError(f"more than {MAX_INSTANTS} instants; ask for them in parts")
+    windows = {"count_1m": MINUTE_MS, "count_5m": 5 * MINUTE_MS, "count_1h": HOUR_MS}
+    counts = [*windows, "total"]
+    place = F.col("_place")
+
+    def change(where: Column, values: dict[str, int]) -> Column:
+        return F.struct(where.alias("_place"), *[F.lit(values.get(c, 0)).cast("long").alias(c) for c in counts])
+
+    entering = change(count_at_most(at, F.col(MS) - 1), dict.fromkeys(counts, 1))
+    leaving = [change(count_at_most(at, F.col(MS) + w * scale), {c: -1}) for c, w in windows.items()]
+    changes = rows.where(F.col(MS).isNotNull()).select("card_fingerprint", F.inline(F.array(entering, *leaving)))
+    changes = changes.where(place < len(at)).groupBy("card_fingerprint", "_place").agg(*[F.sum(c).alias(c) for c in counts])
+    by_card = Window.partitionBy("card_fingerprint").orderBy("_place")
+    so_far = by_card.rowsBetween(Window.unboundedPreceding, 0)
+    levels = changes.select(
+        "card_fingerprint", "_place", (F.coalesce(F.lead("_place").over(by_card), F.lit(len(at))) - 1).alias("_last"),
+        *[F.sum(c).over(so_far).alias(c) for c in counts],
+    )
+    known = levels.where("total > 0").withColumn("_place", F.explode(F.sequence("_place", "_last")))
+    return known.select("card_fingerprint", F.get(listed(at), place).alias(ms), *counts)

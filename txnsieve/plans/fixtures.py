@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from txnsieve.config import HardRules, Quota, Scoring, scaled_signals
-from txnsieve.schemas import REPUTATION, RULES
+from txnsieve.schemas import REPUTATION, RULES, TOPIC_RECORD
 
 BASE = {
     # The properties are always {"k": n}.
@@ -232,6 +232,25 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payloads_from(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
+#: Two records of one id and one time: which of the two amounts comes first differs from event to event.
+TWO_AMOUNTS = "case when (event_id + n) % 2 = 0 then '75' else '20000' end"
+
+
+def equal_time_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topic records of which two have the same id and time; the lower offset arrived first."""
+    base = read_events(spark, sf_dir).select("event_id", "ts", "k", *_exprs(TRANSACTION, "t_"))
+    both = base.withColumn("n", F.explode(F.array(F.lit(1), F.lit(0))))
+    value = f"concat_ws('|', {_ID}, {_FIELDS[0]}, concat('amount:', {TWO_AMOUNTS}), {_FIELDS[1]}, {_FIELDS[2]})"
+    return both.select(
+        F.col("t_transaction_id").alias("key"),
+        F.expr(value).alias("value"),
+        F.lit(None).cast(TOPIC_RECORD["headers"].dataType).alias("headers"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+        (F.col("k") % 4).cast("int").alias("partition"),
+        (F.col("event_id") * 2 + F.col("n")).cast("long").alias("offset"),
+    )
+
+
 def failures_from(events: DataFrame) -> DataFrame:
     return from_events(events).select(
         F.col("event_id").alias("id"), *_exprs(FAILURE), "event_ms", F.col("event_id").alias("seq"),

@@ -365,6 +365,21 @@ _SELECTS = {
         count(*) filter (event_ms >= {AS_OF_MS - 3_600_000 * SNAPSHOT_SCALE}) as count_1h,
         count(*) as total
       from live where event_ms <= {AS_OF_MS} group by card_fingerprint""",
+    "velocity_snapshots": f"""
+      select card_fingerprint, as_of_ms,
+        count(*) filter (event_ms >= as_of_ms - {60_000 * SNAPSHOT_SCALE}) as count_1m,
+        count(*) filter (event_ms >= as_of_ms - {300_000 * SNAPSHOT_SCALE}) as count_5m,
+        count(*) filter (event_ms >= as_of_ms - {3_600_000 * SNAPSHOT_SCALE}) as count_1h,
+        count(*) as total
+      from live join (select distinct event_ms // 86400000 * 86400000 + 43200000 as as_of_ms from e) on event_ms <= as_of_ms
+      group by card_fingerprint, as_of_ms""",
+    "arrival_order": """
+      select transaction_id, source_partition, source_offset, cast(amount as double) as amount
+      from (select 'txn_' || event_id as transaction_id, cast(k % 4 as integer) as source_partition,
+              event_id * 2 + n as source_offset, case when (event_id + n) % 2 = 0 then 75 else 20000 end as amount, event_ms
+            from e, (values (0), (1)) copies(n))
+      qualify row_number() over (partition by transaction_id order by event_ms, source_partition, source_offset) = 1""",
+    "stream_velocity_state": f"select transaction_id, {_SIGNALS} from counted",
     "ungrouped_rules": _rules(UNGROUPED),
     "group_all": _rules(ALL_GROUP),
     "group_any": _rules(ANY_GROUP),
@@ -442,6 +457,10 @@ _SELECTS = {
     "outbox_publish": """
       select transaction_id, 'PUBLISHED' as status, created_at + interval 1 second as published_at
       from unpublished""",
+    "outbox_relay": """
+      select o.transaction_id, 'PUBLISHED' as status, o.created_at + interval 1 second as published_at, payload as value,
+        case when s.amount < 3000 then 0 else 1 end as batch_id
+      from outbox o join stored s using (transaction_id)""",
     "outbox_stuck": f"""
       select transaction_id, created_at from unpublished
       where created_at < make_timestamp({AS_OF_MS} * 1000) - interval 5 minute""",
@@ -504,4 +523,5 @@ _SELECTS = {
       select transaction_id as key, original_payload as value from routed where status = 'RETRYING'""",
 }
 
+_SELECTS["override_merge"] = _SELECTS["override_apply"]
 ORACLES = {name: _with(select) for name, select in _SELECTS.items()}

@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnsieve.config import DEVICE_1M, USER_5M, HardRules, Quota, Scoring
+from txnsieve.config import DAY_MS, DEVICE_1M, USER_5M, HardRules, Quota, Scoring
 from txnsieve.operators import (
     analyst,
     decisions,
@@ -31,9 +31,10 @@ from txnsieve.sinks.topics import dead_letter_records
 from txnsieve.sources.requests import good_requests, parse_requests, rejected_requests
 from txnsieve.sources.tables import read_table, stream_table
 from txnsieve.sources.topics import Topic
-from txnsieve.streaming.relay import relay, stream_quota_totals
-from txnsieve.streaming.scoring_stream import ScoringJob, claim_within_watermark, score_stream
+from txnsieve.streaming.relay import keep_quota_totals, latest_quota_totals, relay, relay_pending, stream_quota_totals
+from txnsieve.streaming.scoring_stream import ARRIVAL, ScoringJob, claim_within_watermark, score_stream, topic_payloads
 from txnsieve.streaming.triage_stream import TriageJob, triage_stream
+from txnsieve.streaming.velocity_state import PROVIDER, by_transaction, velocity_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,23 +85,23 @@ def _decisions(spark: SparkSession, sf_dir: str, scoring: Scoring = fixtures.TRU
 _STORED: dict[tuple[str, str, str], str] = {}
 
 
-def _stored(spark: SparkSession, sf_dir: str, name: str, scored: Query) -> DataFrame:
-    """The stored decisions table, laid out by day: scored once, then scanned by every query on it."""
+def _stored(spark: SparkSession, sf_dir: str, name: str, scored: Query) -> str:
+    """Where the stored decisions table lies, laid out by day: scored once, then scanned by every query on it."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STORED:
         path = run_folder(spark, f"decisions-{name}")
         day = F.to_date("decided_at").alias("decided_on")
         scored(spark, sf_dir).select("*", day).write.partitionBy("decided_on").parquet(path)
         _STORED[key] = path
-    return spark.read.parquet(_STORED[key]).drop("decided_on")
+    return _STORED[key]
 
 
 def _stored_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stored(spark, sf_dir, "events", _decisions)
+    return spark.read.parquet(_stored(spark, sf_dir, "events", _decisions)).drop("decided_on")
 
 
 def _stored_payload_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stored(spark, sf_dir, "payloads", payload_decisions)
+    return spark.read.parquet(_stored(spark, sf_dir, "payloads", payload_decisions)).drop("decided_on")
 
 
 # Parsing
@@ -253,6 +254,14 @@ def velocity_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return velocity.velocity_snapshot(_live(spark, sf_dir), AS_OF_MS, SNAPSHOT_SCALE)
 
 
+@query
+def velocity_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every card at noon of every day that has events."""
+    noon = F.floor(F.col("event_ms") / DAY_MS) * DAY_MS + DAY_MS // 2
+    instants = fixtures.read_events(spark, sf_dir).select(noon.alias("as_of_ms"))
+    return velocity.velocity_snapshots(_live(spark, sf_dir), instants, SNAPSHOT_SCALE)
+
+
 # Rules
 
 
@@ -423,6 +432,18 @@ def override_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def override_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overrides written into the stored table; days without any keep their files."""
+    path = run_folder(spark, "decisions-merge")
+    spark.read.parquet(_stored(spark, sf_dir, "events", _decisions)).write.partitionBy("decided_on").parquet(path)
+    stored = spark.read.parquet(path)
+    outcomes = decisions.override_outcomes(fixtures.overrides(spark, sf_dir), stored)
+    decisions.merge_overrides(spark, path, outcomes)
+    merged = spark.read.schema(decisions.stored_schema(stored.schema, "decided_on")).parquet(path)
+    return merged.select("transaction_id", "decision", "risk_score", "override_reason", "override_by", "overridden_at")
+
+
 # Analyst queries
 
 
@@ -438,7 +459,10 @@ def get_risk_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def pending_review(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analyst.pending_review(_stored_decisions(spark, sf_dir), fixtures.stored_transactions(spark, sf_dir))
+    path = _stored(spark, sf_dir, "events", _decisions)
+    return analyst.pending_review(
+        spark.read.parquet(path), fixtures.stored_transactions(spark, sf_dir), days=analyst.days_of(spark, path)
+    )
 
 
 @query
@@ -448,7 +472,8 @@ def review_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def audit_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analyst.audit_tail(_stored_decisions(spark, sf_dir))
+    path = _stored(spark, sf_dir, "events", _decisions)
+    return analyst.audit_tail(spark.read.parquet(path), days=analyst.days_of(spark, path))
 
 
 # Quota
@@ -515,6 +540,21 @@ def outbox_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def outbox_relay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger after two relays, of which the second meets records that the first has sent, and runs twice."""
+    folder = run_folder(spark, "relay")
+    topic = Topic(f"{folder}/topic", "parquet")
+    records = outbox.outbox_records(fixtures.stored_transactions(spark, sf_dir))
+    at = F.col("created_at") + F.expr("interval 1 second")
+    early = fixtures.stored_transactions(spark, sf_dir).where("amount < 3000").select("transaction_id")
+    relay_pending(records.join(early, "transaction_id", "left_semi"), topic, f"{folder}/ledger", at, 0)
+    for _ in range(2):
+        relay_pending(records, topic, f"{folder}/ledger", at, 1)
+    sent = spark.read.parquet(topic.location).select(F.col("key").alias("transaction_id"), "value")
+    return spark.read.parquet(f"{folder}/ledger").join(sent, "transaction_id").select("transaction_id", "status", "published_at", "value", "batch_id")
+
+
 @query
 def outbox_stuck(spark: SparkSession, sf_dir: str) -> DataFrame:
     as_of = F.timestamp_millis(F.lit(AS_OF_MS)).cast("timestamp_ntz")
@@ -602,7 +642,7 @@ def _scored_stream(spark: SparkSession, sf_dir: str) -> ScoringJob:
         scoring=fixtures.SCALED,
         decided_at=_at(),
     )
-    payloads = fixtures.payloads(spark, sf_dir)
+    payloads = staged(fixtures.payloads(spark, sf_dir), "payloads")
     late = payloads.where("seq % 30 = 0 AND value LIKE 'transactionId:%' AND value LIKE '%|amount:%'")
     late = late.where("value NOT LIKE '%amount:abc%' AND value NOT LIKE '%amount:|%'")
     late = late.withColumn("event_ms", F.col("event_ms") - F.lit(6 * 3_600_000))
@@ -619,6 +659,32 @@ def stream_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(job.decisions).drop("run_id", "batch_id", "rules_version")
 
 
+@query
+def arrival_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of two topic records with one id and one time, the lower offset wins the claim."""
+    parsed = staged(parsing.parse_payloads(topic_payloads(fixtures.equal_time_records(spark, sf_dir))), "parsed")
+    claimed = dedupe.claim_first(parsing.valid_events(parsed), order=ARRIVAL)
+    return claimed.select("transaction_id", "source_partition", "source_offset", "amount")
+
+
+@query
+def stream_velocity_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signals counted from the state of each key, over three runs of one stream."""
+    folder = run_folder(spark, "velocity-state")
+    keys = dict.fromkeys(c for s in fixtures.SCALED.signals for c in (s.key, s.member) if c)
+    live = _live(spark, sf_dir).select("transaction_id", "event_ms", *keys)
+    before = spark.conf.get(PROVIDER[0])
+    spark.conf.set(*PROVIDER)
+    try:
+        for schema in _in_parts(live, f"{folder}/in", "event_ms"):
+            counts = velocity_state(spark.readStream.schema(schema).parquet(f"{folder}/in"), fixtures.SCALED.signals)
+            writer = counts.writeStream.option("checkpointLocation", f"{folder}/checkpoint").option("path", f"{folder}/counts")
+            writer.format("parquet").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(PROVIDER[0], before)
+    return by_transaction(spark.read.parquet(f"{folder}/counts"), fixtures.SCALED.signals)
+
+
 def _triage_stream(spark: SparkSession, sf_dir: str, attempts: bool = False) -> TriageJob:
     folder = run_folder(spark, "triage")
     job = TriageJob(f"{folder}/failed_events", Topic(f"{folder}/replays", "parquet"), attempts=attempts)
@@ -678,14 +744,10 @@ def stream_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = run_folder(spark, "quota")
     requests = _client_requests(spark, sf_dir).select("identifier", "event_ms", F.timestamp_millis("event_ms").alias("event_ts"))
 
-    def keep(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/totals")
-
     for schema in _in_parts(requests, f"{folder}/in", "event_ms"):
         totals = stream_quota_totals(spark.readStream.schema(schema).parquet(f"{folder}/in"), fixtures.QUOTA)
-        writer = totals.writeStream.outputMode("complete").option("checkpointLocation", f"{folder}/checkpoint")
-        writer.foreachBatch(keep).trigger(availableNow=True).start().awaitTermination()
-    found = spark.read.parquet(f"{folder}/totals")
+        keep_quota_totals(totals, f"{folder}/totals", f"{folder}/checkpoint", availableNow=True).awaitTermination()
+    found = latest_quota_totals(spark, f"{folder}/totals")
     return found.select("identifier", F.unix_millis("window_start").alias("window_ms"), "requests", "admitted", "rejected")
 
 

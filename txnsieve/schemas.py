@@ -113,7 +113,7 @@ REPUTATION = T.StructType(
     ]
 )
 
-# Record shape shared by topics: key, value and named headers.
+# Record shape shared by topics: key, value, named headers, and the place in the source they came from.
 TOPIC_RECORD = T.StructType(
     [
         *_strings("key", "value"),
@@ -122,5 +122,7 @@ TOPIC_RECORD = T.StructType(
             T.ArrayType(T.StructType([*_strings("key"), T.StructField("value", T.BinaryType())])),
         ),
         T.StructField("timestamp", T.TimestampType()),
+        T.StructField("partition", T.IntegerType()),
+        T.StructField("offset", T.LongType()),
     ]
 )

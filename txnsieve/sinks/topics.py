@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from txnsieve.operators.triage import ATTEMPT_HEADER, ERROR_HEADER, UNKNOWN_ERROR
+from txnsieve.operators.parsing import PLACE
+from txnsieve.operators.triage import ATTEMPT_HEADER, ERROR_HEADER, PLACE_HEADER, UNKNOWN_ERROR
 from txnsieve.sinks.tables import NO_RUN, append_batch, run_id
 from txnsieve.sources.topics import Topic
 
@@ -17,11 +18,18 @@ def header(name: str, text: Column) -> Column:
 
 
 def dead_letter_records(rejects: DataFrame, *carried: str) -> DataFrame:
-    """Rejected payloads as records: key, raw value and error header, with the ``carried`` columns."""
+    """Rejected payloads as records: key, raw value and error header, with the ``carried`` columns.
+
+    A second header names the place in the source (partition and offset) where that is known.
+    """
+    headers = header(ERROR_HEADER, F.coalesce("error_message", F.lit(UNKNOWN_ERROR)))
+    if set(PLACE) <= set(rejects.columns):
+        place = header(PLACE_HEADER, F.concat_ws(":", *[F.col(c).cast("string") for c in PLACE]))
+        headers = F.when(F.col(PLACE[1]).isNull(), headers).otherwise(F.concat(headers, place))
     return rejects.select(
         F.col("transaction_id").alias("key"),
         F.col("original_payload").alias("value"),
-        header(ERROR_HEADER, F.coalesce("error_message", F.lit(UNKNOWN_ERROR))).alias("headers"),
+        headers.alias("headers"),
         *carried,
     )
 

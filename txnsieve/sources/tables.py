@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -29,10 +29,12 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, *paths:
         return spark.createDataFrame([], schema)
 
 
-def date_partitions(path: str, column: str, first: date, last: date) -> str:
-    """Glob of the daily partitions between two dates, both included."""
-    days = [(first + timedelta(days=n)).isoformat() for n in range((last - first).days + 1)]
-    return f"{path}/{column}={{{','.join(days)}}}"
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """The values of the first partition column of a stored table, from the names of its folders; in order."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop.Path(folder, f"{column}=*"))
+    return sorted(unquote(f.getPath().getName().split("=", 1)[1]) for f in found or [])
 
 
 def stream_table(spark: SparkSession, path: str, schema: T.StructType, **options: str) -> DataFrame:

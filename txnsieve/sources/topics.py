@@ -20,7 +20,11 @@ class Topic:
 
 
 def read_topic(spark: SparkSession, topic: Topic) -> DataFrame:
-    """Stream of ``key, value, headers, timestamp``, from the earliest record on."""
+    """Stream of ``key, value, headers, timestamp, partition, offset``, from the earliest record on.
+
+    The last two are the place of a record in its source. Files hold them where they keep records of a
+    broker; elsewhere they are null.
+    """
     if topic.format != "kafka":
         return spark.readStream.schema(TOPIC_RECORD).options(**topic.options).format(topic.format).load(
             topic.location
@@ -35,5 +39,5 @@ def read_topic(spark: SparkSession, topic: Topic) -> DataFrame:
     )
     return stream.select(
         F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
-        "headers", "timestamp",
+        "headers", "timestamp", "partition", "offset",
     )

@@ -1,23 +1,37 @@
-"""Dead letters as a stream: record, route, replay."""
+"""Dead letters as a stream: record, route, replay.
+
+Recorded failures lie in buckets by the hash of their key, so a batch reads the buckets of its own keys only,
+and the folders of committed batches of a bucket are merged every few batches.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from txnsieve.config import Triage
+from txnsieve.operators.dedupe import ID
 from txnsieve.operators.triage import dead_letters, replays, triage_attempts, triage_first
 from txnsieve.schemas import FAILED_EVENTS
 from txnsieve.session import remove_folder, run_folder, staged
+from txnsieve.sinks.retention import read_current, retain
 from txnsieve.sinks.tables import NO_RUN, append_batch, of_earlier_batches, run_id
 from txnsieve.sinks.topics import replay_records, write_topic
-from txnsieve.sources.tables import read_or_empty
 from txnsieve.sources.topics import Topic
 
+BUCKET = "key_bucket"
+RECORDED = T.StructType(
+    [
+        *FAILED_EVENTS.fields, T.StructField(BUCKET, T.IntegerType()), T.StructField("run_id", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
+
 
 @dataclass(frozen=True)
 class TriageJob:
@@ -29,26 +43,44 @@ class TriageJob:
     key: Column | None = None
     #: Count every failure of an id and quarantine after the last retry; else only its first failure counts.
     attempts: bool = False
+    #: Parts of the recorded failures, by the hash of their key; fixed for a table.
+    buckets: int = 32
+    #: Merge the folders of committed batches every so many batches; 0 never does.
+    retain_every: int = 0
+
+    def bucket(self) -> Column:
+        """The bucket of a failure. Attempts count per id, first failures per key."""
+        key = F.col(ID) if self.key is None or self.attempts else self.key
+        return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
+
+
+def recorded_failures(spark: SparkSession, job: TriageJob, buckets: Sequence[int] | None = None) -> DataFrame | None:
+    """The failures recorded so far, all or those of some buckets; None before the first."""
+    among = None if buckets is None else [str(b) for b in buckets]
+    return read_current(spark, job.failed_events, BUCKET, RECORDED, among=among)
 
 
 def triage_batch(records: DataFrame, batch_id: int, job: TriageJob, run: str = NO_RUN) -> None:
     """Record the new failures of a micro-batch, then replay the transient ones."""
     spark = records.sparkSession
-    schema = T.StructType(
-        [*FAILED_EVENTS.fields, T.StructField("run_id", T.StringType()), T.StructField("batch_id", T.LongType())]
-    )
-    recorded = read_or_empty(spark, job.failed_events, schema).where(of_earlier_batches(batch_id, run))
-    failures = dead_letters(records).withColumn("created_at", F.col("timestamp"))
-    order = ("created_at", "original_payload", "error_message")
-    if job.attempts:
-        routed = triage_attempts(failures, None, job.triage, order, recorded=recorded)
-    else:
-        routed = triage_first(failures, recorded, job.triage, job.key, order)
-    routed = routed.select(*FAILED_EVENTS.names)
     folder = run_folder(spark, "triage")
     try:
-        triaged = staged(routed, "triaged", folder)
-        append_batch(triaged, job.failed_events, batch_id, run=run)
+        failures = staged(
+            dead_letters(records).withColumn("created_at", F.col("timestamp")).withColumn(BUCKET, job.bucket()), "failures", folder
+        )
+        buckets = [r[0] for r in failures.select(BUCKET).distinct().collect()]
+        if job.retain_every and batch_id % job.retain_every == 0:
+            retain(spark, job.failed_events, BUCKET, RECORDED)
+        recorded = recorded_failures(spark, job, buckets)
+        if recorded is not None:
+            recorded = recorded.where(of_earlier_batches(batch_id, run)).drop(BUCKET)
+        order = ("created_at", "original_payload", "error_message")
+        if job.attempts:
+            routed = triage_attempts(failures, None, job.triage, order, recorded=recorded)
+        else:
+            routed = triage_first(failures, recorded, job.triage, job.key, order)
+        triaged = staged(routed.select(*FAILED_EVENTS.names, BUCKET), "triaged", folder)
+        append_batch(triaged, job.failed_events, batch_id, [BUCKET], run)
         write_topic(replay_records(replays(triaged)), job.scoring_topic, batch_id, run)
     finally:
         remove_folder(spark, folder)
