@@ -1,5 +1,5 @@
 import corpus_pipeline
-from helpers import near_components
+from helpers import awkward, near_components, nothing
 from txnsieve.llm import pii
 from txnsieve.session import staged
 
@@ -36,3 +36,24 @@ def test_names_and_run(spark, sf_dir):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "ngram_join", "pii", "packing"]
     rows = corpus_pipeline.run(spark, sf_dir)
     assert rows.count() > 0 and {"doc_id", "sequence_id", "offset"} <= set(rows.columns)
+
+
+def through(spark, docs, labels, folder):
+    docs.write.parquet(f"{folder}/documents.parquet")
+    labels.write.parquet(f"{folder}/labels.parquet")
+    return corpus_pipeline.run(spark, folder)
+
+
+def test_awkward_and_empty_tables(spark, tmp_path):
+    """Nulls, empty and long texts, repeated rows and columns with the names that stages use."""
+    texts = ["write to ann@example.org or 10.1.2.3 about the meeting on the second floor", "some toxic zorblat words " * 4]
+    docs = awkward(spark, texts)
+    labels = spark.createDataFrame([(1, 1, 0), (5, 0, 0), (None, 1, 1), (101, 1, 1), (8, None, None)], "doc_id long, quality int, toxic int")
+    pieces = through(spark, docs, labels, f"{tmp_path}/a").collect()
+    assert {r["doc_id"] for r in pieces} >= {5, 6, 8, 9, 100, None} and not {1, 2} & {r["doc_id"] for r in pieces}
+    by_doc = {}
+    for r in pieces:
+        by_doc.setdefault(r["doc_id"], []).append(r["length"])
+    assert all(sum(v) >= 1 for v in by_doc.values())
+    assert through(spark, nothing(spark), labels, f"{tmp_path}/b").count() == 0
+    assert through(spark, docs, labels.limit(0), f"{tmp_path}/c").count() > 0

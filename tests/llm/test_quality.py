@@ -40,3 +40,67 @@ def test_awkward_rows(spark):
     none = quality.train(docs, labels.limit(0))
     assert all(r["score"] < 1e-5 for r in quality.score(docs, none).collect())
     assert quality.score(nothing(spark), model).count() == 0
+
+
+def plain_margin(model, row):
+    """The margin of one row by loops over the tables."""
+    total = model.intercept
+    for j, table in enumerate(model.tables):
+        total += table[sum(edge <= row[j] for edge in model.edges[j])]
+    for (i, j), table in zip(model.pairs, model.pair_tables):
+        total += table[sum(e <= row[i] for e in model.pair_edges[i])][sum(e <= row[j] for e in model.pair_edges[j])]
+    return total
+
+
+def test_scores_equal_plain_loops(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    assert model.tables and model.pairs
+    for r in quality.score(docs, model).collect():
+        margin = plain_margin(model, quality.features(r["text"] or ""))
+        assert abs(r["score"] - 1 / (1 + np.exp(-np.clip(margin, -35, 35)))) < 1e-12
+
+
+def leaf_gain(g, h):
+    return g * g / (h + quality.RIDGE)
+
+
+def test_cuts_equal_a_search_of_all(monkeypatch):
+    monkeypatch.setattr(quality, "MIN_LEAF", 1.0)
+    rng = np.random.default_rng(3)
+    for _ in range(40):
+        g, h = rng.normal(size=6), rng.random(6) + 0.2
+        gain, at = quality._cut(g, h)
+        tried = {
+            a: leaf_gain(g[:a].sum(), h[:a].sum()) + leaf_gain(g[a:].sum(), h[a:].sum()) - leaf_gain(g.sum(), h.sum())
+            for a in range(1, 6)
+            if h[:a].sum() >= 1 and h[a:].sum() >= 1
+        }
+        best = max([*tried.values(), 0.0])
+        assert np.isclose(gain, best) and (gain <= 0 or np.isclose(tried[at], best))
+
+
+def test_pair_trees_equal_a_search_of_all(monkeypatch):
+    """Every cut of one axis with every cut, or none, of the other on each of its sides."""
+    monkeypatch.setattr(quality, "MIN_LEAF", 0.5)
+    rng = np.random.default_rng(4)
+    for _ in range(25):
+        g, h = rng.normal(size=(4, 3)), rng.random((4, 3)) + 0.2
+        best = 0.0
+        for gg, hh in ((g, h), (g.T, h.T)):
+            for a in range(1, gg.shape[0]):
+                gain = -leaf_gain(g.sum(), h.sum())
+                sides = (slice(0, a), slice(a, None))
+                if any(hh[s].sum() < 0.5 for s in sides):
+                    continue
+                for s in sides:
+                    tried = [leaf_gain(gg[s].sum(), hh[s].sum())]
+                    for b in range(1, gg.shape[1]):
+                        parts = [(gg[s, :b].sum(), hh[s, :b].sum()), (gg[s, b:].sum(), hh[s, b:].sum())]
+                        if all(w >= 0.5 for _, w in parts):
+                            tried.append(sum(leaf_gain(x, w) for x, w in parts))
+                    gain += max(tried)
+                best = max(best, gain)
+        gain, values = quality._pair_tree(g, h)
+        assert np.isclose(gain, best)
+        assert (gain == 0) == (not values.any())

@@ -73,3 +73,46 @@ def test_rare_toxic_words_among_very_many_common_grams(spark):
     asked = spark.createDataFrame([(0, "a zorblat here"), (1, "a word here")], "doc_id long, text string")
     scores = {r["doc_id"]: r["score"] for r in toxicity.score(asked, model).collect()}
     assert scores[0] >= 0.5 > scores[1]
+
+
+def gram_set(text):
+    raw = toxicity.normalise(text)
+    return {raw[i : i + n] for n in toxicity.ORDERS for i in range(len(raw) - n + 1)}
+
+
+def named(key):
+    n = int(key) >> 56
+    return (int(key) & ((1 << 56) - 1)).to_bytes(n, "big")
+
+
+def test_ratios_and_scores_equal_plain_counts(spark):
+    """N-grams by z-score, their ratios, and scores as sums over the n-grams of a text, all by plain counting."""
+    rng = np.random.default_rng(12)
+    words = ["".join(rng.choice(list("abcd"), 3)) for _ in range(25)]
+    texts = [" ".join(rng.choice(words, 12)) + (" zor blat" if i % 5 == 0 else "") for i in range(400)]
+    toxic = [int(i % 5 == 0) for i in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    seen = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5]
+    counts = {}
+    for i in seen:
+        for gram in gram_set(texts[i]):
+            counts.setdefault(gram, [0, 0])[toxic[i]] += 1
+    total = [sum(toxic[i] == c for i in seen) for c in (0, 1)]
+    z, ratio = {}, {}
+    for gram, (clean, bad) in counts.items():
+        if bad >= toxicity.MIN_TOXIC_DOCS:
+            ratio[gram] = np.log((bad + 0.5) / (total[1] + 1)) - np.log((clean + 0.5) / (total[0] + 1))
+            z[gram] = abs(ratio[gram]) / np.sqrt(1 / (bad + 0.5) + 1 / (clean + 0.5))
+    top = sorted(z, key=lambda g: -z[g])[: toxicity.FEATURES]
+    assert {named(k) for k in model.keys} == {g for g in top if z[g] >= toxicity.Z_SCORE}
+    weights = {named(k): w for k, w in zip(model.keys, model.weights)}
+    for r in toxicity.score(docs, model).collect():
+        margin = model.intercept + sum(weights[g] for g in gram_set(r["text"]) if g in weights)
+        assert abs(r["score"] - 1 / (1 + np.exp(-margin))) < 1e-9
+    coefficients = {g: weights[g] / ratio[g] for g in weights}
+    rows = [([g for g in weights if g in gram_set(texts[i])], toxic[i]) for i in seen]
+    for gram in list(weights)[:5]:  # the fit is a minimum: no slope along any scaled n-gram is left
+        slope = sum((1 / (1 + np.exp(-(model.intercept + sum(weights[h] for h in held)))) - y) * ratio[gram] for held, y in rows if gram in held)
+        assert abs(slope / len(rows) + 0.5 * coefficients[gram] / len(rows)) < 0.02

@@ -7,22 +7,29 @@ half is the content hash, so the median may cut between rows of equal metadata,
 texts. Only a text whose copies together exceed a sixteenth of the target is cut itself, into
 parts by a hash of the id; there are at most 16 such texts per shard, which bounds their broadcast.
 
-The medians are exact: sums by histogram bin are refined around the median until one coordinate is
-left. Only bins of the open nodes reach the driver, ``BINS`` per node at most.
+A row carries the first leaf and the number of leaves of the node it has come to, and all nodes of a level
+are split at once, so the jobs grow with the logarithm of the leaves and the driver holds nothing of a
+node. The medians are exact: sums by histogram bin, reduced before the shuffle, are refined around the
+median until one coordinate is left. A table of one row per open node is joined to the rows; it is broadcast
+up to ``MAX_BROADCAST_ROWS`` nodes, and salted by the rows beyond.
 
 Null text has no bytes; each row weighs its bytes plus one. Null ids and repeated rows are rows
-like any other; their order within a shard is by id, nulls first. An empty table gives no rows.
+like any other; their order within a shard is by id, nulls first. An empty table gives no rows. Other columns
+are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from txnsieve.config import MAX_BROADCAST_ROWS
 from txnsieve.llm.common import full_text, numbered
-from txnsieve.session import staged
+from txnsieve.operators.lookups import lookup_join
+from txnsieve.session import remove_folder, run_folder, staged
 
 BINS = 4096
 SPLIT_COPIES = 16
@@ -71,58 +78,57 @@ def _with_parts(points: DataFrame, piece: float) -> DataFrame:
     )
 
 
-def _tree(cuts: dict[int, tuple[str, int]], ends: dict[int, int], node: int = 0) -> Column:
-    """The end of the k-d tree that a row falls into, as nested comparisons."""
-    if node not in cuts:
-        return F.lit(ends.get(node, node))
-    dim, cut = cuts[node]
-    return F.when(F.col(dim) >= cut, _tree(cuts, ends, 2 * node + 2)).otherwise(_tree(cuts, ends, 2 * node + 1))
+def _spans(points: DataFrame) -> DataFrame:
+    """One row per open node: its widest dimension, the range there, and the bytes that its left side should hold.
 
-
-def _by_node(values: dict) -> Column:
-    """The value of a row's node; null for other nodes."""
-    pairs = [F.when(F.col("_kd_node") == n, v if isinstance(v, Column) else F.lit(v)) for n, v in values.items()]
-    return F.coalesce(*pairs, F.lit(None).cast("long"))
+    Widths are shares of the whole table's; the first of equally wide dimensions counts.
+    """
+    every = range(len(DIMENSIONS))
+    edges = [f(F.col("at")[d]).alias(f"{w}{d}") for d in every for w, f in (("a", F.min), ("z", F.max))]
+    nodes = points.where("k > 1").groupBy("first", "k").agg(F.sum("size").alias("bytes"), *edges)
+    whole = points.agg(*edges).first()
+    widths = [max(1, (whole[f"z{d}"] or 0) - (whole[f"a{d}"] or 0)) for d in every]
+    wide = F.array(*[(F.col(f"z{d}") - F.col(f"a{d}")) / widths[d] for d in every])
+    dim = (F.array_position(wide, F.array_max(wide)) - 1).cast("int")
+    found = nodes.withColumn("dim", dim)
+    return found.select(
+        "first",
+        "dim",
+        F.array(*[f"a{d}" for d in every])[F.col("dim")].alias("low"),
+        F.array(*[f"z{d}" for d in every])[F.col("dim")].alias("high"),
+        F.lit(0).cast("long").alias("before"),
+        (F.floor(F.col("k") / 2) / F.col("k") * F.col("bytes")).alias("goal"),
+    )
 
 
-def _medians(points: DataFrame, shares: dict[int, float], dims: dict[int, str], span: dict) -> dict[int, int]:
-    """For each node the smallest coordinate at which its right side begins."""
-    found: dict[int, int] = {}
-    low = {n: span[n][dims[n]][0] for n in shares}
-    high = {n: span[n][dims[n]][1] for n in shares}
-    before = dict.fromkeys(shares, 0)
-    goal = {n: shares[n] * span[n]["bytes"] for n in shares}
-    while open_nodes := [n for n in shares if n not in found]:
-        width = {n: max(1, -(-(high[n] - low[n] + 1) // BINS)) for n in open_nodes}
+def _cuts(points: DataFrame, folder: str) -> tuple[DataFrame, int]:
+    """For each open node the dimension and the smallest coordinate at which its right side begins, and how many nodes."""
+    active = staged(_spans(points), "kd-nodes", folder)
+    count = left = active.count()
+    found = []
+    while left:
+        rows = points.where("k > 1").select("first", "size", "at")
+        rows = lookup_join(rows, active, ["first"], "inner", spread_by=["at"], fits=left <= MAX_BROADCAST_ROWS)
+        rows = rows.withColumn("c", F.col("at")[F.col("dim")]).where("c BETWEEN low AND high")
+        state = ["first", "dim", "before", "goal"]
         bins = (
-            points.select(
-                F.col("_kd_node").alias("n"),
-                "size",
-                _by_node({n: F.col(dims[n]) for n in open_nodes}).alias("k"),
-                _by_node({n: low[n] for n in open_nodes}).alias("l"),
-                _by_node({n: high[n] for n in open_nodes}).alias("h"),
-                _by_node({n: width[n] for n in open_nodes}).alias("w"),
-            )
-            .where(F.col("k").between(F.col("l"), F.col("h")))
-            .groupBy("n", F.expr("(k - l) div w").alias("b"))
-            .agg(F.sum("size").alias("bytes"), F.min("k").alias("first"), F.max("k").alias("last"))
-            .collect()
+            rows.withColumn("bin", F.expr(f"(c - low) div ((high - low) div {BINS} + 1)"))
+            .groupBy(*state, "bin")
+            .agg(F.sum("size").alias("bytes"), F.min("c").alias("low"), F.max("c").alias("high"))
         )
-        for n in open_nodes:
-            total = before[n]
-            for row in sorted((r for r in bins if r["n"] == n), key=lambda r: r["b"]):
-                if total + row["bytes"] >= goal[n]:
-                    if row["first"] == row["last"]:  # one coordinate: cut at its nearer side
-                        after = total + row["bytes"]
-                        at_end = abs(after - goal[n]) <= abs(goal[n] - total)
-                        found[n] = row["last"] + 1 if at_end else row["first"]
-                    else:
-                        low[n], high[n], before[n] = row["first"], row["last"], total
-                    break
-                total += row["bytes"]
-            else:
-                found[n] = high[n] + 1
-    return found
+        in_order = Window.partitionBy("first").orderBy("bin")
+        upto = F.col("before") + F.sum("bytes").over(in_order)
+        reached = bins.withColumn("upto", upto).where("upto >= goal")
+        reached = reached.withColumn("n", F.row_number().over(in_order)).where("n = 1")
+        reached = staged(
+            reached.select("first", "dim", "low", "high", (F.col("upto") - F.col("bytes")).alias("before"), "goal", "upto"), "kd-bins", folder
+        )
+        # One coordinate is left: the cut is at its nearer side.
+        nearer = F.when(F.abs(F.col("upto") - F.col("goal")) <= F.abs(F.col("goal") - F.col("before")), F.col("high") + 1)
+        found.append(reached.where("low = high").select("first", "dim", F.coalesce(nearer, F.col("low")).alias("cut")))
+        active = reached.where("low < high").drop("upto")
+        left = active.count()
+    return reduce(DataFrame.unionByName, found), count
 
 
 def kd_shards(
@@ -137,38 +143,26 @@ def kd_shards(
     Give ``target_bytes``, or ``shards`` for a target of an equal share each. Splits go on until
     every leaf may hold the target; a node that owes an odd number of leaves is cut in that ratio.
     """
+    spark = docs.sparkSession
     points = staged(_points(docs, id_col, text_col), "kd-points")
     whole = points.agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")).first()
     total, rows = whole["bytes"] or 0, whole["rows"]
     leaves = shards or max(1, math.ceil(total / target_bytes))
-    points = staged(_with_parts(points, max(1.0, total / leaves / SPLIT_COPIES)), "kd-keys")
-
-    owed = {0: (0, leaves)}  # by open node: its first leaf and how many leaves it becomes
-    ends: dict[int, int] = {}
-    cuts: dict[int, tuple[str, int]] = {}
-    full: dict | None = None
-    while True:
-        ends |= {n: first for n, (first, k) in owed.items() if k == 1}
-        owed = {n: x for n, x in owed.items() if x[1] > 1}
-        if not owed:
-            break
-        inside = points.withColumn("_kd_node", _tree(cuts, {})).where(F.col("_kd_node").isin(*owed))
-        edges = [f(d).alias(f"{w}{d}") for d in DIMENSIONS for w, f in (("a", F.min), ("z", F.max))]
-        found = inside.groupBy("_kd_node").agg(F.sum("size").alias("bytes"), *edges).collect()
-        span = {r["_kd_node"]: {"bytes": r["bytes"], **{d: (r[f"a{d}"], r[f"z{d}"]) for d in DIMENSIONS}} for r in found}
-        full = full or span.get(0)
-        dims = {}
-        for n in span:
-            wide = {d: (span[n][d][1] - span[n][d][0]) / max(1, full[d][1] - full[d][0]) for d in DIMENSIONS}
-            dims[n] = max(DIMENSIONS, key=lambda d: wide[d])
-        shares = {n: (owed[n][1] // 2) / owed[n][1] for n in span}
-        cuts |= {n: (dims[n], cut) for n, cut in _medians(inside, shares, dims, span).items()}
-        owed = {
-            child: (first + (k // 2) * side, k - k // 2 if side else k // 2)
-            for n, (first, k) in owed.items()
-            if n in cuts
-            for side, child in ((0, 2 * n + 1), (1, 2 * n + 2))
-        }
-    shard = _tree(cuts, ends).cast("int")
-    dealt = points.select(F.col("_kd_id").alias("doc_id"), "size", "text_crc32", shard.alias("shard"))
+    keys = _with_parts(points, max(1.0, total / leaves / SPLIT_COPIES))
+    node = [F.lit(0).cast("long").alias("first"), F.lit(leaves).cast("long").alias("k")]
+    points = staged(keys.select("_kd_id", "size", "text_crc32", F.array(*DIMENSIONS).alias("at"), *node), "kd-keys")
+    for _ in range(math.ceil(math.log2(leaves)) if rows else 0):
+        folder = run_folder(spark, "kd-level")
+        cuts, nodes = _cuts(points, folder)
+        moved = lookup_join(points, cuts, ["first"], "left", spread_by=["at"], fits=nodes <= MAX_BROADCAST_ROWS)
+        right = F.coalesce(F.col("at")[F.col("dim")] >= F.col("cut"), F.lit(False))
+        half = F.when(F.col("k") > 1, F.floor(F.col("k") / 2)).otherwise(0)
+        moved = moved.withColumn("half", half).select(
+            "_kd_id", "size", "text_crc32", "at",
+            F.when(right, F.col("first") + F.col("half")).otherwise(F.col("first")).alias("first"),
+            F.when(right | (F.col("k") == 1), F.col("k") - F.col("half")).otherwise(F.col("half")).alias("k"),
+        )
+        points = staged(moved, "kd-keys")
+        remove_folder(spark, folder)
+    dealt = points.select(F.col("_kd_id").alias("doc_id"), "size", "text_crc32", F.col("first").cast("int").alias("shard"))
     return numbered(dealt, ["shard"], ["doc_id", "text_crc32", "size"], max(rows, 1) // leaves, "slot")
