@@ -1,9 +1,15 @@
 from __future__ import annotations
 
+import random
+
 import pytest
+from checks import plan_text
 
+from txnsieve.operators.conditions import Condition, conditions
 from txnsieve.operators.predicates import RuleError, predicate
-from txnsieve.operators.rules import list_rules, load_rules, render_rules, rule_errors, rule_hits, with_rules
+from txnsieve.operators.rule_index import with_indexed_rules
+from txnsieve.operators.rules import RuleSet, list_rules, load_rules, render_rules, rule_errors, rule_hits, with_rules
+from txnsieve.plans import fixtures
 from txnsieve.schemas import FIELD_COLUMNS, RULES
 
 AMOUNT = ("amount > 500", 20, None, None)
@@ -178,3 +184,68 @@ def test_list_order_and_text(spark):
     assert [r.name for r in listed] == ["r2", "r1"]
     assert listed[0].text == "Rule: r2 | Score: 20 | Enabled: true\nExpression: amount > 500\nGroup: none"
     assert listed[1].text.endswith("Group: fraud (ALL)")
+
+
+def random_rules(rng, count):
+    """Conjunctions of every kind, groups of them, and other forms."""
+    tiers, mccs, countries = ["high", "low", "it''s"], ["7995", "5411"], ["US", "RU", "CA"]
+
+    def part():
+        return rng.choice([
+            f"merchantRiskTier == '{rng.choice(tiers)}'", f"merchantCategoryCode eq '{rng.choice(mccs)}'", f"ipCountry != '{rng.choice(countries)}'",
+            f"amount > {rng.randint(0, 900)}", f"amount <= {rng.randint(0, 900)}.5", f"{rng.randint(0, 900)} < amount", f"amount == {rng.choice([5, 250])}",
+            f"amount != {rng.choice([5, 250])}", f"billingCountry >= '{rng.choice(countries)}'", "amount >= -5",
+        ])
+
+    rows = []
+    for i in range(count):
+        text = rng.choice([" and ", " && "]).join(part() for _ in range(rng.randint(1, 4)))
+        if rng.random() < 0.15:
+            text = rng.choice([f"({text})", f"!({text})", f"{text} || amount > 880", "amount is ?? broken", "merchantId == 5", "true", "ipCountry == null"])
+        group = rng.choice([None, None, None, f"g{rng.randrange(8)}"])
+        score = rng.choice([0, 0, 10]) if group else rng.randint(1, 9)
+        rows.append((i, f"rule {i}", text, score, rng.random() < 0.95, group, rng.choice(["ALL", "ANY"]) if group else None))
+    return rows
+
+
+def test_indexed_rules_equal_columns(spark):
+    rng = random.Random(21)
+    loaded = load_rules(spark.createDataFrame(random_rules(rng, 160), RULES))
+    names = list(FIELD_COLUMNS.values())
+    values = {
+        "amount": [5.0, 250.0, 600.5, 899.0, float("nan"), None, -7.0], "merchant_risk_tier": ["high", "low", "it's", None],
+        "merchant_category_code": ["7995", "5411", None], "ip_country": ["US", "RU", "", None], "billing_country": ["US", "CA", None],
+    }
+    data = [(f"t{i}", *[rng.choice(values.get(c, ["x"])) for c in names if c != "transaction_id"]) for i in range(300)]
+    schema = ", ".join(f"{c} {'double' if c == 'amount' else 'string'}" for c in ["transaction_id", *[c for c in names if c != "transaction_id"]])
+    df = spark.createDataFrame(data, schema)
+    indexed, columns = with_indexed_rules(df, loaded), with_rules(df, loaded)
+    assert indexed.columns == columns.columns and indexed.dtypes == columns.dtypes
+    got = {r.transaction_id: (r.rule_hits, r.rule_score) for r in indexed.collect()}
+    want = {r.transaction_id: (r.rule_hits, r.rule_score) for r in columns.collect()}
+    assert got == want and any(len(h) > 5 for h, _ in want.values())
+    none = with_indexed_rules(df, RuleSet())
+    assert none.dtypes == columns.dtypes and {r.rule_score for r in none.collect()} == {0}
+
+
+def test_conditions_of_a_conjunction():
+    assert conditions("amount > 5 and merchantId == 'a'") == [Condition("amount", ">", None, 5.0), Condition("merchantId", "==", "a")]
+    assert conditions("-5 <= amount && 'x' != ipCountry") == [Condition("amount", ">=", None, -5.0), Condition("ipCountry", "!=", "x")]
+    for other in ("a || b", "(amount > 5)", "amount > 5 || true", "true", "merchantId == 5", "amount == 'x'", "amount between {1, 2}", "amount > currency"):
+        assert conditions(other) is None
+
+
+def test_five_thousand_rules(spark, sf_dir):
+    """One join, since all give access by one field, and nothing shuffled."""
+    rng = random.Random(3)
+    rows = [(i, f"r{i}", f"merchantId == 'mch_{rng.randrange(120)}' and amount > {rng.randint(0, 6000)}" + (" and ipCountry == 'RU'" if i % 4 == 0 else ""), 1 + i % 5, True, None, None) for i in range(5000)]
+    loaded = load_rules(spark.createDataFrame(rows, RULES))
+    events = fixtures.transactions(spark, sf_dir)
+    found = with_indexed_rules(events, loaded)
+    plan = plan_text(found)
+    assert plan.count("BroadcastHashJoin") == 1 and "Exchange hash" not in plan and "NestedLoop" not in plan
+    got = {r.transaction_id: ([h.name for h in r.rule_hits], r.rule_score) for r in found.collect()}
+    read = [(name, score, *text.replace(" and ipCountry == 'RU'", "").replace("merchantId == ", "").replace("'", "").split(" and amount > "), "RU" in text) for _, name, text, score, *_ in rows]
+    for e in events.collect():
+        hits = [(n, s) for n, s, m, least, abroad in read if e.merchant_id == m and e.amount > float(least) and (not abroad or e.ip_country == "RU")]
+        assert got[e.transaction_id] == ([n for n, _ in hits], sum(s for _, s in hits))

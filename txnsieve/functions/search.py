@@ -9,13 +9,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def listed(values: Sequence[int] | Sequence[str]) -> Column:
+def listed(values: Sequence[int] | Sequence[float] | Sequence[str]) -> Column:
     """A list as one literal, however long it is."""
-    kind = "string" if values and isinstance(values[0], str) else "bigint"
+    kind = {str: "string", float: "double"}.get(type(values[0]) if values else int, "bigint")
     return F.from_json(F.lit(json.dumps(list(values))), f"array<{kind}>")
 
 
-def count_at_most(bounds: Sequence[int] | Sequence[str], value: Column) -> Column:
+def count_at_most(bounds: Sequence[int] | Sequence[float] | Sequence[str], value: Column) -> Column:
     """How many of the ascending ``bounds`` are at most ``value``; 0 where it is null.
 
     The expression has one size whatever the number of bounds, and takes a step for each halving. Texts are

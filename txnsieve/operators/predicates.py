@@ -38,7 +38,7 @@ _TOKEN = re.compile(
 _SIGN_OF_WORD = {
     "eq": "==", "ne": "!=", "lt": "<", "gt": ">", "le": "<=", "ge": ">=", "and": "&&", "or": "||", "not": "!", "div": "/", "mod": "%",
 }
-_COMPARISONS = {"==", "!=", "<", ">", "<=", ">="}
+COMPARISONS = {"==", "!=", "<", ">", "<=", ">="}
 
 
 class RuleError(ValueError):
@@ -196,7 +196,7 @@ class _Reader:
 
     def comparison(self) -> Value:
         value = self.sum()
-        if sign := self.take(*_COMPARISONS):
+        if sign := self.take(*COMPARISONS):
             return _compare(sign, value, self.sum())
         if self.word("matches"):
             return self.pattern(value)
@@ -214,7 +214,7 @@ class _Reader:
         if kind != "text" or value.kind != TEXT:
             raise RuleError("matches needs a text and a pattern in quotes")
         self.at += 1
-        body = _unquoted(word)
+        body = unquoted(word)
         try:
             re.compile(body)
         except re.error as error:
@@ -275,7 +275,7 @@ class _Reader:
         kind, word = self.words[self.at]
         self.at += 1
         if kind == "text":
-            return Value(TEXT, F.lit(_unquoted(word)))
+            return Value(TEXT, F.lit(unquoted(word)))
         if kind == "number":
             return Value(NUMBER, F.lit(float(word)))
         if kind == "name" and word in FIELD_COLUMNS:
@@ -296,10 +296,16 @@ def _called(function: Callable[..., Value], *values: Value) -> Value:
         raise RuleError("wrong number of arguments") from error
 
 
-def _unquoted(literal: str) -> str:
+def unquoted(literal: str) -> str:
     return literal[1:-1].replace(literal[0] * 2, literal[0])
 
 
+def rule_words(expression: str) -> list[tuple[str, str]]:
+    """The words of a rule text with their kinds; word forms of operators are signs."""
+    words = _Reader(expression).words
+    return [("sign", _SIGN_OF_WORD[w.lower()]) if k == "name" and w.lower() in _SIGN_OF_WORD else (k, w) for k, w in words]
+
+
 def predicate(expression: str) -> Column:
     """The condition of a rule text, over the event columns; null counts as no match."""
     return _boolean(_Reader(expression).whole())

@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txnsieve.operators.conditions import conditions
 from txnsieve.operators.predicates import RuleError, predicate
 
 HITS = "rule_hits"
@@ -54,7 +55,8 @@ def load_rules(rules: DataFrame) -> RuleSet:
     errors = {}
     for row in rows:
         try:
-            predicate(row["expression"] or "")
+            if conditions(row["expression"] or "") is None:  # a conjunction needs no column to be known as valid
+                predicate(row["expression"] or "")
         except RuleError as error:
             errors[row["id"]] = str(error)
     loaded = [
@@ -72,7 +74,7 @@ def rule_errors(spark: SparkSession, rule_set: RuleSet) -> DataFrame:
     )
 
 
-def _matches(rule: Rule) -> Column:
+def matches(rule: Rule) -> Column:
     """A broken rule and a null result count as no match."""
     return F.coalesce(predicate(rule.expression), F.lit(False)) if rule.valid else F.lit(False)
 
@@ -84,7 +86,7 @@ def group_score(members: list[Rule]) -> int:
 
 def group_fires(members: list[Rule]) -> Column:
     """ALL needs every signal, any other mode one of them; score carriers are no signals."""
-    signals = [_matches(r) for r in members if r.score <= 0]
+    signals = [matches(r) for r in members if r.score <= 0]
     if not signals:
         return F.lit(False)
     if members[0].match_mode == "ALL":
@@ -105,7 +107,7 @@ def _hit(name: str, group: str | None, score: int, fired: Column) -> Column:
 
 def with_rules(rows: DataFrame, rule_set: RuleSet) -> DataFrame:
     """Add ``rule_hits`` (the rules and groups that fired) and ``rule_score`` (their sum)."""
-    hits = [_hit(r.name, None, r.score, _matches(r)) for r in rule_set.ungrouped()]
+    hits = [_hit(r.name, None, r.score, matches(r)) for r in rule_set.ungrouped()]
     hits += [_hit(g, g, group_score(m), group_fires(m)) for g, m in rule_set.groups().items()]
     if not hits:
         none = F.array().cast("array<struct<name:string,group_name:string,score:bigint>>")

@@ -165,6 +165,26 @@ REPUTATION_ROWS = [
 ]
 
 
+#: A rule per customer, on the merchant that the customer's number falls to, from an amount that its balance gives.
+CUSTOMER_RULE = {
+    "merchant": "concat('mch_', cast(c_custkey % 100 as string))",
+    "least": "cast(floor(abs(c_acctbal)) as bigint)",
+    "abroad": "c_custkey % 3 = 0",
+}
+
+
+def customer_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules derived from the customers: thousands of conjunctions."""
+    merchant, least, abroad = (F.expr(CUSTOMER_RULE[c]) for c in ("merchant", "least", "abroad"))
+    text = F.concat(F.lit("merchantId == '"), merchant, F.lit("' and amount > "), least.cast("string"))
+    text = F.when(abroad, F.concat(text, F.lit(" and ipCountry != 'US'"))).otherwise(text)
+    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+        F.col("c_custkey").cast("long").alias("id"), F.concat(F.lit("customer_"), F.col("c_custkey").cast("string")).alias("name"),
+        text.alias("expression"), (F.col("c_custkey") % 7 + 1).cast("int").alias("score"), F.lit(True).alias("enabled"),
+        F.lit(None).cast("string").alias("group_name"), F.lit(None).cast("string").alias("match_mode"),
+    )
+
+
 def _small_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
     named = [dict(zip(schema.names, row)) for row in rows]
     return spark.createDataFrame(pa.Table.from_pylist(named, to_arrow_schema(schema)), schema)

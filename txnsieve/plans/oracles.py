@@ -384,6 +384,11 @@ _SELECTS = {
     "group_all": _rules(ALL_GROUP),
     "group_any": _rules(ANY_GROUP),
     "rule_score": _rules(RULES),
+    "rule_index": f"""
+      select t.transaction_id, count(c.merchant) as hits, cast(coalesce(sum(c.score), 0) as bigint) as rule_score
+      from tx t left join (select c_custkey % 7 + 1 as score, {_columns(fixtures.CUSTOMER_RULE)} from customer) c
+        on c.merchant = t.merchant_id and t.amount > c.least and (t.ip_country <> 'US' or not c.abroad)
+      group by t.transaction_id""",
     "rule_hits": f"select * from ({_HITS})",
     "list_rules": _rule_list(),
     "ip_reputation": f"select transaction_id, ip_address, {_REPUTATION} from tx",

@@ -22,6 +22,7 @@ from txnsieve.operators import (
     triage,
     velocity,
 )
+from txnsieve.operators.rule_index import with_indexed_rules
 from txnsieve.plans import fixtures
 from txnsieve.plans.scoring import score_events, score_payloads, score_survivors
 from txnsieve.schemas import FIELD_COLUMNS, REQUEST, TRANSACTIONS
@@ -292,6 +293,14 @@ def rule_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.rule_hits(rules.with_rules(fixtures.transactions(spark, sf_dir), _rule_set(spark)))
 
 
+@query
+def rule_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and sum of the hits of a rule for every customer."""
+    many = rules.load_rules(fixtures.customer_rules(spark, sf_dir))
+    found = with_indexed_rules(fixtures.transactions(spark, sf_dir), many)
+    return found.select("transaction_id", F.size("rule_hits").cast("long").alias("hits"), "rule_score")
+
+
 @query
 def rule_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits of rules whose kinds matter, over amounts of which some are no number."""
