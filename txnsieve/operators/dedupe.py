@@ -18,7 +18,7 @@ ID = "transaction_id"
 MS = "event_ms"
 
 
-#: Ids of at most so many distinct times are folded in one row; the others take one round per claim.
+#: Ids of at most so many uses are folded in one row; the others take one round per claim.
 FOLD_TIMES = 100_000
 
 
@@ -72,25 +72,21 @@ def _by_rounds(uses: DataFrame, ttl_ms: int, folder: str | None) -> list[DataFra
 def _later_claims(uses: DataFrame, ttl_ms: int, folder: str | None) -> list[DataFrame]:
     """Claims after the first one. Only ids whose uses span the lifetime take part.
 
-    The number of jobs does not depend on the time span, but for ids of more than ``FOLD_TIMES``
-    distinct times.
+    One stored aggregate finds them and says whether they fit a broadcast and a fold. The number of jobs does
+    not depend on the time span, but for ids of more than ``FOLD_TIMES`` uses.
     """
-    bounds = uses.agg(F.min(MS).alias("first"), F.max(MS).alias("last")).first()
-    if bounds["first"] is None or bounds["last"] - bounds["first"] < ttl_ms:
+    ends = uses.groupBy(ID).agg(F.min(MS).alias("first"), F.max(MS).alias("last"), F.count("*").alias("uses"))
+    spanning = staged(ends.where(F.col("last") - F.col("first") >= ttl_ms).select(ID, "uses"), "claims", folder)
+    found = spanning.agg(F.count("*").alias("ids"), F.count_if(F.col("uses") > FOLD_TIMES).alias("many")).first()
+    if not found["ids"]:
         return []
-    span = F.max(MS) - F.min(MS) >= ttl_ms
-    spanning = staged(uses.groupBy(ID).agg(span.alias("_spans")).where("_spans").select(ID), "claims", folder)
-    waiting = spanning.count()
-    if not waiting:
-        return []
-    fits = waiting <= MAX_BROADCAST_ROWS
-    times = lookup_join(uses, spanning, [ID], "inner", spread_by=[MS], fits=fits).select(ID, MS).distinct()
-    times = staged(times, "claims", folder)
-    many = staged(times.groupBy(ID).count().where(F.col("count") > FOLD_TIMES).select(ID), "claims", folder)
-    if not many.count():
-        return [_folded(times, ttl_ms)]
-    few = _folded(times.join(many, ID, "left_anti"), ttl_ms)
-    return [few, *_by_rounds(lookup_join(times, many, [ID], "inner", spread_by=[MS]), ttl_ms, folder)]
+    fits = found["ids"] <= MAX_BROADCAST_ROWS
+    times = lookup_join(uses, spanning, [ID], "inner", spread_by=[MS], fits=fits)
+    few = _folded(times.where(F.col("uses") <= FOLD_TIMES).select(ID, MS).distinct(), ttl_ms)
+    if not found["many"]:
+        return [few]
+    many = staged(times.where(F.col("uses") > FOLD_TIMES).select(ID, MS).distinct(), "claims", folder)
+    return [few, *_by_rounds(many, ttl_ms, folder)]
 
 
 def claim_first(

@@ -12,7 +12,7 @@ from txnsieve.config import DEFAULT_SIGNALS, HOUR_MS, MINUTE_MS, VelocitySignal
 from txnsieve.functions.scores import tier_score
 from txnsieve.functions.search import count_at_most, listed
 from txnsieve.functions.text import is_blank, starts_with_any
-from txnsieve.operators.levels import ASKED, AT, SLICE, running_levels, slice_start
+from txnsieve.operators.levels import ASKED, AT, PARTS, SLICE, running_levels, slice_start
 from txnsieve.operators.lookups import lookup_join
 
 MS = "event_ms"
@@ -89,8 +89,10 @@ def member_changes(rows: DataFrame, signal: VelocitySignal, asked: Column) -> Da
     return changes.unionByName(questions)
 
 
-def velocity_levels(rows: DataFrame, signals: list[VelocitySignal], asked: Column | None = None) -> DataFrame:
-    """Counts of signals that share a key and a guard, per key and instant."""
+def velocity_levels(
+    rows: DataFrame, signals: list[VelocitySignal], asked: Column | None = None, parts: int = PARTS
+) -> DataFrame:
+    """Counts of signals that share a key and a guard, per key and instant; a slice is summed in ``parts``."""
     asked = F.lit(1) if asked is None else asked
     guarded = rows.where(signal_guard(signals[0]))
     slice_ms = max(s.window_ms for s in signals)
@@ -98,7 +100,7 @@ def velocity_levels(rows: DataFrame, signals: list[VelocitySignal], asked: Colum
         changes = event_changes(guarded, signals, asked, slice_ms)
     else:
         changes = member_changes(guarded, signals[0], asked)
-    return running_levels(changes, signals[0].key, [s.name for s in signals], slice_ms)
+    return running_levels(changes, signals[0].key, [s.name for s in signals], slice_ms, parts)
 
 
 def signal_families(signals: tuple[VelocitySignal, ...]) -> list[list[VelocitySignal]]:

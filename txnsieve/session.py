@@ -16,6 +16,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Else every column function looks up its caller's line, which costs more than planning for long plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
