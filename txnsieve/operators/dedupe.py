@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnsieve.config import DAY_MS, MAX_BROADCAST_ROWS
-from txnsieve.operators.lookups import lookup_join
+from txnsieve.operators.lookups import lookup_join, shuffled
 from txnsieve.operators.parsing import UNKNOWN_ID
 from txnsieve.operators.ranking import first_per_key
 from txnsieve.session import staged
@@ -108,7 +108,7 @@ def claim_first(
     later = _later_claims(rows.select(ID, MS), ttl_ms, folder)
     if not later:
         return winners
-    again = rows.join(reduce(DataFrame.unionByName, later), [ID, MS], "left_semi")
+    again = rows.join(shuffled(reduce(DataFrame.unionByName, later)), [ID, MS], "left_semi")
     return winners.unionByName(first_per_key(again, [ID, MS], list(order)))
 
 
@@ -132,7 +132,7 @@ def new_failures(
     key = F.col(ID) if key is None else key
     first = first_per_key(failures.withColumn("_key", key), ["_key"], list(order))
     if recorded is not None:
-        first = first.join(recorded.select(key.alias("_key")), "_key", "left_anti")
+        first = first.join(shuffled(recorded.select(key.alias("_key"))), "_key", "left_anti")
     return first.drop("_key")
 
 

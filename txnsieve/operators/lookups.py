@@ -16,6 +16,15 @@ def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def shuffled(table: DataFrame) -> DataFrame:
+    """Side of a join that grows with the input: joined by sort and merge, whatever Catalyst takes its size for.
+
+    It takes the size of a stored table from its compressed files, and of an exploded one from the rows before, so
+    millions of rows would be collected on the driver and broadcast as a small table.
+    """
+    return table.hint("merge")
+
+
 def lookup_join(
     rows: DataFrame,
     table: DataFrame,
@@ -39,10 +48,10 @@ def lookup_join(
     if fits_broadcast(table, max_rows) if fits is None else fits:
         return _joined(rows, F.broadcast(table), on, how, where)
     if not spread_by:
-        return _joined(rows, table, on, how, where)
+        return _joined(rows, shuffled(table), on, how, where)
     salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     salted_table = table.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
-    return _joined(salted_rows, salted_table, [*on, "_salt"], how, where).drop("_salt")
+    return _joined(salted_rows, shuffled(salted_table), [*on, "_salt"], how, where).drop("_salt")
 
 
 def _joined(rows: DataFrame, table: DataFrame, on: list[str], how: str, where: Column | None) -> DataFrame:
