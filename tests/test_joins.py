@@ -7,6 +7,7 @@ from checks import plan_text
 from txnsieve.operators import dedupe
 from txnsieve.operators.dedupe import claim_first
 from txnsieve.operators.lookups import lookup_join
+from txnsieve.operators.velocity import with_velocity
 from txnsieve.session import staged
 
 
@@ -25,3 +26,11 @@ def test_a_table_beyond_the_limit_is_shuffled(spark):
         joined = lookup_join(rows, table, ["k"], spread_by=spread_by, fits=False)
         assert "Broadcast" not in plan_text(joined)
         assert sorted(joined.select("k", "w").collect()) == [("a", 7), ("b", None)]
+
+
+def test_signals_are_joined_without_broadcast(spark):
+    schema = "transaction_id string, event_ms long, card_fingerprint string, device_fingerprint string, ip_address string"
+    rows = staged(spark.createDataFrame([("t", 0, "c", "d", "1.2.3.4"), ("u", 1, "c", "d", "1.2.3.4")], schema), "rows")
+    counted = with_velocity(rows)
+    assert "Broadcast" not in plan_text(counted)
+    assert sorted(counted.select("transaction_id", "card_1m", "device_cards_24h").collect()) == [("t", 1, 1), ("u", 2, 1)]

@@ -13,7 +13,7 @@ from txnsieve.functions.scores import tier_score
 from txnsieve.functions.search import count_at_most, listed
 from txnsieve.functions.text import is_blank, starts_with_any
 from txnsieve.operators.levels import ASKED, AT, PARTS, SLICE, running_levels, slice_start
-from txnsieve.operators.lookups import lookup_join
+from txnsieve.operators.lookups import lookup_join, shuffled
 
 MS = "event_ms"
 MAX_INSTANTS = 10_000
@@ -134,7 +134,7 @@ def with_velocity(
             earlier = lookup_join(history.select(*used), present, [key], "left_semi", spread_by=[MS])
             events = events.unionByName(earlier.withColumn("_new", F.lit(0)))
         levels = velocity_levels(events, family, F.col("_new")).withColumnRenamed(AT, MS)
-        result = result.join(levels, [key, MS], "left")
+        result = result.join(shuffled(levels), [key, MS], "left")
     names = [s.name for s in signals]
     kept = [F.col(c) for c in rows.columns]
     return result.select(*kept, *[F.coalesce(F.col(n), F.lit(0)).alias(n) for n in names])
