@@ -5,6 +5,7 @@ from __future__ import annotations
 from checks import plan_text
 
 from txnsieve.operators import dedupe
+from txnsieve.operators.decisions import apply_overrides, current_transactions, override_outcomes
 from txnsieve.operators.dedupe import claim_first
 from txnsieve.operators.lookups import lookup_join
 from txnsieve.operators.velocity import with_velocity
@@ -34,3 +35,15 @@ def test_signals_are_joined_without_broadcast(spark):
     counted = with_velocity(rows)
     assert "Broadcast" not in plan_text(counted)
     assert sorted(counted.select("transaction_id", "card_1m", "device_cards_24h").collect()) == [("t", 1, 1), ("u", 2, 1)]
+
+
+def test_decisions_meet_overrides_and_transactions_without_broadcast(spark):
+    taken = staged(spark.sql("select 't' as transaction_id, 'NEEDS_REVIEW' as decision, timestamp_ntz'2024-01-01 00:00:00' as decided_at"), "taken")
+    request = "select 't' as transaction_id, 'APPROVED' as new_decision, 'r' as reason, 'a' as analyst_id, 1L as override_id"
+    requests = staged(spark.sql(f"{request}, timestamp_ntz'2024-01-02 00:00:00' as requested_at"), "requests")
+    outcomes = override_outcomes(requests, taken)
+    applied = apply_overrides(taken, outcomes)
+    current = current_transactions(staged(spark.sql("select 't' as transaction_id, 'x' as status"), "transactions"), taken)
+    for df in (outcomes, applied, current):
+        assert "Broadcast" not in plan_text(df)
+    assert applied.first().decision == "APPROVED" and current.first().status == "NEEDS_REVIEW"

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from txnsieve.config import APPROVED, AUTO_REJECTED, PENDING, SLICE_MS, Cutoffs
 from txnsieve.functions.scores import decide
 from txnsieve.operators.levels import slice_start
-from txnsieve.operators.lookups import lookup_join
+from txnsieve.operators.lookups import lookup_join, shuffled
 from txnsieve.operators.ranking import first_per_key
 from txnsieve.session import exists, remove_folder, staged
 
@@ -78,7 +78,7 @@ def current_transactions(transactions: DataFrame, decisions: DataFrame, ties: Se
     latest = latest_decisions(decisions, ties).select("transaction_id", "decision")
     return (
         transactions.drop("status")
-        .join(latest, "transaction_id", "left")
+        .join(shuffled(latest), "transaction_id", "left")
         .withColumn("status", F.coalesce("decision", F.lit(PENDING)))
         .drop("decision")
     )
@@ -96,7 +96,7 @@ def _previous(rows: DataFrame, value: str, order: Sequence[str], name: str, slic
     )
     return (
         sliced.withColumn(name, F.lag(value).over(in_slice))
-        .join(ends, ["transaction_id", "_slice"])
+        .join(shuffled(ends), ["transaction_id", "_slice"])
         .withColumn(name, F.coalesce(name, "_carried"))
         .drop("_slice", "_carried")
     )
@@ -128,7 +128,7 @@ def override_outcomes(
         .otherwise(F.lit(APPLIED))
     )
     return (
-        requests.join(latest, "transaction_id", "left")
+        requests.join(shuffled(latest), "transaction_id", "left")
         .withColumn("outcome", outcome)
         .withColumn("previous_decision", F.when(F.col("outcome") != INVALID, met))
         .drop("_previous", "_latest")
@@ -152,7 +152,7 @@ def apply_overrides(
 ) -> DataFrame:
     """Decision rows with the last applied override of their transaction, on all its rows."""
     return (
-        decisions.join(_applied(outcomes, order), "transaction_id", "left")
+        decisions.join(shuffled(_applied(outcomes, order)), "transaction_id", "left")
         .withColumn("decision", F.coalesce("new_decision", "decision"))
         .drop("new_decision")
     )
