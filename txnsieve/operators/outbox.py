@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from txnsieve.config import PENDING, PUBLISHED
 from txnsieve.functions.payload import serialize_payload
+from txnsieve.operators.lookups import shuffled
 from txnsieve.schemas import FIELD_COLUMNS, REQUEST
 
 
@@ -47,7 +48,7 @@ def outbox_records(transactions: DataFrame) -> DataFrame:
 
 def unpublished(outbox: DataFrame, ledger: DataFrame) -> DataFrame:
     """Outbox records that the published ledger does not hold."""
-    return outbox.join(ledger.select("transaction_id"), "transaction_id", "left_anti")
+    return outbox.join(shuffled(ledger.select("transaction_id")), "transaction_id", "left_anti")
 
 
 def publish(pending: DataFrame, published_at: Column) -> DataFrame:

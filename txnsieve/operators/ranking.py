@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from txnsieve.operators.lookups import shuffled
 from txnsieve.session import staged
 
 
@@ -62,7 +63,7 @@ def rank_up_to(
     starts = first.withColumn("_start", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
     starts = starts.where(F.col("_start") < limit).select(*[F.col(c).alias(f"_at_{c}") for c in columns], "_start", "_rows")
     same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(starts[f"_at_{c}"]) for c in columns])
-    joined = df.join(starts, same, "left").select(*[df[c] for c in df.columns], "_start", "_rows")
+    joined = df.join(shuffled(starts), same, "left").select(*[df[c] for c in df.columns], "_start", "_rows")
     # Only equal rows share a place; a place of one row needs no further number.
     equal = Window.partitionBy(*columns).orderBy(F.lit(0))
     rank = F.col("_start") + F.when(F.col("_rows") == 1, 1).otherwise(F.row_number().over(equal))

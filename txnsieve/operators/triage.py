@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from txnsieve.config import POISON_PILL, QUARANTINED, RESOLVED, RETRYING, TRANSIENT, Triage
 from txnsieve.functions.text import contains_any, is_blank
 from txnsieve.operators.dedupe import new_failures
+from txnsieve.operators.lookups import shuffled
 from txnsieve.operators.ranking import rank_up_to
 
 # Fixed value: error text of a record without the header.
@@ -103,10 +104,10 @@ def triage_attempts(
     )
     if recorded is not None:
         asked = ranked.select("transaction_id").distinct()
-        before = recorded.where(F.col("failure_type") == TRANSIENT).join(asked, "transaction_id", "left_semi")
+        before = recorded.where(F.col("failure_type") == TRANSIENT).join(shuffled(asked), "transaction_id", "left_semi")
         before = before.groupBy("transaction_id").agg(F.count("*").alias("_before"))
         counted = F.coalesce("_before", F.lit(0)) + F.col("_attempt")
-        ranked = ranked.join(before, "transaction_id", "left").withColumn(
+        ranked = ranked.join(shuffled(before), "transaction_id", "left").withColumn(
             "_attempt", F.when(counted <= triage.max_retries, counted)
         ).drop("_before")
     poison = typed.where(F.col("failure_type") == POISON_PILL).withColumn(
@@ -123,7 +124,7 @@ def triage_attempts(
     resolved = (F.col("status") == RETRYING) & F.coalesce("_decided", F.lit(False))
     resolved_at = F.when(resolved, F.coalesce("_decided_at", at)).otherwise(F.col("resolved_at"))
     return (
-        routed.join(decided, "transaction_id", "left")
+        routed.join(shuffled(decided), "transaction_id", "left")
         .withColumn("resolved_at", resolved_at)
         .withColumn("status", F.when(resolved, F.lit(RESOLVED)).otherwise(F.col("status")))
         .drop("_decided", "_decided_at")
