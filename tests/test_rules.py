@@ -7,7 +7,7 @@ from checks import plan_text
 
 from txnsieve.operators.conditions import Condition, conditions
 from txnsieve.operators.predicates import RuleError, predicate
-from txnsieve.operators.rule_index import with_indexed_rules
+from txnsieve.operators.rule_index import with_indexed_rules, with_rule_totals
 from txnsieve.operators.rules import RuleSet, list_rules, load_rules, render_rules, rule_errors, rule_hits, with_rules
 from txnsieve.plans import fixtures
 from txnsieve.schemas import FIELD_COLUMNS, RULES
@@ -249,3 +249,24 @@ def test_five_thousand_rules(spark, sf_dir):
     for e in events.collect():
         hits = [(n, s) for n, s, m, least, abroad in read if e.merchant_id == m and e.amount > float(least) and (not abroad or e.ip_country == "RU")]
         assert got[e.transaction_id] == ([n for n, _ in hits], sum(s for _, s in hits))
+
+
+def test_totals_equal_listed_hits(spark):
+    """Without a list of hits, also where rules share all but the bound of the amount."""
+    rng = random.Random(8)
+    texts = [f"merchantRiskTier == '{rng.choice(['high', 'low'])}' and amount {rng.choice(['>', '>='])} {rng.choice([5, 250, 600.5, 899])}" for _ in range(200)]
+    rows = [(1000 + i, f"bound {i}", text + rng.choice(["", " and ipCountry != 'US'"]), 1 + i % 7, True, None, None) for i, text in enumerate(texts)]
+    grouped = random_rules(rng, 120)
+    values = {
+        "amount": [5.0, 250.0, 600.5, 899.0, float("nan"), None, -7.0], "merchant_risk_tier": ["high", "low", "it's", None],
+        "merchant_category_code": ["7995", "5411", None], "ip_country": ["US", "RU", "", None], "billing_country": ["US", "CA", None],
+    }
+    names = ["transaction_id", *[c for c in FIELD_COLUMNS.values() if c != "transaction_id"]]
+    data = [(f"t{i}", *[rng.choice(values.get(c, ["x"])) for c in names[1:]]) for i in range(200)]
+    df = spark.createDataFrame(data, ", ".join(f"{c} {'double' if c == 'amount' else 'string'}" for c in names))
+    for given in ([*[r for r in grouped if r[5] is None], *rows], [*grouped, *rows], rows[:0]):
+        loaded = load_rules(spark.createDataFrame(given, RULES))
+        listed, totals = with_indexed_rules(df, loaded), with_rule_totals(df, loaded)
+        assert {r.transaction_id: (r.hits, r.rule_score) for r in totals.collect()} == {r.transaction_id: (len(r.rule_hits), r.rule_score) for r in listed.collect()}
+    few = plan_text(with_rule_totals(df, load_rules(spark.createDataFrame(rows, RULES))))
+    assert few.count("BroadcastHashJoin") == 1 and "bound 7" not in few

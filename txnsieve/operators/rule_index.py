@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 from collections import Counter, defaultdict
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -153,3 +154,83 @@ def with_indexed_rules(rows: DataFrame, rule_set: RuleSet) -> DataFrame:
     found = _once(found, **{HITS: F.transform(numbers, lambda n: F.get(literal, n.cast("int")))})
     total = F.aggregate(HITS, F.lit(0).cast("long"), lambda sum_, hit: sum_ + hit["score"])
     return found.select(*[F.col(c) for c in rows.columns], HITS, total.alias(SCORE))
+
+
+def _found(group: Column) -> Column:
+    """How many of the sorted bounds of a group the amount of the row passes, by halving."""
+    bounds, amount = group["b"], F.col("_amount")
+    real = amount.isNotNull() & ~F.isnan(F.coalesce(amount, F.lit(0.0)))
+
+    def step(range_: Column, _: Column) -> Column:
+        middle = F.floor((range_["low"] + range_["high"]) / 2).cast("int")
+        bound = F.get(bounds, middle)
+        passed = F.when(group["s"] == ">", amount > bound).otherwise(amount >= bound)
+        open_ = range_["low"] < range_["high"]
+        return F.struct(
+            F.when(open_ & passed, middle + 1).otherwise(range_["low"]).alias("low"),
+            F.when(open_ & ~passed, middle).otherwise(range_["high"]).alias("high"),
+        )
+
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(bounds) + 1)).cast("int"))
+    start = F.struct(F.lit(0).alias("low"), F.size(bounds).alias("high"))
+    passed = F.aggregate(steps, start, step, lambda s: s["low"])
+    return F.when(group["s"] == "", F.size(bounds)).when(real, passed).otherwise(F.lit(0))
+
+
+def with_rule_totals(rows: DataFrame, rule_set: RuleSet, hits: str = "hits") -> DataFrame:
+    """Add the number of ``rule_hits`` and ``rule_score`` as of ``with_indexed_rules``, without listing the hits.
+
+    Conjunctions that differ only in the bound from which the amount counts form one group of a value, with its
+    bounds sorted and its scores added up. A row checks the other conditions once per group and finds its place among the
+    bounds by halving, so it costs the groups of its values, not the rules it hits. Groups of rules count as a whole
+    and take the listed form.
+    """
+    if rule_set.groups():
+        listed_hits = with_indexed_rules(rows, rule_set)
+        return listed_hits.withColumn(hits, F.size(HITS).cast("long")).drop(HITS)
+    rules, spark = rule_set.ungrouped(), rows.sparkSession
+    index = rule_index(rules)
+    access = {n: (field, text) for field, values in index.by_value.items() for text, numbers in values.items() for n in numbers}
+    groups: dict[tuple, list[tuple[float, int]]] = defaultdict(list)
+    for number in sorted(set(range(len(rules))) - set(index.columns)):
+        own = index.conditions[number]
+        bound = next((c for c in own if c.field == AMOUNT and c.sign in (">", ">=")), None)
+        rest = tuple(c for c in own if c is not bound)
+        sign, at = (bound.sign, bound.number) if bound else ("", 0.0)
+        groups[access.get(number, (None, None)), rest, sign].append((at, rules[number].score))
+    fields = sorted({c.field for _, rest, _ in groups for c in rest if c.field != AMOUNT})
+    texts = F.array(*[F.col(FIELD_COLUMNS[f]) for f in fields]).cast("array<string>")
+    held: dict[tuple, list[dict]] = defaultdict(list)
+    for (value, rest, sign), members in groups.items():
+        members.sort()
+        checks = [{"f": -1 if c.field == AMOUNT else fields.index(c.field), "s": c.sign, "t": c.text, "n": c.number} for c in rest]
+        held[value].append({"c": checks, "s": sign, "b": [b for b, _ in members], "t": list(accumulate((s for _, s in members), initial=0))})
+    condition = pa.struct([("f", pa.int32()), ("s", pa.string()), ("t", pa.string()), ("n", pa.float64())])
+    kind = pa.list_(pa.struct([("c", pa.list_(condition)), ("s", pa.string()), ("b", pa.list_(pa.float64())), ("t", pa.list_(pa.int64()))]))
+    found = _once(rows, _amount=F.col(AMOUNT).cast("double"), _texts=texts)
+    sides = []
+    for field in sorted(index.by_value):
+        values = [v for v in held if v[0] == field]
+        table = pa.table({f"_v_{field}": [t for _, t in values], f"_g_{field}": pa.array([held[v] for v in values], kind)})
+        side = F.broadcast(spark.createDataFrame(table))
+        found = found.join(side, F.col(FIELD_COLUMNS[field]) == F.col(f"_v_{field}"), "left")
+        sides.append(F.col(f"_g_{field}"))
+    if (None, None) in held:
+        shape = f"array<struct<c: array<{_CONDITION}>, s: string, b: array<double>, t: array<bigint>>>"
+        sides.append(F.from_json(F.lit(json.dumps(held[None, None])), shape))
+    number, score = F.lit(0).cast("long"), F.lit(0).cast("long")
+    for at, side in enumerate(sides):
+        met = F.filter(side, lambda g: F.forall(g["c"], _holds))
+        places = F.transform(met, lambda g: F.struct(_found(g).alias("n"), g["t"].alias("t")))
+        totals = F.transform(places, lambda p: F.struct(p["n"].cast("long").alias("n"), F.get(p["t"], p["n"]).alias("t")))
+        found = _once(found, **{f"_totals_{at}": totals})
+        for name in ("n", "t"):
+            total = F.aggregate(F.coalesce(F.col(f"_totals_{at}")[name], F.array().cast("array<bigint>")), F.lit(0).cast("long"), lambda a, b: a + b)
+            number, score = (number + total, score) if name == "n" else (number, score + total)
+    for at in range(0, len(index.columns), BLOCK):
+        name = f"_block_{at}"
+        fired = [F.when(matches(rules[n]), F.lit(rules[n].score).cast("long")) for n in index.columns[at : at + BLOCK]]
+        found = _once(found, **{name: F.filter(F.array(*fired), lambda s: s.isNotNull())})
+        number = number + F.size(name)
+        score = score + F.aggregate(name, F.lit(0).cast("long"), lambda a, b: a + b)
+    return found.select(*[F.col(c) for c in rows.columns], number.alias(hits), score.alias(SCORE))
