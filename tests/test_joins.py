@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from checks import plan_text
 
-from txnsieve.operators import dedupe
+from txnsieve.operators import analyst, dedupe
 from txnsieve.operators.decisions import apply_overrides, current_transactions, override_outcomes
 from txnsieve.operators.dedupe import claim_first
 from txnsieve.operators.lookups import lookup_join
@@ -47,3 +47,25 @@ def test_decisions_meet_overrides_and_transactions_without_broadcast(spark):
     for df in (outcomes, applied, current):
         assert "Broadcast" not in plan_text(df)
     assert applied.first().decision == "APPROVED" and current.first().status == "NEEDS_REVIEW"
+
+
+def test_review_joins_the_newest_rows_first(spark, monkeypatch):
+    """Of 300 waiting decisions only some have a transaction; few rows are joined where they are enough."""
+    joined = []
+
+    def counted(rows, table, *given, **named):
+        joined.append(table.count())
+        return lookup_join(rows, table, *given, **named)
+
+    monkeypatch.setattr(analyst, "lookup_join", counted)
+    taken = spark.range(300).selectExpr(
+        "concat('t', id) as transaction_id", "'NEEDS_REVIEW' as decision", "id as risk_score", "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, cast(id as int)) as decided_at"
+    )
+    stored = spark.range(300).selectExpr(
+        "concat('t', id) as transaction_id", "id as amount", "'USD' as currency", "'m' as merchant_id", "'US' as ip_country", "'US' as billing_country"
+    )
+    for kept, sizes in (("amount >= 0", [10]), ("amount < 100", [10, 300]), ("amount < 3", [10, 300])):
+        joined.clear()
+        found = analyst.pending_review(taken, stored.where(kept), limit=5, first=10).collect()
+        ids = [r.amount for r in stored.where(kept).orderBy("amount", ascending=False).limit(5).collect()]
+        assert [r.risk_score for r in found] == ids and joined == sizes

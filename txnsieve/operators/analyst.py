@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from txnsieve.config import NEEDS_REVIEW
+from txnsieve.config import MAX_BROADCAST_ROWS, NEEDS_REVIEW
 from txnsieve.operators.decisions import latest_decisions
 from txnsieve.operators.lookups import lookup_join
 from txnsieve.session import staged
@@ -77,6 +77,29 @@ def _newest_by_day(
     return _newest(reduce(DataFrame.unionByName, found), time, limit, ties)
 
 
+#: Decisions that first look for their transaction; 32 times as many in each further round.
+FIRST_ASKED = 1000
+
+
+def _newest_with_details(asked: DataFrame, details: DataFrame, limit: int, ties: Sequence[str], first: int) -> DataFrame:
+    """Rows of ``asked`` joined to their details, among them the newest ``limit`` that have any.
+
+    The newest rows are joined first, and all of them only while too few have details, so the details are mostly
+    scanned once against a broadcast of ``first`` rows. Without rows nothing is scanned.
+    """
+    asked = staged(asked, "asked")
+    waiting = asked.count()
+    while True:
+        some = asked if first >= waiting else _newest(asked, "decided_at", first, ties)
+        found = lookup_join(details, some, ["transaction_id"], "inner", fits=min(first, waiting) <= MAX_BROADCAST_ROWS)
+        if first >= waiting:
+            return found
+        found = staged(_newest(found, "decided_at", limit, ties), "asked")
+        if found.count() >= limit:
+            return found
+        first *= 32
+
+
 def pending_review(
     decisions: DataFrame,
     transactions: DataFrame,
@@ -84,6 +107,7 @@ def pending_review(
     ties: Sequence[str] = ("transaction_id",),
     days: Sequence[str] | None = None,
     day: str = "decided_on",
+    first: int = FIRST_ASKED,
 ) -> DataFrame:
     """Newest decisions that wait for an analyst, with their transaction; those without one are left out.
 
@@ -93,7 +117,7 @@ def pending_review(
 
     def waiting(rows: DataFrame) -> DataFrame:
         asked = rows.where(F.col("decision") == NEEDS_REVIEW).select("transaction_id", "risk_score", "decided_at")
-        return lookup_join(details, asked, ["transaction_id"], "inner").select(*REVIEW_VIEW)
+        return _newest_with_details(asked, details, limit, ties, first).select(*REVIEW_VIEW)
 
     return _newest_by_day(decisions, days, day, "decided_at", limit, ties, waiting)
 
