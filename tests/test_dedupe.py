@@ -8,7 +8,7 @@ from checks import plan_text
 from txnsieve.config import DAY_MS
 from txnsieve.operators import lookups
 from txnsieve.session import staged
-from txnsieve.operators.dedupe import claim_first, duplicate_audit, failure_key, new_failures
+from txnsieve.operators.dedupe import _by_rounds, claim_first, duplicate_audit, failure_key, new_failures
 
 COLUMNS = "transaction_id string, event_ms long, seq long"
 
@@ -66,6 +66,25 @@ def test_many_claims_per_id(spark, monkeypatch, fold_times):
     assert fold_times < 1000 or jobs[0] == jobs[1]
 
 
+def test_repeated_times_are_folded_and_rounds_are_stored(spark, monkeypatch):
+    """An id of many uses at few times is folded; what the rounds of another find is read, not computed again."""
+    monkeypatch.setattr("txnsieve.operators.dedupe.FOLD_TIMES", 20)
+    few = [("few", DAY_MS * (i % 8) // 2) for i in range(100)]
+    folded = claim_first(frame(spark, few))
+    assert claimed(folded) == fold(few)
+    rounds = []
+    monkeypatch.setattr("txnsieve.operators.dedupe._by_rounds", lambda *a: rounds.append(1) or _by_rounds(*a))
+    claim_first(frame(spark, few))
+    assert not rounds
+    plans = []
+    for days in (10, 20):
+        many = few + [("many", DAY_MS * i // 4) for i in range(4 * days)]
+        taken = claim_first(frame(spark, many))
+        assert claimed(taken) == fold(many)
+        plans.append(plan_text(taken).count("HashAggregate"))
+    assert len(rounds) == 2 and plans[0] == plans[1]
+
+
 def test_earlier_claims_still_hold(spark):
     held = {"a": 0, "b": -2 * DAY_MS}
     rows = [("a", DAY_MS - 1), ("a", DAY_MS + 5), ("b", 3), ("c", 4)]

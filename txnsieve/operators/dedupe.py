@@ -50,7 +50,8 @@ def _by_rounds(uses: DataFrame, ttl_ms: int, folder: str | None) -> list[DataFra
     """Claims after the first one of ids with very many times, one DataFrame per round.
 
     Each round finds the next claim of every such id with a minimum per id, so a hot id is reduced
-    before each shuffle, and the rounds are bounded by the time span over the lifetime.
+    before each shuffle, and the rounds are bounded by the time span over the lifetime. What a round finds is stored,
+    else one task would run the aggregates of all rounds at once.
     """
     expires = F.col("_claimed") + ttl_ms
 
@@ -63,7 +64,7 @@ def _by_rounds(uses: DataFrame, ttl_ms: int, folder: str | None) -> list[DataFra
         fits = waiting <= MAX_BROADCAST_ROWS
         after = lookup_join(candidates, open_ids, [ID], "inner", spread_by=[MS], fits=fits)
         candidates = staged(after.where(F.col(MS) >= expires).select(ID, MS).distinct(), "claims", folder)
-        found = spans(candidates)
+        found = staged(spans(candidates), "claims", folder)
         rounds.append(found.select(ID, F.col("_claimed").alias(MS)))
         open_ids = found.where(F.col("_last") >= expires).select(ID, "_claimed")
     return rounds
@@ -73,7 +74,8 @@ def _later_claims(uses: DataFrame, ttl_ms: int, folder: str | None) -> list[Data
     """Claims after the first one. Only ids whose uses span the lifetime take part.
 
     One stored aggregate finds them and says whether they fit a broadcast and a fold. The number of jobs does
-    not depend on the time span, but for ids of more than ``FOLD_TIMES`` uses.
+    not depend on the time span, but for ids of more than ``FOLD_TIMES`` distinct times. Those are counted where an id
+    has more uses than that, as its uses may share few times.
     """
     ends = uses.groupBy(ID).agg(F.min(MS).alias("first"), F.max(MS).alias("last"), F.count("*").alias("uses"))
     spanning = staged(ends.where(F.col("last") - F.col("first") >= ttl_ms).select(ID, "uses"), "claims", folder)
@@ -82,11 +84,19 @@ def _later_claims(uses: DataFrame, ttl_ms: int, folder: str | None) -> list[Data
         return []
     fits = found["ids"] <= MAX_BROADCAST_ROWS
     times = lookup_join(uses, spanning, [ID], "inner", spread_by=[MS], fits=fits)
-    few = _folded(times.where(F.col("uses") <= FOLD_TIMES).select(ID, MS).distinct(), ttl_ms)
+    few = times.where(F.col("uses") <= FOLD_TIMES).select(ID, MS).distinct()
     if not found["many"]:
-        return [few]
-    many = staged(times.where(F.col("uses") > FOLD_TIMES).select(ID, MS).distinct(), "claims", folder)
-    return [few, *_by_rounds(many, ttl_ms, folder)]
+        return [_folded(few, ttl_ms)]
+    busy = staged(times.where(F.col("uses") > FOLD_TIMES).select(ID, MS).distinct(), "claims", folder)
+    counted = staged(busy.groupBy(ID).agg(F.count("*").alias("_times")), "claims", folder)
+    over = counted.where(F.col("_times") > FOLD_TIMES).select(ID)
+    ids = over.count()
+    if not ids:
+        return [_folded(few.unionByName(busy), ttl_ms)]
+    fits = ids <= MAX_BROADCAST_ROWS
+    folded = _folded(few.unionByName(lookup_join(busy, over, [ID], "left_anti", fits=fits)), ttl_ms)
+    many = lookup_join(busy, over, [ID], "left_semi", fits=fits)
+    return [folded, *_by_rounds(many, ttl_ms, folder)]
 
 
 def claim_first(
