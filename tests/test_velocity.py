@@ -12,6 +12,7 @@ from txnsieve.config import (
 from txnsieve.functions.scores import tier_score
 from txnsieve.operators.levels import ASKED, AT, running_levels
 from txnsieve.operators.velocity import behavioral_score, velocity_levels, velocity_snapshot, with_velocity
+from txnsieve.session import staged
 
 COLUMNS = "transaction_id string, card_fingerprint string, device_fingerprint string, ip_address string, event_ms long"
 T0 = 1_700_000_000_000
@@ -95,6 +96,30 @@ def test_hot_keys_match_brute_force(spark, span):
         assert [r[signal.name] for r in found] == brute(rows, signal), signal.name
 
 
+@pytest.mark.parametrize(("least", "most"), [(0, 10_000), (20, 10_000), (20, 1)])
+def test_hot_and_other_slices_agree(spark, monkeypatch, least, most):
+    """All slices in parts, the hot ones only, and all of them since the hot ones are too many to list."""
+    monkeypatch.setattr("txnsieve.operators.velocity.HOT_EVENTS", least)
+    monkeypatch.setattr("txnsieve.operators.velocity.MAX_HOT_SLICES", most)
+    rng = random.Random(least)
+    day = T0 - T0 % DAY_MS
+    rows = [
+        (rng.choice(["hot", "hot", "a", "b"]), rng.choice(["hot", "hot", "d", ""]), rng.choice(["hot", "9.9.9.9", "127.1.1.1"]), day + rng.randrange(0, 3 * HOUR_MS, 20_000))
+        for _ in range(150)
+    ]
+    found = sorted(with_velocity(frame(spark, rows), DEFAULT_SIGNALS).collect(), key=lambda r: int(r.transaction_id[1:]))
+    for signal in DEFAULT_SIGNALS:
+        assert [r[signal.name] for r in found] == brute(rows, signal), signal.name
+
+
+def test_changes_of_slices_that_are_not_hot_are_made_once_and_after_the_shuffle(spark):
+    rows = staged(frame(spark, [("a", "d", "9.9.9.9", T0)]), "rows")
+    for signals, readers in (((CARD_1M, CARD_5M, CARD_1H), 2), ((DEVICE_CARDS_24H,), 3)):
+        plan = plan_text(with_velocity(rows, signals))
+        assert plan.count("FileScan") == readers
+        assert plan.count("Window") <= 2
+
+
 def test_history_fills_windows_but_is_not_returned(spark):
     rows = [("a", "d", "1.1.1.1", T0), ("b", "d", "1.1.1.1", T0 + 10), ("a", "d", "1.1.1.1", T0 + 20)]
     whole = frame(spark, rows)

@@ -9,8 +9,9 @@ window, and each slice is summed on its own: an event that is still inside its w
 a slice enters the next slice at its start, and never reaches a third one. Changes of one instant
 are merged first.
 
-A hot key may still have most of its rows in one slice, so a slice is cut into ``PARTS`` parts, and the
-sum runs on two levels: each part is added up, the totals of the earlier parts of the slice (at most
+Most slices of a key hold few rows and are summed by one task each (``slice_levels``): a second level would cost
+more rows than it spreads. A hot key may still have most of its rows in one slice, so such a slice is cut into
+``PARTS`` parts (``running_levels``), and the sum runs on two levels: each part is added up, the totals of the earlier parts of the slice (at most
 ``PARTS`` rows) are added up to what the part starts with, and that enters the part as one more change
 before its first instant. One task then holds one part of a slice of a key: at most one row for each
 millisecond of the part.
@@ -34,6 +35,30 @@ def slice_start(ms: Column, length: int) -> Column:
     return ms - F.pmod(ms, F.lit(length))
 
 
+def split_hot(rows: DataFrame, key: str, hot: list[tuple] | None) -> tuple[DataFrame | None, DataFrame | None]:
+    """Rows with ``key`` and ``_slice`` outside and inside the listed slices; None for a side without any.
+
+    The keys are listed as text. Without a list all rows count as inside.
+    """
+    if hot is None:
+        return None, rows
+    if not hot:
+        return rows, None
+    listed = F.broadcast(rows.sparkSession.createDataFrame(hot, "_hot_key string, _hot_slice long"))
+    same = (F.col(key).cast("string") == F.col("_hot_key")) & (F.col(SLICE) == F.col("_hot_slice"))
+    return rows.join(listed, same, "left_anti"), rows.join(listed, same, "left_semi")
+
+
+def slice_levels(changes: DataFrame, key: str, measures: list[str]) -> DataFrame:
+    """Sum ``measures`` from the start of the slice up to each instant asked for, a slice of a key in one task.
+
+    ``changes`` has the slice too, and at most one row that is asked for per key and instant; it comes last there.
+    """
+    up_to_here = Window.partitionBy(key, SLICE).orderBy(AT, ASKED).rowsBetween(Window.unboundedPreceding, 0)
+    levels = changes.select(key, AT, ASKED, *[F.sum(m).over(up_to_here).alias(m) for m in measures])
+    return levels.where(F.col(ASKED) > 0).drop(ASKED)
+
+
 def running_levels(changes: DataFrame, key: str, measures: list[str], slice_ms: int, parts: int = PARTS) -> DataFrame:
     """Sum ``measures`` from the start of the slice up to and including each instant, per key.
 

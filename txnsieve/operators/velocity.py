@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,11 +13,17 @@ from txnsieve.config import DEFAULT_SIGNALS, HOUR_MS, MINUTE_MS, VelocitySignal
 from txnsieve.functions.scores import tier_score
 from txnsieve.functions.search import count_at_most, listed
 from txnsieve.functions.text import is_blank, starts_with_any
-from txnsieve.operators.levels import ASKED, AT, PARTS, SLICE, running_levels, slice_start
+from txnsieve.operators.levels import ASKED, AT, PARTS, SLICE, running_levels, slice_levels, slice_start, split_hot
 from txnsieve.operators.lookups import lookup_join, shuffled
 
 MS = "event_ms"
 MAX_INSTANTS = 10_000
+#: A key with more events than this in one slice is summed in parts of the slice, each a task of its own.
+HOT_EVENTS = 20_000
+#: Such keys and slices are listed on the driver up to this number; beyond, every slice is summed in parts.
+MAX_HOT_SLICES = 10_000
+#: Events of the slices that a task sums.
+EVENTS_PER_TASK = 50_000
 
 
 def signal_guard(signal: VelocitySignal) -> Column:
@@ -30,27 +37,40 @@ def signal_guard(signal: VelocitySignal) -> Column:
     return guard
 
 
-def event_changes(rows: DataFrame, signals: list[VelocitySignal], asked: Column, slice_ms: int) -> DataFrame:
-    """Each event enters every window at its time and leaves window ``w`` at its time + ``w``.
+def event_uses(rows: DataFrame, signals: list[VelocitySignal], asked: Column, slice_ms: int) -> DataFrame:
+    """Each event in its own slice, and in the next one, which its windows may reach."""
+    here = slice_start(F.col(MS), slice_ms)
 
-    Windows that reach into the next slice carry the event over at the start of that slice.
+    def use(slice_: Column, ask: Column) -> Column:
+        return F.struct(slice_.alias(SLICE), ask.cast("long").alias(ASKED))
+
+    return rows.select(signals[0].key, MS, F.inline(F.array(use(here, asked), use(here + slice_ms, F.lit(0)))))
+
+
+def event_changes(uses: DataFrame, signals: list[VelocitySignal], slice_ms: int) -> DataFrame:
+    """What the events of a slice change in it: they enter every window at their time and leave window ``w`` at their time + ``w``.
+
+    Events of the slice before enter at its start the windows that they are still in. Events of one time are one
+    row, so at most one row is asked for at an instant.
     """
-    names = [s.name for s in signals]
-    next_slice = slice_start(F.col(MS), slice_ms) + slice_ms
+    key = signals[0].key
+    merged = uses.groupBy(key, SLICE, MS).agg(F.count("*").alias("_events"), F.sum(ASKED).alias(ASKED))
+    inside = {s.name: F.col(MS) + s.window_ms > F.col(SLICE) for s in signals}
 
     def change(at: Column, values: dict[str, Column], ask: Column) -> Column:
-        return F.struct(
-            at.alias(AT),
-            *[values.get(n, F.lit(0)).cast("long").alias(n) for n in names],
-            ask.cast("long").alias(ASKED),
+        numbers = [values.get(s.name, F.lit(0)).cast("long").alias(s.name) for s in signals]
+        return F.struct(at.alias(AT), *numbers, ask.cast("long").alias(ASKED))
+
+    entering = change(F.greatest(MS, SLICE), {n: F.when(i, F.col("_events")).otherwise(0) for n, i in inside.items()}, F.col(ASKED))
+    leaving = [
+        F.when(
+            inside[s.name] & (F.col(MS) + s.window_ms < F.col(SLICE) + slice_ms),
+            change(F.col(MS) + s.window_ms, {s.name: -F.col("_events")}, F.lit(0)),
         )
-
-    zero, one = F.lit(0), F.lit(1)
-    entering = change(F.col(MS), dict.fromkeys(names, one), asked)
-    leaving = [change(F.col(MS) + s.window_ms, {s.name: F.lit(-1)}, zero) for s in signals]
-    reaching = {s.name: (F.col(MS) + s.window_ms >= next_slice) for s in signals}
-    carried = change(next_slice, reaching, zero)
-    return rows.select(signals[0].key, F.inline(F.array(entering, *leaving, carried)))
+        for s in signals
+    ]
+    changes = F.filter(F.array(entering, *leaving), lambda c: c.isNotNull())
+    return merged.select(key, SLICE, F.inline(changes))
 
 
 def member_changes(rows: DataFrame, signal: VelocitySignal, asked: Column) -> DataFrame:
@@ -89,18 +109,83 @@ def member_changes(rows: DataFrame, signal: VelocitySignal, asked: Column) -> Da
     return changes.unionByName(questions)
 
 
+@dataclass(frozen=True)
+class Spread:
+    """How the events of a signal family lie over keys and slices."""
+
+    events: int
+    #: Keys (as text) and slices that one task should not sum; None: too many to list.
+    hot: list[tuple[str, int]] | None
+
+
+def family_spread(rows: DataFrame, families: list[list[VelocitySignal]]) -> list[Spread]:
+    """Per family the number of events, and the keys and slices with more than ``HOT_EVENTS`` of them.
+
+    One job counts the events of each key; slices are only counted for keys that have that many in all. An event
+    counts in its own slice and in the next, as its windows reach there.
+    """
+    key = F.col("key")
+    uses = [
+        rows.where(signal_guard(f[0]) & F.col(MS).isNotNull()).select(F.lit(i).alias("family"), F.col(f[0].key).cast("string").alias("key"), MS)
+        for i, f in enumerate(families)
+    ]
+    by_key = reduce(DataFrame.unionByName, [u.groupBy("family", "key").agg(F.count("*").alias("events")) for u in uses])
+    busy = F.slice(F.collect_list(F.when(F.col("events") > HOT_EVENTS, key)), 1, MAX_HOT_SLICES + 1)
+    found = {r["family"]: r for r in by_key.groupBy("family").agg(F.sum("events").alias("events"), busy.alias("busy")).collect()}
+    events = [found[i]["events"] if i in found else 0 for i in range(len(families))]
+    keys = [(i, k) for i, r in found.items() for k in r["busy"]]
+    if not keys:
+        return [Spread(n, []) for n in events]
+    if len(keys) > MAX_HOT_SLICES:
+        return [Spread(n, None) for n in events]
+    listed = F.broadcast(rows.sparkSession.createDataFrame(keys, "family int, key string"))
+    by_slice = []
+    for i in {i for i, _ in keys}:
+        slice_ms = max(s.window_ms for s in families[i])
+        own = uses[i].join(listed, ["family", "key"]).groupBy("family", "key", slice_start(F.col(MS), slice_ms).alias("_own")).agg(F.count("*").alias("events"))
+        both = own.select("family", "key", F.explode(F.array(F.col("_own"), F.col("_own") + slice_ms)).alias(SLICE), "events")
+        by_slice.append(both.groupBy("family", "key", SLICE).agg(F.sum("events").alias("events")))
+    hot = reduce(DataFrame.unionByName, by_slice).where(F.col("events") > HOT_EVENTS).limit(MAX_HOT_SLICES + 1).collect()
+    if len(hot) > MAX_HOT_SLICES:
+        return [Spread(n, None) for n in events]
+    return [Spread(n, [(r["key"], r[SLICE]) for r in hot if r["family"] == i]) for i, n in enumerate(events)]
+
+
 def velocity_levels(
-    rows: DataFrame, signals: list[VelocitySignal], asked: Column | None = None, parts: int = PARTS
+    rows: DataFrame,
+    signals: list[VelocitySignal],
+    asked: Column | None = None,
+    parts: int = PARTS,
+    spread: Spread | None = None,
 ) -> DataFrame:
-    """Counts of signals that share a key and a guard, per key and instant; a slice is summed in ``parts``."""
+    """Counts of signals that share a key and a guard, per key and instant; a hot slice is summed in ``parts``.
+
+    ``spread`` is the outcome of ``family_spread`` for the family; without it, all slices are summed in parts.
+    Adaptive execution would join partitions by their compressed size, which is small for these rows, so their number
+    follows the events.
+    """
     asked = F.lit(1) if asked is None else asked
-    guarded = rows.where(signal_guard(signals[0]))
+    guarded = rows.where(signal_guard(signals[0]) & F.col(MS).isNotNull())
     slice_ms = max(s.window_ms for s in signals)
-    if signals[0].member is None:
-        changes = event_changes(guarded, signals, asked, slice_ms)
+    key, names = signals[0].key, [s.name for s in signals]
+    events = signals[0].member is None
+    if events:
+        taken = event_uses(guarded, signals, asked, slice_ms)
     else:
-        changes = member_changes(guarded, signals[0], asked)
-    return running_levels(changes, signals[0].key, [s.name for s in signals], slice_ms, parts)
+        taken = member_changes(guarded, signals[0], asked).withColumn(SLICE, slice_start(F.col(AT), slice_ms))
+    cold, hot = split_hot(taken, key, spread and spread.hot)
+    levels = []
+    if cold is not None:
+        cold = cold.repartition(1 + spread.events // EVENTS_PER_TASK, key, SLICE)
+        if events:
+            cold = event_changes(cold, signals, slice_ms)
+        else:
+            cold = cold.groupBy(key, SLICE, AT).agg(*[F.sum(n).alias(n) for n in names], F.sum(ASKED).alias(ASKED))
+        levels.append(slice_levels(cold, key, names))
+    if hot is not None:
+        changes = event_changes(hot, signals, slice_ms) if events else hot
+        levels.append(running_levels(changes.drop(SLICE), key, names, slice_ms, parts))
+    return reduce(DataFrame.unionByName, levels)
 
 
 def signal_families(signals: tuple[VelocitySignal, ...]) -> list[list[VelocitySignal]]:
@@ -125,7 +210,10 @@ def with_velocity(
     """
     uses = rows if uses is None else uses
     result = rows
-    for family in signal_families(signals):
+    families = signal_families(signals)
+    keys = list(dict.fromkeys([*[f[0].key for f in families], MS]))
+    known = uses.select(*keys) if history is None else uses.select(*keys).unionByName(history.select(*keys))
+    for family, spread in zip(families, family_spread(known, families)):
         key = family[0].key
         used = list(dict.fromkeys([key, *[s.member for s in family if s.member], MS]))
         events = uses.select(*used, F.lit(1).alias("_new"))
@@ -133,7 +221,7 @@ def with_velocity(
             present = uses.select(key).distinct()
             earlier = lookup_join(history.select(*used), present, [key], "left_semi", spread_by=[MS])
             events = events.unionByName(earlier.withColumn("_new", F.lit(0)))
-        levels = velocity_levels(events, family, F.col("_new")).withColumnRenamed(AT, MS)
+        levels = velocity_levels(events, family, F.col("_new"), spread=spread).withColumnRenamed(AT, MS)
         result = result.join(shuffled(levels), [key, MS], "left")
     names = [s.name for s in signals]
     kept = [F.col(c) for c in rows.columns]
