@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import pandas as pd
 import pytest
 from checks import plan_text
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from txnsieve.functions.scores import tier_score
 from txnsieve.operators.levels import ASKED, AT, running_levels
 from txnsieve.operators.velocity import behavioral_score, velocity_levels, velocity_snapshot, with_velocity
 from txnsieve.session import staged
+from txnsieve.streaming.velocity_state import VelocityState
 
 COLUMNS = "transaction_id string, card_fingerprint string, device_fingerprint string, ip_address string, event_ms long"
 T0 = 1_700_000_000_000
@@ -197,3 +199,47 @@ def test_a_hot_device_of_one_day_is_spread_over_tasks(spark):
     finally:
         for k, v in kept.items():
             spark.conf.set(k, v)
+
+
+class Store:
+    """State of one key and its timers, with the number of calls."""
+
+    def __init__(self):
+        self.held, self.timers, self.calls = {}, set(), 0
+
+    def getMapState(self, *names):
+        return self
+
+    def __getattr__(self, name):
+        acts = {
+            "getValue": lambda k: self.held.get(k), "updateValue": self.held.__setitem__, "removeKey": self.held.pop,
+            "registerTimer": self.timers.add, "deleteTimer": self.timers.remove, "clear": self.held.clear,
+        }
+
+        def call(*given):
+            self.calls += 1
+            return acts[name](*given)
+
+        return call
+
+
+@pytest.mark.parametrize("chunk", [100_000, 3])
+def test_a_key_of_a_stream_takes_few_calls_of_the_store(monkeypatch, chunk):
+    monkeypatch.setattr("txnsieve.streaming.velocity_state.CHUNK", chunk)
+    for family in ([CARD_1M, CARD_5M, CARD_1H], [DEVICE_CARDS_24H]):
+        state, store, rng, seen = VelocityState([family], DAY_MS), Store(), random.Random(chunk), []
+        state.init(store)
+        span = family[-1].window_ms
+        for batch in range(4):
+            rows = [(f"c{rng.randrange(5)}", T0 + batch * span + rng.randrange(span)) for _ in range(30)]
+            seen += rows
+            store.calls = 0
+            new = pd.DataFrame([(f"t{i}", at, card if family[0].member else "") for i, (card, at) in enumerate(rows)], columns=["transaction_id", "event_ms", "member"])
+            frames = list(state.handleInputRows((0, "k"), iter([new[:10], new[10:]]), None))
+            assert len(frames) == 1 and len(store.timers) == 1
+            assert chunk < 1000 or store.calls <= 4
+            found = {(r.transaction_id, r.signal): r.n for r in frames[0].itertuples()}
+            for s in family:
+                for i, (_, at) in enumerate(rows):
+                    inside = [c for c, t in seen if at - s.window_ms < t <= at]
+                    assert found[f"t{i}", s.name] == (len(set(inside)) if s.member else len(inside))

@@ -1,10 +1,10 @@
 """Velocity in a stream with state per key: each event is counted against what the store holds for its key.
 
 The scoring stream reads the history of its windows in every batch. Here the state store keeps, per signal
-family and key, the uses of the last window in ``BUCKETS`` slices of time, so a batch touches the keys of its
-own events only, and writes the slices of its own times only. State ends: slices older than the longest
-window of the family plus the allowed lateness are removed when the key is used again, and a timer on the
-watermark removes what is left once nothing can reach it.
+family and key, the uses of the last window, so a batch touches the keys of its own events only. State ends: uses
+older than the longest window of the family plus the allowed lateness are removed when the key is used again, and a
+timer on the watermark removes what is left once nothing can reach it. Checkpoints from before uses were kept in
+chunks cannot be continued.
 
 Counts equal those of the batch operator while events come in time order: windows are ``(t - w, t]``, events
 of equal time in one batch count each other, and a late event is counted without revising earlier counts.
@@ -31,7 +31,8 @@ from txnsieve.session import ship_package
 
 #: Fixed value: the store that keyed state with timers needs.
 PROVIDER = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-BUCKETS = 8
+#: Uses in one value of the store.
+CHUNK = 100_000
 COUNTS = "transaction_id string, event_ms long, signal string, n long"
 
 
@@ -58,7 +59,11 @@ def window_members(times: np.ndarray, members: Sequence[str], asked: np.ndarray,
 
 
 class VelocityState(StatefulProcessor):
-    """Counts the signals of a family for the events of one key."""
+    """Counts the signals of a family for the events of one key.
+
+    Every call to the store is a round trip, and keys of few events make most calls. So a key takes one read, one
+    write and one timer per batch, and returns one frame; beyond ``CHUNK`` uses it takes a read and a write per chunk.
+    """
 
     def __init__(self, families: list[list[VelocitySignal]], lateness_ms: int) -> None:
         self.families = families
@@ -66,45 +71,68 @@ class VelocityState(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.uses = handle.getMapState("uses", "slice bigint", "times binary, members string")
+        self.uses = handle.getMapState("uses", "chunk bigint", "times binary, members string, chunks bigint")
 
     def kept_ms(self, family: int) -> int:
         return max(s.window_ms for s in self.families[family]) + self.lateness_ms
 
-    def slice_ms(self, family: int) -> int:
-        return -(-max(s.window_ms for s in self.families[family]) // BUCKETS)
+    def held(self) -> tuple[np.ndarray, list[str], int]:
+        """The uses of the key in order of time, and the number of their chunks."""
+        first = self.uses.getValue((0,))
+        if first is None:
+            return np.empty(0, np.int64), [], 0
+        chunks = [first, *[self.uses.getValue((i,)) for i in range(1, first[2])]]
+        return np.concatenate([np.frombuffer(c[0], np.int64) for c in chunks]), [m for c in chunks for m in json.loads(c[1])], len(chunks)
+
+    def hold(self, times: np.ndarray, members: list[str], before: int) -> None:
+        chunks = -(-len(times) // CHUNK)
+        for i in range(chunks):
+            part = slice(i * CHUNK, (i + 1) * CHUNK)
+            self.uses.updateValue((i,), (times[part].tobytes(), json.dumps(members[part]), chunks))
+        for i in range(chunks, before):
+            self.uses.removeKey((i,))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        family, _ = key
-        family = int(family)
-        signals, step = self.families[family], self.slice_ms(family)
-        new = pd.concat(list(rows)).sort_values([MS, "member"], kind="stable")
-        asked = new[MS].to_numpy(dtype=np.int64)
-        held = {int(k[0]): (np.frombuffer(v[0], np.int64), json.loads(v[1])) for k, v in self.uses.iterator()}
-        window = max(s.window_ms for s in signals)
-        limit = min(int(asked.min()), int(asked.max()) - self.lateness_ms) - window
-        for number in [n for n in held if (n + 1) * step <= limit]:
-            self.uses.removeKey((number,))
-            del held[number]
-        for number, part in new.groupby(asked // step):
-            times, members = held.get(int(number), (np.empty(0, np.int64), []))
-            both = sorted([*zip(times.tolist(), members), *zip(part[MS].tolist(), part["member"].tolist())])
-            held[int(number)] = (np.array([t for t, _ in both], np.int64), [m for _, m in both])
-            self.uses.updateValue((int(number),), (held[int(number)][0].tobytes(), json.dumps(held[int(number)][1])))
-        times = np.concatenate([held[n][0] for n in sorted(held)])
-        members = [m for n in sorted(held) for m in held[n][1]]
-        self.handle.registerTimer(int(times[-1]) + self.kept_ms(family))
-        for s in signals:
-            n = window_members(times, members, asked, s.window_ms) if s.member else window_counts(times, asked, s.window_ms)
-            yield pd.DataFrame({"transaction_id": new["transaction_id"], MS: asked, "signal": s.name, "n": n})
+        family = int(key[0])
+        signals = self.families[family]
+        frames = list(rows)
+        asked = np.concatenate([f[MS].to_numpy(dtype=np.int64) for f in frames])
+        order = np.argsort(asked, kind="stable")
+        asked = asked[order]
+        ids = np.concatenate([f["transaction_id"].to_numpy(dtype=object) for f in frames])[order]
+        times, members, chunks = self.held()
+        last = int(times[-1]) if len(times) else None
+        limit = min(int(asked[0]), int(asked[-1]) - self.lateness_ms) - max(s.window_ms for s in signals)
+        kept = int(np.searchsorted(times, limit, "right"))
+        times = np.concatenate([times[kept:], asked])
+        order_of_all = np.argsort(times, kind="stable")
+        times = times[order_of_all]
+        if signals[0].member:
+            new = np.concatenate([f["member"].to_numpy(dtype=object) for f in frames])[order].tolist()
+            both = members[kept:] + new
+            members = [both[i] for i in order_of_all.tolist()]
+        self.hold(times, members, chunks)
+        if int(times[-1]) != last:
+            if last is not None:
+                self.handle.deleteTimer(last + self.kept_ms(family))
+            self.handle.registerTimer(int(times[-1]) + self.kept_ms(family))
+        counts = [
+            window_members(times, members, asked, s.window_ms) if s.member else window_counts(times, asked, s.window_ms) for s in signals
+        ]
+        yield pd.DataFrame(
+            {
+                "transaction_id": np.tile(ids, len(signals)),
+                MS: np.tile(asked, len(signals)),
+                "signal": np.repeat([s.name for s in signals], len(asked)),
+                "n": np.concatenate(counts),
+            }
+        )
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         """Forgets a key that has not been used since the timer was set."""
-        newest = max((int(k[0]) for k in self.uses.keys()), default=None)
-        if newest is not None:
-            last = np.frombuffer(self.uses.getValue((newest,))[0], np.int64)[-1]
-            if int(last) + self.kept_ms(int(key[0])) <= expiredTimerInfo.getExpiryTimeInMs():
-                self.uses.clear()
+        times, _, _ = self.held()
+        if len(times) and int(times[-1]) + self.kept_ms(int(key[0])) <= expiredTimerInfo.getExpiryTimeInMs():
+            self.uses.clear()
         return iter([])
 
 
