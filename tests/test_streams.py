@@ -310,6 +310,25 @@ def test_triage_reads_only_the_buckets_of_its_batch(spark, sf_dir, tmp_path):
     assert counted.where("tries != least(n, 3) OR most != least(n, 3)").count() == 0 and counted.count() > 5
 
 
+@pytest.mark.parametrize("most", [200_000, 5])
+def test_a_triage_batch_writes_each_bucket_once(spark, sf_dir, tmp_path, monkeypatch, most):
+    """One file per bucket and batch, whatever the number of tasks; hot ids and others replay the same."""
+    monkeypatch.setattr("txnsieve.streaming.triage_stream.WHOLE_ROWS", most)
+    triage_job = TriageJob(f"{tmp_path}/failed", Topic(f"{tmp_path}/replays", "parquet"), attempts=True)
+    failures = fixtures.failures(spark, sf_dir).withColumn("timestamp", F.col("created_at").cast("timestamp"))
+    records = dead_letter_records(failures, "timestamp", "seq").repartition(6)
+    for batch_id in (0, 1, 1):
+        triage_batch(records.where(F.col("seq") % 2 == batch_id).drop("seq"), batch_id, triage_job)
+    files = spark.read.parquet(triage_job.failed_events).inputFiles()
+    assert len(files) == len({f.rsplit("/", 1)[0] for f in files}) == 64
+    counted = recorded_failures(spark, triage_job).groupBy("transaction_id").agg(
+        F.count_if(F.col("failure_type") == "TRANSIENT").alias("n"), F.count_if(F.col("status") == "RETRYING").alias("tries")
+    )
+    assert counted.where("tries != least(n, 3)").count() == 0
+    sent = spark.read.parquet(triage_job.scoring_topic.location).groupBy("key").agg(F.count("*").alias("sent"))
+    assert sent.join(counted, F.col("key") == F.col("transaction_id")).where("sent = tries").count() == sent.count() > 100
+
+
 def test_keyed_state_forgets_and_restarts(spark, tmp_path):
     """Counts over restarts, a late event, and an empty store once the watermark has passed everything."""
     day = 86_400_000

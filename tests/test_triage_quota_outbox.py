@@ -8,7 +8,7 @@ from checks import plan_text
 from pyspark.sql import functions as F
 
 from txnsieve.config import Quota
-from txnsieve.operators import analyst, outbox, quota, triage
+from txnsieve.operators import analyst, outbox, quota, ranking, triage
 from txnsieve.sinks.topics import dead_letter_records
 from txnsieve.sources.requests import read_requests
 
@@ -55,6 +55,22 @@ def test_attempts_run_out_and_decided_ids_are_resolved(spark):
     ]
 
 
+def test_attempts_shuffle_failures_once_unless_an_id_is_hot(spark):
+    """Ids of few failures, all ids spread, and one hot id among others give the same attempts."""
+    rows = [(f"x{i % 7}" if i % 5 else "hot", "timeout" if i % 3 else "bad") for i in range(60)] + [(None, "timeout")] * 5
+    table = failures(spark, rows)
+    cell = table.where("transaction_id = 'hot'").select(ranking.key_cell(["transaction_id"])).first()[0]
+    recorded = spark.createDataFrame([("hot", "TRANSIENT")] * 2 + [("x1", "TRANSIENT")], "transaction_id string, failure_type string")
+    for before in (None, recorded):
+        found = [
+            {(r.id, r.status, r.retry_count) for r in triage.triage_attempts(table, recorded=before, hot=hot).collect()}
+            for hot in (None, [], [cell])
+        ]
+        assert found[0] == found[1] == found[2] and len(found[0]) == 65
+    assert plan_text(triage.triage_attempts(table, hot=[])).count("Exchange hashpartitioning") == 1
+    assert plan_text(triage.triage_attempts(table, recorded=recorded, hot=[])).count("Exchange hashpartitioning") == 2
+
+
 def test_header_round_trip(spark):
     rejects = spark.createDataFrame(
         [("a", "p", "timeout"), ("b", "q", None)], "transaction_id string, original_payload string, error_message string"

@@ -38,13 +38,37 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
 
 GROUP_LIMIT = 1000  # Catalyst cuts groups before the shuffle up to this many rows per key
 SALTS = 32
+#: Keys fall into this many cells by their hash; a cell of more than ``WHOLE_ROWS`` rows may hold a hot key.
+CELLS = 32_768
+WHOLE_ROWS = 200_000
+
+
+def key_cell(keys: Sequence[str]) -> Column:
+    """The cell of a key, by its hash."""
+    return F.pmod(F.xxhash64(*keys), F.lit(CELLS)).cast("int")
 
 
 def rank_up_to(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int, name: str = "rank"
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int, name: str = "rank", hot: Sequence[int] | None = None
 ) -> DataFrame:
     """All rows, with their rank within the key where it is at most ``limit`` and null beyond.
 
+    ``hot`` are the cells of more than ``WHOLE_ROWS`` rows, where the caller has counted them (at most ``CELLS``). Each key
+    of the other cells is numbered by one task, which shuffles its rows once. Without ``hot`` any key may be hot.
+    """
+    if hot is None:
+        return _rank_spread(df, keys, order, limit, name)
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    numbered = F.when(rank <= limit, rank).cast("long")
+    if not hot:
+        return df.withColumn(name, numbered)
+    inside = F.array_contains(F.array(*[F.lit(c) for c in hot]), key_cell(keys))
+    return df.where(~inside).withColumn(name, numbered).unionByName(_rank_spread(df.where(inside), keys, order, limit, name))
+
+
+def _rank_spread(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int, name: str) -> DataFrame:
+    """``rank_up_to`` of keys of any size.
+
     Rows of equal keys and order are counted first and take ranks one after the other, so they need
     not be unique; nulls are keys and times like any other and come first. At most ``limit`` distinct
     places per key are shuffled by key from each map task, or, beyond what Catalyst cuts by itself,

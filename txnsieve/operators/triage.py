@@ -91,21 +91,21 @@ def triage_attempts(
     order: Sequence[str] = ("event_ms", "seq"),
     at: str = "created_at",
     recorded: DataFrame | None = None,
+    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """Record every failure, count attempts per id, and quarantine after the last retry.
 
     A retried id that has a decision by now is resolved, at the time of the decision (``decided_at``) if
     that is given. ``recorded`` holds failures of earlier batches, whose attempts count on. Only the
-    first ``max_retries`` failures per id need a number.
+    first ``max_retries`` failures per id need a number. ``hot`` are the cells of ids with very many failures
+    (``rank_up_to``); the failures of all others are shuffled once, by their id.
     """
     typed = failures.withColumn("failure_type", classify(F.col("error_message"), triage))
     ranked = rank_up_to(
-        typed.where(F.col("failure_type") == TRANSIENT), ["transaction_id"], order, triage.max_retries, "_attempt"
+        typed.where(F.col("failure_type") == TRANSIENT), ["transaction_id"], order, triage.max_retries, "_attempt", hot
     )
     if recorded is not None:
-        asked = ranked.select("transaction_id").distinct()
-        before = recorded.where(F.col("failure_type") == TRANSIENT).join(shuffled(asked), "transaction_id", "left_semi")
-        before = before.groupBy("transaction_id").agg(F.count("*").alias("_before"))
+        before = recorded.where(F.col("failure_type") == TRANSIENT).groupBy("transaction_id").agg(F.count("*").alias("_before"))
         counted = F.coalesce("_before", F.lit(0)) + F.col("_attempt")
         ranked = ranked.join(shuffled(before), "transaction_id", "left").withColumn(
             "_attempt", F.when(counted <= triage.max_retries, counted)

@@ -16,10 +16,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from txnsieve.config import Triage
 from txnsieve.operators.dedupe import ID
+from txnsieve.operators.ranking import WHOLE_ROWS, key_cell
 from txnsieve.operators.triage import dead_letters, replays, triage_attempts, triage_first
 from txnsieve.schemas import FAILED_EVENTS
 from txnsieve.session import remove_folder, run_folder, staged
-from txnsieve.sinks.retention import read_current, retain
+from txnsieve.sinks.retention import batch_folders, read_current, retain
 from txnsieve.sinks.tables import NO_RUN, append_batch, of_earlier_batches, run_id
 from txnsieve.sinks.topics import replay_records, write_topic
 from txnsieve.sources.topics import Topic
@@ -60,15 +61,32 @@ def recorded_failures(spark: SparkSession, job: TriageJob, buckets: Sequence[int
     return read_current(spark, job.failed_events, BUCKET, RECORDED, among=among)
 
 
+def _batch_spread(failures: DataFrame) -> tuple[list[int], list[int]]:
+    """The buckets of a batch, and the cells whose ids have too many failures there for one task; one job."""
+    cells = failures.groupBy(BUCKET, key_cell([ID]).alias("cell")).agg(F.count("*").alias("rows"))
+    found = cells.groupBy(BUCKET).agg(F.collect_set(F.when(F.col("rows") > WHOLE_ROWS, F.col("cell"))).alias("hot")).collect()
+    return [r[BUCKET] for r in found], sorted({c for r in found for c in r["hot"]})
+
+
+def _written(spark: SparkSession, job: TriageJob, batch_id: int, run: str) -> DataFrame | None:
+    """What a batch has recorded, read back from its own folders; None if nothing."""
+    folders = [f.path for f in batch_folders(spark, job.failed_events, BUCKET) if (f.run, f.batch) == (run, batch_id)]
+    return spark.read.schema(RECORDED).option("basePath", job.failed_events).parquet(*folders) if folders else None
+
+
 def triage_batch(records: DataFrame, batch_id: int, job: TriageJob, run: str = NO_RUN) -> None:
-    """Record the new failures of a micro-batch, then replay the transient ones."""
+    """Record the new failures of a micro-batch, then replay the transient ones.
+
+    The routed failures are dealt by bucket and written once; adaptive execution cuts a bucket that is too big for
+    one task. The replays are read back from there.
+    """
     spark = records.sparkSession
     folder = run_folder(spark, "triage")
     try:
         failures = staged(
             dead_letters(records).withColumn("created_at", F.col("timestamp")).withColumn(BUCKET, job.bucket()), "failures", folder
         )
-        buckets = [r[0] for r in failures.select(BUCKET).distinct().collect()]
+        buckets, hot = _batch_spread(failures)
         if job.retain_every and batch_id % job.retain_every == 0:
             retain(spark, job.failed_events, BUCKET, RECORDED)
         recorded = recorded_failures(spark, job, buckets)
@@ -76,12 +94,13 @@ def triage_batch(records: DataFrame, batch_id: int, job: TriageJob, run: str = N
             recorded = recorded.where(of_earlier_batches(batch_id, run)).drop(BUCKET)
         order = ("created_at", "original_payload", "error_message")
         if job.attempts:
-            routed = triage_attempts(failures, None, job.triage, order, recorded=recorded)
+            routed = triage_attempts(failures, None, job.triage, order, recorded=recorded, hot=hot)
         else:
             routed = triage_first(failures, recorded, job.triage, job.key, order)
-        triaged = staged(routed.select(*FAILED_EVENTS.names, BUCKET), "triaged", folder)
-        append_batch(triaged, job.failed_events, batch_id, [BUCKET], run)
-        write_topic(replay_records(replays(triaged)), job.scoring_topic, batch_id, run)
+        append_batch(routed.select(*FAILED_EVENTS.names, BUCKET).hint("rebalance", BUCKET), job.failed_events, batch_id, [BUCKET], run)
+        triaged = _written(spark, job, batch_id, run)
+        if triaged is not None:
+            write_topic(replay_records(replays(triaged)), job.scoring_topic, batch_id, run)
     finally:
         remove_folder(spark, folder)
 
