@@ -12,7 +12,9 @@ from txnsieve.config import (
 )
 from txnsieve.functions.scores import tier_score
 from txnsieve.operators.levels import ASKED, AT, running_levels
-from txnsieve.operators.velocity import behavioral_score, velocity_levels, velocity_snapshot, with_velocity
+from txnsieve.operators.velocity import (
+    behavioral_score, event_uses, family_spread, slice_length, velocity_levels, velocity_snapshot, with_velocity,
+)
 from txnsieve.session import staged
 from txnsieve.streaming.velocity_state import VelocityState
 
@@ -114,6 +116,36 @@ def test_hot_and_other_slices_agree(spark, monkeypatch, least, most):
         assert [r[signal.name] for r in found] == brute(rows, signal), signal.name
 
 
+def test_events_that_no_window_carries_on_are_dealt_once(spark):
+    """Over many slices of a whole family, an event is shuffled again only where a window reaches the next slice."""
+    family = [CARD_1M, CARD_5M, CARD_1H]
+    length = slice_length(family)
+    start = T0 - T0 % length
+    rows = frame(spark, [("c", "d", "x", start + i * (length // 40)) for i in range(400)])
+    dealt = event_uses(rows, family, F.lit(1), length)
+    assert 400 < dealt.count() <= 500
+    crossing = [start + n * length + d for n in (1, 2, 3) for d in (-HOUR_MS, -HOUR_MS + 1, -1, 0, HOUR_MS - 1, HOUR_MS)]
+    near = [("c", "d", "x", at) for at in crossing]
+    found = sorted(with_velocity(frame(spark, near), tuple(family)).collect(), key=lambda r: int(r.transaction_id[1:]))
+    for signal in family:
+        assert [r[signal.name] for r in found] == brute(near, signal)
+
+
+def test_hot_slices_are_found_by_one_scan(spark, monkeypatch):
+    """Hot keys of two families, one with its events on both sides of a border; others in the same cells are not listed."""
+    monkeypatch.setattr("txnsieve.operators.velocity.HOT_EVENTS", 20)
+    monkeypatch.setattr("txnsieve.operators.velocity.CELLS", 1)
+    day = T0 - T0 % DAY_MS
+    rows = [("c", "hot", "9.9.9.9", day + i) for i in range(11)] + [(f"c{i}", f"d{i % 4}", "127.1.1.1", day + i) for i in range(40)]
+    families = [[CARD_1H], [DEVICE_CARDS_24H], [IP_CARDS_1H]]
+    table = staged(frame(spark, rows), "rows")
+    card, device, ip = family_spread(table, families)
+    length = slice_length(families[0])
+    assert (card.events, device.events, ip.events) == (51, 51, 11)
+    assert card.hot == [("c", day - day % length), ("c", day - day % length + length)]
+    assert device.hot == [("hot", day), ("hot", day + DAY_MS)] and ip.hot == [("9.9.9.9", day), ("9.9.9.9", day + HOUR_MS)]
+
+
 def test_changes_of_slices_that_are_not_hot_are_made_once_and_after_the_shuffle(spark):
     rows = staged(frame(spark, [("a", "d", "9.9.9.9", T0)]), "rows")
     for signals, readers in (((CARD_1M, CARD_5M, CARD_1H), 2), ((DEVICE_CARDS_24H,), 3)):

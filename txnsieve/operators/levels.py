@@ -4,7 +4,7 @@ A sliding window count is a level: each event raises it when it enters the windo
 when it leaves. Summing the changes in time order gives the count at every instant with one pass,
 where a RANGE frame would visit every row of the frame again for each row.
 
-A single key may hold a large share of all rows, so time is cut into slices as long as the longest
+A single key may hold a large share of all rows, so time is cut into slices at least as long as the longest
 window, and each slice is summed on its own: an event that is still inside its window at the end of
 a slice enters the next slice at its start, and never reaches a third one. Changes of one instant
 are merged first.

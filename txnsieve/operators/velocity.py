@@ -6,6 +6,7 @@ from collections import defaultdict
 from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,8 +19,12 @@ from txnsieve.operators.lookups import lookup_join, shuffled
 
 MS = "event_ms"
 MAX_INSTANTS = 10_000
-#: A key with more events than this in one slice is summed in parts of the slice, each a task of its own.
-HOT_EVENTS = 20_000
+#: A key that may have more events than this in one slice is summed in parts of the slice, each a task of its own.
+HOT_EVENTS = 200_000
+#: Keys and slices fall into this many cells by their hash, to find those that may have as many.
+CELLS = 65_536
+#: Slices of event counts, in lengths of the longest window.
+EVENT_SLICES = 4
 #: Such keys and slices are listed on the driver up to this number; beyond, every slice is summed in parts.
 MAX_HOT_SLICES = 10_000
 #: Events of the slices that a task sums.
@@ -38,13 +43,15 @@ def signal_guard(signal: VelocitySignal) -> Column:
 
 
 def event_uses(rows: DataFrame, signals: list[VelocitySignal], asked: Column, slice_ms: int) -> DataFrame:
-    """Each event in its own slice, and in the next one, which its windows may reach."""
+    """Each event in its own slice, and in the next one if its longest window reaches it."""
     here = slice_start(F.col(MS), slice_ms)
+    reaches = F.col(MS) + max(s.window_ms for s in signals) > here + slice_ms
 
     def use(slice_: Column, ask: Column) -> Column:
         return F.struct(slice_.alias(SLICE), ask.cast("long").alias(ASKED))
 
-    return rows.select(signals[0].key, MS, F.inline(F.array(use(here, asked), use(here + slice_ms, F.lit(0)))))
+    both = F.when(reaches, F.array(use(here, asked), use(here + slice_ms, F.lit(0)))).otherwise(F.array(use(here, asked)))
+    return rows.select(signals[0].key, MS, F.inline(both))
 
 
 def event_changes(uses: DataFrame, signals: list[VelocitySignal], slice_ms: int) -> DataFrame:
@@ -118,37 +125,43 @@ class Spread:
     hot: list[tuple[str, int]] | None
 
 
+def slice_length(family: list[VelocitySignal]) -> int:
+    """Slices of member counts are as long as the window; those of event counts longer, so that few events reach the next one."""
+    longest = max(s.window_ms for s in family)
+    return longest if family[0].member else EVENT_SLICES * longest
+
+
 def family_spread(rows: DataFrame, families: list[list[VelocitySignal]]) -> list[Spread]:
-    """Per family the number of events, and the keys and slices with more than ``HOT_EVENTS`` of them.
+    """Per family the number of events, and the keys and slices with too many of them for one task.
 
-    One job counts the events of each key; slices are only counted for keys that have that many in all. An event
-    counts in its own slice and in the next, as its windows reach there.
+    A slice holds its own events and those of the slice before that reach it, so it has more than ``HOT_EVENTS`` only if one
+    of the two has more than half as many. One job over one scan counts the events of cells, into which keys and slices fall by their hash;
+    only in cells of that many events the slices themselves are counted.
     """
-    key = F.col("key")
-    uses = [
-        rows.where(signal_guard(f[0]) & F.col(MS).isNotNull()).select(F.lit(i).alias("family"), F.col(f[0].key).cast("string").alias("key"), MS)
-        for i, f in enumerate(families)
-    ]
-    by_key = reduce(DataFrame.unionByName, [u.groupBy("family", "key").agg(F.count("*").alias("events")) for u in uses])
-    busy = F.slice(F.collect_list(F.when(F.col("events") > HOT_EVENTS, key)), 1, MAX_HOT_SLICES + 1)
-    found = {r["family"]: r for r in by_key.groupBy("family").agg(F.sum("events").alias("events"), busy.alias("busy")).collect()}
+
+    def use(i: int, family: list[VelocitySignal]) -> Column:
+        key, own = F.col(family[0].key).cast("string"), slice_start(F.col(MS), slice_length(family))
+        cell = F.pmod(F.xxhash64(F.lit(i), key, own), F.lit(CELLS)).cast("int")
+        taken = F.struct(F.lit(i).alias("family"), key.alias("key"), own.alias(SLICE), cell.alias("cell"))
+        return F.when(signal_guard(family[0]) & F.col(MS).isNotNull(), taken)
+
+    uses = rows.select(F.explode(F.array(*[use(i, f) for i, f in enumerate(families)])).alias("use")).where("use IS NOT NULL").select("use.*")
+    by_cell = uses.groupBy("family", "cell").agg(F.count("*").alias("events"))
+    busy = F.collect_list(F.when(F.col("events") > HOT_EVENTS // 2, F.col("cell")))
+    found = {r["family"]: r for r in by_cell.groupBy("family").agg(F.sum("events").alias("events"), busy.alias("busy")).collect()}
     events = [found[i]["events"] if i in found else 0 for i in range(len(families))]
-    keys = [(i, k) for i, r in found.items() for k in r["busy"]]
-    if not keys:
+    cells = pa.table({"family": [i for i, r in found.items() for _ in r["busy"]], "cell": [c for r in found.values() for c in r["busy"]]},
+                     pa.schema([("family", pa.int32()), ("cell", pa.int32())]))
+    if not cells.num_rows:
         return [Spread(n, []) for n in events]
-    if len(keys) > MAX_HOT_SLICES:
-        return [Spread(n, None) for n in events]
-    listed = F.broadcast(rows.sparkSession.createDataFrame(keys, "family int, key string"))
-    by_slice = []
-    for i in {i for i, _ in keys}:
-        slice_ms = max(s.window_ms for s in families[i])
-        own = uses[i].join(listed, ["family", "key"]).groupBy("family", "key", slice_start(F.col(MS), slice_ms).alias("_own")).agg(F.count("*").alias("events"))
-        both = own.select("family", "key", F.explode(F.array(F.col("_own"), F.col("_own") + slice_ms)).alias(SLICE), "events")
-        by_slice.append(both.groupBy("family", "key", SLICE).agg(F.sum("events").alias("events")))
-    hot = reduce(DataFrame.unionByName, by_slice).where(F.col("events") > HOT_EVENTS).limit(MAX_HOT_SLICES + 1).collect()
+    listed = F.broadcast(rows.sparkSession.createDataFrame(cells))
+    counted = uses.join(listed, ["family", "cell"], "left_semi").groupBy("family", "key", SLICE).agg(F.count("*").alias("events"))
+    own = counted.where(F.col("events") > HOT_EVENTS // 2).limit(MAX_HOT_SLICES + 1).collect()
+    lengths = [slice_length(f) for f in families]
+    hot = {(r["family"], r["key"], r[SLICE] + n) for r in own for n in (0, lengths[r["family"]])}
     if len(hot) > MAX_HOT_SLICES:
         return [Spread(n, None) for n in events]
-    return [Spread(n, [(r["key"], r[SLICE]) for r in hot if r["family"] == i]) for i, n in enumerate(events)]
+    return [Spread(n, sorted((k, s) for f, k, s in hot if f == i)) for i, n in enumerate(events)]
 
 
 def velocity_levels(
@@ -166,7 +179,7 @@ def velocity_levels(
     """
     asked = F.lit(1) if asked is None else asked
     guarded = rows.where(signal_guard(signals[0]) & F.col(MS).isNotNull())
-    slice_ms = max(s.window_ms for s in signals)
+    slice_ms = slice_length(signals)
     key, names = signals[0].key, [s.name for s in signals]
     events = signals[0].member is None
     if events:
