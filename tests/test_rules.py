@@ -5,10 +5,11 @@ import random
 import pytest
 from checks import plan_text
 
+from txnsieve.operators import rule_pieces
 from txnsieve.operators.conditions import Condition, conditions
 from txnsieve.operators.predicates import RuleError, predicate
 from txnsieve.operators.rule_index import with_indexed_rules, with_rule_totals
-from txnsieve.operators.rules import RuleSet, list_rules, load_rules, render_rules, rule_errors, rule_hits, with_rules
+from txnsieve.operators.rules import RuleSet, StoredRules, list_rules, load_rules, render_rules, rule_errors, rule_hits, with_rules
 from txnsieve.plans import fixtures
 from txnsieve.schemas import FIELD_COLUMNS, RULES
 
@@ -270,3 +271,43 @@ def test_totals_equal_listed_hits(spark):
         assert {r.transaction_id: (r.hits, r.rule_score) for r in totals.collect()} == {r.transaction_id: (len(r.rule_hits), r.rule_score) for r in listed.collect()}
     few = plan_text(with_rule_totals(df, load_rules(spark.createDataFrame(rows, RULES))))
     assert few.count("BroadcastHashJoin") == 1 and "bound 7" not in few
+
+
+def test_stored_rules_total_as_held_ones(spark, monkeypatch):
+    """Rules that the driver does not hold: all forms, ids of which one rule is broken, null and repeated rows, many pieces."""
+    rng = random.Random(34)
+    names = ["transaction_id", *[c for c in FIELD_COLUMNS.values() if c != "transaction_id"]]
+    values = {
+        "amount": [*range(0, 900, 7), 5.0, 600.5, float("nan"), None, -7.0, -0.0], "merchant_risk_tier": ["high", "low", "it's", None],
+        "merchant_category_code": ["7995", "5411", None], "ip_country": ["US", "RU", "", None], "billing_country": ["US", "CA", None],
+    }
+    data = [(f"t{i}" if i % 9 else None, *[rng.choice(values.get(c, ["x"])) for c in names[1:]]) for i in range(150)]
+    data = [tuple(float(v) if isinstance(v, int) else v for v in row) for row in [*data, *data[:20]]]
+    df = spark.createDataFrame(data, ", ".join(f"{c} {'double' if c == 'amount' else 'string'}" for c in names))
+    tier = [f"merchantRiskTier == 'high' and amount {rng.choice(['>', '>='])} {rng.randint(0, 1800) / 2}" for _ in range(700)]
+    single = [(1000 + i, f"bound {i}", x, 1 + i % 7, True, None, None) for i, x in enumerate(tier)]
+    many = [(3000 + i, f"other {i}", f"ipCountry != 'x{i}' and merchantCategoryCode eq '7995'", 1, True, None, None) for i in range(300)]
+    odd = [(1003, "same id", "amount >", 1, True, None, None), (1004, "same id", "amount ? 1", 1, True, None, None), (1005, "no text", " ", 1, True, None, None)]
+    mixed = random_rules(rng, 150)
+    for given in (single, [r for r in mixed if r[5] is None] + many, [*mixed, *single, *odd], odd):
+        monkeypatch.setattr(rule_pieces, "fits_broadcast", lambda pieces, fits=given is not single: fits)
+        rules = spark.createDataFrame(given, RULES)
+        held, stored = load_rules(rules), load_rules(rules, most=2)
+        assert isinstance(held, RuleSet) and isinstance(stored, StoredRules)
+        want, got = with_rule_totals(df, held), with_rule_totals(df, stored)
+        assert got.dtypes == want.dtypes
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+        assert "held" not in vars(stored)  # nothing asked for all rules on the driver
+        assert len(stored.errors) == len(held.errors)
+        if len({r[0] for r in given}) == len(given):  # else the order is open
+            assert stored.version == held.version
+
+
+def test_query_of_many_rules_keeps_them_off_the_driver(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(load_rules, "__defaults__", (100,))
+    stored = load_rules(fixtures.customer_rules(spark, sf_dir))
+    totals = with_rule_totals(fixtures.transactions(spark, sf_dir), stored)
+    plan = plan_text(totals)
+    assert "held" not in vars(stored) and "LocalTableScan" not in plan and "NestedLoop" not in plan
+    held = with_rule_totals(fixtures.transactions(spark, sf_dir), load_rules(fixtures.customer_rules(spark, sf_dir), most=10_000))
+    assert sorted(totals.select("transaction_id", "hits", "rule_score").collect()) == sorted(held.select("transaction_id", "hits", "rule_score").collect())

@@ -128,6 +128,8 @@ class Scoring:
 
 # A side is broadcast only when its counted rows do not exceed this.
 MAX_BROADCAST_ROWS = 100_000
+# More enabled rules than these are not read to the driver: the executors read them from the shared folder.
+MAX_DRIVER_RULES = 50_000
 # Hot keys are spread over this many salts when a lookup side is too big to broadcast.
 LOOKUP_SALTS = 16
 # Length of the time slices that split the rows of one override target over tasks.

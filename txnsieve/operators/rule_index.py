@@ -9,7 +9,8 @@ finds, not what there is. The number of joins follows the fields, and the size o
 the rules, which travel as one literal.
 
 Rules of any other form are evaluated as columns, in blocks. Results equal those of ``with_rules``, the order of hits
-included. Rules are configuration that the driver holds, as it does for ``with_rules``.
+included. Rules are configuration that the driver holds, as it does for ``with_rules``; ``rule_pieces`` adds up those
+that are too many for it.
 """
 
 from __future__ import annotations
@@ -25,7 +26,9 @@ from pyspark.sql import functions as F
 
 from txnsieve.functions.search import count_at_most, listed
 from txnsieve.operators.conditions import AMOUNT, Condition, conditions
-from txnsieve.operators.rules import HITS, SCORE, Rule, RuleSet, group_score, matches
+from txnsieve.operators.predicates import predicate
+from txnsieve.operators.rule_pieces import holds, once, passed, with_stored_totals
+from txnsieve.operators.rules import HITS, SCORE, Rule, RuleSet, StoredRules, group_score, matches
 from txnsieve.schemas import FIELD_COLUMNS
 
 #: Rules that are no conjunction become columns, so many to a projection.
@@ -75,32 +78,12 @@ def _up_to(bounds: list[tuple[float, int]], value: Column) -> Column:
     return F.slice(numbers, F.lit(1), count_at_most([b for b, _ in bounds], value))
 
 
-def _holds(condition: Column) -> Column:
-    """Whether a row meets a condition; the kinds agree, and null or NaN meets only ``!=``."""
-    sign, text, number = condition["s"], F.get(F.col("_texts"), condition["f"]), F.col("_amount")
-    same = F.when(condition["f"] < 0, number.eqNullSafe(condition["n"]) & ~F.isnan(F.coalesce(number, F.lit(0.0)))).otherwise(
-        text.eqNullSafe(condition["t"])
-    )
-
-    def ordered(a: Column, b: Column) -> Column:
-        return F.when(sign == "<", a < b).when(sign == "<=", a <= b).when(sign == ">", a > b).otherwise(a >= b)
-
-    real = F.when(F.isnan(number), F.lit(False)).otherwise(ordered(number, condition["n"]))
-    other = F.when(condition["f"] < 0, real).otherwise(ordered(text, condition["t"]))
-    return F.coalesce(F.when(sign == "==", same).when(sign == "!=", ~same).otherwise(other), F.lit(False))
-
-
-def _once(rows: DataFrame, **columns: Column) -> DataFrame:
-    """Adds columns that are worked out once per row, however often later expressions name them."""
-    return rows.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
-
-
 def _matched(rows: DataFrame, rules: list[Rule]) -> DataFrame:
     """Adds ``_matched``, the ascending numbers of the rules that match."""
     index, spark = rule_index(rules), rows.sparkSession
     fields = sorted({c.field for each in index.conditions for c in each if c.field != AMOUNT})
     texts = F.array(*[F.col(FIELD_COLUMNS[f]) for f in fields]).cast("array<string>")
-    found = _once(rows, _amount=F.col(AMOUNT).cast("double"), _texts=texts)
+    found = once(rows, _amount=F.col(AMOUNT).cast("double"), _texts=texts)
     candidates = [listed(index.always).cast("array<bigint>")] if index.always else []
     for field, values in sorted(index.by_value.items()):
         table = pa.table({f"_v_{field}": list(values), f"_r_{field}": pa.array(list(values.values()), pa.list_(pa.int64()))})
@@ -117,20 +100,20 @@ def _matched(rows: DataFrame, rules: list[Rule]) -> DataFrame:
     )
     conditions_of = F.from_json(F.lit(held), f"array<array<{_CONDITION}>>")
     none = F.array().cast("array<bigint>")
-    found = _once(found, _candidates=F.concat(none, *candidates))
-    met = F.filter("_candidates", lambda n: F.forall(F.get(conditions_of, n.cast("int")), _holds))
-    found = _once(found, _met=met)
+    found = once(found, _candidates=F.concat(none, *candidates))
+    met = F.filter("_candidates", lambda n: F.forall(F.get(conditions_of, n.cast("int")), holds))
+    found = once(found, _met=met)
     parts = ["_met"]
     for at in range(0, len(index.columns), BLOCK):
         name = f"_block_{at}"
         hits = [F.when(matches(rules[n]), F.lit(n).cast("long")) for n in index.columns[at : at + BLOCK]]
-        found = _once(found, **{name: F.filter(F.array(*hits), lambda n: n.isNotNull())})
+        found = once(found, **{name: F.filter(F.array(*hits), lambda n: n.isNotNull())})
         parts.append(name)
     kept = [F.col(c) for c in rows.columns]
     return found.select(*kept, F.array_sort(F.concat(*parts)).alias("_matched"))
 
 
-def with_indexed_rules(rows: DataFrame, rule_set: RuleSet) -> DataFrame:
+def with_indexed_rules(rows: DataFrame, rule_set: RuleSet | StoredRules) -> DataFrame:
     """Add ``rule_hits`` and ``rule_score`` as ``with_rules`` does, for any number of rules."""
     single, groups = rule_set.ungrouped(), rule_set.groups()
     rules = [*single, *[r for members in groups.values() for r in members if r.score <= 0]]
@@ -144,40 +127,45 @@ def with_indexed_rules(rows: DataFrame, rule_set: RuleSet) -> DataFrame:
     found = _matched(rows, rules)
     alone = F.filter("_matched", lambda n: n < len(single))
     of_groups = F.transform(F.filter("_matched", lambda n: n >= len(single)), lambda n: F.get(listed(owner), (n - len(single)).cast("int")))
-    found = _once(found, _alone=alone, _groups=of_groups)
+    found = once(found, _alone=alone, _groups=of_groups)
     needed = listed(wanted)
     fired = F.filter(
         F.array_sort(F.array_distinct("_groups")),
         lambda g: F.size(F.filter("_groups", lambda x: x == g)) >= F.get(needed, g.cast("int")),
     )
     numbers = F.concat("_alone", F.transform(fired, lambda g: g + len(single)))
-    found = _once(found, **{HITS: F.transform(numbers, lambda n: F.get(literal, n.cast("int")))})
+    found = once(found, **{HITS: F.transform(numbers, lambda n: F.get(literal, n.cast("int")))})
     total = F.aggregate(HITS, F.lit(0).cast("long"), lambda sum_, hit: sum_ + hit["score"])
     return found.select(*[F.col(c) for c in rows.columns], HITS, total.alias(SCORE))
 
 
-def _found(group: Column) -> Column:
-    """How many of the sorted bounds of a group the amount of the row passes, by halving."""
-    bounds, amount = group["b"], F.col("_amount")
-    real = amount.isNotNull() & ~F.isnan(F.coalesce(amount, F.lit(0.0)))
-
-    def step(range_: Column, _: Column) -> Column:
-        middle = F.floor((range_["low"] + range_["high"]) / 2).cast("int")
-        bound = F.get(bounds, middle)
-        passed = F.when(group["s"] == ">", amount > bound).otherwise(amount >= bound)
-        open_ = range_["low"] < range_["high"]
-        return F.struct(
-            F.when(open_ & passed, middle + 1).otherwise(range_["low"]).alias("low"),
-            F.when(open_ & ~passed, middle).otherwise(range_["high"]).alias("high"),
+def _stored_totals(rows: DataFrame, rule_set: StoredRules, hits: str) -> DataFrame:
+    """Stored conjunctions without a group by their pieces; the driver holds members of groups and texts of other forms."""
+    found, number, score = rows, F.lit(0).cast("long"), F.lit(0).cast("long")
+    grouped = rule_set.grouped()
+    if grouped.rules:
+        found = with_indexed_rules(rows, grouped).withColumnsRenamed({HITS: "_hits", SCORE: "_score"})
+        number, score = F.size("_hits").cast("long"), F.col("_score")
+    others = rule_set.others()
+    for at in range(0, len(others), BLOCK):
+        name = f"_block_{at}"
+        fired = [
+            F.when(predicate(text), F.struct(F.lit(n).cast("long").alias("n"), F.lit(t).cast("long").alias("t")))
+            for text, n, t in others[at : at + BLOCK]
+        ]
+        found = once(found, **{name: F.filter(F.array(*fired), lambda o: o.isNotNull())})
+        number, score = (
+            total + F.aggregate(F.col(name)[n], F.lit(0).cast("long"), lambda a, b: a + b) for total, n in ((number, "n"), (score, "t"))
         )
-
-    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(bounds) + 1)).cast("int"))
-    start = F.struct(F.lit(0).alias("low"), F.size(bounds).alias("high"))
-    passed = F.aggregate(steps, start, step, lambda s: s["low"])
-    return F.when(group["s"] == "", F.size(bounds)).when(real, passed).otherwise(F.lit(0))
+    if not grouped.rules and not others:
+        return with_stored_totals(rows, rule_set, hits)
+    own = with_stored_totals(found.select(*rows.columns, number.alias("_number"), score.alias("_sum")), rule_set, hits)
+    totals = {hits: F.col(hits) + F.col("_number"), SCORE: F.col(SCORE) + F.col("_sum")}
+    names = [SCORE, hits] if grouped.rules else [hits, SCORE]  # as without a store
+    return own.select(*rows.columns, *[totals[n].alias(n) for n in names])
 
 
-def with_rule_totals(rows: DataFrame, rule_set: RuleSet, hits: str = "hits") -> DataFrame:
+def with_rule_totals(rows: DataFrame, rule_set: RuleSet | StoredRules, hits: str = "hits") -> DataFrame:
     """Add the number of ``rule_hits`` and ``rule_score`` as of ``with_indexed_rules``, without listing the hits.
 
     Conjunctions that differ only in the bound from which the amount counts form one group of a value, with its
@@ -185,6 +173,8 @@ def with_rule_totals(rows: DataFrame, rule_set: RuleSet, hits: str = "hits") ->
     bounds by halving, so it costs the groups of its values, not the rules it hits. Groups of rules count as a whole
     and take the listed form.
     """
+    if isinstance(rule_set, StoredRules):
+        return _stored_totals(rows, rule_set, hits)
     if rule_set.groups():
         listed_hits = with_indexed_rules(rows, rule_set)
         return listed_hits.withColumn(hits, F.size(HITS).cast("long")).drop(HITS)
@@ -207,7 +197,7 @@ def with_rule_totals(rows: DataFrame, rule_set: RuleSet, hits: str = "hits") ->
         held[value].append({"c": checks, "s": sign, "b": [b for b, _ in members], "t": list(accumulate((s for _, s in members), initial=0))})
     condition = pa.struct([("f", pa.int32()), ("s", pa.string()), ("t", pa.string()), ("n", pa.float64())])
     kind = pa.list_(pa.struct([("c", pa.list_(condition)), ("s", pa.string()), ("b", pa.list_(pa.float64())), ("t", pa.list_(pa.int64()))]))
-    found = _once(rows, _amount=F.col(AMOUNT).cast("double"), _texts=texts)
+    found = once(rows, _amount=F.col(AMOUNT).cast("double"), _texts=texts)
     sides = []
     for field in sorted(index.by_value):
         values = [v for v in held if v[0] == field]
@@ -220,17 +210,17 @@ def with_rule_totals(rows: DataFrame, rule_set: RuleSet, hits: str = "hits") ->
         sides.append(F.from_json(F.lit(json.dumps(held[None, None])), shape))
     number, score = F.lit(0).cast("long"), F.lit(0).cast("long")
     for at, side in enumerate(sides):
-        met = F.filter(side, lambda g: F.forall(g["c"], _holds))
-        places = F.transform(met, lambda g: F.struct(_found(g).alias("n"), g["t"].alias("t")))
+        met = F.filter(side, lambda g: F.forall(g["c"], holds))
+        places = F.transform(met, lambda g: F.struct(passed(g).alias("n"), g["t"].alias("t")))
         totals = F.transform(places, lambda p: F.struct(p["n"].cast("long").alias("n"), F.get(p["t"], p["n"]).alias("t")))
-        found = _once(found, **{f"_totals_{at}": totals})
+        found = once(found, **{f"_totals_{at}": totals})
         for name in ("n", "t"):
             total = F.aggregate(F.coalesce(F.col(f"_totals_{at}")[name], F.array().cast("array<bigint>")), F.lit(0).cast("long"), lambda a, b: a + b)
             number, score = (number + total, score) if name == "n" else (number, score + total)
     for at in range(0, len(index.columns), BLOCK):
         name = f"_block_{at}"
         fired = [F.when(matches(rules[n]), F.lit(rules[n].score).cast("long")) for n in index.columns[at : at + BLOCK]]
-        found = _once(found, **{name: F.filter(F.array(*fired), lambda s: s.isNotNull())})
+        found = once(found, **{name: F.filter(F.array(*fired), lambda s: s.isNotNull())})
         number = number + F.size(name)
         score = score + F.aggregate(name, F.lit(0).cast("long"), lambda a, b: a + b)
     return found.select(*[F.col(c) for c in rows.columns], number.alias(hits), score.alias(SCORE))
